@@ -9,17 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.numbers import extract_float, parse_review_count, rating_value
 from ..functions.places import extract_admin_area
-from ..functions.text import WORD, contains_any, default_if_blank, is_present, strip, tokenize, whole_words_pattern
-
-# Above this many words a token is looked up in a hash set; below it one alternation finds the words.
-ALTERNATION_LIMIT = 200
-
+from ..functions.text import contains_any, is_present, strip, tokenize
 
 def _rating(df: DataFrame, rating: str) -> Column:
     return rating_value(df.schema[rating].dataType.simpleString(), F.col(rating))
@@ -68,24 +64,16 @@ def rating_bucket(df: DataFrame, rating: str = "rating") -> DataFrame:
     )
 
 
-def lexicon_score(
-    text: Column,
-    positive: Sequence[str] = fv.POSITIVE_WORDS,
-    negative: Sequence[str] = fv.NEGATIVE_WORDS,
-) -> tuple[Column, Column]:
-    """(positive hits, negative hits) of a text. Every occurrence counts; a word in both lists counts in both."""
-    return _word_hits(text, positive), _word_hits(text, negative)
-
+def _with_hits(df: DataFrame, key: str, comment: str, positive: Sequence[str], negative: Sequence[str]) -> DataFrame:
+    """(key, _pos, _neg) per comment. Every occurrence of a word counts; the comment is cut into words once."""
+    words = df.filter(is_present(F.col(key)) & is_present(F.col(comment))).select(
+        F.col(key), tokenize(F.col(comment)).alias("_words")
+    )
 
-def _word_hits(text: Column, words: Sequence[str]) -> Column:
-    import re
+    def hits(lexicon: Sequence[str]) -> Column:
+        return F.size(F.filter("_words", lambda word: word.isin(*lexicon))).cast("bigint")
 
-    tokens_only = [w for w in words if re.fullmatch(r"\w+", w)]  # other words never equal a token
-    if not tokens_only:
-        return F.lit(0)
-    if len(tokens_only) <= ALTERNATION_LIMIT:
-        return F.regexp_count(F.lower(text), F.lit(whole_words_pattern(tokens_only)))
-    return F.size(F.filter(tokenize(text), lambda t: t.isin(*tokens_only)))
+    return words.select(F.col(key), hits(positive).alias("_pos"), hits(negative).alias("_neg"))
 
 
 def lexicon_sentiment(
@@ -109,12 +97,10 @@ def lexicon_sentiment_flat(
     negative: Sequence[str] = fv.NEGATIVE_WORDS,
 ) -> DataFrame:
     """A4: (key, avg_sentiment_score, reviews_analyzed). Score = positive minus negative words of a comment."""
-    pos, neg = lexicon_score(F.col(comment), positive, negative)
-    return (
-        df.filter(is_present(F.col(key)) & is_present(F.col(comment)))
-        .select(F.col(key), (pos - neg).alias("_score"))
-        .groupBy(key)
-        .agg(F.bround(F.avg("_score"), 3).alias("avg_sentiment_score"), F.count("*").alias("reviews_analyzed"))
+    hits = _with_hits(df, key, comment, positive, negative)
+    return hits.groupBy(key).agg(
+        F.bround(F.avg(F.col("_pos") - F.col("_neg")), 3).alias("avg_sentiment_score"),
+        F.count("*").alias("reviews_analyzed"),
     )
 
 
@@ -126,16 +112,14 @@ def positive_negative_ratio(
     negative: Sequence[str] = fv.NEGATIVE_WORDS,
 ) -> DataFrame:
     """Q22: (key, positive_words, negative_words, positive_share) per key; share is NULL without any hit."""
-    pos, neg = lexicon_score(F.col(comment), positive, negative)
-    hits = F.sum("_pos") + F.sum("_neg")
+    total = F.sum("_pos") + F.sum("_neg")
     return (
-        df.filter(is_present(F.col(key)) & is_present(F.col(comment)))
-        .select(F.col(key), pos.cast("bigint").alias("_pos"), neg.cast("bigint").alias("_neg"))
+        _with_hits(df, key, comment, positive, negative)
         .groupBy(key)
         .agg(
             F.sum("_pos").alias("positive_words"),
             F.sum("_neg").alias("negative_words"),
-            F.bround(F.try_divide(F.sum("_pos"), hits), 3).alias("positive_share"),
+            F.bround(F.try_divide(F.sum("_pos"), total), 3).alias("positive_share"),
         )
     )
 
@@ -175,8 +159,6 @@ def review_star_distribution_flat(df: DataFrame, rating: str) -> DataFrame:
 
 def with_share(counts: DataFrame, n: str = "n") -> DataFrame:
     """Q22: add the share of each row in the total. For results with a fixed few rows, such as the star counts."""
-    from pyspark.sql import Window
-
     total = F.sum(n).over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return counts.withColumn("share", F.bround(F.col(n) / total, 4))
 

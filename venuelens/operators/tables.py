@@ -20,7 +20,7 @@ PRESENT = "_present"
 
 
 def latest_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key: the last in the given order; rows equal in it are settled by their whole content.
+    """One row per key: the last in the given order; rows equal in it are settled by a hash of their content.
 
     The rank filter is applied on each task before the shuffle, so a key with a
     third of all rows sends one row per task.
@@ -28,7 +28,7 @@ def latest_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in order and c != key]
     ordering = [F.col(c).desc_nulls_last() for c in order]
     if rest:
-        ordering.append(F.to_json(F.struct(*rest)).desc())
+        ordering.append(F.xxhash64(*rest).desc())
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*ordering))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
@@ -45,8 +45,6 @@ def _merged_patch(batch: DataFrame, columns: Sequence[str], key: str, order: Seq
     has_list = PRESENT in batch.columns
 
     def last(c: str) -> Column:
-        if c not in batch.columns:
-            return F.lit(None).cast(f"struct<v:{dict(batch.dtypes).get(c, 'string')}>")
         there = F.array_contains(F.col(PRESENT), c) if has_list else F.lit(True)
         return F.max_by(F.when(there, F.struct(F.col(c).alias("v"))), F.when(there, position))
 
@@ -99,20 +97,20 @@ def insert_rows(base: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return base.unionByName(new)
 
 
-def blank_as_absent(patch: DataFrame, key: str) -> DataFrame:
+def blank_as_absent(patch: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Mark blank texts and numbers that are not above 0 as not present (form fields left alone)."""
 
     def filled(c: str, kind: str) -> Column:
         return (F.col(c) != "") if kind == "string" else (F.col(c) > 0)
 
-    names = [F.when(filled(c, t), F.lit(c)) for c, t in patch.dtypes if c != key]
+    names = [F.when(filled(c, t), F.lit(c)) for c, t in patch.dtypes if c in fields]
     return patch.withColumn(PRESENT, F.array_compact(F.array(*names)))
 
 
 def patch_rows(base: DataFrame, patch: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
     """Overwrite the filled fields of existing rows; keys not in the table change nothing."""
-    marked = blank_as_absent(patch, key)
-    return _patched(base, _merged_patch(marked, [c for c in base.columns if c != key], key, order), key)
+    fields = [c for c in base.columns if c != key]
+    return _patched(base, _merged_patch(blank_as_absent(patch, fields), fields, key, order), key)
 
 
 def affected_rows(base: DataFrame, patch: DataFrame, key: str) -> DataFrame:

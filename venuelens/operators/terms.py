@@ -1,26 +1,30 @@
 """Dictionary terms in comments.
 
-Two ways to the same result:
-
-* up to ``ALTERNATION_LIMIT`` terms: one alternation, longest term first. No
-  join and no shuffle before the count.
-* any number of terms: the text is cut at its word boundaries, every run of
-  pieces as long as some term is joined to the dictionary on equality (Spark
-  broadcasts the dictionary only if its known size is under the session's limit
-  and shuffles otherwise), then overlaps are settled per text.
+Three ways to the same result:
+
+* plain words only, short list: words of the text are looked up in the list;
+* short list with phrases: one alternation, longest term first;
+* dictionary as a table of any length: the text is cut at its word boundaries,
+  every run of pieces as long as some term is joined to the dictionary on
+  equality, then overlaps are settled per text.
+
+The first two need no join and no shuffle before the count.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions.text import WORD, is_present, whole_words_pattern
+from ..functions.text import WORD, is_present, tokenize, whole_words_pattern
 
-ALTERNATION_LIMIT = 200
+# Longest list that goes into the query text, and longest dictionary that is broadcast.
+LIST_LIMIT = 2000
+BROADCAST_LIMIT = 1_000_000
 
 
 def dictionary_terms(items: DataFrame, *columns: str) -> DataFrame:
@@ -40,88 +44,86 @@ def nested_term_match_count(
 def term_match_count(df: DataFrame, comment: str, terms: Iterable[str] = fv.INGREDIENTS) -> DataFrame:
     """A5: (term, n), all non-overlapping whole-word matches, the longest term first, dictionary as a Python list."""
     terms = sorted({t for t in terms if t})
-    if len(terms) > ALTERNATION_LIMIT:
+    if len(terms) > LIST_LIMIT:
         raise ValueError("use term_match_count_joined for a long dictionary")
-    found = F.regexp_extract_all(F.lower(F.col(comment)), F.lit(whole_words_pattern(terms)), 1)
+    text = F.col(comment)
+    if all(re.fullmatch(r"\w+", t) for t in terms):
+        found = F.filter(tokenize(text), lambda t: t.isin(*terms))
+    else:
+        found = F.regexp_extract_all(F.lower(text), F.lit(whole_words_pattern(terms)), 1)
     return (
-        df.filter(is_present(F.col(comment)))
-        .select(F.explode(found).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("n"))
+        df.filter(is_present(text)).select(F.explode(found).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
     )
 
 
 def _pieces(text: Column) -> Column:
-    """A text cut at all its word boundaries: words and what lies between them, in order."""
-    return F.regexp_extract_all(text, F.lit(rf"({WORD}+|[^\p{{L}}\p{{N}}_]+)"), 1)
+    """A text cut at all its word boundaries: words and what lies between them, in turn."""
+    return F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"), 1)
+
+
+def _runs(pieces: Column, length: int, first: int) -> Column:
+    """(start, pieces, term) of every run of ``length`` pieces that starts at ``first`` or an even distance after it."""
+    last = F.size(pieces) - length
 
+    def run(i: Column) -> Column:
+        parts = [F.get(pieces, i + k) for k in range(length)]
+        return F.struct(i.alias("start"), F.lit(length).alias("pieces"), F.concat(*parts).alias("term"))
 
-def term_match_count_joined(df: DataFrame, key: str, comment: str, dictionary: DataFrame) -> DataFrame:
-    """A5 with the dictionary as a table (column ``term``) of any size; ``key`` is unique per row.
+    starts = F.when(last >= first, F.sequence(F.lit(first), last, F.lit(2)))
+    return F.coalesce(F.transform(starts, run), F.array().cast("array<struct<start:int,pieces:int,term:string>>"))
 
-    A term made of one piece cannot overlap another such term, so a dictionary of
-    plain words needs no grouping per text.
+
+def term_match_count_joined(
+    df: DataFrame, key: str, comment: str, dictionary: DataFrame, broadcast_limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """A5 with the dictionary as a table (column ``term``) of any length; ``key`` is unique per row.
+
+    The dictionary is counted first and broadcast only up to ``broadcast_limit``
+    terms; a longer one is joined by a shuffle, where adaptive execution splits
+    frequent words. Terms of one piece cannot overlap, so a dictionary of plain
+    words needs no grouping per text.
     """
     terms = dictionary.select("term").filter(is_present(F.col("term"))).distinct()
-    terms = terms.select("term", F.size(_pieces(F.col("term"))).alias("pieces"))
-    lengths = sorted(r["pieces"] for r in terms.select("pieces").distinct().collect())  # a handful of small numbers
-    texts = df.filter(is_present(F.col(comment))).select(
-        F.col(key).alias("_key"), _pieces(F.lower(F.col(comment))).alias("_p")
-    )
-    if lengths == [1]:
-        words = texts.select(F.explode("_p").alias("term"))
-        return words.join(terms.select("term"), "term").groupBy("term").agg(F.count("*").alias("n"))
-
-    def runs(n: int) -> Column:
-        """All (start, n, text) made of n pieces in a row."""
-        last = F.size("_p") - n
-        return F.transform(
-            F.when(last >= 0, F.sequence(F.lit(1), last + 1)),
-            lambda i: F.struct(
-                i.alias("start"), F.lit(n).alias("pieces"), F.concat_ws("", F.slice("_p", i, F.lit(n))).alias("term")
-            ),
-        )
-
-    # Text that is no word at the very start or end has no word boundary on its outer side.
-    count = F.size("_p")
-    is_outer = lambda piece: ~piece.rlike(rf"^{WORD}")
-    inner_start = F.when(is_outer(F.get("_p", 0)), F.lit(2)).otherwise(F.lit(1))
-    inner_end = F.when(is_outer(F.get("_p", count - 1)), count - 1).otherwise(count)
-    candidates = texts.select(
-        "_key",
-        inner_start.alias("_first"),
-        inner_end.alias("_last"),
-        F.explode(F.flatten(F.array_compact(F.array(*[runs(n) for n in lengths])))).alias("m"),
-    ).select("_key", "_first", "_last", "m.start", "m.pieces", "m.term")
-    hits = candidates.join(terms, ["term", "pieces"]).filter(
-        (F.col("start") >= F.col("_first")) & (F.col("start") + F.col("pieces") - 1 <= F.col("_last"))
+    # How many pieces a term has and whether it starts with a word: a handful of groups.
+    shapes = (
+        terms.groupBy(F.size(_pieces(F.col("term"))).alias("pieces"), F.col("term").rlike(f"^{WORD}").alias("word"))
+        .count()
+        .collect()
     )
+    n_terms = sum(s["count"] for s in shapes)
+    terms = F.broadcast(terms) if n_terms <= broadcast_limit else terms.hint("merge")
+
+    # Other characters at the very start and end have no word boundary on their outer side.
+    inner = F.regexp_replace(F.lower(F.col(comment)), r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$", "")
+    texts = df.filter(is_present(F.col(comment))).select(F.col(key).alias("_key"), _pieces(inner).alias("_p"))
+    runs = [_runs(F.col("_p"), s["pieces"], 0 if s["word"] else 1) for s in shapes]
+    found = F.flatten(F.array(*runs)) if runs else F.lit(None).cast("array<struct<start:int,pieces:int,term:string>>")
+    hits = texts.select("_key", F.explode(found).alias("m")).select("_key", "m.*").join(terms, "term")
+    if all(s["pieces"] == 1 for s in shapes):
+        return hits.groupBy("term").agg(F.count("*").alias("n"))
 
     # Leftmost first, longest first, no overlap. Hits that touch no other hit count
     # as they are; only a cluster of overlapping ones has to be walked through.
     order = Window.partitionBy("_key").orderBy("start", F.desc("pieces"))
-    before = F.max(F.col("start") + F.col("pieces")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    clustered = hits.withColumn("_new", F.when(F.col("start") < before, 0).otherwise(1)).withColumn(
+    reach = F.max(F.col("start") + F.col("pieces")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    clustered = hits.withColumn("_new", F.when(F.col("start") < reach, 0).otherwise(1)).withColumn(
         "_cluster", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))
     )
     members = clustered.groupBy("_key", "_cluster").agg(
-        F.array_sort(
-            F.collect_list(F.struct("start", (-F.col("pieces")).alias("shorter"), "term"))
-        ).alias("m")
+        F.array_sort(F.collect_list(F.struct("start", (-F.col("pieces")).alias("shorter"), "term"))).alias("m")
     )
+    kept = F.when(F.size("m") == 1, F.array(F.get("m", 0)["term"])).otherwise(_walk(F.col("m")))
+    return members.select(F.explode(kept).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+
 
-    def walk(state: Column, hit: Column) -> Column:
-        free = hit["start"] >= state["end"]
-        return F.when(
-            free,
-            F.struct(
-                (hit["start"] - hit["shorter"]).alias("end"),
-                F.concat(state["terms"], F.array(hit["term"])).alias("terms"),
-            ),
-        ).otherwise(state)
+def _walk(hits: Column) -> Column:
+    """Terms of the hits that are kept when each takes its place unless an earlier one has it."""
+
+    def step(state: Column, hit: Column) -> Column:
+        taken = F.struct(
+            (hit["start"] - hit["shorter"]).alias("end"), F.concat(state["terms"], F.array(hit["term"])).alias("terms")
+        )
+        return F.when(hit["start"] >= state["end"], taken).otherwise(state)
 
     start = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("terms"))
-    kept = F.when(F.size("m") == 1, F.array(F.get("m", 0)["term"])).otherwise(
-        F.aggregate("m", start, walk, lambda s: s["terms"])
-    )
-    return members.select(F.explode(kept).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    return F.aggregate(hits, start, step, lambda state: state["terms"])

@@ -9,40 +9,45 @@ from pyspark.sql import types as T
 from . import fixed_values as fv
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TEXT, _DOUBLE, _INT, _LONG = T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType()
 
 
-RESTAURANTS_RAW = _struct(
-    "id STRING, name STRING, rating STRING, review_count STRING, address STRING, district STRING, "
-    "district_parsed STRING, city STRING, "
-    "reviews ARRAY<STRUCT<user: STRING, rating: STRING, comment: STRING>>"
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def _reviews(rating: T.DataType) -> T.ArrayType:
+    return T.ArrayType(struct(user=_TEXT, rating=rating, comment=_TEXT))
+
+
+RESTAURANTS_RAW = struct(
+    id=_TEXT, name=_TEXT, rating=_TEXT, review_count=_TEXT, address=_TEXT, district=_TEXT,
+    district_parsed=_TEXT, city=_TEXT, reviews=_reviews(_TEXT),
 )
-MEALS_RAW = _struct(
-    "id STRING, name STRING, category STRING, area STRING, instructions STRING, ingredients ARRAY<STRING>"
+MEALS_RAW = struct(
+    id=_TEXT, name=_TEXT, category=_TEXT, area=_TEXT, instructions=_TEXT, ingredients=T.ArrayType(_TEXT)
 )
 # A document that names its key `_id` and its page `url`.
-DOCUMENTS_RAW = _struct("_id STRING, url STRING, " + ", ".join(
-    f"{f.name} {f.dataType.simpleString()}" for f in RESTAURANTS_RAW))
-RECIPES_RAW = _struct(
-    "idMeal STRING, strMeal STRING, strCategory STRING, strArea STRING, strInstructions STRING, "
-    + ", ".join(f"strIngredient{i} STRING" for i in range(1, fv.MEAL_INGREDIENT_COLUMNS + 1))
+DOCUMENTS_RAW = T.StructType([*struct(_id=_TEXT, url=_TEXT).fields, *RESTAURANTS_RAW.fields])
+RECIPES_RAW = struct(
+    idMeal=_TEXT, strMeal=_TEXT, strCategory=_TEXT, strArea=_TEXT, strInstructions=_TEXT,
+    **{f"strIngredient{i}": _TEXT for i in range(1, fv.MEAL_INGREDIENT_COLUMNS + 1)},
 )
 
-NESTED_RESTAURANTS = _struct(
-    "id STRING, name STRING, rating DOUBLE, review_count INT, address STRING, district STRING, city STRING, "
-    "reviews ARRAY<STRUCT<user: STRING, rating: DOUBLE, comment: STRING>>"
+NESTED_RESTAURANTS = struct(
+    id=_TEXT, name=_TEXT, rating=_DOUBLE, review_count=_INT, address=_TEXT, district=_TEXT, city=_TEXT,
+    reviews=_reviews(_DOUBLE),
 )
-RESTAURANTS = _struct(
-    "id STRING, name STRING, rating DOUBLE, review_count INT, address STRING, district STRING, "
-    "district_parsed STRING, city STRING"
+RESTAURANTS = struct(
+    id=_TEXT, name=_TEXT, rating=_DOUBLE, review_count=_INT, address=_TEXT, district=_TEXT,
+    district_parsed=_TEXT, city=_TEXT,
 )
-REVIEWS = _struct("id BIGINT, restaurant_id STRING, user STRING, rating DOUBLE, comment STRING")
-MEALS = _struct("id STRING, name STRING, category STRING, area STRING, instructions STRING, ingredients STRING")
+REVIEWS = struct(id=_LONG, restaurant_id=_TEXT, user=_TEXT, rating=_DOUBLE, comment=_TEXT)
+MEALS = struct(id=_TEXT, name=_TEXT, category=_TEXT, area=_TEXT, instructions=_TEXT, ingredients=_TEXT)
 
-AREAS = _struct("strArea STRING, strCountry STRING")
-CATEGORIES = _struct("strCategory STRING")
-INGREDIENTS = _struct("strIngredient STRING, name STRING")
+AREAS = struct(strArea=_TEXT, strCountry=_TEXT)
+CATEGORIES = struct(strCategory=_TEXT)
+INGREDIENTS = struct(strIngredient=_TEXT, name=_TEXT)
 
 RESTAURANT_DEFAULTS = {
     "review_count": 0, "district": fv.UNKNOWN, "district_parsed": fv.UNKNOWN, "city": fv.UNKNOWN,

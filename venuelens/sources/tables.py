@@ -26,16 +26,19 @@ def _versions(spark: SparkSession, name: str) -> dict[int, str]:
     return {int(m.group(1)): prefix + n for n in names if (m := VERSION.search(n))}
 
 
-def publish(spark: SparkSession, name: str, df: DataFrame) -> None:
+def publish(spark: SparkSession, name: str, df: DataFrame, root: str | None = None) -> None:
     """Replace the content of ``name`` by ``df``, which may read from ``name`` itself.
 
     The rows go to a new table; then the view ``name`` is pointed at it, which is
     one catalog step; then older tables are dropped. A run that stops midway
-    leaves the old content in place.
+    leaves the old content in place. Files go to the warehouse, or below ``root``.
     """
     old = _versions(spark, name)
     new = f"{name}__v{max(old, default=0) + 1}"
-    df.write.format("parquet").mode("errorifexists").saveAsTable(new)
+    writer = df.write.format("parquet").mode("errorifexists")
+    if root:
+        writer = writer.option("path", f"{root}/{new}")
+    writer.saveAsTable(new)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {new}")
     for version in old.values():
         spark.sql(f"DROP TABLE IF EXISTS {version}")

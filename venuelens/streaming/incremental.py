@@ -27,24 +27,27 @@ def run_available(stream: DataFrame, apply: Callable[[DataFrame], None], checkpo
     query.awaitTermination()
 
 
-def upsert_into(spark: SparkSession, table: str, batch: DataFrame, key: str, order: Sequence[str]) -> None:
+def upsert_into(
+    table: str, batch: DataFrame, key: str, order: Sequence[str], root: str | None = None
+) -> None:
     """R2 on a stored table; the first batch creates it. The same batch twice gives the same table."""
-    latest_only = batch.limit(0) if not spark.catalog.tableExists(table) else spark.table(table)
-    publish(spark, table, replace_upsert(latest_only, batch, key, order))
+    spark = batch.sparkSession
+    base = spark.table(table) if spark.catalog.tableExists(table) else batch.limit(0)
+    publish(spark, table, replace_upsert(base, batch, key, order), root)
 
 
 def sync_documents(
-    spark: SparkSession,
     batch: DataFrame,
     restaurants: str = "restaurants",
     reviews: str = "reviews",
     order: Sequence[str] = (),
 ) -> None:
     """One batch of raw documents into the stored tables: restaurants are upserted, their reviews replaced."""
+    spark = batch.sparkSession
     # Both tables derive from the batch; it is small against the tables and kept for the second use.
     documents = restaurant_documents(batch, order).accepted.persist()
     try:
-        upsert_into(spark, restaurants, restaurants_table(documents), "id", ())
+        upsert_into(restaurants, restaurants_table(documents), "id", ())
         new_reviews = reviews_table(documents).accepted
         if spark.catalog.tableExists(reviews):
             stored = spark.table(reviews)
@@ -71,5 +74,5 @@ def load_new_files(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     run_available(
-        reader.json(path), lambda batch: sync_documents(spark, batch, restaurants, reviews, order), checkpoint
+        reader.json(path), lambda batch: sync_documents(batch, restaurants, reviews, order), checkpoint
     )
