@@ -10,29 +10,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip
+# Outer whitespace of any script around a plain number.
+_SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"
+_PLAIN = rf"^{_SPACE}([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?){_SPACE}$"
 
-NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+
+def _found(capture: Column, kind: str) -> Column:
+    """A capture as a number. Text that did not match is tested first: a failing cast is far slower than the test."""
+    return F.when(capture != "", capture.try_cast(kind))
 
 
 def strict_float(value: Column) -> Column:
     """The whole text as a number, else NULL."""
-    text = strip(value.cast("string"))
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return _found(F.regexp_extract(value.cast("string"), _PLAIN, 1), "double")
 
 
 def extract_float(value: Column) -> Column:
     """The number itself, or the first number found anywhere in the text, else NULL."""
-    text = value.cast("string")
-    first = F.regexp_extract(text, r"(\d+(\.\d+)?)", 1)
-    return F.coalesce(strict_float(value), first.try_cast("double"))
+    first = F.regexp_extract(value.cast("string"), r"(\d+(\.\d+)?)", 1)
+    return F.coalesce(strict_float(value), _found(first, "double"))
 
 
 def parse_review_rating(value: Column) -> Column:
     """A number, or X of a leading "X of N", else NULL."""
-    text = strip(value.cast("string"))
-    of = F.regexp_extract(text, r"(?iU)^(\d+(?:\.\d+)?)\s+of\s+\d+", 1)
-    return F.coalesce(strict_float(value), of.try_cast("double"))
+    leading = F.regexp_extract(value.cast("string"), rf"(?i)^{_SPACE}(\d+(?:\.\d+)?)\s+of\s+\d+", 1)
+    return F.coalesce(strict_float(value), _found(leading, "double"))
 
 
 def parse_review_count(value: Column) -> Column:
@@ -40,12 +42,13 @@ def parse_review_count(value: Column) -> Column:
 
     A digit string beyond BIGINT gives NULL, so that the length check rejects the row instead of storing a wrong count.
     """
-    text = strip(value.cast("string"))
+    text = value.cast("string")
+    number = F.regexp_extract(text, _PLAIN, 1)
     digits = F.regexp_replace(text, r"\D", "")
     return (
-        F.when(value.isNull(), F.lit(0).cast("bigint"))
-        .when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
-        .when(text.rlike(NUMBER), text.try_cast("double").try_cast("bigint"))
+        F.when(text.isNull(), F.lit(0).cast("bigint"))
+        .when(number.rlike(r"^[+-]?\d+$"), number.try_cast("bigint"))
+        .when(number != "", number.try_cast("double").try_cast("bigint"))
         .when(digits == "", F.lit(0).cast("bigint"))
         .otherwise(digits.try_cast("bigint"))
     )

@@ -21,6 +21,11 @@ from .. import fixed_values as fv
 _I = "(?iU)"
 
 
+def _once(value: Column, change: Callable[[Column], Column]) -> Column:
+    """``change(value)`` with ``value`` worked out a single time however often ``change`` uses it; NULL stays NULL."""
+    return F.get(F.transform(F.filter(F.array(value), lambda x: x.isNotNull()), lambda x: change(x)), 0)
+
+
 def clean_location_text(value: Column) -> Column:
     """One line, single spaces, no outer spaces or commas; NULL and placeholders give ''."""
     text = F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)\s+", " ")
@@ -50,7 +55,12 @@ def strip_accents(value: Column, literal: bool = False) -> Column:
     source, target = _accent_table()
     if not literal:
         source, target = source + "đĐ", target + "dD"
-    return F.regexp_replace(F.translate(value, source, target), r"[^\x00-\x7F]", "")
+
+    def folded(text: Column) -> Column:
+        plain = F.regexp_replace(F.translate(text, source, target), r"[^\x00-\x7F]", "")
+        return F.when(text.rlike(r"[^\x00-\x7F]"), plain).otherwise(text)
+
+    return _once(value, folded)
 
 
 def trim_noise(value: Column, literal: bool = False, ascii: bool = False) -> Column:
@@ -121,7 +131,7 @@ def extract_admin_area(*values: Column, literal: bool = False, ascii: bool = Fal
         candidates.append(F.concat(F.lit(f"{district_label} "), number))
     for label, patterns in ((district_label, named), (ward_label, wards)):
         found = _first_found(all_sources, lambda s, patterns=patterns: match_first(s, patterns, literal, ascii))
-        area = _if_found(found, lambda x: normalize_area_name(x, literal, ascii))
+        area = _once(found, lambda x: normalize_area_name(x, literal, ascii))
         candidates.append(F.concat(F.lit(f"{label} "), area))
     return F.coalesce(*candidates, F.lit(fv.UNKNOWN))
 
@@ -135,11 +145,6 @@ def _first_found(sources: Column, find: Callable[[Column], Column]) -> Column:
     return F.aggregate(sources, F.lit(None).cast("string"), step)
 
 
-def _if_found(value: Column, change: Callable[[Column], Column]) -> Column:
-    """``change(value)`` where there is a value, else NULL; ``value`` is worked out once."""
-    return F.get(F.transform(F.filter(F.array(value), lambda x: x.isNotNull()), lambda x: change(x)), 0)
-
-
 def _ascii_text(text: str) -> str:
     plain = text.translate(str.maketrans("đĐ", "dD"))
     return unicodedata.normalize("NFKD", plain).encode("ascii", "ignore").decode("ascii")
@@ -151,11 +156,14 @@ def _ascii_pattern(pattern: str) -> str:
 
 def normalize_city(*values: Column) -> Column:
     """The first usable source without post code and country; all spellings of one city give one name."""
+    def label(text: Column) -> Column:
+        is_city = strip_accents(text).rlike(_I + fv.CITY_PATTERN)
+        return F.when(text != "", F.when(is_city, F.lit(fv.CITY_LABEL)).otherwise(text))
+
     candidates = []
     for value in values:
         text = F.regexp_replace(clean_location_text(value), "(?U)" + fv.POSTCODE_PATTERN, "")
         text = F.regexp_replace(text, _I + fv.COUNTRY_PATTERN, "")
         text = F.btrim(F.btrim(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit(",")))
-        is_city = strip_accents(text).rlike(_I + fv.CITY_PATTERN)
-        candidates.append(F.when(text != "", F.when(is_city, F.lit(fv.CITY_LABEL)).otherwise(text)))
+        candidates.append(_once(text, label))
     return F.coalesce(*candidates, F.lit(fv.UNKNOWN))

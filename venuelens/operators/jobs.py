@@ -35,10 +35,17 @@ def rating_by_area(
     if parsed is not None:
         area = F.when(is_present(F.col(parsed)), F.col(parsed)).otherwise(area)
     rated = df.select(area.alias("area"), _rating(df, rating).alias("_rating")).filter(F.col("_rating").isNotNull())
+    # The unknown group goes after the grouping: a filter on the area itself would
+    # be moved below it and have the area extracted a second time for every row.
     return (
-        rated.filter(F.col("area") != unknown)
-        .groupBy("area")
-        .agg(F.bround(F.avg("_rating"), 2).alias("avg_rating"), F.count("*").alias("restaurant_count"))
+        rated.groupBy("area")
+        .agg(
+            F.bround(F.avg("_rating"), 2).alias("avg_rating"),
+            F.count("*").alias("restaurant_count"),
+            F.count_if(F.col("area") == unknown).alias("_unknown"),
+        )
+        .filter("_unknown = 0")
+        .drop("_unknown")
     )
 
 

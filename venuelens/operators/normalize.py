@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import fixed_values as fv
 from .. import schemas
@@ -74,12 +73,13 @@ def too_long(limits: dict[str, int]) -> Column:
 
 
 def _refused_restaurant() -> Column:
+    """R10 for restaurants. A parsed district is a label and at most 41 characters, so it always fits."""
+    limits = {c: n for c, n in fv.RESTAURANT_TEXT_LIMITS.items() if c != "district_parsed"}
     count = F.col("review_count")
-    fits = count.between(fv.INT_MIN, fv.INT_MAX)
+    in_range = count.isNotNull() & count.between(fv.INT_MIN, fv.INT_MAX)
+    long_text = too_long(limits)
     return F.concat_ws(
-        "; ",
-        F.when(too_long(fv.RESTAURANT_TEXT_LIMITS) != "", too_long(fv.RESTAURANT_TEXT_LIMITS)),
-        F.when(count.isNull() | ~fits, F.lit("review_count out of range")),
+        "; ", F.when(long_text != "", long_text), F.when(~in_range, F.lit("review_count out of range"))
     )
 
 
@@ -102,25 +102,46 @@ def _split(df: DataFrame, reason: Column, key: str, table: str) -> Split:
 def restaurant_documents(raw: DataFrame, order: Sequence[str] = (), literal: bool = False) -> Split:
     """Cleaned, accepted documents, one per id, shaped like the flat table plus ``reviews``.
 
-    Both flat tables derive from this result, so a load writes it once and reads it twice.
+    What decides about a row (id, lengths, count) is worked out first, then the
+    last row of each id is picked, and only those rows have their district
+    extracted and their reviews cleaned. Both flat tables derive from this
+    result, so a load writes it once and reads it twice.
     """
-    cleaned = clean_restaurants(raw, literal).filter(is_present(F.col("id")))  # F5
-    district, address = clean_location_text(F.col("district")), clean_location_text(F.col("address"))
-    shaped = cleaned.select(
+    district, address, city = (clean_location_text(F.col(c)) for c in ("district", "address", "city"))
+    keep_order = [c for c in order if c not in ("_id", "url")]
+    shaped = raw.withColumns(
+        {
+            "id": make_short_id(_raw_id(raw)),
+            "name": default_if_blank(F.col("name"), fv.DEFAULT_RESTAURANT_NAME),
+            "review_count": parse_review_count(F.col("review_count")),
+            "_place": F.struct(district.alias("district"), address.alias("address"), city.alias("city")),
+        }
+    ).select("id", "name", "rating", "review_count", "_place", "reviews", *keep_order)
+    place = {c: F.col("_place")[c] for c in ("district", "address", "city")}
+    decided = shaped.filter(is_present(F.col("id"))).withColumns(  # F5
+        {
+            "address": first_present(place["address"], place["district"]),
+            "district": place["district"],
+            "city": normalize_city(place["city"], place["address"], place["district"]),
+        }
+    )
+    split = _split(decided, _refused_restaurant(), "id", "restaurants")
+    latest = latest_by_key(split.accepted, "id", order)
+    documents = latest.select(
         "id",
-        default_if_blank(F.col("name"), fv.DEFAULT_RESTAURANT_NAME).alias("name"),
-        "rating",
-        "review_count",
-        first_present(address, district).alias("address"),
-        district.alias("district"),
-        "district_parsed",
+        "name",
+        extract_float(F.col("rating")).alias("rating"),
+        F.col("review_count").cast("int").alias("review_count"),
+        "address",
+        "district",
+        extract_admin_area(place["district"], place["address"], place["city"], literal=literal).alias(
+            "district_parsed"
+        ),
         "city",
-        "reviews",
-        *[c for c in order if c not in ("id", "name", "rating", "review_count", "city")],
+        clean_reviews(F.col("reviews")).alias("reviews"),
+        *keep_order,
     )
-    split = _split(shaped, _refused_restaurant(), "id", "restaurants")
-    latest = latest_by_key(split.accepted, "id", order)
-    return Split(latest.withColumn("review_count", F.col("review_count").cast("int")), split.rejects)
+    return Split(documents, split.rejects)
 
 
 def restaurants_table(documents: DataFrame) -> DataFrame:
@@ -189,7 +210,3 @@ def normalize(
     meals = meals_table(meals_raw, meals_order)
     rejects = documents.rejects.unionByName(reviews.rejects).unionByName(meals.rejects)
     return Normalized(restaurants_table(documents.accepted), reviews.accepted, meals.accepted, rejects)
-
-
-def has_field(df: DataFrame, name: str) -> bool:
-    return any(f.name == name for f in df.schema.fields if isinstance(f, T.StructField))

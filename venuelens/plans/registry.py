@@ -18,7 +18,7 @@ from ..session import shared_dir
 from ..sources import readers, snapshots, writers
 from ..streaming import incremental
 from . import ingest, reports, samples, views
-from .samples import table
+from .samples import table, wide_table
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -224,7 +224,7 @@ def _(spark, folder):
       _sentiment_sql(_FREQUENT_POSITIVE, _FREQUENT_NEGATIVE, "documents", "source", "text"))
 def _(spark, folder):
     return jobs.lexicon_sentiment_flat(
-        table(spark, folder, "documents"), "source", "text", _FREQUENT_POSITIVE, _FREQUENT_NEGATIVE
+        wide_table(spark, folder, "documents"), "source", "text", _FREQUENT_POSITIVE, _FREQUENT_NEGATIVE
     )
 
 
@@ -234,7 +234,7 @@ FROM (SELECT source, {_hits_sql(_FREQUENT_POSITIVE, 'text')} AS p, {_hits_sql(_F
  FROM documents WHERE text <> '') t GROUP BY source""")
 def _(spark, folder):
     return jobs.positive_negative_ratio(
-        table(spark, folder, "documents"), "source", "text", _FREQUENT_POSITIVE, _FREQUENT_NEGATIVE
+        wide_table(spark, folder, "documents"), "source", "text", _FREQUENT_POSITIVE, _FREQUENT_NEGATIVE
     )
 
 
@@ -251,7 +251,7 @@ FROM (SELECT unnest(regexp_extract_all({folded}, '\b({pattern})\b', 1)) AS term
 
 @case("A5_term_match_count", _terms_sql("documents", "text"))
 def _(spark, folder):
-    return terms.term_match_count(table(spark, folder, "documents"), "text", _TERMS)
+    return terms.term_match_count(wide_table(spark, folder, "documents"), "text", _TERMS)
 
 
 @case("A5_term_match_count_nested", _terms_sql(samples.DOCUMENT_VENUES_SQL, "comment"))
@@ -266,13 +266,13 @@ SEMI JOIN (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]
  ON t.term = d.term GROUP BY t.term""")
 def _(spark, folder):
     words = table(spark, folder, "benchmark").select(F.explode(text.tokenize(F.col("text"))).alias("term"))
-    return terms.term_match_count_joined(table(spark, folder, "documents"), "doc_id", "text", words)
+    return terms.term_match_count_joined(wide_table(spark, folder, "documents"), "doc_id", "text", words)
 
 
 @case("A5_term_match_count_joined_phrases", _terms_sql("documents", "text"))
 def _(spark, folder):
     dictionary = spark.createDataFrame([(t,) for t in _TERMS], "term string")
-    return terms.term_match_count_joined(table(spark, folder, "documents"), "doc_id", "text", dictionary)
+    return terms.term_match_count_joined(wide_table(spark, folder, "documents"), "doc_id", "text", dictionary)
 
 
 @case("A6_top_reviewed", """SELECT source || '/' || lang AS name, n_chars AS review_count FROM documents
@@ -294,7 +294,7 @@ FROM (SELECT CAST(greatest(1, least(5, round_even(rating, 0))) AS INTEGER) AS st
 
 def _star_reviews(spark, folder):
     rating = lambda c: F.struct(c.alias("rating"))
-    return table(spark, folder, "lineitem").select(
+    return wide_table(spark, folder, "lineitem").select(
         F.array(
             rating(samples.line_rating().cast("string")),
             rating(F.concat(F.col("l_linenumber").cast("string"), F.lit(" of 5 bubbles"))),
@@ -371,7 +371,7 @@ def _rating_text():
 FROM lineitem""")
 def _(spark, folder):
     raw = _rating_text()
-    return table(spark, folder, "lineitem").select(
+    return wide_table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         numbers.parse_review_rating(raw).alias("review_rating"),
@@ -405,7 +405,7 @@ def _(spark, folder):
 
 @case("N7_strip_accents", r"SELECT doc_id, md5(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g')) AS plain FROM documents")
 def _(spark, folder):
-    return table(spark, folder, "documents").select(
+    return wide_table(spark, folder, "documents").select(
         "doc_id", F.md5(places.strip_accents(F.col("text"))).alias("plain")
     )
 
@@ -428,7 +428,7 @@ def _(spark, folder):
     address = F.when(kind == 1, F.concat(F.lit("Ben Nghe Ward, District "), number, F.lit(" Lancaster Building"))).when(
         kind == 3, F.lit("1 Main street, QUẬN THỦ ĐỨC, Vietnam")
     )
-    return table(spark, folder, "customer").select(
+    return wide_table(spark, folder, "customer").select(
         "c_custkey",
         places.extract_admin_area(district, address).alias("area"),
         places.extract_admin_area(district, address, ascii=True).alias("area_ascii"),
@@ -445,7 +445,7 @@ def _(spark, folder):
         .when(kind == 2, F.concat(F.col("c_mktsegment"), F.lit(" 700000, vietnam")))
         .when(kind == 3, F.lit("null"))
     )
-    return table(spark, folder, "customer").select("c_custkey", places.normalize_city(first, second).alias("city"))
+    return wide_table(spark, folder, "customer").select("c_custkey", places.normalize_city(first, second).alias("city"))
 
 
 @case("N14_N15_N16_address_parts", """SELECT c_custkey,
@@ -505,7 +505,7 @@ def _(spark, folder):
 FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS t FROM documents) d""")
 def _(spark, folder):
     tokens = text.tokenize(F.col("text"))
-    return table(spark, folder, "documents").select("doc_id", tokens.alias("t")).select(
+    return wide_table(spark, folder, "documents").select("doc_id", tokens.alias("t")).select(
         "doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("tokens")
     )
 
@@ -536,14 +536,14 @@ def _(spark, folder):
       "OR contains(lower(text), 'que la')")
 def _(spark, folder):
     hit = text.contains_any(F.col("text"), ("ing the", "que la"))
-    return table(spark, folder, "documents").filter(hit).select("doc_id")
+    return wide_table(spark, folder, "documents").filter(hit).select("doc_id")
 
 
 @case("F8_keyword_filter_whole_word", r"SELECT doc_id FROM documents "
       r"WHERE regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])(est|para)($|[^\p{L}\p{N}_])')")
 def _(spark, folder):
     hit = text.contains_any(F.col("text"), ("est", "para"), whole_word=True)
-    return table(spark, folder, "documents").filter(hit).select("doc_id")
+    return wide_table(spark, folder, "documents").filter(hit).select("doc_id")
 
 
 @case("J3_check_parents", """SELECT o_orderkey, o_custkey, o_custkey IN
@@ -698,7 +698,7 @@ def _(spark, folder):
         card=pages.Rule("article"), user=pages.Rule("h1"), comment=pages.Rule("p"), name=pages.Rule("title"),
         address=pages.Rule("footer"),
     )
-    return pages.extract_pages(table(spark, folder, "pages"), rules)
+    return pages.extract_pages(wide_table(spark, folder, "pages"), rules)
 
 
 @case("C1_search", """SELECT doc_id, lang, source FROM documents

@@ -10,11 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table for work that is heavy per row, spread over all cores if it has too few splits."""
+    return spread(table(spark, folder, name))
+
+
 # --- rated venues: order lines with the nation of their supplier as district ----
 
 LINE_RATING_SQL = "nullif(ceil(l_quantity / 5) / 2, 0.5)"
@@ -83,7 +90,7 @@ def free_text_venues(spark: SparkSession, folder: str) -> DataFrame:
             F.lit("Ho Chi Minh City 70000 Vietnam").alias("city"),
         )
     )
-    lines = table(spark, folder, "lineitem")
+    lines = wide_table(spark, folder, "lineitem")
     return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
         line_rating().alias("rating"), "district_parsed", "district", "address", "city"
     )
@@ -104,7 +111,7 @@ def document_venues(spark: SparkSession, folder: str) -> DataFrame:
             F.col("lang").alias("user"), (F.col("n_chars") % 5 + 1).cast("string").alias("rating"), line.alias("comment")
         ),
     )
-    return table(spark, folder, "documents").select(
+    return wide_table(spark, folder, "documents").select(
         "doc_id",
         F.col("source").alias("name"),
         ((F.col("n_chars") % 9 + 2) / 2.0).alias("rating"),
@@ -122,7 +129,7 @@ def labelled_reviews(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").select(
         "doc_id", (F.lit(1.0) + 3 * F.col("quality") + F.lit(0.5) * F.col("toxic")).cast("double").alias("rating")
     )
-    return table(spark, folder, "documents").select("doc_id", F.col("text").alias("comment")).join(labels, "doc_id")
+    return wide_table(spark, folder, "documents").select("doc_id", F.col("text").alias("comment")).join(labels, "doc_id")
 
 
 # --- conversations as pages of venues --------------------------------------------
@@ -158,7 +165,7 @@ def raw_restaurants(spark: SparkSession, folder: str) -> DataFrame:
     """Raw documents with messy fields: one per order, the id shared by the orders of a customer."""
     kind = F.col("o_orderkey") % 4
     number = (F.col("o_custkey") % 20 + 1).cast("string")
-    orders = table(spark, folder, "orders")
+    orders = wide_table(spark, folder, "orders")
     count = F.floor(F.col("o_totalprice")).cast("bigint").cast("string")
     stars = (F.col("o_orderkey") % 5 + 1).cast("string")
     return orders.select(

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -42,3 +42,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="venuelens-")
         spark.conf.set(CHECKPOINT_DIR, root)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan over all cores, for work that costs far more per row than moving the row.
+
+    Only an input with fewer splits than cores is moved, such as one file with
+    one row group; a large input has enough splits and stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
