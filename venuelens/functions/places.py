@@ -19,6 +19,10 @@ from .. import fixed_values as fv
 
 # Unicode-aware, case-blind matching.
 _I = "(?iU)"
+# Whitespace other than the plain space, and what has to become one plain space.
+_ODD_SPACE = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACE_RUN = f"[ {_ODD_SPACE}]{{2,}}|[{_ODD_SPACE}]"
+_IS_PLACEHOLDER = f"(?i)^(?:{'|'.join(p for p in fv.PLACEHOLDERS if p)})$"
 
 
 def _once(value: Column, change: Callable[[Column], Column]) -> Column:
@@ -28,9 +32,9 @@ def _once(value: Column, change: Callable[[Column], Column]) -> Column:
 
 def clean_location_text(value: Column) -> Column:
     """One line, single spaces, no outer spaces or commas; NULL and placeholders give ''."""
-    text = F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)\s+", " ")
+    text = F.regexp_replace(F.coalesce(value, F.lit("")), _SPACE_RUN, " ")
     text = F.btrim(F.btrim(F.btrim(text), F.lit(",")))
-    return F.regexp_replace(text, f"(?i)^(?:{'|'.join(p for p in fv.PLACEHOLDERS if p)})$", "")
+    return F.regexp_replace(text, _IS_PLACEHOLDER, "")
 
 
 def is_unknown_location(value: Column) -> Column:
@@ -65,13 +69,22 @@ def strip_accents(value: Column, literal: bool = False) -> Column:
 
 def trim_noise(value: Column, literal: bool = False, ascii: bool = False) -> Column:
     """The text after the last street or building word, without leading house numbers and a trailing ward/district."""
+    return _trim_cleaned(clean_location_text(value), literal, ascii)
+
+
+def _trim_cleaned(value: Column, literal: bool, ascii: bool) -> Column:
+    """``trim_noise`` of text that is on one line with single spaces, as all parts of a cleaned text are."""
     street = fv.STREET_WORDS_PATTERN_ASCII if ascii else fv.STREET_WORDS_PATTERN
-    text = F.regexp_replace(clean_location_text(value), "(?isU)^.*" + street, "")
+
+    def after_street(text: Column) -> Column:
+        rest = F.regexp_replace(text, "(?isU)^.*" + street, "")
+        return F.when(text.rlike(_I + street), rest).otherwise(text)
+
     # A capture that is only a short number is the name of a district or ward and stays.
     house_number = r"^[\d\-/]+" if literal else r"^(?!\s*\d{1,2}\s*$)[\d\-/]+"
-    text = F.btrim(F.regexp_replace(text, house_number, ""), F.lit(" -.,"))
+    text = F.btrim(F.regexp_replace(_once(value, after_street), house_number, ""), F.lit(" -.,"))
     text = F.btrim(F.regexp_replace(text, _I + r"\b(?:ward|district)\b$", ""), F.lit(" -.,"))
-    return clean_location_text(text)
+    return F.regexp_replace(text, _IS_PLACEHOLDER, "")
 
 
 def _title_case(text: Column) -> Column:
@@ -87,20 +100,27 @@ def _title_case(text: Column) -> Column:
 
 def normalize_area_name(value: Column, literal: bool = False, ascii: bool = False) -> Column:
     """The known spelling of the area (J2), else title case; a short number stays as it is."""
-    text = trim_noise(value, literal, ascii)
-    key = F.lower(strip_accents(text, literal))
-    key = F.trim(F.regexp_replace(F.regexp_replace(key, r"[^a-z0-9\s-]", " "), r"\s+", " "))
+    return _known_or_title(trim_noise(value, literal, ascii), literal, ascii)
+
+
+def _known_or_title(trimmed: Column, literal: bool, ascii: bool) -> Column:
     names = {k: _ascii_text(v) if ascii else v for k, v in fv.AREA_ALIASES.items()}
     aliases = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    return F.coalesce(F.try_element_at(aliases, key), _title_case(key if ascii else text))
+
+    def named(text: Column) -> Column:
+        key = F.lower(strip_accents(text, literal))
+        key = F.trim(F.regexp_replace(F.regexp_replace(key, r"[^a-z0-9\s-]", " "), r"\s+", " "))
+        return F.coalesce(F.try_element_at(aliases, key), _title_case(key if ascii else text))
+
+    return _once(trimmed, named)
 
 
 def match_first(source: Column, patterns: Sequence[str], literal: bool = False, ascii: bool = False) -> Column:
-    """Trimmed capture of the first pattern that matches, even if empty; NULL when none does."""
+    """Trimmed capture of the first pattern that matches a cleaned text, even if empty; NULL when none does."""
     result = None
     for pattern in patterns:
         hit, capture = source.rlike(_I + pattern), F.regexp_extract(source, _I + pattern, 1)
-        trimmed = trim_noise(capture, literal, ascii)
+        trimmed = _trim_cleaned(capture, literal, ascii)
         result = F.when(hit, trimmed) if result is None else result.when(hit, trimmed)
     return result
 
@@ -131,7 +151,7 @@ def extract_admin_area(*values: Column, literal: bool = False, ascii: bool = Fal
         candidates.append(F.concat(F.lit(f"{district_label} "), number))
     for label, patterns in ((district_label, named), (ward_label, wards)):
         found = _first_found(all_sources, lambda s, patterns=patterns: match_first(s, patterns, literal, ascii))
-        area = _once(found, lambda x: normalize_area_name(x, literal, ascii))
+        area = _once(found, lambda x: _known_or_title(_trim_cleaned(x, literal, ascii), literal, ascii))
         candidates.append(F.concat(F.lit(f"{label} "), area))
     return F.coalesce(*candidates, F.lit(fv.UNKNOWN))
 
@@ -164,6 +184,6 @@ def normalize_city(*values: Column) -> Column:
     for value in values:
         text = F.regexp_replace(clean_location_text(value), "(?U)" + fv.POSTCODE_PATTERN, "")
         text = F.regexp_replace(text, _I + fv.COUNTRY_PATTERN, "")
-        text = F.btrim(F.btrim(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), F.lit(",")))
+        text = F.btrim(F.btrim(F.trim(F.regexp_replace(text, _SPACE_RUN, " ")), F.lit(",")))
         candidates.append(_once(text, label))
     return F.coalesce(*candidates, F.lit(fv.UNKNOWN))

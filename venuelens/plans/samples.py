@@ -42,6 +42,13 @@ def rated_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(line_rating().alias("rating"))
 
 
+def _supplied_lines(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    suppliers, nations = table(spark, folder, "supplier"), table(spark, folder, "nation")
+    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(
+        nations, F.col("s_nationkey") == F.col("n_nationkey")
+    )
+
+
 def venues(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("n_nationkey")
     district = (
@@ -51,14 +58,10 @@ def venues(spark: SparkSession, folder: str) -> DataFrame:
         .when(key == 3, F.lit(None).cast("string"))
         .otherwise(F.col("n_name"))
     )
-    suppliers = (
-        table(spark, folder, "supplier")
-        .join(table(spark, folder, "nation"), F.col("s_nationkey") == key)
-        .select("s_suppkey", district.alias("district_parsed"))
-    )
-    lines = table(spark, folder, "lineitem")
-    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), line_rating().alias("rating"), "district_parsed"
+    return _supplied_lines(table(spark, folder, "lineitem"), spark, folder).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
+        line_rating().alias("rating"),
+        district.alias("district_parsed"),
     )
 
 
@@ -76,23 +79,15 @@ PLACES_SQL = f"""(
 def free_text_venues(spark: SparkSession, folder: str) -> DataFrame:
     """(rating, district_parsed, district, address, city) with the place in one of four wordings."""
     kind, number = F.col("n_nationkey") % 4, (F.col("n_nationkey") + 1).cast("string")
-    suppliers = (
-        table(spark, folder, "supplier")
-        .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            "s_suppkey",
-            F.when(F.col("n_nationkey") % 5 == 0, F.col("n_name")).alias("district_parsed"),
-            F.when(kind == 0, F.concat(F.col("s_name"), F.lit(" street, Quận "), number))
-            .when(kind == 1, F.concat(F.lit("District "), number, F.lit(", HCMC")))
-            .when(kind == 2, F.lit("Q. Bình Thạnh"))
-            .alias("district"),
-            F.when(kind == 3, F.lit("Ben Nghe Ward, HCMC")).alias("address"),
-            F.lit("Ho Chi Minh City 70000 Vietnam").alias("city"),
-        )
-    )
-    lines = wide_table(spark, folder, "lineitem")
-    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        line_rating().alias("rating"), "district_parsed", "district", "address", "city"
+    return _supplied_lines(wide_table(spark, folder, "lineitem"), spark, folder).select(
+        line_rating().alias("rating"),
+        F.when(F.col("n_nationkey") % 5 == 0, F.col("n_name")).alias("district_parsed"),
+        F.when(kind == 0, F.concat(F.col("s_name"), F.lit(" street, Quận "), number))
+        .when(kind == 1, F.concat(F.lit("District "), number, F.lit(", HCMC")))
+        .when(kind == 2, F.lit("Q. Bình Thạnh"))
+        .alias("district"),
+        F.when(kind == 3, F.lit("Ben Nghe Ward, HCMC")).alias("address"),
+        F.lit("Ho Chi Minh City 70000 Vietnam").alias("city"),
     )
 
 
