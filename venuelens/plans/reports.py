@@ -42,6 +42,20 @@ def report_bundle(
     return bundle
 
 
+def report_frames(bundle: dict[str, DataFrame]) -> dict[str, "pandas.DataFrame"]:
+    """The reports as small local frames for display; one that fails while running comes out empty."""
+    import pandas
+
+    frames = {}
+    for name, df in bundle.items():
+        try:
+            frames[name] = df.toPandas()
+        except Exception as error:  # shown as an empty chart, the others stay
+            log.warning("report %s failed: %s", name, error)
+            frames[name] = pandas.DataFrame()
+    return frames
+
+
 def _empty() -> DataFrame:
     return SparkSession.active().createDataFrame([], T.StructType())
 

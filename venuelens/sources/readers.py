@@ -64,13 +64,18 @@ def read_json_array(
             return None
         raise
     if check:
-        start = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+        # The first line of each file that is not blank: by split, then by position within it.
         not_array = (
             spark.read.text(path)
             .filter(F.length(F.trim("value")) > 0)
-            .groupBy("_metadata.file_path")
-            .agg(F.min_by(F.ltrim("value"), start).alias("first"))
-            .filter(~F.col("first").startswith("["))
+            .select(
+                F.col("_metadata.file_path").alias("file"),
+                F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("at"),
+                F.substring(F.ltrim("value"), 1, 1).alias("start"),
+            )
+            .groupBy("file")
+            .agg(F.min_by("start", "at").alias("first"))
+            .filter(F.col("first") != "[")
             .limit(1)
             .collect()
         )
