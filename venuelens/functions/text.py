@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -126,3 +126,12 @@ def like_any(value: Column, patterns: Sequence[str]) -> Column:
     """does the lower-cased text match any LIKE pattern."""
     text = F.lower(value)
     return any_of(text.like(p) for p in patterns)
+
+
+def explode_once(df: DataFrame, items: Column, name: str, *keep: str) -> DataFrame:
+    """One row per element that is not NULL, with the ``keep`` columns.
+
+    A plain explode makes the optimizer add a size test on ``items``, which works
+    a computed array out twice; the outer form does not.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions.numbers import extract_float, parse_review_count, rating_value
 from ..functions.places import extract_admin_area
-from ..functions.text import contains_any, is_present, strip, tokenize
+from ..functions.text import contains_any, explode_once, is_present, strip, tokenize
 
 def _rating(df: DataFrame, rating: str) -> Column:
     return rating_value(df.schema[rating].dataType.simpleString(), F.col(rating))
@@ -92,7 +92,7 @@ def lexicon_sentiment(
     negative: Sequence[str] = fv.NEGATIVE_WORDS,
 ) -> DataFrame:
     """A4 over nested reviews: see ``lexicon_sentiment_flat``."""
-    exploded = df.select(F.col(key), F.explode(F.col(f"{reviews}.{comment}")).alias("_comment"))
+    exploded = explode_once(df, F.col(f"{reviews}.{comment}"), "_comment", key)
     return lexicon_sentiment_flat(exploded, key, "_comment", positive, negative)
 
 
@@ -153,7 +153,7 @@ def star_label(value: Column) -> Column:
 
 def review_star_distribution(df: DataFrame, reviews: str = "reviews", rating: str = "rating") -> DataFrame:
     """A7 over nested reviews: see ``review_star_distribution_flat``."""
-    return review_star_distribution_flat(df.select(F.explode(F.col(f"{reviews}.{rating}")).alias("_rating")), "_rating")
+    return review_star_distribution_flat(explode_once(df, F.col(f"{reviews}.{rating}"), "_rating"), "_rating")
 
 
 def review_star_distribution_flat(df: DataFrame, rating: str) -> DataFrame:

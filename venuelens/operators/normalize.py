@@ -72,15 +72,37 @@ def too_long(limits: dict[str, int]) -> Column:
     )
 
 
-def _refused_restaurant() -> Column:
-    """R10 for restaurants. A parsed district is a label and at most 41 characters, so it always fits."""
-    limits = {c: n for c, n in fv.RESTAURANT_TEXT_LIMITS.items() if c != "district_parsed"}
-    count = F.col("review_count")
+def _refused_restaurant(place: dict[str, Column]) -> Column:
+    """R10 for raw restaurants with their short id: reason texts, '' when the row is fine.
+
+    The rules hold for the stored values. Cleaning never makes a text longer, so
+    it is only worked out here for a raw text over its limit. A parsed district
+    is a label and at most 41 characters, so it always fits.
+    """
+    limits = fv.RESTAURANT_TEXT_LIMITS
+    address = first_present(place["address"], place["district"])
+    stored = {
+        "id": (F.length("id"), F.col("id")),
+        "name": (F.length("name"), F.col("name")),
+        "address": (_longest("address", "district"), address),
+        "district": (F.length("district"), place["district"]),
+        "city": (
+            _longest("city", "address", "district"), normalize_city(place["city"], place["address"], place["district"])
+        ),
+    }
+    reasons = [
+        F.when(raw > limits[c], F.when(F.length(value) > limits[c], F.lit(f"{c} longer than {limits[c]}")))
+        for c, (raw, value) in stored.items()
+    ]
+    count = parse_review_count(F.col("review_count"))
+    may_overflow = (F.length("review_count") >= 10) | F.col("review_count").rlike("[eE]")
     in_range = count.isNotNull() & count.between(fv.INT_MIN, fv.INT_MAX)
-    long_text = too_long(limits)
-    return F.concat_ws(
-        "; ", F.when(long_text != "", long_text), F.when(~in_range, F.lit("review_count out of range"))
-    )
+    reasons.append(F.when(may_overflow, F.when(~in_range, F.lit("review_count out of range"))))
+    return F.concat_ws("; ", *reasons)
+
+
+def _longest(*columns: str) -> Column:
+    return F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in columns])
 
 
 @dataclass(frozen=True)
@@ -102,42 +124,28 @@ def _split(df: DataFrame, reason: Column, key: str, table: str) -> Split:
 def restaurant_documents(raw: DataFrame, order: Sequence[str] = (), literal: bool = False) -> Split:
     """Cleaned, accepted documents, one per id, shaped like the flat table plus ``reviews``.
 
-    What decides about a row (id, lengths, count) is worked out first, then the
-    last row of each id is picked, and only those rows have their district
-    extracted and their reviews cleaned. Both flat tables derive from this
-    result, so a load writes it once and reads it twice.
+    Rows are refused and the last row of each id is picked on the raw values; only
+    the rows left are cleaned. Both flat tables derive from this result, so a load
+    writes it once and reads it twice.
     """
-    district, address, city = (clean_location_text(F.col(c)) for c in ("district", "address", "city"))
     keep_order = [c for c in order if c not in ("_id", "url")]
-    shaped = raw.withColumns(
-        {
-            "id": make_short_id(_raw_id(raw)),
-            "name": default_if_blank(F.col("name"), fv.DEFAULT_RESTAURANT_NAME),
-            "review_count": parse_review_count(F.col("review_count")),
-            "_place": F.struct(district.alias("district"), address.alias("address"), city.alias("city")),
-        }
-    ).select("id", "name", "rating", "review_count", "_place", "reviews", *keep_order)
-    place = {c: F.col("_place")[c] for c in ("district", "address", "city")}
-    decided = shaped.filter(is_present(F.col("id"))).withColumns(  # F5
-        {
-            "address": first_present(place["address"], place["district"]),
-            "district": place["district"],
-            "city": normalize_city(place["city"], place["address"], place["district"]),
-        }
+    keyed = raw.withColumn("id", make_short_id(_raw_id(raw))).select(
+        "id", "name", "rating", "review_count", "address", "district", "city", "reviews", *keep_order
     )
-    split = _split(decided, _refused_restaurant(), "id", "restaurants")
+    raw_place = {c: clean_location_text(F.col(c)) for c in ("district", "address", "city")}
+    split = _split(keyed.filter(is_present(F.col("id"))), _refused_restaurant(raw_place), "id", "restaurants")  # F5
     latest = latest_by_key(split.accepted, "id", order)
-    documents = latest.select(
+    placed = latest.withColumn("_place", F.struct(*[text.alias(c) for c, text in raw_place.items()]))
+    district, address, city = (F.col("_place")[c] for c in ("district", "address", "city"))
+    documents = placed.select(
         "id",
-        "name",
+        default_if_blank(F.col("name"), fv.DEFAULT_RESTAURANT_NAME).alias("name"),
         extract_float(F.col("rating")).alias("rating"),
-        F.col("review_count").cast("int").alias("review_count"),
-        "address",
-        "district",
-        extract_admin_area(place["district"], place["address"], place["city"], literal=literal).alias(
-            "district_parsed"
-        ),
-        "city",
+        parse_review_count(F.col("review_count")).try_cast("int").alias("review_count"),
+        first_present(address, district).alias("address"),
+        district.alias("district"),
+        extract_admin_area(district, address, city, literal=literal).alias("district_parsed"),
+        normalize_city(city, address, district).alias("city"),
         clean_reviews(F.col("reviews")).alias("reviews"),
         *keep_order,
     )
@@ -151,9 +159,9 @@ def restaurants_table(documents: DataFrame) -> DataFrame:
 
 def explode_reviews(documents: DataFrame, key: str = "id", reviews: str = "reviews") -> DataFrame:
     """(restaurant_id, pos, user, rating, comment), one row per review."""
-    return documents.select(F.col(key).alias("restaurant_id"), F.posexplode(reviews).alias("pos", "r")).select(
-        "restaurant_id", "pos", "r.user", "r.rating", "r.comment"
-    )
+    # The outer form, since a plain one adds a size test that cleans the reviews a second time.
+    exploded = documents.select(F.col(key).alias("restaurant_id"), F.posexplode_outer(reviews).alias("pos", "r"))
+    return exploded.filter("pos IS NOT NULL").select("restaurant_id", "pos", "r.user", "r.rating", "r.comment")
 
 
 def review_key(restaurant_id: Column, pos: Column) -> Column:

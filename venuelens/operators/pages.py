@@ -26,9 +26,8 @@ def page_reviews(
     pages: DataFrame, key: str = "id", offset: str = "offset", reviews: str = "reviews"
 ) -> DataFrame:
     """R11, flat: (key, offset, pos, user, rating, comment) of every review of every page. No grouping, no limit."""
-    return pages.select(key, offset, F.posexplode(reviews).alias("pos", "r")).select(
-        key, offset, "pos", "r.user", "r.rating", "r.comment"
-    )
+    exploded = pages.select(key, offset, F.posexplode_outer(reviews).alias("pos", "r")).filter("pos IS NOT NULL")
+    return exploded.select(key, offset, "pos", "r.user", "r.rating", "r.comment")
 
 
 def first_reviews(

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions.text import WORD, is_present, tokenize, whole_words_pattern
+from ..functions.text import WORD, explode_once, is_present, tokenize, whole_words_pattern
 
 # Longest list that goes into the query text, and longest dictionary that is broadcast.
 LIST_LIMIT = 2000
@@ -37,7 +37,7 @@ def nested_term_match_count(
     df: DataFrame, terms: Iterable[str] = fv.INGREDIENTS, reviews: str = "reviews", comment: str = "comment"
 ) -> DataFrame:
     """A5 over nested reviews with a short dictionary."""
-    exploded = df.select(F.explode(F.col(f"{reviews}.{comment}")).alias("_comment"))
+    exploded = explode_once(df, F.col(f"{reviews}.{comment}"), "_comment")
     return term_match_count(exploded, "_comment", terms)
 
 
@@ -51,9 +51,7 @@ def term_match_count(df: DataFrame, comment: str, terms: Iterable[str] = fv.INGR
         found = F.filter(tokenize(text), lambda t: t.isin(*terms))
     else:
         found = F.regexp_extract_all(F.lower(text), F.lit(whole_words_pattern(terms)), 1)
-    return (
-        df.filter(is_present(text)).select(F.explode(found).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    )
+    return explode_once(df.filter(is_present(text)), found, "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
 def _pieces(text: Column) -> Column:
@@ -98,7 +96,7 @@ def term_match_count_joined(
     texts = df.filter(is_present(F.col(comment))).select(F.col(key).alias("_key"), _pieces(inner).alias("_p"))
     runs = [_runs(F.col("_p"), s["pieces"], 0 if s["word"] else 1) for s in shapes]
     found = F.flatten(F.array(*runs)) if runs else F.lit(None).cast("array<struct<start:int,pieces:int,term:string>>")
-    hits = texts.select("_key", F.explode(found).alias("m")).select("_key", "m.*").join(terms, "term")
+    hits = explode_once(texts, found, "m", "_key").select("_key", "m.*").join(terms, "term")
     if all(s["pieces"] == 1 for s in shapes):
         return hits.groupBy("term").agg(F.count("*").alias("n"))
 
@@ -113,7 +111,7 @@ def term_match_count_joined(
         F.array_sort(F.collect_list(F.struct("start", (-F.col("pieces")).alias("shorter"), "term"))).alias("m")
     )
     kept = F.when(F.size("m") == 1, F.array(F.get("m", 0)["term"])).otherwise(_walk(F.col("m")))
-    return members.select(F.explode(kept).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    return explode_once(members, kept, "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
 def _walk(hits: Column) -> Column:

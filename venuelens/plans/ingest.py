@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import normalize as norm
 from ..operators.quality import observed
-from ..operators.tables import merge_upsert, replace_upsert
+from ..operators.tables import merge_upsert
 from ..session import shared_dir
 from ..sources import readers, writers
 from ..sources.tables import create_tables, evolve_tables, publish
@@ -31,29 +31,30 @@ def load_documents(
     prefix = f"{database}." if database else ""
     create_tables(spark, database)
     evolve_tables(spark, database)
-    split = norm.restaurant_documents(restaurants_raw, order)
-    staged = shared_dir(spark, "documents")
-    split.accepted.write.parquet(staged)
-    documents = spark.read.parquet(staged)
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        folder = shared_dir(spark, name)
+        df.write.parquet(folder)
+        return spark.read.parquet(folder)
 
     counters = {}
 
-    def store(table: str, batch: DataFrame, content) -> None:
+    def store(table: str, batch: DataFrame, keys: DataFrame | None = None) -> None:
         counted, seen = observed(batch, f"load_{table}")
-        publish(spark, prefix + table, content(counted))
+        if keys is not None:  # R2: the batch is unique by id already
+            counted = spark.table(prefix + table).join(keys, "id", "left_anti").unionByName(counted)
+        publish(spark, prefix + table, counted)
         counters[table] = seen.get["rows"]
 
-    # The observed batch is used once per plan; the upsert reads the batch keys from the staged files.
-    restaurants = norm.restaurants_table(documents)
-    stored = spark.table(prefix + "restaurants")
-    store("restaurants", restaurants,
-          lambda rows: stored.join(documents.select("id"), "id", "left_anti").unionByName(rows))
+    split = norm.restaurant_documents(restaurants_raw, order)
+    documents = stage(split.accepted, "documents")
     reviews = norm.reviews_table(documents)
-    store("reviews", reviews.accepted, lambda rows: rows)
-    meals = norm.meals_table(meals_raw, meals_order)
-    publish(spark, prefix + "meals", replace_upsert(spark.table(prefix + "meals"), meals.accepted, "id", ()))
-    counters["meals"] = meals.accepted.count()
-    counters["skipped"] = split.rejects.unionByName(reviews.rejects).unionByName(meals.rejects).count()
+    meals_split = norm.meals_table(meals_raw, meals_order)
+    meals = stage(meals_split.accepted, "meals")
+    store("restaurants", norm.restaurants_table(documents), documents.select("id"))
+    store("reviews", reviews.accepted)  # R4: reloaded as a whole
+    store("meals", meals, meals.select("id"))
+    counters["skipped"] = split.rejects.unionByName(reviews.rejects).unionByName(meals_split.rejects).count()
     return counters
 
 
