@@ -105,7 +105,7 @@ def normalize_area_name(value: Column, literal: bool = False, ascii: bool = Fals
 
 def _known_or_title(trimmed: Column, literal: bool, ascii: bool) -> Column:
     names = {k: _ascii_text(v) if ascii else v for k, v in fv.AREA_ALIASES.items()}
-    aliases = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    aliases = F.str_to_map(F.lit("|".join(f"{k}={v}" for k, v in names.items())), F.lit("[|]"), F.lit("="))
 
     def named(text: Column) -> Column:
         key = F.lower(strip_accents(text, literal))

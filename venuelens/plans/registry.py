@@ -111,7 +111,7 @@ def _(spark, folder):
     return views.area_frequency(table(spark, folder, "documents"), "source")
 
 
-def _bundle(spark, folder) -> dict[str, DataFrame]:
+def report_bundle(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return reports.report_bundle(
         lambda: samples.venues(spark, folder),
         lambda: samples.labelled_reviews(spark, folder),
@@ -121,18 +121,18 @@ def _bundle(spark, folder) -> dict[str, DataFrame]:
 
 @case("V8_report_rating_by_district", f"{_V1} ORDER BY avg_rating DESC, district LIMIT 20")
 def _(spark, folder):
-    return _bundle(spark, folder)["view_rating_by_district"]
+    return report_bundle(spark, folder)["view_rating_by_district"]
 
 
 @case("V8_report_category_frequency", "SELECT source AS category, count(*) AS cnt FROM documents "
       "GROUP BY source ORDER BY cnt DESC, category LIMIT 15")
 def _(spark, folder):
-    return _bundle(spark, folder)["view_cuisine_frequency"]
+    return report_bundle(spark, folder)["view_cuisine_frequency"]
 
 
 @case("V8_report_top_districts", f"{_V4} ORDER BY restaurant_count DESC, district LIMIT 20")
 def _(spark, folder):
-    return _bundle(spark, folder)["view_top_districts"]
+    return report_bundle(spark, folder)["view_top_districts"]
 
 
 @case("V9_free_sql", f"SELECT district_parsed, max(rating) AS best, count(*) AS n FROM {samples.VENUES_SQL} v "
