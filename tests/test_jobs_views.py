@@ -231,3 +231,17 @@ def test_reports_have_no_python_and_one_exchange_before_sorting(spark, tmp_path)
     assert "TakeOrderedAndProject" in plan and "Python" not in plan
     assert plan.count("Exchange") == 1
     assert "PushedFilters: [IsNotNull(district_parsed)" in plan
+
+
+def test_terms_without_opener_test(spark, monkeypatch):
+    monkeypatch.setattr(terms, "OPENER_LIMIT", 2)
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, c string")
+    table = spark.createDataFrame([(t,) for t in DICTIONARY], "term string")
+    assert as_set(terms.term_match_count_joined(df, "id", "c", table)) == brute_force(TEXTS, DICTIONARY)
+
+
+def test_long_lists_are_refused(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, c string")
+    with pytest.raises(ValueError):
+        terms.term_match_count(df, "c", [f"a {i}" for i in range(300)])
+    assert as_set(terms.term_match_count(df, "c", [f"a{i}" for i in range(300)] + ["soup"])) == {("soup", 5)}

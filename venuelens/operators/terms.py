@@ -22,9 +22,12 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions.text import WORD, explode_once, is_present, tokenize, whole_words_pattern
 
-# Longest list that goes into the query text, and longest dictionary that is broadcast.
-LIST_LIMIT = 2000
+# Longest word list and longest phrase list that go into the query, and longest dictionary that is broadcast.
+WORD_LIST_LIMIT = 2000
+PHRASE_LIST_LIMIT = 200
 BROADCAST_LIMIT = 1_000_000
+# Most first pieces of terms that are tested before the join.
+OPENER_LIMIT = 500
 
 
 def dictionary_terms(items: DataFrame, *columns: str) -> DataFrame:
@@ -44,10 +47,11 @@ def nested_term_match_count(
 def term_match_count(df: DataFrame, comment: str, terms: Iterable[str] = fv.INGREDIENTS) -> DataFrame:
     """A5: (term, n), all non-overlapping whole-word matches, the longest term first, dictionary as a Python list."""
     terms = sorted({t for t in terms if t})
-    if len(terms) > LIST_LIMIT:
-        raise ValueError("use term_match_count_joined for a long dictionary")
     text = F.col(comment)
-    if all(re.fullmatch(r"\w+", t) for t in terms):
+    plain_words = all(re.fullmatch(r"\w+", t) for t in terms)
+    if len(terms) > (WORD_LIST_LIMIT if plain_words else PHRASE_LIST_LIMIT):
+        raise ValueError("use term_match_count_joined for a long dictionary")
+    if plain_words:
         found = F.filter(tokenize(text), lambda t: t.isin(*terms))
     else:
         found = F.regexp_extract_all(F.lower(text), F.lit(whole_words_pattern(terms)), 1)
@@ -59,8 +63,11 @@ def _pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"), 1)
 
 
-def _runs(pieces: Column, length: int, first: int) -> Column:
-    """(start, pieces, term) of every run of ``length`` pieces that starts at ``first`` or an even distance after it."""
+def _runs(pieces: Column, length: int, first: int, openers: list[str] | None) -> Column:
+    """(start, pieces, term) of every run of ``length`` pieces that starts at ``first`` or an even distance after it.
+
+    With ``openers``, only of runs whose first piece is one of them.
+    """
     last = F.size(pieces) - length
 
     def run(i: Column) -> Column:
@@ -68,6 +75,8 @@ def _runs(pieces: Column, length: int, first: int) -> Column:
         return F.struct(i.alias("start"), F.lit(length).alias("pieces"), F.concat(*parts).alias("term"))
 
     starts = F.when(last >= first, F.sequence(F.lit(first), last, F.lit(2)))
+    if openers is not None:
+        starts = F.filter(starts, lambda i: F.get(pieces, i).isin(*openers))
     return F.coalesce(F.transform(starts, run), F.array().cast("array<struct<start:int,pieces:int,term:string>>"))
 
 
@@ -89,12 +98,16 @@ def term_match_count_joined(
         .collect()
     )
     n_terms = sum(s["count"] for s in shapes)
+    # A dictionary with few different first pieces lets most places of a text go before the join.
+    first_pieces = terms.select(F.get(_pieces(F.col("term")), 0).alias("first")).distinct()
+    openers = [r["first"] for r in first_pieces.limit(OPENER_LIMIT + 1).collect()]
+    openers = openers if len(openers) <= OPENER_LIMIT else None
     terms = F.broadcast(terms) if n_terms <= broadcast_limit else terms.hint("merge")
 
     # Other characters at the very start and end have no word boundary on their outer side.
     inner = F.regexp_replace(F.lower(F.col(comment)), r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$", "")
     texts = df.filter(is_present(F.col(comment))).select(F.col(key).alias("_key"), _pieces(inner).alias("_p"))
-    runs = [_runs(F.col("_p"), s["pieces"], 0 if s["word"] else 1) for s in shapes]
+    runs = [_runs(F.col("_p"), s["pieces"], 0 if s["word"] else 1, openers) for s in shapes]
     found = F.flatten(F.array(*runs)) if runs else F.lit(None).cast("array<struct<start:int,pieces:int,term:string>>")
     hits = explode_once(texts, found, "m", "_key").select("_key", "m.*").join(terms, "term")
     if all(s["pieces"] == 1 for s in shapes):
