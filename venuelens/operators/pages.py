@@ -119,7 +119,23 @@ class _Node:
             if n.tag == rule.tag and (rule.attribute is None or rule.value in n.attributes.get(rule.attribute, ""))
         ]
 
+    def outermost(self, rule: Rule | None) -> list["_Node"]:
+        """Like ``find``, without elements inside another one that is found."""
+        nodes = self.find(rule)
+        ids = {id(n) for n in nodes}
+
+        def is_inside(node: "_Node") -> bool:
+            up = node.parent
+            while up is not None and up is not self:
+                if id(up) in ids:
+                    return True
+                up = up.parent
+            return False
+
+        return [n for n in nodes if not is_inside(n)]
+
     def texts(self) -> list[str]:
+        """Stripped, non-empty texts in document order."""
         found: list[str] = []
         stack: list[_Node | str] = [self]
         while stack:
@@ -156,7 +172,11 @@ class _Tree(HTMLParser):
             self.at = node.parent
 
     def handle_data(self, data):
-        self.at.children.append(data)
+        children = self.at.children
+        if children and isinstance(children[-1], str):
+            children[-1] += data
+        else:
+            children.append(data)
 
 
 def _first_text(nodes: list[_Node]) -> str | None:
@@ -183,7 +203,7 @@ def _fields(html: str, rules: PageRules) -> dict[str, object]:
     reviews = []
     for card in cards:
         user = _first_text(card.find(rules.user))
-        comment = "\n".join(t for n in card.find(rules.comment) for t in n.texts()) or None
+        comment = "\n".join(t for n in card.outermost(rules.comment) for t in n.texts()) or None
         if user or comment:
             reviews.append({"user": user, "rating": _label(card, rules), "comment": comment})
     return {

@@ -692,13 +692,38 @@ def _(spark, folder):
     )
 
 
-@case("R13_extract_pages")
+def _plain_sql(html: str) -> str:
+    for entity, character in (("&quot;?", '"'), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")):
+        html = f"regexp_replace({html}, '{entity}', '{character}', 'g')"
+    return html
+
+
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(13)"
+
+
+@case("R13_extract_pages", f"""WITH parts AS (SELECT page_id, url,
+  trim({_plain_sql("regexp_extract(html, '<title>(.*?)</title>', 1, 's')")}, {_BLANK}) AS name,
+  trim({_plain_sql("regexp_extract(html, '<footer>(.*?)</footer>', 1, 's')")}, {_BLANK}) AS address,
+  trim({_plain_sql("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")}, {_BLANK}) AS first_user,
+  len(regexp_extract_all(html, '<article>')) AS cards,
+  list_filter(list_transform(string_split_regex(regexp_extract(html, '<article>.*?</h1>(.*?)</article>', 1, 's'), '<[^>]*>'),
+   lambda t: trim({_plain_sql('t')}, {_BLANK})), lambda t: t <> '') AS texts FROM pages),
+ places AS (SELECT *, string_split(nullif(address, ''), ',') AS bits FROM parts)
+SELECT page_id, url, nullif(name, '') AS name, nullif(address, '') AS address,
+ CASE WHEN len(bits) > 1 THEN trim(bits[-2]) END AS district, trim(bits[-1]) AS city,
+ CAST(cards AS INTEGER) AS cards, nullif(first_user, '') AS first_user,
+ md5(nullif(array_to_string(texts, chr(10)), '')) AS comment FROM places""")
 def _(spark, folder):
     rules = pages.PageRules(
         card=pages.Rule("article"), user=pages.Rule("h1"), comment=pages.Rule("p"), name=pages.Rule("title"),
         address=pages.Rule("footer"),
     )
-    return pages.extract_pages(wide_table(spark, folder, "pages"), rules)
+    extracted = pages.extract_pages(wide_table(spark, folder, "pages"), rules)
+    review = F.get("reviews", 0)
+    return extracted.select(
+        "page_id", "url", "name", "address", "district", "city", "cards",
+        review["user"].alias("first_user"), F.md5(review["comment"]).alias("comment"),
+    )
 
 
 @case("C1_search", """SELECT doc_id, lang, source FROM documents
