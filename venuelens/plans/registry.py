@@ -16,8 +16,9 @@ from ..functions import numbers, places, text, urls
 from ..operators import jobs, normalize, pages, quality, tables, terms
 from ..session import shared_dir
 from ..sources import readers, snapshots, writers
+from ..sources.tables import wipe
 from ..streaming import incremental
-from . import ingest, reports, samples, views
+from . import ingest, reports, runner, samples, views
 from .samples import table, wide_table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -841,3 +842,68 @@ def _(spark, folder):
     root = shared_dir(spark, "backups")
     name, _, _ = snapshots.snapshot(spark, ["customers_to_save"], root)
     return spark.read.parquet(f"{root}/{name}/customers_to_save")
+
+
+@case("S14_restore", "SELECT c_custkey, c_name FROM customer")
+def _(spark, folder):
+    root = shared_dir(spark, "backups")
+    name = "customers_" + root[-12:]
+    table(spark, folder, "customer").select("c_custkey", "c_name").createOrReplaceTempView(name)
+    backup, _, _ = snapshots.snapshot(spark, [name], root)
+    spark.catalog.dropTempView(name)
+    snapshots.restore(spark, [name], root, backup, f"{root}/tables")
+    return spark.table(name)
+
+
+@case("S3_external_tables_views", _V4)
+def _(spark, folder):
+    root = shared_dir(spark, "lake")
+    venues = schemas.conform(samples.venues(spark, folder), schemas.RESTAURANTS, {"name": fv.DEFAULT_RESTAURANT_NAME})
+    reviews = samples.labelled_reviews(spark, folder).withColumn("restaurant_id", F.col("doc_id").cast("string"))
+    meals = normalize.parse_meals(samples.raw_recipes(spark, folder))
+    flat_meals = normalize.meals_table(meals).accepted
+    ingest.export_lake(
+        spark,
+        {"restaurants": schemas.conform(venues, schemas.NESTED_RESTAURANTS), "meals": meals},
+        {"restaurants": venues, "reviews": schemas.conform(reviews, schemas.REVIEWS), "meals": flat_meals},
+        root,
+    )
+    database = "lake_" + root[-12:]
+    readers.create_external_tables(spark, root, database)
+    views.create_views(spark, database)
+    return reports.query(spark, "SELECT district, restaurant_count, avg_rating FROM view_top_districts")
+
+
+_RAW_FILES_SQL = f"""WITH r AS (SELECT o_orderkey % 4 AS kind, o_orderkey % 5 + 1 AS stars FROM orders)
+SELECT 'rating_bucket' AS job, CASE WHEN kind = 2 THEN 'Unknown' WHEN stars + 0.5 >= 4 THEN '4-5 Stars'
+  WHEN stars + 0.5 >= 3 THEN '3 Stars' ELSE '1-2 Stars' END AS key, CAST(count(*) AS VARCHAR) AS value FROM r GROUP BY 2
+UNION ALL SELECT 'review_star_distribution', stars || CASE WHEN stars > 1 THEN ' Stars' ELSE ' Star' END,
+  CAST(2 * count(*) AS VARCHAR) FROM r GROUP BY 2
+UNION ALL SELECT 'tag_count', tag, CAST(count(*) AS VARCHAR) FROM (
+  SELECT category AS tag FROM {samples.PARSED_RECIPES_SQL} m UNION ALL SELECT area FROM {samples.PARSED_RECIPES_SQL} m) t
+ WHERE tag <> '' GROUP BY 2"""
+
+
+@case("A9_run_all", _RAW_FILES_SQL)
+def _(spark, folder):
+    root = shared_dir(spark, "jobs")
+    samples.raw_restaurants(spark, folder).select(*schemas.RESTAURANTS_RAW.fieldNames()).write.json(f"{root}/restaurants")
+    normalize.parse_meals(samples.raw_recipes(spark, folder)).write.json(f"{root}/meals")
+    runner.run_all(spark, f"{root}/restaurants", f"{root}/meals", f"{root}/out")
+    results = [
+        readers.read_results(spark, f"{root}/out/{job}").select(F.lit(job).alias("job"), "key", "value")
+        for job in ("rating_bucket", "review_star_distribution", "tag_count")
+    ]
+    return results[0].unionByName(results[1]).unionByName(results[2])
+
+
+@case("V13_R4_R8_S11_S15_load", f"""SELECT 'restaurants' AS table_name, count(DISTINCT o_custkey) AS n FROM orders
+UNION ALL SELECT 'reviews', 2 * count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'meals', count(*) FROM {samples.PARSED_RECIPES_SQL} m WHERE name IS NOT NULL
+UNION ALL SELECT 'skipped', 0""")
+def _(spark, folder):
+    database = "load_" + shared_dir(spark, "load")[-12:]
+    meals = normalize.parse_meals(samples.raw_recipes(spark, folder))
+    counters = ingest.load_documents(spark, samples.raw_restaurants(spark, folder), meals, database, _ORDER)
+    wipe(spark, database)
+    return spark.createDataFrame(list(counters.items()), "table_name string, n bigint")

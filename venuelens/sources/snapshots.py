@@ -37,10 +37,13 @@ def snapshot(
     return name, all(s[1] for s in status), report
 
 
-def restore(spark: SparkSession, tables: Sequence[str], root: str, name: str) -> DataFrame:
+def restore(
+    spark: SparkSession, tables: Sequence[str], root: str, name: str, location: str | None = None
+) -> DataFrame:
     """Replace the tables by their copies, ``name`` being a backup below ``root`` or a full path.
 
-    Missing parts are warned about and skipped. Returns (table_name, restored).
+    Missing parts are warned about and skipped. Files go to the warehouse, or below
+    ``location``. Returns (table_name, restored).
     """
     base = name if "/" in name else f"{root}/{name}"
     status = []
@@ -51,7 +54,7 @@ def restore(spark: SparkSession, tables: Sequence[str], root: str, name: str) ->
             log.warning("no copy of %s in %s: %s", table, base, error)
             status.append((table, False))
             continue
-        publish(spark, table, copy)
+        publish(spark, table, copy, location)
         status.append((table, True))
     if not any(done for _, done in status):
         raise FileNotFoundError(base)
