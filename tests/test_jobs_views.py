@@ -123,7 +123,7 @@ def test_terms_match_brute_force(spark, dictionary):
     assert as_set(terms.term_match_count(df, "c", dictionary)) == want
     table = spark.createDataFrame([(t,) for t in dictionary + dictionary[:1] + [""]], "term string")
     assert as_set(terms.term_match_count_joined(df, "id", "c", table)) == want
-    assert as_set(terms.term_match_count_joined(df, "id", "c", table, broadcast_limit=0)) == want
+    assert as_set(terms.term_match_count_joined(df, "id", "c", table, broadcast_bytes=0)) == want
 
 
 def test_terms_match_brute_force_on_random_texts(spark):
@@ -151,7 +151,7 @@ def test_terms_broadcast_only_the_dictionary(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, c string")
     table = spark.createDataFrame([(t,) for t in DICTIONARY], "term string")
     assert "BuildRight" in plan_of(terms.term_match_count_joined(df, "id", "c", table))
-    assert "Broadcast" not in plan_of(terms.term_match_count_joined(df, "id", "c", table, broadcast_limit=0))
+    assert "Broadcast" not in plan_of(terms.term_match_count_joined(df, "id", "c", table, broadcast_bytes=0))
 
 
 # --- views -----------------------------------------------------------------------

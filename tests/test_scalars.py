@@ -3,7 +3,7 @@ import unicodedata
 from conftest import evaluate
 from pyspark.sql import functions as F
 
-from venuelens.functions import documents, numbers, places, text, urls
+from venuelens.functions import documents, numbers, places, sql, text, urls
 
 
 
@@ -170,3 +170,16 @@ def test_links(spark):
     assert evaluate(spark, following(15, 0), pages) == ["x-Reviews-or15-a", "x-Reviews-or30-a", None]
     assert evaluate(spark, following(15, 30), pages) == ["x-Reviews-or15-a", None, None]
     assert evaluate(spark, following(14, 100), pages) == [None, None, None]
+
+
+def test_sql_functions_agree_with_column_functions(spark):
+    names = sql.register(spark)
+    values = ["(112)", "1,234", "7.9", None, "", "none", "-3", "9" * 30, "5 of 5 bubbles", " 4 ", "rated 3.5", "1e2", "x-d12-y", "."]
+    columns = {
+        "strict_float": numbers.strict_float, "extract_float": numbers.extract_float,
+        "parse_review_rating": numbers.parse_review_rating, "parse_review_count": numbers.parse_review_count,
+        "make_short_id": text.make_short_id,
+    }
+    assert set(names) == set(columns)
+    for name, function in columns.items():
+        assert evaluate(spark, F.expr(f"{name}(v)"), values) == evaluate(spark, function(F.col("v")), values), name

@@ -183,3 +183,16 @@ def test_shared_dir_is_below_the_named_folder(spark):
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(root)
     assert fv.BACKUP_NAME_PREFIX == "backup_"
+
+
+def test_change_log(spark, tmp_path):
+    log = str(tmp_path / "log")
+    base = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string")
+    first = spark.createDataFrame([("2", "b1"), ("3", "c1")], "id string, v string")
+    second = spark.createDataFrame([("2", "b2")], "id string, v string")
+    incremental.append_changes(first, 0, log)
+    incremental.append_changes(second, 1, log)
+    incremental.append_changes(second, 1, log)  # a repeated batch replaces itself
+    changes = spark.read.parquet(log)
+    assert changes.count() == 3
+    assert as_set(incremental.current_rows(base, changes, "id", [])) == {("1", "a"), ("2", "b2"), ("3", "c1")}

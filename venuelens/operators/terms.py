@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions.text import WORD, explode_once, is_present, tokenize, whole_words_pattern
 
-# Longest word list and longest phrase list that go into the query, and longest dictionary that is broadcast.
+# Longest word list and longest phrase list that go into the query.
 WORD_LIST_LIMIT = 2000
 PHRASE_LIST_LIMIT = 200
-BROADCAST_LIMIT = 1_000_000
+# Largest dictionary that is broadcast, in bytes of text plus row overhead.
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD = 64
 # Most first pieces of terms that are tested before the join.
 OPENER_LIMIT = 500
 
@@ -81,12 +83,12 @@ def _runs(pieces: Column, length: int, first: int, openers: list[str] | None) ->
 
 
 def term_match_count_joined(
-    df: DataFrame, key: str, comment: str, dictionary: DataFrame, broadcast_limit: int = BROADCAST_LIMIT
+    df: DataFrame, key: str, comment: str, dictionary: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """A5 with the dictionary as a table (column ``term``) of any length; ``key`` is unique per row.
 
-    The dictionary is counted first and broadcast only up to ``broadcast_limit``
-    terms; a longer one is joined by a shuffle, where adaptive execution splits
+    The dictionary is measured first and broadcast only up to ``broadcast_bytes``; a
+    larger one is joined by a shuffle, where adaptive execution splits
     frequent words. Terms of one piece cannot overlap, so a dictionary of plain
     words needs no grouping per text.
     """
@@ -94,15 +96,15 @@ def term_match_count_joined(
     # How many pieces a term has and whether it starts with a word: a handful of groups.
     shapes = (
         terms.groupBy(F.size(_pieces(F.col("term"))).alias("pieces"), F.col("term").rlike(f"^{WORD}").alias("word"))
-        .count()
+        .agg(F.sum(F.octet_length("term") + ROW_OVERHEAD).alias("bytes"))
         .collect()
     )
-    n_terms = sum(s["count"] for s in shapes)
+    size = sum(s["bytes"] for s in shapes)
     # A dictionary with few different first pieces lets most places of a text go before the join.
     first_pieces = terms.select(F.get(_pieces(F.col("term")), 0).alias("first")).distinct()
     openers = [r["first"] for r in first_pieces.limit(OPENER_LIMIT + 1).collect()]
     openers = openers if len(openers) <= OPENER_LIMIT else None
-    terms = F.broadcast(terms) if n_terms <= broadcast_limit else terms.hint("merge")
+    terms = F.broadcast(terms) if size <= broadcast_bytes else terms.hint("merge")
 
     # Other characters at the very start and end have no word boundary on their outer side.
     inner = F.regexp_replace(F.lower(F.col(comment)), r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$", "")

@@ -773,20 +773,39 @@ def _(spark, folder):
     )
 
 
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{folder}/events.parque[t]"  # a pattern, since a stream takes a plain path for a folder only
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select(*_EVENT_COLUMNS)
+
+
 @case("I1_incremental_load", f"SELECT user_id, ts, event_id, event_type, value FROM events {_LATEST}")
 def _(spark, folder):
-    path = f"{folder}/events.parque[t]"  # a pattern, since a stream takes a plain path for a folder only
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select(*_EVENT_COLUMNS)
     work = shared_dir(spark, "sync")
     name = "sync_events_" + work[-12:]
     incremental.run_available(
-        stream,
-        lambda batch: incremental.upsert_into(name, batch, "user_id", ["ts", "event_id"], f"{work}/tables"),
+        _event_stream(spark, folder),
+        lambda batch, _: incremental.upsert_into(name, batch, "user_id", ["ts", "event_id"], f"{work}/tables"),
         f"{work}/checkpoint",
     )
     return spark.table(name)
 
 
+@case("I1_change_log", f"""WITH base AS (SELECT user_id, ts, event_id, event_type, value FROM events WHERE {_BASE_EVENTS} {_LATEST}),
+ changes AS (SELECT user_id, ts, event_id, event_type, value FROM events {_LATEST})
+SELECT * FROM changes UNION ALL SELECT * FROM base WHERE user_id NOT IN (SELECT user_id FROM changes)""")
+def _(spark, folder):
+    work = shared_dir(spark, "sync")
+    changes = f"{work}/changes"
+    incremental.run_available(
+        _event_stream(spark, folder),
+        lambda batch, number: incremental.append_changes(batch, number, changes),
+        f"{work}/checkpoint",
+    )
+    events = table(spark, folder, "events").select(*_EVENT_COLUMNS)
+    base = tables.latest_by_key(events.filter(_BASE_EVENTS), "user_id", ["ts", "event_id"])
+    return incremental.current_rows(base, spark.read.parquet(changes), "user_id", ["ts", "event_id"])
+
+
 # === files (S) ====================================================================
 
 

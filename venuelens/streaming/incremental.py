@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
@@ -13,13 +14,14 @@ from ..operators.tables import replace_upsert
 from ..sources.tables import publish
 
 
-def run_available(stream: DataFrame, apply: Callable[[DataFrame], None], checkpoint: str) -> None:
-    """Feed everything that has arrived since the last run to ``apply``, then stop.
+def run_available(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Feed everything that has arrived since the last run to ``apply(batch, number)``, then stop.
 
-    A batch may be given to ``apply`` again after a failure, so it has to be idempotent.
+    A batch may be given to ``apply`` again after a failure, under the same
+    number, so it has to be idempotent.
     """
     query = (
-        stream.writeStream.foreachBatch(lambda batch, _: apply(batch))
+        stream.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -30,12 +32,36 @@ def run_available(stream: DataFrame, apply: Callable[[DataFrame], None], checkpo
 def upsert_into(
     table: str, batch: DataFrame, key: str, order: Sequence[str], root: str | None = None
 ) -> None:
-    """R2 on a stored table; the first batch creates it. The same batch twice gives the same table."""
+    """R2 on a stored table; the first batch creates it. The same batch twice gives the same table.
+
+    This rewrites the table. For small batches into a large table use ``append_changes``.
+    """
     spark = batch.sparkSession
     base = spark.table(table) if spark.catalog.tableExists(table) else batch.limit(0)
     publish(spark, table, replace_upsert(base, batch, key, order), root)
 
 
+BATCH = "_batch"
+
+
+def append_changes(batch: DataFrame, number: int, changes: str) -> None:
+    """Keep a batch in a change log, at a cost that grows with the batch and not with the table.
+
+    The batch is its own partition of the log, so a repeated batch replaces itself.
+    """
+    numbered = batch.withColumn(BATCH, F.lit(number).cast("bigint"))
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(changes)
+
+
+def current_rows(base: DataFrame, changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """A stored table with its change log applied: later batches win, then the order within a batch.
+
+    A log that is small against the table is broadcast, so the table is read
+    without a shuffle; ``publish`` the result from time to time and start a new log.
+    """
+    return replace_upsert(base, changes, key, [BATCH, *order])
+
+
 def sync_documents(
     batch: DataFrame,
     restaurants: str = "restaurants",
@@ -74,5 +100,5 @@ def load_new_files(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     run_available(
-        reader.json(path), lambda batch: sync_documents(batch, restaurants, reviews, order), checkpoint
+        reader.json(path), lambda batch, _: sync_documents(batch, restaurants, reviews, order), checkpoint
     )
