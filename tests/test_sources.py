@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import as_set
+from conftest import as_set, plan_of
 from pyspark.sql import functions as F
 
 from venuelens import fixed_values as fv
@@ -34,6 +34,9 @@ def test_json_lines(spark, tmp_path):
     assert set(got) == {"1", "2", "3", None}
     assert got["1"]["rating"] == "4.50" and got["1"]["reviews"][0]["rating"] == "4"
     assert got["2"]["rating"] == "true" and got["2"]["reviews"] is None
+    df = readers.read_json_lines(spark, path, schemas.RESTAURANTS_RAW)
+    assert df.count() == 4 and df.select("rating").count() == 4
+    assert "ReadSchema: struct<id:string,rating:string,_corrupt:string>" in plan_of(df.select("rating"))
 
 
 def test_presence(spark, tmp_path):

@@ -193,7 +193,7 @@ def raw_restaurants(spark: SparkSession, folder: str) -> DataFrame:
 RAW_RESTAURANTS_SQL = """(
   SELECT 'rest_d' || o_custkey AS id,
     CASE WHEN o_orderkey % 4 = 1 THEN 'Unnamed Restaurant' ELSE 'Place ' || o_custkey END AS name,
-    (o_orderkey % 5 + 1) + CASE WHEN o_orderkey % 4 = 2 THEN 0.0 ELSE 0.5 END AS rating,
+    CAST(o_orderkey % 5 + 1 + CASE WHEN o_orderkey % 4 = 2 THEN 0.0 ELSE 0.5 END AS DOUBLE) AS rating,
     CASE WHEN o_orderkey % 4 < 2 THEN CAST(floor(o_totalprice) AS BIGINT) ELSE 0 END AS review_count,
     CASE WHEN o_orderkey % 4 = 3 THEN 'Quận ' || (o_custkey % 20 + 1)
          ELSE '12 Main street, District ' || (o_custkey % 20 + 1) || ', Ho Chi Minh City 70000 Vietnam' END AS address,
