@@ -159,7 +159,7 @@ def test_tokens_and_keywords(spark):
 
 def test_links(spark):
     values = [
-        "https://x/Restaurants-g1-oa30-Ho_Chi_Minh_City.html", "https://x/Restaurant_Review-g1-d2-Reviews-or15-a.html", "https://x/"
+        "https://x/Restaurants-g1-oa30-Ho_Chi_Minh_City.html", "https://x/Restaurant_Review-g293925-d2-Reviews-or15-a.html", "https://x/"
     ]
     assert evaluate(spark, urls.link_class(F.col("v")), values) == ["list", "detail", None]
 

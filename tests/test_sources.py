@@ -131,7 +131,7 @@ def test_external_tables_and_views(spark, tmp_path):
     reviews = spark.createDataFrame([(1, "1", "u", 4.0, "fast delivery")], schemas.REVIEWS)
     meals = spark.createDataFrame([("m1", "Pho", "Beef", "Thai", "i", ["a"])], schemas.MEALS_RAW)
     written = ingest.export_lake(
-        spark, {"meals": meals, "restaurants": restaurants.withColumnRenamed("id", "_id")},
+        {"meals": meals, "restaurants": restaurants.withColumnRenamed("id", "_id")},
         {"restaurants": restaurants, "reviews": reviews, "meals": meals.withColumn("ingredients", F.lit("a")).limit(0)},
         str(tmp_path),
     )

@@ -52,33 +52,21 @@ CITY_PATTERN = r"\b(ho\s+chi\s+minh\s+city|hcmc|tp\.?\s*hcm|tphcm|sai\s*gon|saig
 POSTCODE_PATTERN = r"\b\d{4,6}\b"
 COUNTRY_PATTERN = r"\bVietnam\b"
 
-# Text that ends a district capture, and text that ends a ward capture.
-DISTRICT_STOP = r"(?=,|$|\b(?:Vietnam|Ho Chi Minh|HCMC|Tp\.?\s*Hcm)\b)"
-WARD_STOP = r"(?=,|$|\b(?:Vietnam|Ho Chi Minh|HCMC|Tp\.?\s*Hcm|District|Dis\.?|Qu[aậ]n|Q\.)\b)"
-
+# Matched in the order given, without regard to case.
 DISTRICT_NUMBER_PATTERN = r"\b(?:Qu[aậ]n|Q\.|District|Dist\.|Dis\.?)\s*(\d{1,2})\b"
-DISTRICT_LOCAL_PATTERN = r"\b(?:Qu[aậ]n|Q\.)\s*([A-Za-zÀ-ỹ][A-Za-zÀ-ỹ0-9\s-]{0,40}?)" + DISTRICT_STOP
-# The published form of the next pattern also reads the "Dis" of "District" as
-# the short form; DISTRICT_PREFIX_PATTERN asks for a word end after it.
-DISTRICT_PREFIX_PATTERN_LITERAL = (
-    r"\b(?:District|Dist\.|Dis\.?)\s*([A-Za-zÀ-ỹ][A-Za-zÀ-ỹ0-9\s-]{0,40}?)" + DISTRICT_STOP
-)
-DISTRICT_PREFIX_PATTERN = (
-    r"\b(?:District\b|Dist\.|Dis\.|Dis\b)\s*([A-Za-zÀ-ỹ][A-Za-zÀ-ỹ0-9\s-]{0,40}?)" + DISTRICT_STOP
-)
+DISTRICT_LOCAL_PATTERN = r"\b(?:Qu[aậ]n|Q\.)\s*([A-Za-zÀ-ỹ][A-Za-zÀ-ỹ0-9\s-]{0,40}?)(?=,|$|\b(?:Vietnam|Ho Chi Minh|HCMC|Tp\.?\s*Hcm)\b)"
+DISTRICT_PREFIX_PATTERN_LITERAL = r"\b(?:District|Dist\.|Dis\.?)\s*([A-Za-zÀ-ỹ][A-Za-zÀ-ỹ0-9\s-]{0,40}?)(?=,|$|\b(?:Vietnam|Ho Chi Minh|HCMC|Tp\.?\s*Hcm)\b)"
+# The pattern above also reads the "Dis" of "District" as the short form; this one asks for a word end after it.
+DISTRICT_PREFIX_PATTERN = r"\b(?:District\b|Dist\.|Dis\.|Dis\b)\s*([A-Za-zÀ-ỹ][A-Za-zÀ-ỹ0-9\s-]{0,40}?)(?=,|$|\b(?:Vietnam|Ho Chi Minh|HCMC|Tp\.?\s*Hcm)\b)"
 DISTRICT_SUFFIX_PATTERN = r"\b([A-Za-zÀ-ỹ][A-Za-zÀ-ỹ\s-]{0,40}?)\s+District\b"
-WARD_LOCAL_PATTERN = r"\b(?:Phường|P\.|W\.)\s*([A-Za-zÀ-ỹ0-9][A-Za-zÀ-ỹ0-9\s-]{0,40}?)" + WARD_STOP
-WARD_SUFFIX_PATTERN = r"\b([A-Za-zÀ-ỹ][A-Za-zÀ-ỹ0-9\s-]{0,40}?)\s+Ward\b" + WARD_STOP
-WARD_PREFIX_PATTERN = r"\bWard\s+([A-Za-zÀ-ỹ0-9][A-Za-zÀ-ỹ0-9\s-]{0,40}?)" + WARD_STOP
+WARD_LOCAL_PATTERN = r"\b(?:Phường|P\.|W\.)\s*([A-Za-zÀ-ỹ0-9][A-Za-zÀ-ỹ0-9\s-]{0,40}?)(?=,|$|\b(?:Vietnam|Ho Chi Minh|HCMC|Tp\.?\s*Hcm|District|Dis\.?|Qu[aậ]n|Q\.)\b)"
+WARD_SUFFIX_PATTERN = r"\b([A-Za-zÀ-ỹ][A-Za-zÀ-ỹ0-9\s-]{0,40}?)\s+Ward\b(?=,|$|\b(?:Vietnam|Ho Chi Minh|HCMC|Tp\.?\s*Hcm|District|Dis\.?|Qu[aậ]n|Q\.)\b)"
+WARD_PREFIX_PATTERN = r"\bWard\s+([A-Za-zÀ-ỹ0-9][A-Za-zÀ-ỹ0-9\s-]{0,40}?)(?=,|$|\b(?:Vietnam|Ho Chi Minh|HCMC|Tp\.?\s*Hcm|District|Dis\.?|Qu[aậ]n|Q\.)\b)"
 
-STREET_WORDS_PATTERN = (
-    r"\b(?:street|st\.|road|rd\.|avenue|ave\.|boulevard|blvd|lane|hotel|building"
-    r"|tower|floor|level|port|block|đường|đ\.)\b"
-)
-STREET_WORDS_PATTERN_ASCII = (
-    r"\b(?:street|st\.|road|rd\.|avenue|ave\.|boulevard|blvd|lane|hotel|building"
-    r"|tower|floor|level|port|block|duong|d\.)\b"
-)
+STREET_WORDS_PATTERN = r"\b(?:street|st\.|road|rd\.|avenue|ave\.|boulevard|blvd|lane|hotel|building|tower|floor|level|port|block|đường|đ\.)\b"
+STREET_WORDS_PATTERN_ASCII = r"\b(?:street|st\.|road|rd\.|avenue|ave\.|boulevard|blvd|lane|hotel|building|tower|floor|level|port|block|duong|d\.)\b"
+HOUSE_NUMBER_PATTERN = r"^[\d\-/]+"
+AREA_SUFFIX_PATTERN = r"\b(?:ward|district)\b$"
 
 # --- fixed values: word lists --------------------------------------------------
 POSITIVE_WORDS = (
@@ -129,8 +117,8 @@ PAGE_SIZES = (10, 20, 50, 100)
 UNKNOWN_SHARE_WARNING = 0.8
 
 # --- fixed values: crawl rules and text lengths --------------------------------
-LIST_URL_PATTERN = r"-oa\d+-[^/]*\.html"
-DETAIL_URL_PATTERN = r"Restaurant_Review-g\d+-d\d+-Reviews-"
+LIST_URL_PATTERN = r"-oa\d+-Ho_Chi_Minh_City\.html"
+DETAIL_URL_PATTERN = r"Restaurant_Review-g293925-d\d+-Reviews-"
 SHORT_ID_PATTERN = r"-(d\d+)-"
 REVIEW_PAGE_SIZE = 15
 MAX_REVIEWS = 75

@@ -81,9 +81,10 @@ def _trim_cleaned(value: Column, literal: bool, ascii: bool) -> Column:
         return F.when(text.rlike(_I + street), rest).otherwise(text)
 
     # A capture that is only a short number is the name of a district or ward and stays.
-    house_number = r"^[\d\-/]+" if literal else r"^(?!\s*\d{1,2}\s*$)[\d\-/]+"
+    short_stays = "" if literal else r"(?!^\s*\d{1,2}\s*$)"
+    house_number = short_stays + fv.HOUSE_NUMBER_PATTERN
     text = F.btrim(F.regexp_replace(_once(value, after_street), house_number, ""), F.lit(" -.,"))
-    text = F.btrim(F.regexp_replace(text, _I + r"\b(?:ward|district)\b$", ""), F.lit(" -.,"))
+    text = F.btrim(F.regexp_replace(text, _I + fv.AREA_SUFFIX_PATTERN, ""), F.lit(" -.,"))
     return F.regexp_replace(text, _IS_PLACEHOLDER, "")
 
 

@@ -75,12 +75,17 @@ def import_collection(spark: SparkSession, path: str, schema, name: str) -> Data
     return spark.table(name)
 
 
-def export_lake(spark: SparkSession, collections: dict[str, DataFrame], tables: dict[str, DataFrame],
-                root: str) -> dict[str, bool]:
-    """Collections and tables as JSON Lines below ``root``; tells which ones were written."""
+def export_lake(
+    collections: dict[str, DataFrame], tables: dict[str, DataFrame], root: str, file_format: str = "json"
+) -> dict[str, bool]:
+    """Collections and tables as files below ``root``; tells which ones were written.
+
+    JSON Lines is what other tools expect; reports over large tables should read Parquet.
+    """
     written = {}
     for name, df in collections.items():
-        written[name] = writers.publish_files(writers.export_documents(df), f"{root}/{name}")
+        written[name] = writers.publish_files(writers.export_documents(df), f"{root}/{name}", file_format)
     for name, df in tables.items():
-        written[f"mysql_{name}"] = writers.publish_files(writers.export_table(df, name), f"{root}/mysql_{name}")
+        folder = f"mysql_{name}"
+        written[folder] = writers.publish_files(writers.export_table(df, name), f"{root}/{folder}", file_format)
     return written

@@ -882,7 +882,6 @@ def _(spark, folder):
     meals = normalize.parse_meals(samples.raw_recipes(spark, folder))
     flat_meals = normalize.meals_table(meals).accepted
     ingest.export_lake(
-        spark,
         {"restaurants": schemas.conform(venues, schemas.NESTED_RESTAURANTS), "meals": meals},
         {"restaurants": venues, "reviews": schemas.conform(reviews, schemas.REVIEWS), "meals": flat_meals},
         root,
