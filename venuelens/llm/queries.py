@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import packing, quality, simhash
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,14 @@ def query(name: str, sql: str | None = None):
 def _(spark, folder):
     groups = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, radius=3, seed=42)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op3_best_fit_packing")
+def _(spark, folder):
+    placed = packing.pack(table(spark, folder, "documents"), path("byte_bpe_50k.json"), length=2048, end_id=0)
+    return placed.drop("ids")
+
+
+@query("op5_quality_rules")
+def _(spark, folder):
+    return quality.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
