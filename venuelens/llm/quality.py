@@ -139,9 +139,12 @@ def cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
     At most ``STRATA + 1`` rows.
     """
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+    def level_of(score: Column, grid: tuple) -> Column:
+        return sum((F.when(score > c, 1).otherwise(0) for c in grid), F.lit(0))
+
     levels = F.array(*[
-        F.struct(F.lit(name).alias("rule"), F.size(F.filter(F.array(*map(F.lit, GRIDS[name])), lambda c, s=score: s > c)).alias("level"))
-        for name, score in scores(F.col("m")).items()
+        F.struct(F.lit(name).alias("rule"), level_of(score, GRIDS[name]).alias("level")) for name, score in scores(F.col("m")).items()
     ])
     counted = stage(
         rows.join(known, "doc_id")
