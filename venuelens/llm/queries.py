@@ -8,7 +8,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash
+from . import decontamination, packing, quality, simhash
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def _(spark, folder):
 @query("op5_quality_rules")
 def _(spark, folder):
     return quality.report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op8_decontamination")
+def _(spark, folder):
+    return decontamination.passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
