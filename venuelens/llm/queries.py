@@ -8,7 +8,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, quality, simhash
+from . import decontamination, packing, pii, quality, simhash
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def _(spark, folder):
 @query("op8_decontamination")
 def _(spark, folder):
     return decontamination.passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op7_pii")
+def _(spark, folder):
+    return pii.report(table(spark, folder, "documents"))
