@@ -155,8 +155,11 @@ def cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
     largest = counted.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(STRATA)
     names = [r["lang"] for r in largest.collect()]
 
-    limits = [(rule, i, c) for rule, grid in GRIDS.items() for i, c in enumerate(grid)]
-    grid = counted.sparkSession.createDataFrame(limits, "rule string, place int, cutoff double")
+    places = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("place"), F.lit(c).alias("cutoff"))
+        for rule, grid in GRIDS.items() for i, c in enumerate(grid)
+    ]
+    grid = counted.sparkSession.range(1).select(F.inline(F.array(*places)))
     total = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
     over, good = F.col("level") > F.col("place"), F.col("quality") == 1
     judged = (

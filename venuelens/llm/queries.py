@@ -8,7 +8,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, pii, quality, simhash
+from . import decontamination, packing, pii, quality, secrets, simhash
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def _(spark, folder):
 @query("op7_pii")
 def _(spark, folder):
     return pii.report(table(spark, folder, "documents"))
+
+
+@query("op1_secrets")
+def _(spark, folder):
+    return secrets.report(table(spark, folder, "documents"))
