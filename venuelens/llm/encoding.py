@@ -32,22 +32,23 @@ WORD_ENDS = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^{SPACE}{LETTER}{N
 
 _UNKNOWN = re.compile(f"[^{KNOWN}]")
 _PLAIN = bytes([9, 10, 13, *range(32, 127), *range(160, 256)])
-#: Words in each of the two generations that a worker remembers.
-MEMORY = 250_000
+#: Chunks and words in each of the two generations that a worker remembers.
+CHUNKS = 450_000
+WORDS = 250_000
 
 
 class Memory(dict):
     """What ``make`` gave for each key. When full it becomes the older generation; what is used again moves up."""
 
-    def __init__(self, make):
+    def __init__(self, make, size: int):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.size, self.older = make, size, {}
 
     def __missing__(self, key):
         found = self.older.get(key)
         if found is None:
             found = self.make(key)
-        if len(self) >= MEMORY:
+        if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         self[key] = found
@@ -78,8 +79,8 @@ class Encoder:
         self.pattern = re.compile(WORD_ENDS if self.word_ends else BYTE_LEVEL)
         self.before = "" if self.word_ends else " "
         self.letters = _byte_letters()
-        self.words = Memory(self._word)
-        self.chunks = Memory(self._chunk)
+        self.words = Memory(self._word, WORDS)
+        self.chunks = Memory(self._chunk, CHUNKS)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids

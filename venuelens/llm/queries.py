@@ -8,7 +8,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, pii, quality, secrets, simhash
+from . import decontamination, packing, pii, quality, secrets, simhash, token_files
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,9 @@ def _(spark, folder):
 @query("op1_secrets")
 def _(spark, folder):
     return secrets.report(table(spark, folder, "documents"))
+
+
+@query("op6_token_files")
+def _(spark, folder):
+    manifest = token_files.write_files(table(spark, folder, "documents"), path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_files(manifest).drop("ids")
