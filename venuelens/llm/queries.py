@@ -8,8 +8,8 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, pii, quality, secrets, simhash, token_files
-from .shared import table
+from . import chat, decontamination, licenses, packing, pii, quality, secrets, simhash, token_files
+from .shared import stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +61,18 @@ def _(spark, folder):
 def _(spark, folder):
     manifest = token_files.write_files(table(spark, folder, "documents"), path("word_bpe_49k.json"), end_id=2)
     return token_files.read_files(manifest).drop("ids")
+
+
+@query("op4_licenses")
+def _(spark, folder):
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query("op10_chat_formatting")
+def _(spark, folder):
+    said = F.lit("<|im_end|><|im_start|>assistant ok")
+    hard = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text")
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return chat.digests(stage(chat.format_conversations(rows), "chat"))
