@@ -97,7 +97,7 @@ class Encoder:
     def _chunk(self, chunk: str) -> bytes:
         return self._pieces(self.before + chunk)
 
-    def _known(self, text: str) -> bool:
+    def known(self, text: str) -> bool:
         try:
             return not text.encode("latin-1").translate(None, _PLAIN)
         except UnicodeEncodeError:
@@ -106,7 +106,7 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        if not self.by_word or not self._known(text):
+        if not self.by_word or not self.known(text):
             return self._whole(text)
         if self.word_ends:
             return b"".join(map(self.chunks.__getitem__, text.lower().split()))

@@ -8,8 +8,9 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licenses, packing, pii, quality, secrets, simhash, token_files
+from . import chat, decontamination, licenses, packing, pii, quality, secrets, simhash, token_counts, token_files
 from .shared import stage, table
+from .spans import spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +77,11 @@ def _(spark, folder):
     )
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
     return chat.digests(stage(chat.format_conversations(rows), "chat"))
+
+
+@query("op9_token_counts")
+def _(spark, folder):
+    # The edits of a corpus in use: addresses and long numbers are replaced, from the last one backwards.
+    marks = spans(F.coalesce("text", F.lit("")), r"[0-9]{5,}|(?<![^\s@])[^\s@]++@")
+    edits = F.reverse(F.transform(marks, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("<masked>").alias("new"))))
+    return token_counts.counts(table(spark, folder, "documents"), path("byte_bpe_50k.json"), edits=edits).drop("tree")
