@@ -3,8 +3,8 @@
 Texts are sequences of words (runs of ASCII letters and digits, A-Z lower-cased, and of bytes beyond ASCII). An item
 of m words is found where a stretch of the document is within ``edits * m`` word edits of it.
 
-1. A window of m words that near an item has at most so many words outside the items' words. A sliding count finds
-   such windows exactly, first for the words of all items, then for those of the items of m words.
+1. A window of m words near an item has at most so many words outside the words of the items of m words, and lacks
+   at most as many of an item's different words. A sliding count finds such windows and loses none.
 2. Windows and items of m words are embedded by the CGK random walk into 3m symbols: the walk shows a symbol at each
    step and moves on by a random bit of it, so few edits become few differing places. A key is the symbols at a few
    sampled places; ``repeats`` walks with their own samples give the target recall, and equal keys are candidates.
@@ -38,7 +38,10 @@ RECALL = 0.95
 SAMPLED = 3
 AGREEMENT = 0.55
 BLOCK = 50_000
-_MAP_BITS = 24
+_MAP_BITS = 21
+_SLOT = np.uint32((1 << _MAP_BITS) - 1)
+#: Words of texts that are looked at together.
+_TOGETHER = 200_000
 _WORD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -96,75 +99,87 @@ class Items:
         self.sizes = sorted(by_size)
         self.ids = {m: [i for i, _ in rows] for m, rows in by_size.items()}
         self.rows = {m: np.stack([w for _, w in rows]) for m, rows in by_size.items()}
-        self.words = {m: np.unique(rows) for m, rows in self.rows.items()}
         self.keys = {}
         for m, rows in self.rows.items():
             for repeat in range(self.repeats):
                 keys = walk_keys(rows, repeat)
                 order = np.argsort(keys, kind="stable")
                 self.keys[m, repeat] = keys[order], order
-        self.known = np.zeros(1 << _MAP_BITS, bool)
-        for words in self.words.values():
-            self.known[words & np.uint32((1 << _MAP_BITS) - 1)] = True
-        if self.sizes:
-            # A window holds a part of ``part`` words with at most ``misses`` others, whatever its size.
-            self.part = self.sizes[0]
-            self.misses = max(self.limit(m) // (m // self.part) for m in self.sizes)
+        # Bit b of a slot: some item whose size has this bit holds a word of this slot.
+        self.held = np.zeros(1 << _MAP_BITS, np.uint64)
+        for i, m in enumerate(self.sizes):
+            self.held[np.unique(self.rows[m] & _SLOT)] |= np.uint64(1) << np.uint64(i % 64)
+        self.distinct = {m: min(len(np.unique(row)) for row in rows) for m, rows in self.rows.items()}
 
     def limit(self, m: int) -> int:
         return int(self.edits * m + 1e-9)
 
-    def windows(self, text: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(size, starts, padded text) of the windows that may be near an item of their size."""
-        largest = self.sizes[-1]
-        pad = np.zeros(largest, np.uint32)
-        whole = np.concatenate([text, pad])
-        inside = self.known[whole & np.uint32((1 << _MAP_BITS) - 1)]
-        inside[len(text):] = False
-        count = np.concatenate([[0], np.cumsum(inside)])
-        part = self.part
-        if (count[part:] - count[:-part]).max() < part - self.misses:
-            return
-        for m in self.sizes:
-            need = m - self.limit(m)
-            if not (count[m:] - count[:-m] >= need).any():
-                continue
-            own = np.isin(whole, self.words[m])
-            own[len(text):] = False
-            held = np.concatenate([[0], np.cumsum(own)])
-            starts = np.flatnonzero(held[m:] - held[:-m] >= need)
-            if len(starts):
-                yield m, starts, whole
+    def windows(self, whole: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(size, starts) of the windows of some padded texts that may be near an item of their size.
+
+        A window near an item has at most ``limit`` words that are not the item's, and lacks at most as many of its
+        different words.
+        """
+        held = self.held[whole & _SLOT]
+        held[whole == 0] = 0
+        for i, m in enumerate(self.sizes):
+            own = (held >> np.uint64(i % 64) & np.uint64(1)).astype(np.int32)
+            count = np.zeros(len(own) + 1, np.int32)
+            np.cumsum(own, out=count[1:])
+            starts = np.flatnonzero(count[m:] - count[:-m] >= m - self.limit(m))
+            for first in range(0, len(starts), 20_000):
+                part = starts[first : first + 20_000]
+                table = np.where(own[part[:, None] + np.arange(m)], whole[part[:, None] + np.arange(m)], 0)
+                table.sort(axis=1)
+                different = ((table[:, 1:] != table[:, :-1]) & (table[:, 1:] != 0)).sum(axis=1) + (table[:, 0] != 0)
+                part = part[different >= self.distinct[m] - self.limit(m)]
+                if len(part):
+                    yield m, part
 
     def find(self, texts: list[np.ndarray]) -> dict[int, list[tuple[int, int, int, int]]]:
         """For each text with a passage: (item, first word, words, edits) of each item found, at its best place."""
+        found: dict[int, dict[tuple[int, int], tuple[int, int, int, int]]] = {}
         if not self.sizes:
             return {}
-        waiting: dict[int, list[tuple[int, np.ndarray]]] = {}
-        for t, text in enumerate(texts):
-            if len(text):
-                for m, starts, whole in self.windows(text):
-                    waiting.setdefault(m, []).append((t, starts, whole))
-        found: dict[int, dict[int, tuple[int, int, int, int]]] = {}
+        # The windows of a size wait until there are many, as a walk takes one step of all of them at a time.
+        waiting: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        near: dict[int, dict[tuple[int, int], set[int]]] = {m: {} for m in self.sizes}
+        first = 0
+        while first < len(texts):
+            upto, total = first, 0
+            while upto < len(texts) and (upto == first or total + len(texts[upto]) <= _TOGETHER):
+                total += len(texts[upto])
+                upto += 1
+            for m, *rows in self._windows_of(texts, first, upto):
+                waiting.setdefault(m, []).append(tuple(rows))
+                if sum(len(owner) for _, owner, _ in waiting[m]) >= 20_000:
+                    self._candidates(m, waiting.pop(m), near[m])
+            first = upto
         for m, rows in waiting.items():
-            near: dict[tuple[int, int], set[int]] = {}
-            owner = np.concatenate([np.full(len(starts), t) for t, starts, _ in rows])
-            start = np.concatenate([starts for _, starts, _ in rows])
-            for first in range(0, len(start), 20_000):
-                self._candidates(m, owner[first : first + 20_000], start[first : first + 20_000], {t: w for t, _, w in rows}, near)
-            for (t, item), places in near.items():
+            self._candidates(m, rows, near[m])
+        for m, pairs in near.items():
+            for (t, item), places in pairs.items():
                 self._verify(m, t, item, sorted(places), texts[t], found)
         return {t: sorted(hits.values()) for t, hits in found.items()}
 
-    def _candidates(self, m, owner, start, wholes, near) -> None:
-        windows = np.stack([wholes[t][s : s + m] for t, s in zip(owner.tolist(), start.tolist())])
+    def _windows_of(self, texts, first, upto) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(size, windows, their texts, their first words) of texts put one after the other, with padding between."""
+        pad = np.zeros(self.sizes[-1], np.uint32)
+        whole = np.concatenate([part for text in texts[first:upto] for part in (text, pad)])
+        begins = np.cumsum([0] + [len(text) + len(pad) for text in texts[first:upto]])
+        for m, starts in self.windows(whole):
+            text = np.searchsorted(begins, starts, "right") - 1
+            yield m, whole[starts[:, None] + np.arange(m)], first + text, starts - begins[text]
+
+    def _candidates(self, m, rows, near) -> None:
+        windows, owner, place = (np.concatenate(column) for column in zip(*rows))
         for repeat in range(self.repeats):
             keys, order = self.keys[m, repeat]
             got = walk_keys(windows, repeat)
             low, high = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
             for w in np.flatnonzero(high > low).tolist():
                 for item in order[low[w] : high[w]].tolist():
-                    near.setdefault((int(owner[w]), item), set()).add(int(start[w]))
+                    near.setdefault((int(owner[w]), item), set()).add(int(place[w]))
 
     def _verify(self, m, t, item, places, text, found) -> None:
         limit, words = self.limit(m), self.rows[m][item]
