@@ -240,8 +240,11 @@ def test_terms_without_opener_test(spark, monkeypatch):
     assert as_set(terms.term_match_count_joined(df, "id", "c", table)) == brute_force(TEXTS, DICTIONARY)
 
 
-def test_long_lists_are_refused(spark):
+def test_long_lists_and_capitals(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, c string")
-    with pytest.raises(ValueError):
-        terms.term_match_count(df, "c", [f"a {i}" for i in range(300)])
-    assert as_set(terms.term_match_count(df, "c", [f"a{i}" for i in range(300)] + ["soup"])) == {("soup", 5)}
+    phrases = [f"a {i}" for i in range(300)] + DICTIONARY
+    assert as_set(terms.term_match_count(df, "c", phrases)) == brute_force(TEXTS, phrases)
+    words = [f"a{i}" for i in range(5000)] + ["Soup "]
+    assert as_set(terms.term_match_count(df, "c", words)) == {("soup", 5)}
+    table = spark.createDataFrame([("SOUP",), ("soup",)], "term string")
+    assert as_set(terms.term_match_count_joined(df, "id", "c", table)) == {("soup", 5)}

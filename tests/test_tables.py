@@ -83,7 +83,8 @@ def test_search(spark):
     assert second == [f"r{i:03}" for i in range(10, 20)]
     assert [r["id"] for r in tables.search(df, "", size=10, after="r009").collect()] == second
     with pytest.raises(ValueError):
-        tables.search(df, size=7)
+        tables.search(df, size=0)
+    assert tables.search(df, size=7).count() == 7
     assert tables.sample_head(df).count() == 20
 
 
@@ -225,7 +226,8 @@ def test_merge_pages(spark):
     df = spark.createDataFrame(
         [("a", 15, "later", [r(3)]), ("a", 0, "first", [r(1), r(2)]), ("b", 0, "b", []), ("c", 0, "c", [r(i) for i in range(80)])], kind
     )
-    got = {x["id"]: x for x in pages.merge_pages(df, header=["name"]).collect()}
+    assert {x["id"]: len(x["reviews"]) for x in pages.merge_pages(df, header=["name"]).collect()} == {"a": 3, "b": 0, "c": 80}
+    got = {x["id"]: x for x in pages.merge_pages(df, header=["name"], max_reviews=75).collect()}
     assert got["a"]["name"] == "first" and [x["user"] for x in got["a"]["reviews"]] == ["u1", "u2", "u3"]
     assert got["b"]["reviews"] == [] and len(got["c"]["reviews"]) == 75
     assert pages.page_reviews(df).count() == 83

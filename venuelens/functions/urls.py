@@ -27,17 +27,17 @@ def next_page_url(
     total: Column,
     marker: str = "-Reviews-",
     page_size: int = fv.REVIEW_PAGE_SIZE,
-    max_reviews: int = fv.MAX_REVIEWS,
+    max_reviews: int | None = None,
 ) -> Column:
     """Address of the next review page; NULL at the end.
 
     The end is a page with fewer cards than a full one, an offset at or past
-    the known total (0 or NULL = not known) or past ``max_reviews``.
+    the known total (0 or NULL = not known), or past ``max_reviews`` if that is given.
     """
     offset = page_offset(url, marker) + page_size
-    goes_on = (
-        (cards >= page_size) & (offset < max_reviews) & ((F.coalesce(total, F.lit(0)) <= 0) | (offset < total))
-    )
+    goes_on = (cards >= page_size) & ((F.coalesce(total, F.lit(0)) <= 0) | (offset < total))
+    if max_reviews is not None:
+        goes_on = goes_on & (offset < max_reviews)
     plain = F.regexp_replace(url, rf"{marker}or\d+-", marker)
     moved = F.replace(plain, F.lit(marker), F.concat(F.lit(f"{marker}or"), offset.cast("string"), F.lit("-")))
     return F.when(goes_on, moved)

@@ -9,7 +9,6 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import fixed_values as fv
 from ..functions.text import split_address
 from ..functions.urls import fingerprint
 from . import page_content
@@ -19,7 +18,7 @@ from .page_content import PageRules, Rule, page_fields
 cloudpickle.register_pickle_by_value(page_content)
 
 __all__ = [
-    "PageRules", "Rule", "count_cards", "extract_pages", "first_reviews", "merge_pages", "page_reviews", "unseen_links",
+    "PageRules", "Rule", "count_cards", "extract_pages", "first_reviews", "merge_pages", "page_headers", "page_reviews", "unseen_links",
 ]
 
 
@@ -39,30 +38,38 @@ def page_reviews(
 
 
 def first_reviews(
-    flat: DataFrame, key: str, order: Sequence[str], max_reviews: int = fv.MAX_REVIEWS
+    flat: DataFrame, key: str, order: Sequence[str], max_reviews: int
 ) -> DataFrame:
     """At most ``max_reviews`` rows per key, in order. Each task drops the surplus before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return flat.withColumn("_rank", rank).filter(F.col("_rank") <= max_reviews).drop("_rank")
 
 
+def page_headers(
+    pages: DataFrame, key: str = "id", offset: str = "offset", header: Sequence[str] = ("name", "rating", "review_count", "address")
+) -> DataFrame:
+    """R11, header side: one row per key with the header of its first page."""
+    return pages.groupBy(key).agg(*[F.min_by(F.col(c), F.col(offset)).alias(c) for c in header])
+
+
 def merge_pages(
     pages: DataFrame,
     key: str = "id",
     offset: str = "offset",
     reviews: str = "reviews",
     header: Sequence[str] = ("name", "rating", "review_count", "address"),
-    max_reviews: int = fv.MAX_REVIEWS,
+    max_reviews: int | None = None,
 ) -> DataFrame:
     """One document per key: header of its first page, reviews of all pages in page order.
 
-    The array holds at most ``max_reviews`` reviews, which bounds what one key
-    brings into one task; ``page_reviews`` gives them all as rows.
+    All reviews are kept unless ``max_reviews`` is given. One row then holds all
+    of a key; where keys may have very many, take ``page_headers`` and
+    ``page_reviews``, two tables joined by the key.
     """
-    heads = pages.groupBy(key).agg(
-        *[F.min_by(F.col(c), F.col(offset)).alias(c) for c in header], F.count("*").alias("_pages")
-    )
-    flat = first_reviews(page_reviews(pages, key, offset, reviews), key, [offset, "pos"], max_reviews)
+    heads = page_headers(pages, key, offset, header)
+    flat = page_reviews(pages, key, offset, reviews)
+    if max_reviews is not None:
+        flat = first_reviews(flat, key, [offset, "pos"], max_reviews)
     merged = flat.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct(offset, "pos", "user", "rating", "comment"))).alias("_r")
     )

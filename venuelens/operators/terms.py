@@ -47,12 +47,16 @@ def nested_term_match_count(
 
 
 def term_match_count(df: DataFrame, comment: str, terms: Iterable[str] = fv.INGREDIENTS) -> DataFrame:
-    """A5: (term, n), all non-overlapping whole-word matches, the longest term first, dictionary as a Python list."""
-    terms = sorted({t for t in terms if t})
+    """A5: (term, n), all non-overlapping whole-word matches, the longest term first, dictionary as a Python list.
+
+    Terms are taken in lower case. A list too long for the query itself is joined as a table, with the same rows.
+    """
+    terms = sorted({t.strip().lower() for t in terms if t and t.strip()})
     text = F.col(comment)
     plain_words = all(re.fullmatch(r"\w+", t) for t in terms)
     if len(terms) > (WORD_LIST_LIMIT if plain_words else PHRASE_LIST_LIMIT):
-        raise ValueError("use term_match_count_joined for a long dictionary")
+        dictionary = df.sparkSession.createDataFrame([(t,) for t in terms], "term string")
+        return term_match_count_joined(df.withColumn("_row", F.monotonically_increasing_id()), "_row", comment, dictionary)
     if plain_words:
         found = F.filter(tokenize(text), lambda t: t.isin(*terms))
     else:
@@ -92,13 +96,17 @@ def term_match_count_joined(
     frequent words. Terms of one piece cannot overlap, so a dictionary of plain
     words needs no grouping per text.
     """
-    terms = dictionary.select("term").filter(is_present(F.col("term"))).distinct()
+    terms = dictionary.select(F.trim(F.lower("term")).alias("term")).filter(is_present(F.col("term"))).distinct()
     # How many pieces a term has and whether it starts with a word: a handful of groups.
     shapes = (
         terms.groupBy(F.size(_pieces(F.col("term"))).alias("pieces"), F.col("term").rlike(f"^{WORD}").alias("word"))
         .agg(F.sum(F.octet_length("term") + ROW_OVERHEAD).alias("bytes"))
         .collect()
     )
+    if all(s["pieces"] == 1 and s["word"] for s in shapes):
+        # Plain words: counted first, so that what meets the dictionary is one row per different word.
+        words = explode_once(df.filter(is_present(F.col(comment))), tokenize(F.col(comment)), "term")
+        return words.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
     size = sum(s["bytes"] for s in shapes)
     # A dictionary with few different first pieces lets most places of a text go before the join.
     first_pieces = terms.select(F.get(_pieces(F.col("term")), 0).alias("first")).distinct()

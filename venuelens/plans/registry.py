@@ -518,18 +518,31 @@ def _(spark, folder):
     return table(spark, folder, "pages").select("page_id", kind.alias("kind"))
 
 
-@case("N24_next_page_url", """SELECT o_orderkey,
- CASE WHEN o_orderkey % 17 >= 15 AND o + 15 < 75 AND (o_custkey % 90 = 0 OR o + 15 < o_custkey % 90)
+def _next_page_sql(stop: str) -> str:
+    return f"""SELECT o_orderkey,
+ CASE WHEN o_orderkey % 17 >= 15 {stop} AND (o_custkey % 120 = 0 OR o + 15 < o_custkey % 120)
   THEN 'https://x.example/Restaurant_Review-g1-d' || o_custkey || '-Reviews-or' || (o + 15) || '-a.html' END AS next_url
-FROM (SELECT *, (o_orderkey % 6) * 15 AS o FROM orders) t""")
-def _(spark, folder):
+FROM (SELECT *, (o_orderkey % 6) * 15 AS o FROM orders) t"""
+
+
+def _next_page(spark, folder, **stop):
     offset = F.col("o_orderkey") % 6 * 15
     marker = F.when(offset == 0, F.lit("-Reviews-")).otherwise(F.concat(F.lit("-Reviews-or"), offset, F.lit("-")))
     url = F.concat(F.lit("https://x.example/Restaurant_Review-g1-d"), F.col("o_custkey"), marker, F.lit("a.html"))
-    following = urls.next_page_url(url, F.col("o_orderkey") % 17, F.col("o_custkey") % 90)
+    following = urls.next_page_url(url, F.col("o_orderkey") % 17, F.col("o_custkey") % 120, **stop)
     return table(spark, folder, "orders").select("o_orderkey", following.alias("next_url"))
 
 
+@case("N24_next_page_url", _next_page_sql(""))
+def _(spark, folder):
+    return _next_page(spark, folder)
+
+
+@case("N24_next_page_url_stop", _next_page_sql("AND o + 15 < 75"))
+def _(spark, folder):
+    return _next_page(spark, folder, max_reviews=fv.MAX_REVIEWS)
+
+
 # === filters and lookups (F, J) ===================================================
 
 
@@ -675,17 +688,18 @@ def _(spark, folder):
     return pages.page_reviews(samples.conversation_pages(spark, folder))
 
 
-@case("R11_R12_merge_pages", f"""WITH lines AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, pos) AS rn
+def _merged_sql(keep: str) -> str:
+    return f"""WITH lines AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, pos) AS rn
   FROM {samples.CONVERSATION_LINES_SQL} l),
  heads AS (SELECT conv_id, arg_min(role || ' ' || turn, turn) AS name, CAST(arg_min(len(text), turn) AS VARCHAR) AS rating
   FROM conversations GROUP BY conv_id)
 SELECT conv_id AS id, any_value(name) AS name, any_value(rating) AS rating, CAST(count(*) AS BIGINT) AS n_reviews,
  md5(string_agg(role || ':' || comment, '|' ORDER BY turn, pos)) AS content
-FROM lines JOIN heads USING (conv_id) WHERE rn <= 20 GROUP BY conv_id""")
-def _(spark, folder):
-    merged = pages.merge_pages(
-        samples.conversation_pages(spark, folder), header=("name", "rating"), max_reviews=20
-    )
+FROM lines JOIN heads USING (conv_id) WHERE {keep} GROUP BY conv_id"""
+
+
+def _merged(spark, folder, **cap):
+    merged = pages.merge_pages(samples.conversation_pages(spark, folder), header=("name", "rating"), **cap)
     lines = F.transform("reviews", lambda r: F.concat_ws(":", r["user"], r["comment"]))
     return merged.select(
         "id", "name", "rating", F.size("reviews").cast("bigint").alias("n_reviews"),
@@ -693,6 +707,22 @@ def _(spark, folder):
     )
 
 
+@case("R11_merge_pages", _merged_sql("true"))
+def _(spark, folder):
+    return _merged(spark, folder)
+
+
+@case("R12_first_reviews", _merged_sql("rn <= 20"))
+def _(spark, folder):
+    return _merged(spark, folder, max_reviews=20)
+
+
+@case("R11_page_headers", """SELECT conv_id AS id, arg_min(role || ' ' || turn, turn) AS name,
+ CAST(arg_min(len(text), turn) AS VARCHAR) AS rating FROM conversations GROUP BY conv_id""")
+def _(spark, folder):
+    return pages.page_headers(samples.conversation_pages(spark, folder), header=("name", "rating"))
+
+
 def _plain_sql(html: str) -> str:
     for entity, character in (("&quot;?", '"'), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")):
         html = f"regexp_replace({html}, '{entity}', '{character}', 'g')"
@@ -773,9 +803,14 @@ def _(spark, folder):
     )
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{folder}/events.parque[t]"  # a pattern, since a stream takes a plain path for a folder only
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select(*_EVENT_COLUMNS)
+def _event_stream(spark: SparkSession, folder: str, work: str) -> DataFrame:
+    """The events as four files that arrive one after the other; early, late and repeated rows in each."""
+    events = table(spark, folder, "events").select(*_EVENT_COLUMNS)
+    for number in range(4):
+        part = events.filter(F.col("event_id") % 4 == number).unionByName(events.filter(F.col("event_id") % 40 == number + 1))
+        part.coalesce(1).write.mode("append").parquet(f"{work}/arrived")
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{work}/arrived")
 
 
 @case("I1_incremental_load", f"SELECT user_id, ts, event_id, event_type, value FROM events {_LATEST}")
@@ -783,21 +818,19 @@ def _(spark, folder):
     work = shared_dir(spark, "sync")
     name = "sync_events_" + work[-12:]
     incremental.run_available(
-        _event_stream(spark, folder),
+        _event_stream(spark, folder, work),
         lambda batch, _: incremental.upsert_into(name, batch, "user_id", ["ts", "event_id"], f"{work}/tables"),
         f"{work}/checkpoint",
     )
     return spark.table(name)
 
 
-@case("I1_change_log", f"""WITH base AS (SELECT user_id, ts, event_id, event_type, value FROM events WHERE {_BASE_EVENTS} {_LATEST}),
- changes AS (SELECT user_id, ts, event_id, event_type, value FROM events {_LATEST})
-SELECT * FROM changes UNION ALL SELECT * FROM base WHERE user_id NOT IN (SELECT user_id FROM changes)""")
+@case("I1_change_log", f"SELECT user_id, ts, event_id, event_type, value FROM events {_LATEST}")
 def _(spark, folder):
     work = shared_dir(spark, "sync")
     changes = f"{work}/changes"
     incremental.run_available(
-        _event_stream(spark, folder),
+        _event_stream(spark, folder, work),
         lambda batch, number: incremental.append_changes(batch, number, changes),
         f"{work}/checkpoint",
     )
@@ -806,18 +839,89 @@ def _(spark, folder):
     return incremental.current_rows(base, spark.read.parquet(changes), "user_id", ["ts", "event_id"])
 
 
+# A document of a later file takes the place of an earlier one, with its reviews.
+_SYNCED = f"""(SELECT * FROM {samples.RAW_RESTAURANTS_SQL} r
+ QUALIFY row_number() OVER (PARTITION BY id ORDER BY o_orderkey % 3 DESC, o_orderkey DESC) = 1)"""
+
+
+@case("C5_I1_load_new_files", f"""SELECT id, name, rating, district_parsed, city, CAST(2 AS BIGINT) AS n_reviews FROM {_SYNCED} s""")
+def _(spark, folder):
+    work = shared_dir(spark, "sync")
+    restaurants, reviews = "sync_restaurants_" + work[-12:], "sync_reviews_" + work[-12:]
+    raw = samples.raw_restaurants(spark, folder)
+    for number in range(3):
+        part = raw.filter(F.col("o_orderkey") % 3 == number).select(*schemas.RESTAURANTS_RAW.fieldNames(), "o_orderkey")
+        part.coalesce(1).write.mode("append").json(f"{work}/arrived")
+    incremental.load_new_files(
+        spark, f"{work}/arrived", f"{work}/checkpoint", ["o_orderkey"], restaurants, reviews,
+        T.StructType([*schemas.RESTAURANTS_RAW.fields, T.StructField("o_orderkey", T.LongType())]), max_files=1,
+    )
+    counts = spark.table(reviews).groupBy("restaurant_id").agg(F.count("*").alias("n_reviews"))
+    stored = spark.table(restaurants).join(counts, F.col("id") == F.col("restaurant_id"))
+    return stored.select("id", "name", "rating", "district_parsed", "city", "n_reviews")
+
+
 # === files (S) ====================================================================
 
 
-@case("S2_json_lines", """SELECT event_id AS id, event_type AS name, CAST(user_id AS VARCHAR) AS rating FROM events
-WHERE event_id % 7 <> 0""")
+@case("S2_json_lines", """SELECT event_id AS id, event_type AS name, CASE WHEN event_id % 11 = 4 THEN NULL ELSE user_id END AS rating
+FROM events WHERE event_id % 11 NOT IN (0, 1, 2, 3)""")
 def _(spark, folder):
-    line = F.when(F.col("event_id") % 7 == 0, F.lit("{not json")).otherwise(
-        F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("name"), F.col("user_id").alias("rating")))
+    """Lines that are no JSON, cut off, followed by other text or an array go; one unfit field does not matter."""
+    good = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("name"), F.col("user_id").alias("rating")))
+    kind = F.col("event_id") % 11
+    line = (
+        F.when(kind == 0, F.lit("{not json")).when(kind == 1, F.concat(good, F.lit(" trailing")))
+        .when(kind == 2, F.concat(F.lit("["), good, F.lit("]"))).when(kind == 3, F.expr("left(to_json(struct(event_id AS id, event_type AS name)), 20)"))
+        .when(kind == 4, F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("name"), F.lit(True).alias("rating"))))
+        .otherwise(good)
     )
     path = shared_dir(spark, "lines")
     table(spark, folder, "events").select(line.alias("value")).write.text(path)
-    return readers.read_json_lines(spark, path, schemas.struct(id=T.LongType(), name=T.StringType(), rating=T.StringType()))
+    return readers.read_json_lines(spark, path, schemas.struct(id=T.LongType(), name=T.StringType(), rating=T.LongType()))
+
+
+@case("S2_reading_order", """SELECT event_id % 50 AS id, max(event_id) FILTER (WHERE event_id % 3 = 2) AS small_last,
+ max(event_id) FILTER (WHERE event_id % 3 <> 2) AS large_last FROM events GROUP BY 1""")
+def _(spark, folder):
+    """Two files of unequal size: of an id the last line of the file that is last by name stays, the small or the large one."""
+    root = shared_dir(spark, "ordered")
+    events = table(spark, folder, "events").select((F.col("event_id") % 50).alias("id"), F.col("event_id").alias("value"))
+    small, large = events.filter("value % 3 = 2"), events.filter("value % 3 <> 2")
+    for first, second, name in ((large, small, "small_last"), (small, large, "large_last")):
+        for part, rows in (("part=1", first), ("part=2", second)):
+            rows.coalesce(1).sortWithinPartitions("value").write.json(f"{root}/{name}/{part}")
+    schema = schemas.struct(id=T.LongType(), value=T.LongType())
+    found = []
+    for name in ("small_last", "large_last"):
+        lines = readers.read_json_lines(spark, f"{root}/{name}", schema, sequence=True)
+        found.append(tables.latest_by_key(lines, "id", [readers.SEQUENCE]).select("id", F.col("value").alias(name)))
+    return found[0].join(found[1], "id")
+
+
+@case("S1_read_json_array", "SELECT c_custkey AS id, c_name AS name FROM customer")
+def _(spark, folder):
+    path = shared_dir(spark, "array")
+    rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    # One array per nation, each line of the output is a file's whole content.
+    arrays = rows.groupBy(F.col("id") % 7).agg(F.to_json(F.collect_list(F.struct("id", "name"))).alias("value")).select("value")
+    for number, row in enumerate(arrays.toLocalIterator()):
+        spark.createDataFrame([(row["value"],)], "value string").coalesce(1).write.text(f"{path}/part={number}")
+    return readers.read_json_array(spark, path, schemas.struct(id=T.LongType(), name=T.StringType())).select("id", "name")
+
+
+@case("S7_S8_seed", "SELECT DISTINCT p_brand AS name, p_type AS kind FROM part")
+def _(spark, folder):
+    path = shared_dir(spark, "seed")
+    seed = table(spark, folder, "part").select(F.col("p_brand").alias("name"), F.col("p_type").alias("kind")).distinct()
+    writers.save_seed(seed, path)
+    return readers.read_seed(spark, path, schemas.struct(name=T.StringType(), kind=T.StringType()), required=True)
+
+
+@case("O6_sample_head", "SELECT least(20, count(*)) AS n FROM customer")
+def _(spark, folder):
+    customers = table(spark, folder, "customer").select("c_custkey")
+    return tables.sample_head(customers, 20).join(customers, "c_custkey", "left_semi").agg(F.count("*").alias("n"))
 
 
 @case("S4_S6_export_documents", "SELECT CAST(doc_id AS VARCHAR) AS id, lang, n_chars FROM documents")

@@ -46,6 +46,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder through the file system of its path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A plain scan over all cores, for work that costs far more per row than moving the row.
 

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed_values as fv
 from .. import schemas
 
-CORRUPT = "_corrupt"
 SEQUENCE = "_seq"
 
 
@@ -18,26 +17,37 @@ def _path_missing(error: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in (error.getCondition() or str(error))
 
 
+def reading_order() -> Column:
+    """The place of a row in its input: files by path, then the split within the file, then the row within the split.
+
+    A task may read several splits and larger files first, so the row number alone is no order over files.
+    """
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
+def _is_whole_object(line: Column) -> Column:
+    """The line is one JSON object and nothing else. Parsers stop behind a first value; in brackets they can't."""
+    listed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    one = F.schema_of_variant(F.try_variant_get(listed, "$[0]", "variant")).startswith("OBJECT")
+    return F.coalesce(one & F.try_variant_get(listed, "$[1]", "variant").isNull(), F.lit(False))
+
+
 def read_json_lines(
     spark: SparkSession, path: str, schema: T.StructType, sequence: bool = False
 ) -> DataFrame:
-    """One object per line; lines that give nothing at all are left out.
+    """One object per line; lines that are anything else, cut off or followed by other text are left out.
 
     A line with one unfit field keeps its other fields. ``sequence`` adds
-    ``_seq``, the reading order, for "last one wins" steps. The test of a line
-    uses one data column only, so that unused columns are not parsed.
+    ``_seq``, the reading order over all files, for "last one wins" steps.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    df = (
-        spark.read.schema(with_corrupt)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    lines = spark.read.text(path)
+    extra = []
     if sequence:
-        df = df.withColumn(SEQUENCE, F.monotonically_increasing_id())
-    is_object = F.json_object_keys(CORRUPT).isNotNull()
-    return df.filter(F.col(CORRUPT).isNull() | F.col(schema.fields[0].name).isNotNull() | is_object).drop(CORRUPT)
+        lines, extra = lines.select("value", reading_order().alias(SEQUENCE)), [SEQUENCE]
+    return lines.filter(_is_whole_object(F.col("value"))).select(F.from_json("value", schema).alias("d"), *extra).select("d.*", *extra)
 
 
 def read_documents_with_presence(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -80,7 +90,7 @@ def read_json_array(
         )
         if not_array:
             raise ValueError(f"{not_array[0][0]} must hold a JSON array at the top level")
-    return df.withColumn(SEQUENCE, F.monotonically_increasing_id()) if sequence else df
+    return df.withColumn(SEQUENCE, reading_order()) if sequence else df
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType, required: bool = False) -> DataFrame:

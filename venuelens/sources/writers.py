@@ -40,8 +40,9 @@ def publish_files(df: DataFrame, path: str, file_format: str = "json") -> bool:
 
 
 def save_seed(df: DataFrame, path: str) -> None:
-    """Collected records as JSON files."""
-    df.write.mode("overwrite").json(path)
+    """Collected records as one JSON array, the form that ``read_seed`` takes. For seed lists of some thousand rows."""
+    whole = df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    whole.coalesce(1).write.mode("overwrite").text(path)
 
 
 def result_lines(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..operators.normalize import restaurant_documents, restaurants_table, reviews_table
-from ..operators.tables import replace_upsert
+from ..operators.normalize import meals_table, restaurant_documents, restaurants_table, reviews_table
+from ..operators.tables import ordered_upsert, replace_upsert
+from ..session import remove_folder, shared_dir
 from ..sources.tables import publish
 
 
@@ -32,13 +33,14 @@ def run_available(stream: DataFrame, apply: Callable[[DataFrame, int], None], ch
 def upsert_into(
     table: str, batch: DataFrame, key: str, order: Sequence[str], root: str | None = None
 ) -> None:
-    """R2 on a stored table; the first batch creates it. The same batch twice gives the same table.
+    """R2 on a stored table; the first batch creates it. The order rules over stored and new rows.
 
-    This rewrites the table. For small batches into a large table use ``append_changes``.
+    So the table is the same however rows fall into batches, and the same batch twice changes nothing. This rewrites
+    the table. For small batches into a large table use ``append_changes``.
     """
     spark = batch.sparkSession
     base = spark.table(table) if spark.catalog.tableExists(table) else batch.limit(0)
-    publish(spark, table, replace_upsert(base, batch, key, order), root)
+    publish(spark, table, ordered_upsert(base, batch, key, order), root)
 
 
 BATCH = "_batch"
@@ -54,45 +56,59 @@ def append_changes(batch: DataFrame, number: int, changes: str) -> None:
 
 
 def current_rows(base: DataFrame, changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """A stored table with its change log applied: later batches win, then the order within a batch.
+    """A stored table with its change log applied. The order rules over table and log; of rows equal in it the log's win.
 
     A log that is small against the table is broadcast, so the table is read
     without a shuffle; ``publish`` the result from time to time and start a new log.
     """
-    return replace_upsert(base, changes, key, [BATCH, *order])
+    stored = base.withColumn(BATCH, F.lit(-1).cast("bigint"))
+    return ordered_upsert(stored, changes, key, [*order, BATCH]).select(*base.columns)
+
+
+def _stored(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
+    return spark.table(table) if spark.catalog.tableExists(table) else like.limit(0)
 
 
 def sync_documents(
     batch: DataFrame,
+    order: Sequence[str],
     restaurants: str = "restaurants",
     reviews: str = "reviews",
-    order: Sequence[str] = (),
 ) -> None:
-    """One batch of raw documents into the stored tables: restaurants are upserted, their reviews replaced."""
+    """One batch of raw documents into the stored tables: restaurants are upserted, their reviews replaced.
+
+    Within a batch the order rules; between batches the later one wins, as the tables keep no order column. The cleaned
+    batch is written once to the shared folder and both tables derive from there.
+    """
+    spark = batch.sparkSession
+    folder = shared_dir(spark, "sync-batch")
+    restaurant_documents(batch, order).accepted.write.parquet(folder)
+    documents = spark.read.parquet(folder)
+    rows = restaurants_table(documents)
+    publish(spark, restaurants, replace_upsert(_stored(spark, restaurants, rows), rows, "id", ()))
+    new_reviews = reviews_table(documents).accepted
+    ids = documents.select(F.col("id").alias("restaurant_id"))
+    stored = _stored(spark, reviews, new_reviews)
+    kept = stored.join(ids, "restaurant_id", "left_anti").select(*stored.columns)
+    publish(spark, reviews, kept.unionByName(new_reviews))
+    remove_folder(spark, folder)
+
+
+def sync_meals(batch: DataFrame, order: Sequence[str], meals: str = "meals") -> None:
+    """One batch of parsed meals into the stored table, as ``sync_documents`` does for restaurants."""
     spark = batch.sparkSession
-    # Both tables derive from the batch; it is small against the tables and kept for the second use.
-    documents = restaurant_documents(batch, order).accepted.persist()
-    try:
-        upsert_into(restaurants, restaurants_table(documents), "id", ())
-        new_reviews = reviews_table(documents).accepted
-        if spark.catalog.tableExists(reviews):
-            stored = spark.table(reviews)
-            ids = documents.select("id").withColumnRenamed("id", "restaurant_id")
-            kept = stored.join(ids, "restaurant_id", "left_anti").select(*stored.columns)
-            new_reviews = kept.unionByName(new_reviews)
-        publish(spark, reviews, new_reviews)
-    finally:
-        documents.unpersist()
+    rows = meals_table(batch, order).accepted
+    publish(spark, meals, replace_upsert(_stored(spark, meals, rows), rows, "id", ()))
 
 
 def load_new_files(
     spark: SparkSession,
     path: str,
     checkpoint: str,
+    order: Sequence[str],
     restaurants: str = "restaurants",
     reviews: str = "reviews",
     schema: T.StructType = schemas.RESTAURANTS_RAW,
-    order: Sequence[str] = (),
     max_files: int | None = None,
 ) -> None:
     """Sync the JSON Lines files that have appeared at ``path`` since the last call."""
@@ -100,5 +116,5 @@ def load_new_files(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     run_available(
-        reader.json(path), lambda batch, _: sync_documents(batch, restaurants, reviews, order), checkpoint
+        reader.json(path), lambda batch, _: sync_documents(batch, order, restaurants, reviews), checkpoint
     )
