@@ -85,7 +85,7 @@ def test_import_collection(spark, tmp_path):
     records = [{"_id": "x", "name": "A", "rating": "4.5"}, {"_id": "x", "name": "B"}, {"name": "no id"}]
     path = write(tmp_path / "a.json", json.dumps(records))
     got = ingest.import_collection(spark, path, schemas.DOCUMENTS_RAW, "collection_r")
-    assert as_set(got.select("id", "name")) == {("x", "B")}
+    assert as_set(got.select("id", "name", "rating")) == {("x", "B", 4.5)}
     assert ingest.import_collection(spark, str(tmp_path / "none"), schemas.DOCUMENTS_RAW, "collection_r") is None
 
 
@@ -168,9 +168,9 @@ def test_external_tables_and_views(spark, tmp_path):
     assert spark.table("lake_ext.mongodb_restaurants").columns == schemas.NESTED_RESTAURANTS.fieldNames()
     assert spark.table("lake_ext.mysql_meals").count() == 0
     assert len(views.create_views(spark, "lake_ext")) == 7
-    assert as_set(reports.query(spark, "SELECT district, avg_rating, total_count FROM view_rating_by_district")) == {("Quận 1", 4.5, 1)}
-    assert as_set(reports.query(spark, "SELECT * FROM view_delivery_sentiment")) == {("Delivery", 4.0, 1)}
-    assert as_set(reports.query(spark, "SELECT * FROM view_cuisine_area")) == {("Thai", 1)}
+    assert as_set(reports.query(spark, "SELECT district, avg_rating, total_count FROM lake_ext.view_rating_by_district")) == {("Quận 1", 4.5, 1)}
+    assert as_set(reports.query(spark, "SELECT * FROM lake_ext.view_delivery_sentiment")) == {("Delivery", 4.0, 1)}
+    assert as_set(reports.query(spark, "SELECT * FROM lake_ext.view_cuisine_area")) == {("Thai", 1)}
     assert as_set(reports.query(spark, "SELECT name FROM lake_ext.mongodb_restaurants")) == {("A",)}
 
 

@@ -184,7 +184,7 @@ def test_create_evolve_load_wipe(spark):
     meals = spark.createDataFrame([("m1", "Pho", None, "", "cook", ["a"])], schemas.MEALS_RAW)
     long_name = {"id": "bad", "name": "n" * 300}
     for _ in range(2):
-        counters = ingest.load_documents(spark, raw(spark, [RAW, long_name]), meals, "lake_test")
+        counters = ingest.load_documents(spark, raw(spark, [RAW, long_name]), meals, "lake_test", (), ())
         assert counters == {"restaurants": 1, "reviews": 2, "meals": 1, "skipped": 1}
         assert {r["id"] for r in spark.table("lake_test.restaurants").collect()} == {"old", "rest_d33215720"}
         assert spark.table("lake_test.reviews").count() == 2

@@ -26,6 +26,11 @@ def _raw_id(df: DataFrame) -> Column:
     return F.coalesce(*[F.col(c) for c in names])
 
 
+def short_id(raw: DataFrame) -> Column:
+    """The short id of a raw document, '' if it has none."""
+    return make_short_id(_raw_id(raw))
+
+
 def clean_restaurants(raw: DataFrame, literal: bool = False, any_number: bool = False) -> DataFrame:
     """One pass over raw documents; the result is nested like the input, typed, plus any other columns."""
     district, address, city = (clean_location_text(F.col(c)) for c in ("district", "address", "city"))

@@ -16,17 +16,21 @@ class Rule:
     value: str = ""
 
 
+# One element, or several to try in turn until one finds something.
+Rules = Rule | tuple[Rule, ...]
+
+
 @dataclass(frozen=True)
 class PageRules:
     """Where the fields of a page are."""
 
-    card: Rule
-    user: Rule
-    comment: Rule
-    name: Rule = Rule("h1")
-    rating: Rule | None = None
-    review_count: Rule | None = None
-    address: Rule | None = None
+    card: Rules
+    user: Rules
+    comment: Rules
+    name: Rules = Rule("h1")
+    rating: Rules | None = None
+    review_count: Rules | None = None
+    address: Rules | None = None
     label: Rule = Rule("svg")
     label_word: str = "bubble"
 
@@ -48,15 +52,17 @@ class _Node:
             yield node
             stack.extend(c for c in reversed(node.children) if isinstance(c, _Node))
 
-    def find(self, rule: Rule | None) -> list["_Node"]:
+    def find(self, rule: Rules | None) -> list["_Node"]:
         if rule is None:
             return []
+        if isinstance(rule, tuple):
+            return next((found for one in rule if (found := self.find(one))), [])
         return [
             n for n in self.walk()
             if n.tag == rule.tag and (rule.attribute is None or rule.value in n.attributes.get(rule.attribute, ""))
         ]
 
-    def outermost(self, rule: Rule | None) -> list["_Node"]:
+    def outermost(self, rule: Rules | None) -> list["_Node"]:
         """Like ``find``, without elements inside another one that is found."""
         nodes = self.find(rule)
         ids = {id(n) for n in nodes}

@@ -19,13 +19,15 @@ def load_documents(
     spark: SparkSession,
     restaurants_raw: DataFrame,
     meals_raw: DataFrame,
-    database: str | None = None,
-    order: Sequence[str] = (),
-    meals_order: Sequence[str] = (),
+    database: str | None,
+    order: Sequence[str],
+    meals_order: Sequence[str],
 ) -> dict[str, int]:
     """Upsert restaurants and meals, reload reviews. Returns the load counters.
 
-    The cleaned documents are written once to the shared folder, and both the
+    The orders tell which of several documents of an id is the last; empty ones
+    say that ids do not repeat. Refused rows go to the table ``rejects`` with
+    their table, key and reason. The cleaned documents are written once to the shared folder, and both the
     restaurants and the reviews are read from there.
     """
     prefix = f"{database}." if database else ""
@@ -54,7 +56,8 @@ def load_documents(
     store("restaurants", norm.restaurants_table(documents), documents.select("id"))
     store("reviews", reviews.accepted)  # R4: reloaded as a whole
     store("meals", meals, meals.select("id"))
-    counters["skipped"] = split.rejects.unionByName(reviews.rejects).unionByName(meals_split.rejects).count()
+    store("rejects", stage(split.rejects.unionByName(reviews.rejects).unionByName(meals_split.rejects), "rejects"))
+    counters["skipped"] = counters.pop("rejects")
     return counters
 
 
@@ -65,13 +68,18 @@ def ingest_meals(collection: DataFrame, recipes: DataFrame, order: Sequence[str]
 
 
 def import_collection(spark: SparkSession, path: str, schema, name: str) -> DataFrame | None:
-    """Replace a document collection by a cleaned array file; None when there is no file."""
+    """Replace a document collection by a cleaned array file; None when there is no file.
+
+    Records of one id are merged field by field: the last one that has a field gives it.
+    """
     raw = readers.read_json_array(spark, path, schema, sequence=True)
     if raw is None:
         return None
-    cleaned = norm.clean_restaurants(raw).filter(F.col("id") != "")
-    latest = norm.latest_by_key(cleaned, "id", [readers.SEQUENCE]).drop(readers.SEQUENCE)
-    publish(spark, name, latest)
+    there = lambda c: F.when(F.col(c).isNotNull(), F.col(readers.SEQUENCE))
+    fields = [c for c in raw.columns if c not in ("_id", "id", "url", readers.SEQUENCE)]
+    keyed = raw.withColumn("id", norm.short_id(raw)).filter(F.col("id") != "")
+    merged = keyed.groupBy("id").agg(*[F.max_by(F.col(c), there(c)).alias(c) for c in fields])
+    publish(spark, name, norm.clean_restaurants(merged))
     return spark.table(name)
 
 

@@ -136,6 +136,23 @@ def _(spark, folder):
     return report_bundle(spark, folder)["view_top_districts"]
 
 
+@case("V8_report_rating_histogram", f"""SELECT {_HISTOGRAM} AS rating_group, count(*) AS restaurant_count
+FROM {samples.VENUES_SQL} v WHERE rating IS NOT NULL GROUP BY 1""")
+def _(spark, folder):
+    return report_bundle(spark, folder)["view_rating_histogram"]
+
+
+@case("V8_report_review_distribution", f"""SELECT CAST(trunc(rating) AS INTEGER) AS stars, count(*) AS cnt
+FROM {samples.LABELLED_REVIEWS_SQL} r WHERE rating BETWEEN 1 AND 5 GROUP BY 1""")
+def _(spark, folder):
+    return report_bundle(spark, folder)["view_review_distribution"]
+
+
+@case("V8_report_delivery_sentiment", _service_sql(fv.DELIVERY_LIKE_PATTERNS))
+def _(spark, folder):
+    return report_bundle(spark, folder)["view_delivery_sentiment"]
+
+
 @case("V9_free_sql", f"SELECT district_parsed, max(rating) AS best, count(*) AS n FROM {samples.VENUES_SQL} v "
       "WHERE rating >= 3 GROUP BY district_parsed HAVING count(*) > 10")
 def _(spark, folder):
@@ -668,6 +685,41 @@ def _(spark, folder):
     return normalize.meals_table(collection).accepted
 
 
+@case("R6_review_keys", """SELECT 2 * count(DISTINCT o_custkey) AS reviews, 2 * count(DISTINCT o_custkey) AS keys FROM orders""")
+def _(spark, folder):
+    documents = normalize.restaurant_documents(samples.raw_restaurants(spark, folder), _ORDER)
+    reviews = normalize.reviews_table(documents.accepted).accepted
+    return reviews.agg(F.count("*").alias("reviews"), F.count_distinct("id").alias("keys"))
+
+
+@case("R9_ingest_meals_into_filled", f"""WITH r AS (SELECT *, CAST(substr(id, 6) AS BIGINT) AS k FROM {samples.PARSED_RECIPES_SQL} m)
+SELECT id, name, CASE WHEN k % 2 = 0 THEN coalesce(category, 'Unknown') ELSE 'Old' END AS category,
+ array_to_string(ingredients, ', ') AS ingredients FROM r WHERE k % 2 = 0 OR k % 3 = 0""")
+def _(spark, folder):
+    """New records take the place of the stored ones of their id; stored ones without a new record stay."""
+    recipes = samples.raw_recipes(spark, folder)
+    stored = normalize.clean_meals(normalize.parse_meals(recipes.filter("idMeal % 3 = 0"))).withColumn("category", F.lit("Old"))
+    merged = ingest.ingest_meals(stored, recipes.filter("idMeal % 2 = 0"))
+    return merged.select("id", "name", "category", F.array_join("ingredients", ", ").alias("ingredients"))
+
+
+@case("R5_import_collection", """SELECT 'rest_d' || o_custkey AS id, 'Place ' || max(o_orderkey) FILTER (WHERE o_orderkey % 2 = 0) AS name,
+ CAST(arg_max(o_orderkey % 5, o_orderkey) FILTER (WHERE o_orderkey % 2 = 1) AS DOUBLE) AS rating FROM orders GROUP BY o_custkey""")
+def _(spark, folder):
+    """Records of one id have the name or the rating, never both."""
+    work = shared_dir(spark, "import")
+    key = F.col("o_orderkey")
+    record = F.struct(
+        F.concat(F.lit("https://x.example/Restaurant_Review-g1-d"), F.col("o_custkey"), F.lit("-Reviews-a.html")).alias("_id"),
+        F.when(key % 2 == 0, F.concat(F.lit("Place "), key)).alias("name"), F.when(key % 2 == 1, key % 5).cast("string").alias("rating"),
+    )
+    # Files by ranges of the key, so that the order of the files is that of the keys.
+    ranged = table(spark, folder, "orders").groupBy(F.floor(key / 20000).alias("part")).agg(F.array_sort(F.collect_list(F.struct(key.alias("k"), record.alias("r")))).alias("rows"))
+    for row in ranged.select("part", F.to_json(F.transform("rows", lambda x: x["r"])).alias("value")).orderBy("part").toLocalIterator():
+        spark.createDataFrame([(row["value"],)], "value string").coalesce(1).write.text(f"{work}/part={row['part']:06d}")
+    return ingest.import_collection(spark, work, schemas.DOCUMENTS_RAW, "imported_" + work[-12:]).select("id", "name", "rating")
+
+
 @case("R10_rejects", """SELECT 'meals' AS "table", CAST(doc_id AS VARCHAR) AS key,
  'name longer than 255' || CASE WHEN len(source || repeat('x', CAST(n_chars // 40 AS INTEGER))) > 100
   THEN '; area longer than 100' ELSE '' END AS reason FROM documents WHERE len(text) > 255
@@ -746,7 +798,7 @@ SELECT page_id, url, nullif(name, '') AS name, nullif(address, '') AS address,
  md5(nullif(array_to_string(texts, chr(10)), '')) AS comment FROM places""")
 def _(spark, folder):
     rules = pages.PageRules(
-        card=pages.Rule("article"), user=pages.Rule("h1"), comment=pages.Rule("p"), name=pages.Rule("title"),
+        card=pages.Rule("article"), user=(pages.Rule("h6", "class", "none"), pages.Rule("h1")), comment=(pages.Rule("h6"), pages.Rule("p")), name=pages.Rule("title"),
         address=pages.Rule("footer"),
     )
     extracted = pages.extract_pages(wide_table(spark, folder, "pages"), rules)
@@ -773,6 +825,21 @@ def _(spark, folder):
     return tables.insert_rows(old, new, "c_custkey")
 
 
+@case("C2_insert_rows_defaults", """SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Unknown' ELSE c_mktsegment END AS c_mktsegment,
+ CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer""")
+def _(spark, folder):
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    old, new = customers.filter("c_mktsegment <> 'BUILDING'"), customers.filter("c_mktsegment = 'BUILDING'").select("c_name", "c_custkey")
+    return tables.insert_rows(old, new, "c_custkey", {"c_mktsegment": "Unknown"})
+
+
+@case("C3_affected_rows", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT 2 * o_custkey FROM orders)")
+def _(spark, folder):
+    """Keys that a patch touches; half of those asked for are not in the table."""
+    patch = table(spark, folder, "orders").select((2 * F.col("o_custkey")).alias("c_custkey")).distinct()
+    return tables.affected_rows(table(spark, folder, "customer"), patch, "c_custkey")
+
+
 @case("C3_patch_rows", """SELECT c_custkey, c_name, coalesce(m, c_mktsegment) AS c_mktsegment, coalesce(b, c_acctbal) AS c_acctbal
 FROM customer LEFT JOIN (SELECT o_custkey,
   arg_max(o_orderpriority, (o_orderdate, o_orderkey)) FILTER (WHERE o_orderstatus <> 'O') AS m,
@@ -948,6 +1015,14 @@ def _(spark, folder):
     return readers.read_results(spark, path)
 
 
+@case("S10_object_results", """SELECT lang AS key, '{"cnt":' || count(*) || ',"longest":' || max(n_chars) || '}' AS value FROM documents GROUP BY lang""")
+def _(spark, folder):
+    path = shared_dir(spark, "results")
+    grouped = table(spark, folder, "documents").groupBy("lang").agg(F.count("*").alias("cnt"), F.max("n_chars").alias("longest"))
+    writers.write_results(grouped, path, "lang", ["cnt", "longest"])
+    return readers.read_results(spark, path)
+
+
 @case("S12_conform", """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_acctbal AS DOUBLE) AS rating,
  0 AS review_count, CAST(NULL AS VARCHAR) AS address, 'Unknown' AS district, 'Unknown' AS district_parsed,
  c_mktsegment AS city FROM customer""")
@@ -978,8 +1053,8 @@ def _(spark, folder):
     return spark.table(name)
 
 
-@case("S3_external_tables_views", _V4)
-def _(spark, folder):
+def _lake(spark: SparkSession, folder: str) -> str:
+    """A database of external tables over a lake written from the samples, with its stored views."""
     root = shared_dir(spark, "lake")
     venues = schemas.conform(samples.venues(spark, folder), schemas.RESTAURANTS, {"name": fv.DEFAULT_RESTAURANT_NAME})
     reviews = samples.labelled_reviews(spark, folder).withColumn("restaurant_id", F.col("doc_id").cast("string"))
@@ -993,7 +1068,49 @@ def _(spark, folder):
     database = "lake_" + root[-12:]
     readers.create_external_tables(spark, root, database)
     views.create_views(spark, database)
-    return reports.query(spark, "SELECT district, restaurant_count, avg_rating FROM view_top_districts")
+    return database
+
+
+_MEAL_GROUPS = f"(SELECT category, area FROM {samples.PARSED_RECIPES_SQL} p)"
+
+
+@case("S3_stored_views", f"""SELECT 'view_rating_by_district' AS view, district AS key, CAST(total_count AS BIGINT) AS n, avg_rating AS value FROM ({_V1}) a
+UNION ALL SELECT 'view_top_districts', district, restaurant_count, avg_rating FROM ({_V4}) b
+UNION ALL SELECT 'view_cuisine_frequency', category, count(*), NULL FROM {_MEAL_GROUPS} c WHERE category <> '' GROUP BY 2
+UNION ALL SELECT 'view_cuisine_area', area, count(*), NULL FROM {_MEAL_GROUPS} d WHERE area <> '' GROUP BY 2
+UNION ALL SELECT 'view_rating_histogram', {_HISTOGRAM}, count(*), NULL FROM {samples.VENUES_SQL} e WHERE rating IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'view_review_distribution', CAST(CAST(trunc(rating) AS INTEGER) AS VARCHAR), count(*), NULL
+ FROM {samples.LABELLED_REVIEWS_SQL} f WHERE rating BETWEEN 1 AND 5 GROUP BY 2
+UNION ALL SELECT 'view_delivery_sentiment', service_type, review_count, avg_rating FROM ({_service_sql(fv.DELIVERY_LIKE_PATTERNS)}) g""")
+def _(spark, folder):
+    """All seven views, read by another session of the catalog."""
+    database = _lake(spark, folder)
+    other = spark.newSession()
+    read = lambda name, key, n, value="NULL": (
+        f"SELECT '{name}' AS view, CAST({key} AS STRING) AS key, {n} AS n, CAST({value} AS DOUBLE) AS value FROM {database}.{name}"
+    )
+    return other.sql(" UNION ALL ".join([
+        read("view_rating_by_district", "district", "total_count", "avg_rating"), read("view_top_districts", "district", "restaurant_count", "avg_rating"),
+        read("view_cuisine_frequency", "category", "cnt"), read("view_cuisine_area", "area", "meal_count"),
+        read("view_rating_histogram", "rating_group", "restaurant_count"), read("view_review_distribution", "stars", "cnt"),
+        read("view_delivery_sentiment", "service_type", "review_count", "avg_rating"),
+    ]))
+
+
+@case("S3_external_tables", f"""SELECT 'restaurants' AS name, count(*) AS n, count(rating) AS filled FROM {samples.VENUES_SQL} v
+UNION ALL SELECT 'nested_restaurants', count(*), count(rating) FROM {samples.VENUES_SQL} v
+UNION ALL SELECT 'reviews', count(*), count(rating) FROM {samples.LABELLED_REVIEWS_SQL} r
+UNION ALL SELECT 'nested_meals', count(*), count(name) FROM {samples.PARSED_RECIPES_SQL} m
+UNION ALL SELECT 'meals', count(*), count(name) FROM {samples.PARSED_RECIPES_SQL} m WHERE name IS NOT NULL""")
+def _(spark, folder):
+    database = _lake(spark, folder)
+    of = {
+        "restaurants": (fv.RESTAURANTS_TABLE, "rating"), "nested_restaurants": (fv.NESTED_RESTAURANTS_TABLE, "rating"), "reviews": (fv.REVIEWS_TABLE, "rating"),
+        "nested_meals": (fv.NESTED_MEALS_TABLE, "name"), "meals": (fv.MEALS_TABLE, "name"),
+    }
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS n, count({column}) AS filled FROM {database}.{stored}" for name, (stored, column) in of.items()
+    ))
 
 
 _RAW_FILES_SQL = f"""WITH r AS (SELECT o_orderkey % 4 AS kind, o_orderkey % 5 + 1 AS stars FROM orders)
@@ -1019,13 +1136,23 @@ def _(spark, folder):
     return results[0].unionByName(results[1]).unionByName(results[2])
 
 
-@case("V13_R4_R8_S11_S15_load", f"""SELECT 'restaurants' AS table_name, count(DISTINCT o_custkey) AS n FROM orders
+_NO_NAME = f"{samples.PARSED_RECIPES_SQL} m WHERE name IS NOT NULL"
+
+
+@case("V13_R4_R8_R10_S11_S15_load", f"""SELECT 'restaurants' AS table_name, count(DISTINCT o_custkey) AS n FROM orders
 UNION ALL SELECT 'reviews', 2 * count(DISTINCT o_custkey) FROM orders
-UNION ALL SELECT 'meals', count(*) FROM {samples.PARSED_RECIPES_SQL} m WHERE name IS NOT NULL
-UNION ALL SELECT 'skipped', 0""")
+UNION ALL SELECT 'meals', count(*) FROM {_NO_NAME} AND length(id) <= 8
+UNION ALL SELECT 'skipped', count(*) FROM {_NO_NAME} AND length(id) > 8
+UNION ALL SELECT 'rejects', count(*) FROM {_NO_NAME} AND length(id) > 8
+UNION ALL SELECT 'tables after the wipe', 0""")
 def _(spark, folder):
+    """Counters of a load with refused rows, the stored rejects, and what a wipe leaves."""
     database = "load_" + shared_dir(spark, "load")[-12:]
     meals = normalize.parse_meals(samples.raw_recipes(spark, folder))
-    counters = ingest.load_documents(spark, samples.raw_restaurants(spark, folder), meals, database, _ORDER)
+    # An area too long for its column where the id is long.
+    meals = meals.withColumn("area", F.when(F.length("id") > 8, F.repeat(F.lit("x"), F.lit(200))).otherwise(F.col("area")))
+    counters = ingest.load_documents(spark, samples.raw_restaurants(spark, folder), meals, database, _ORDER, ())
+    counters["rejects"] = spark.table(f"{database}.rejects").filter("table = 'meals' AND reason LIKE 'area longer%'").count()
     wipe(spark, database)
+    counters["tables after the wipe"] = spark.sql(f"SHOW DATABASES LIKE '{database}'").count()
     return spark.createDataFrame(list(counters.items()), "table_name string, n bigint")

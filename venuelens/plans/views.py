@@ -125,21 +125,47 @@ def best_districts(df: DataFrame, n: int = 10, **columns: str) -> DataFrame:
     return rating_by_district(df, **columns).limit(n)
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "\\'") + "'"
+
+
+def _listed(values: Sequence[str]) -> str:
+    return ", ".join(map(_text, values))
+
+
+def view_statements(prefix: str = "") -> dict[str, str]:
+    """The seven reports as SELECT statements over the external tables of a database."""
+    restaurants, reviews = prefix + fv.RESTAURANTS_TABLE, prefix + fv.REVIEWS_TABLE
+    meals = prefix + fv.NESTED_MEALS_TABLE
+    bins = " ".join(f"WHEN rating < {limit} THEN {_text(text)}" for limit, text in fv.HISTOGRAM_BINS)
+    label = f"CASE {bins} WHEN rating <= {fv.HISTOGRAM_TOP[0]} THEN {_text(fv.HISTOGRAM_TOP[1])} ELSE {_text(fv.HISTOGRAM_OTHER)} END"
+    delivery = " OR ".join(f"lower(comment) LIKE {_text(pattern)}" for pattern in fv.DELIVERY_LIKE_PATTERNS)
+    counted = "SELECT {0}, count(*) AS {1} FROM {2} WHERE {0} IS NOT NULL AND {0} NOT IN ({3}) GROUP BY {0} ORDER BY {1} DESC, {0}"
+    hidden = _listed(fv.MEAL_REPORT_PLACEHOLDERS)
+    return {
+        "view_rating_by_district": f"""SELECT district_parsed AS district, round(avg(rating), 2) AS avg_rating, count(*) AS total_count
+FROM {restaurants} WHERE district_parsed NOT IN ({_listed(fv.DISTRICT_REPORT_PLACEHOLDERS)}) AND rating IS NOT NULL
+GROUP BY district_parsed ORDER BY avg_rating DESC, district""",
+        "view_cuisine_frequency": counted.format("category", "cnt", meals, hidden),
+        "view_rating_histogram": f"""SELECT {label} AS rating_group, count(*) AS restaurant_count FROM {restaurants}
+WHERE rating IS NOT NULL GROUP BY 1 ORDER BY restaurant_count DESC, rating_group""",
+        "view_top_districts": f"""SELECT district_parsed AS district, count(*) AS restaurant_count, round(avg(rating), 2) AS avg_rating
+FROM {restaurants} WHERE district_parsed NOT IN ({_listed(fv.TOP_DISTRICT_PLACEHOLDERS)})
+GROUP BY district_parsed ORDER BY restaurant_count DESC, district""",
+        "view_review_distribution": f"""SELECT CAST(rating AS INT) AS stars, count(*) AS cnt FROM {reviews}
+WHERE rating BETWEEN 1 AND 5 GROUP BY 1 ORDER BY stars""",
+        "view_delivery_sentiment": f"""SELECT CASE WHEN {delivery} THEN {_text(fv.REVIEW_DELIVERY)} ELSE {_text(fv.REVIEW_DINE_IN)} END AS service_type,
+round(avg(rating), 3) AS avg_rating, count(*) AS review_count FROM {reviews}
+WHERE comment IS NOT NULL AND comment <> '' AND rating IS NOT NULL GROUP BY 1""",
+        "view_cuisine_area": counted.format("area", "meal_count", meals, hidden),
+    }
+
+
 def create_views(spark: SparkSession, database: str | None = None) -> list[str]:
-    """The seven reports as temporary views over the external tables, by the names that existing SQL uses."""
+    """The seven reports as views stored in the database, so that other sessions of the catalog read them too."""
     prefix = f"{database}." if database else ""
-    restaurants = spark.table(prefix + fv.RESTAURANTS_TABLE)
-    reviews = spark.table(prefix + fv.REVIEWS_TABLE)
-    meals = spark.table(prefix + fv.NESTED_MEALS_TABLE)
-    views = {
-        "view_rating_by_district": rating_by_district(restaurants),
-        "view_cuisine_frequency": category_frequency(meals),
-        "view_rating_histogram": rating_histogram(restaurants),
-        "view_top_districts": top_districts(restaurants),
-        "view_review_distribution": review_distribution(reviews),
-        "view_delivery_sentiment": delivery_sentiment(reviews),
-        "view_cuisine_area": area_frequency(meals),
-    }
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return list(views)
+    names = []
+    for name, statement in view_statements(prefix).items():
+        spark.sql(f"CREATE OR REPLACE VIEW {prefix}{name} AS {statement}")
+        names.append(prefix + name)
+    return names
