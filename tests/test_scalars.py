@@ -163,11 +163,12 @@ def test_links(spark):
     ]
     assert evaluate(spark, urls.link_class(F.col("v")), values) == ["list", "detail", None]
 
-    def following(cards, total):
-        return urls.next_page_url(F.col("v"), F.lit(cards), F.lit(total))
+    def following(cards, total, **stop):
+        return urls.next_page_url(F.col("v"), F.lit(cards), F.lit(total), **stop)
 
     pages = ["x-Reviews-a", "x-Reviews-or15-a", "x-Reviews-or60-a"]
-    assert evaluate(spark, following(15, 0), pages) == ["x-Reviews-or15-a", "x-Reviews-or30-a", None]
+    assert evaluate(spark, following(15, 0), pages) == ["x-Reviews-or15-a", "x-Reviews-or30-a", "x-Reviews-or75-a"]
+    assert evaluate(spark, following(15, 0, max_reviews=75), pages) == ["x-Reviews-or15-a", "x-Reviews-or30-a", None]
     assert evaluate(spark, following(15, 30), pages) == ["x-Reviews-or15-a", None, None]
     assert evaluate(spark, following(14, 100), pages) == [None, None, None]
 

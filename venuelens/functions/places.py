@@ -126,13 +126,13 @@ def match_first(source: Column, patterns: Sequence[str], literal: bool = False,
     return result
 
 
-def extract_admin_area(*values: Column, literal: bool = False, ascii: bool = False) -> Column:
-    """N11: "Quận X" or "Phường X" out of the sources, else "Unknown".
+def extract_admin_area(*values: Column, literal: bool = False, ascii: bool = False, cleaned: bool = False) -> Column:
+    """N11: "Quận X" or "Phường X" out of the sources, else "Unknown". ``cleaned`` says that N5 was applied to them.
 
     Kinds go first, sources second: a numbered district in any source beats a
     named district, which beats a ward. Later patterns run only where none has matched.
     """
-    sources = [clean_location_text(v) for v in values]
+    sources = list(values) if cleaned else [clean_location_text(v) for v in values]
     if ascii:
         sources = [strip_accents(s, literal) for s in sources]
     prefix = fv.DISTRICT_PREFIX_PATTERN_LITERAL if literal else fv.DISTRICT_PREFIX_PATTERN
@@ -175,15 +175,18 @@ def _ascii_pattern(pattern: str) -> str:
     return pattern.replace("Phường", "Phuong")
 
 
-def normalize_city(*values: Column) -> Column:
-    """The first usable source without post code and country; all spellings of one city give one name."""
+def normalize_city(*values: Column, cleaned: bool = False) -> Column:
+    """The first usable source without post code and country; all spellings of one city give one name.
+
+    ``cleaned`` says that N5 was applied to the sources.
+    """
     def label(text: Column) -> Column:
         is_city = strip_accents(text).rlike(_I + fv.CITY_PATTERN)
         return F.when(text != "", F.when(is_city, F.lit(fv.CITY_LABEL)).otherwise(text))
 
     candidates = []
     for value in values:
-        text = F.regexp_replace(clean_location_text(value), "(?U)" + fv.POSTCODE_PATTERN, "")
+        text = F.regexp_replace(value if cleaned else clean_location_text(value), "(?U)" + fv.POSTCODE_PATTERN, "")
         text = F.regexp_replace(text, _I + fv.COUNTRY_PATTERN, "")
         text = F.btrim(F.btrim(F.trim(F.regexp_replace(text, _SPACE_RUN, " ")), F.lit(",")))
         candidates.append(_once(text, label))

@@ -33,17 +33,20 @@ def short_id(raw: DataFrame) -> Column:
 
 def clean_restaurants(raw: DataFrame, literal: bool = False, any_number: bool = False) -> DataFrame:
     """One pass over raw documents; the result is nested like the input, typed, plus any other columns."""
-    district, address, city = (clean_location_text(F.col(c)) for c in ("district", "address", "city"))
+    # The three texts are cleaned once, in a step of its own that is used by several columns and so isn't written out again.
+    place = F.struct(*[clean_location_text(F.col(c)).alias(c) for c in ("district", "address", "city")])
+    placed = raw.withColumn("_place", place)
+    district, address, city = (F.col("_place")[c] for c in ("district", "address", "city"))
     cleaned = {
         "id": make_short_id(_raw_id(raw)),
         "rating": extract_float(F.col("rating")),
         "review_count": parse_review_count(F.col("review_count")),
         "address": F.when((address == "") & (district != ""), district).otherwise(F.col("address")),
-        "district_parsed": extract_admin_area(F.col("district"), F.col("address"), F.col("city"), literal=literal),
-        "city": normalize_city(F.col("city"), F.col("address"), F.col("district")),
+        "district_parsed": extract_admin_area(district, address, city, literal=literal, cleaned=True),
+        "city": normalize_city(city, address, district, cleaned=True),
         "reviews": clean_reviews(F.col("reviews"), any_number),
     }
-    return raw.withColumns(cleaned).drop("_id", "url")
+    return placed.withColumns(cleaned).drop("_id", "url", "_place")
 
 
 def parse_meals(raw: DataFrame) -> DataFrame:
@@ -92,7 +95,8 @@ def _refused_restaurant(place: dict[str, Column]) -> Column:
         "address": (_longest("address", "district"), address),
         "district": (F.length("district"), place["district"]),
         "city": (
-            _longest("city", "address", "district"), normalize_city(place["city"], place["address"], place["district"])
+            _longest("city", "address", "district"),
+            normalize_city(place["city"], place["address"], place["district"], cleaned=True),
         ),
     }
     reasons = [
@@ -149,8 +153,8 @@ def restaurant_documents(raw: DataFrame, order: Sequence[str] = (), literal: boo
         parse_review_count(F.col("review_count")).try_cast("int").alias("review_count"),
         first_present(address, district).alias("address"),
         district.alias("district"),
-        extract_admin_area(district, address, city, literal=literal).alias("district_parsed"),
-        normalize_city(city, address, district).alias("city"),
+        extract_admin_area(district, address, city, literal=literal, cleaned=True).alias("district_parsed"),
+        normalize_city(city, address, district, cleaned=True).alias("city"),
         clean_reviews(F.col("reviews")).alias("reviews"),
         *keep_order,
     )

@@ -32,7 +32,7 @@ def build_session(app_name: str = "venuelens", master: str | None = None, **conf
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder the session names.
+    """A fresh folder below the shared folder the session names, gone when the application ends.
 
     The setting ``spark.checkpoint.dir`` is read from the session. Only a local
     session may lack it; then a temporary folder is made and the setting filled in.
@@ -43,7 +43,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="venuelens-")
         spark.conf.set(CHECKPOINT_DIR, root)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    own = os.path.join(root, spark.sparkContext.applicationId)
+    place = spark._jvm.org.apache.hadoop.fs.Path(own)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        store.mkdirs(place)
+        store.deleteOnExit(place)
+    return os.path.join(own, f"{name}-{uuid.uuid4().hex}")
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
