@@ -227,8 +227,9 @@ def read_files(manifest: DataFrame, keep_ids: bool = False) -> DataFrame:
                     if rows:
                         yield _batch(rows)
 
-    listed = manifest.select("file", "start")
-    spread = listed.repartition(F.col("file"))
+    listed = stage(manifest.select("file", "start"), "token-starts")
+    # A task for each file: without the number adaptive execution would put these few small rows into one task.
+    spread = listed.repartition(max(1, listed.count()), "file")
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
