@@ -5,7 +5,8 @@ length; the first piece takes what is left over and may be shorter. Each task en
 pieces online: open bins stand in a bitset keyed by free space, a piece goes to the bin with the least space that
 holds it, and when all bins are open the fullest one closes. Pieces of bins still open at the end of a task aren't
 placed yet; some tasks' leftovers together go through the same packing in the next level, in ever fewer tasks, until
-one task with a bounded number of pieces closes all. So the bins that stay partly empty don't grow with the tasks.
+one task with a bounded number of pieces closes all, and packs those still open at its end once more by size. So the
+bins that stay partly empty don't grow with the tasks.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed each for itself; an empty table
 gives no rows; columns other than id and text are not looked at.
@@ -25,7 +26,7 @@ from .encoding import encoder
 from .shared import stage
 
 LENGTH = 2048
-OPEN_BINS = 1024
+OPEN_BINS = 4096
 #: Leftovers of so many tasks meet in one task of the next level.
 MERGE = 16
 
@@ -112,7 +113,14 @@ def _packed(items: Iterable[tuple], level: int, length: int, bins: int, last: bo
             close(held)
         if len(rows) >= 8192:
             yield flush()
-    for held in packer.rest():
+    left = list(packer.rest())
+    if last:
+        # What is still open at the very end is packed once more, the largest pieces first.
+        packer = BestFit(length, bins)
+        pieces_left = sorted((piece for held in left for piece in held), key=lambda piece: -piece[0])
+        closed = [held for size, row in pieces_left if (held := packer.add(size, row)) is not None]
+        left = min(left, closed + list(packer.rest()), key=len)
+    for held in left:
         if last:
             close(held)
         else:
