@@ -66,6 +66,19 @@ def test_seeded_search_finds_what_a_full_search_finds():
             assert min(h.edits for h in hits) <= max(made, sum(full.fuzzy_counts))
 
 
+def test_least_edits_match_brute_force():
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = "".join(rng.choice("abc ") for _ in range(rng.randrange(1, 12))), "".join(rng.choice("abc ") for _ in range(rng.randrange(20)))
+        row = [0] * (len(b) + 1)
+        for i, x in enumerate(a):
+            new = [i + 1]
+            for j, y in enumerate(b):
+                new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+            row = new
+        assert lic.least_edits(a, b) == min(row)
+
+
 def test_span_and_score():
     hits = lic.Notices().find(" a b licensed undr the apache license version 2 0 c ")
     assert [(h.label, h.first_word, h.end_word, h.edits) for h in hits] == [("apache-2.0", 2, 10, 1)]

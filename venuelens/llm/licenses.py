@@ -64,6 +64,26 @@ def pieces(notice: str, edits: int) -> list[tuple[int, str]]:
     return [(low, notice[low:high]) for low, high in zip(cuts, cuts[1:])]
 
 
+def least_edits(notice: str, text: str) -> int:
+    """The least edits from the notice to any stretch of the text: one column of the edit table per character, held in
+    the bits of two numbers (up and down steps)."""
+    whole = (1 << len(notice)) - 1
+    top = 1 << len(notice) - 1
+    where: dict[str, int] = {}
+    for i, char in enumerate(notice):
+        where[char] = where.get(char, 0) | 1 << i
+    up, down, edits, best = whole, 0, len(notice), len(notice)
+    for char in text:
+        same = where.get(char, 0)
+        across = (((same & up) + up) ^ up) | same
+        more, less = down | ~(across | up) & whole, up & across
+        edits += bool(more & top) - bool(less & top)
+        best = min(best, edits)
+        more, less = more << 1 & whole, less << 1 & whole
+        up, down = less | ~(same | down | more) & whole, more & (same | down)
+    return best
+
+
 class Notices:
     """Notices ready for searching."""
 
@@ -87,6 +107,9 @@ class Notices:
         for number, starts in places.items():
             notice, label, edits = self.notices[number]
             for low, high in _stretches(sorted(starts), edits, len(notice) + edits, len(words)):
+                # Most pieces stand alone; this rules their stretches out without losing one that the library would find.
+                if least_edits(notice, words[low:high]) > edits:
+                    continue
                 for match in self.fuzzy[number].finditer(words, low, high):
                     if match.end() > match.start():
                         made = sum(match.fuzzy_counts)
