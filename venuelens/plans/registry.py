@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1113,27 +1114,43 @@ def _(spark, folder):
     ))
 
 
-_RAW_FILES_SQL = f"""WITH r AS (SELECT o_orderkey % 4 AS kind, o_orderkey % 5 + 1 AS stars FROM orders)
-SELECT 'rating_bucket' AS job, CASE WHEN kind = 2 THEN 'Unknown' WHEN stars + 0.5 >= 4 THEN '4-5 Stars'
-  WHEN stars + 0.5 >= 3 THEN '3 Stars' ELSE '1-2 Stars' END AS key, CAST(count(*) AS VARCHAR) AS value FROM r GROUP BY 2
-UNION ALL SELECT 'review_star_distribution', stars || CASE WHEN stars > 1 THEN ' Stars' ELSE ' Star' END,
-  CAST(2 * count(*) AS VARCHAR) FROM r GROUP BY 2
+_RAW_FILES_SQL = f"""WITH r AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderkey % 4 AS kind, o_orderkey % 5 + 1 AS stars,
+  o_orderkey % 3 AS said FROM orders)
+SELECT 'rating_by_area' AS job, 'Quận ' || (o_custkey % 20 + 1) AS key,
+  '{{"avg_rating":' || CAST(round_even(avg(stars + 0.5), 2) AS DOUBLE) || ',"restaurant_count":' || count(*) || '}}' AS value
+ FROM r WHERE kind <> 2 GROUP BY 2
 UNION ALL SELECT 'tag_count', tag, CAST(count(*) AS VARCHAR) FROM (
   SELECT category AS tag FROM {samples.PARSED_RECIPES_SQL} m UNION ALL SELECT area FROM {samples.PARSED_RECIPES_SQL} m) t
- WHERE tag <> '' GROUP BY 2"""
+ WHERE tag <> '' GROUP BY 2
+UNION ALL SELECT 'rating_bucket', CASE WHEN kind = 2 THEN 'Unknown' WHEN stars + 0.5 >= 4 THEN '4-5 Stars'
+  WHEN stars + 0.5 >= 3 THEN '3 Stars' ELSE '1-2 Stars' END, CAST(count(*) AS VARCHAR) FROM r GROUP BY 2
+UNION ALL SELECT 'lexicon_sentiment', 'Place ' || o_custkey, '{{"avg_sentiment_score":' ||
+  CAST(round_even(avg(CASE said WHEN 0 THEN 1.0 WHEN 1 THEN -1.0 ELSE 0.0 END), 3) AS DOUBLE) || ',"reviews_analyzed":' || count(*) || '}}'
+ FROM r WHERE kind <> 1 GROUP BY 2
+UNION ALL SELECT 'term_match_count', CASE said WHEN 0 THEN 'beef' ELSE 'chicken' END, CAST(count(*) AS VARCHAR) FROM r WHERE said <> 1 GROUP BY 2
+UNION ALL (SELECT 'top_reviewed', 'Place ' || o_custkey, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) FROM r WHERE kind = 0
+ ORDER BY floor(o_totalprice) DESC, 2 LIMIT 10)
+UNION ALL SELECT 'review_star_distribution', stars || CASE WHEN stars > 1 THEN ' Stars' ELSE ' Star' END, CAST(count(*) AS VARCHAR) FROM r GROUP BY 2
+UNION ALL SELECT 'delivery_vs_dinein_venue', CASE said WHEN 1 THEN 'Delivery-Friendly' ELSE 'Dine-In-Only' END,
+  '{{"avg_rating":' || CAST(round_even(avg(stars + 0.5), 2) AS DOUBLE) || ',"restaurant_count":' || count(*) || '}}'
+ FROM r WHERE kind <> 2 GROUP BY 2"""
 
 
 @case("A9_run_all", _RAW_FILES_SQL)
 def _(spark, folder):
+    """All eight jobs over lake files; comments hold words of every shipped list."""
     root = shared_dir(spark, "jobs")
-    samples.raw_restaurants(spark, folder).select(*schemas.RESTAURANTS_RAW.fieldNames()).write.json(f"{root}/restaurants")
+    key = F.col("o_orderkey")
+    comment = F.when(key % 3 == 0, F.lit("A good beef")).when(key % 3 == 1, F.lit("bad Delivery")).otherwise(F.lit("plain chicken!"))
+    review = F.struct(F.lit("u").alias("user"), F.concat((key % 5 + 1).cast("string"), F.lit(" of 5 bubbles")).alias("rating"), comment.alias("comment"))
+    raw = samples.raw_restaurants(spark, folder).withColumn("reviews", F.array(review))
+    raw.select(*schemas.RESTAURANTS_RAW.fieldNames()).write.json(f"{root}/restaurants")
     normalize.parse_meals(samples.raw_recipes(spark, folder)).write.json(f"{root}/meals")
     runner.run_all(spark, f"{root}/restaurants", f"{root}/meals", f"{root}/out")
     results = [
-        readers.read_results(spark, f"{root}/out/{job}").select(F.lit(job).alias("job"), "key", "value")
-        for job in ("rating_bucket", "review_star_distribution", "tag_count")
+        readers.read_results(spark, f"{root}/out/{job.name}").select(F.lit(job.name).alias("job"), "key", "value") for job in runner.JOBS
     ]
-    return results[0].unionByName(results[1]).unionByName(results[2])
+    return reduce(DataFrame.unionByName, results)
 
 
 _NO_NAME = f"{samples.PARSED_RECIPES_SQL} m WHERE name IS NOT NULL"
