@@ -105,6 +105,23 @@ def test_tree_expressions_score_as_the_library(documents, spark):
     assert all(r.a == pytest.approx(r.b, abs=1e-9) for r in both)
 
 
+def test_trees_learn_from_all_formats_of_many_candidates(documents):
+    formats = {
+        "a.b@mail.example.com": 1, "x@y.co": 1, "someone@place": 0, "!?@example": 0, "a@@b": 0, "10.20.30.40": 1,
+        "999.20.30.40": 0, "1.2.3.4": 1, "300.1.1.1": 0, "+1 (555) 123-4567": 1, "555-123-4567": 0, "4111 1111 1111 1112": 0,
+    }
+    texts = [" ; ".join([text] * 500) for text in formats for _ in range(10)]
+    rows = documents(list(enumerate(texts))).select((F.col("doc_id") % 2).alias("half"), pii.proposals(F.col("text")).alias("p")).cache()
+    each = rows.select("half", F.explode("p.candidates").alias("c"), F.col("p.base").alias("base"))
+    labels = each.select("half", "c", pii.overlaps(F.col("base"), F.col("c")).cast("int").alias("label"))
+    assert labels.filter("half = 1").count() > 20_000
+    learned = pii.learn(rows)
+    assert learned is not None and set(learned[1]) == {0, 1, 2}
+    scored = labels.groupBy("c.generator", "c.f", "label").count().select("label", learned[0](F.col("f")).alias("score")).collect()
+    assert len(scored) >= len(formats) and {r.label for r in scored} == {0, 1}
+    assert all((r.score > 0.5) == bool(r.label) for r in scored)
+
+
 def test_redacted_texts(documents):
     texts = ["x a@b.co y", "a@b.co +1 (555) 123-4567", None, "", "clean words", "4111 1111 1111 1111", "é a@b.co\U0001f600 1.2.3.4 z"]
     df = documents(list(enumerate(texts))).withColumnRenamed("source", "masked")

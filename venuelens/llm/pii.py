@@ -2,9 +2,9 @@
 
 Base spans are those of four patterns with their checks. Beside them high-recall generators propose overlapping
 candidates, each with features of its format and its context. Boosted trees learn from the corpus itself which
-candidates look like base spans; trained on at most ``SAMPLE`` candidates (those with the smallest hash) of one half
-of the documents. On all candidates of the other half, a threshold per generator is set to the lowest score bin from
-which on ``PRECISION`` of the candidates are base spans. Candidates over it that overlap no base span are added.
+candidates look like base spans; trained on all candidates of one half of the documents, equal ones as one row with
+their number as its weight. On all candidates of the other half, a threshold per generator is set to the lowest score
+bin from which on ``PRECISION`` of the candidates are base spans. Candidates over it that overlap no base span are added.
 The trees become column expressions, so scoring needs neither a shuffle nor a second look at the text.
 
 Defined results: a null text is empty; repeated rows are each searched; without both kinds of candidates nothing is
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from .shared import let, stage
 from .spans import digits, labelled, spans, written
 
-SAMPLE = 20_000
 PRECISION = 0.98
 #: Candidates that a threshold must rest on.
 SUPPORT = 100
@@ -129,13 +128,13 @@ def learn(rows: DataFrame):
     each = rows.select("half", F.explode("p.candidates").alias("c"), "p.base").select(
         "half", F.col("c.generator").alias("generator"), F.col("c.f").alias("f"), overlaps(F.col("base"), F.col("c")).cast("double").alias("label")
     )
-    order = F.xxhash64("f", "generator", "label")
-    sample = stage(each.filter("half = 1").orderBy(order, "f", "generator", "label").limit(SAMPLE), "pii-sample")
-    if sample.select("label").distinct().count() < 2:
+    counted = each.filter("half = 1").groupBy("generator", "f", "label").agg(F.count("*").cast("double").alias("weight"))
+    known = stage(counted.orderBy("generator", "f", "label"), "pii-known")
+    if known.select("label").distinct().count() < 2:
         return None
-    wide = sample.select("label", *[F.col("f")[i].alias(name) for i, name in enumerate(FEATURES)])
+    wide = known.select("label", "weight", *[F.col("f")[i].alias(name) for i, name in enumerate(FEATURES)])
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(wide)
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(vectors)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, weightCol="weight").fit(vectors)
     score = lambda f: boosted(model, f)
     binned = each.filter("half = 0").groupBy("generator", F.least(F.floor(score(F.col("f")) * BINS), F.lit(BINS - 1)).alias("bin")).agg(
         F.sum("label").alias("good"), F.count("*").alias("n")
