@@ -87,6 +87,14 @@ def test_places(spark, documents):
     assert (row.first_word, row.n_words, row.edits) == (2, 10, 1)
 
 
+def test_capitals_with_accents(spark, documents):
+    item = "größe été où änderung straße niño año élève über fête çà été señor mañana öl"
+    table = spark.createDataFrame([(1, item), (2, item.upper().replace("OÙ", "XX"))], "item_id long, text string")
+    docs = documents([(5, "Vorher " + item.upper() + " danach"), (6, item), (7, "été")])
+    assert {(r.doc_id, r.item_id, r.edits) for r in dc.passages(docs, table).collect()} == {(d, i, i - 1) for d in (5, 6) for i in (1, 2)}
+    assert [r.doc_id for r in dc.clean(docs, table).collect()] == [7]
+
+
 def test_distance_matches_brute_force():
     rng = random.Random(2)
     for _ in range(200):

@@ -1,7 +1,7 @@
 """Benchmark passages in documents: CGK embedding, bit-sampling LSH over item-sized windows, exact edit verification.
 
-Texts are sequences of words (runs of ASCII letters and digits, A-Z lower-cased, and of bytes beyond ASCII). An item
-of m words is found where a stretch of the document is within ``edits * m`` word edits of it.
+Texts are sequences of words (runs of ASCII letters and digits and of bytes beyond ASCII) without regard to case, by
+Unicode case folding, so that capitals with accents and sharp s are the same words. An item of m words is found where a stretch of the document is within ``edits * m`` word edits of it.
 
 1. A window of m words near an item has at most so many words outside the words of the items of m words, and lacks
    at most as many of an item's different words. A sliding count finds such windows and loses none.
@@ -42,7 +42,7 @@ _MAP_BITS = 21
 _SLOT = np.uint32((1 << _MAP_BITS) - 1)
 #: Words of texts that are looked at together.
 _TOGETHER = 200_000
-_WORD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+_WORD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
 def repeats_for(recall: float, agreement: float = AGREEMENT, sampled: int = SAMPLED) -> int:
@@ -51,7 +51,8 @@ def repeats_for(recall: float, agreement: float = AGREEMENT, sampled: int = SAMP
 
 def symbols(raw: bytes) -> np.ndarray:
     """One 32-bit symbol per word."""
-    words = raw.translate(_WORD).split()
+    folded = raw.lower() if raw.isascii() else raw.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
+    words = folded.translate(_WORD).split()
     return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
 
 
