@@ -95,6 +95,24 @@ def test_capitals_with_accents(spark, documents):
     assert [r.doc_id for r in dc.clean(docs, table).collect()] == [7]
 
 
+@pytest.mark.parametrize("size", [40, 60, 120, 200])
+@pytest.mark.parametrize("how", ["replaced", "left out", "put in"])
+def test_recall_at_the_limit_of_edits(size, how):
+    rng = random.Random(size)
+    made = iter(range(10**6))
+    items = [["i%d" % next(made) for _ in range(size)] for _ in range(120)]
+    texts = []
+    for item in items:
+        at = set(rng.sample(range(size), size // 5))
+        new = {"replaced": lambda w: ["n%d" % next(made)], "left out": lambda w: [], "put in": lambda w: [w, "n%d" % next(made)]}[how]
+        passage = [x for j, w in enumerate(item) for x in (new(w) if j in at else [w])]
+        texts.append(["c%d" % next(made) for _ in range(90)] + passage + ["c%d" % next(made) for _ in range(90)])
+    block = dc.Items([(i, " ".join(item).encode()) for i, item in enumerate(items)], 0.2, 0.95)
+    hits = block.find([dc.symbols(" ".join(text).encode()) for text in texts])
+    assert sum(any(hit[0] == t for hit in rows) for t, rows in hits.items()) >= 0.95 * len(items)
+    assert all(hit[3] <= size // 5 for rows in hits.values() for hit in rows)
+
+
 def test_distance_matches_brute_force():
     rng = random.Random(2)
     for _ in range(200):

@@ -7,7 +7,10 @@ Unicode case folding, so that capitals with accents and sharp s are the same wor
    at most as many of an item's different words. A sliding count finds such windows and loses none.
 2. Windows and items of m words are embedded by the CGK random walk into 3m symbols: the walk shows a symbol at each
    step and moves on by a random bit of it, so few edits become few differing places. A key is the symbols at a few
-   sampled places; ``repeats`` walks with their own samples give the target recall, and equal keys are candidates.
+   sampled places, and equal keys are candidates. Agreement falls with the number of edits, so the walks that reach the
+   target recall are counted for each size on made pairs at the very limit of edits. Where more than ``MOST`` would be
+   needed, no walk is taken: an item within k edits shows one of any k + 1 pieces unchanged, and windows that show a
+   piece are candidates, which loses none.
 3. A candidate counts if the edit distance of the item to some stretch around the window is within the limit.
 
 The items are the query set and go to the tasks in blocks of ``BLOCK``; each block is one pass over the documents
@@ -34,9 +37,10 @@ from .shared import stage, text_bytes
 EDITS = 0.2
 MIN_WORDS = 8
 RECALL = 0.95
-#: Places sampled for a key, and the share of places taken to agree for a pair at the edges of what is searched.
+#: Places sampled for a key, most walks of a size, and made pairs of each kind of edit that walks are counted on.
 SAMPLED = 3
-AGREEMENT = 0.55
+MOST = 64
+PAIRS = 100
 BLOCK = 50_000
 _MAP_BITS = 21
 _SLOT = np.uint32((1 << _MAP_BITS) - 1)
@@ -45,10 +49,6 @@ _TOGETHER = 200_000
 _WORD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
-def repeats_for(recall: float, agreement: float = AGREEMENT, sampled: int = SAMPLED) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - agreement**sampled))
-
-
 def symbols(raw: bytes) -> np.ndarray:
     """One 32-bit symbol per word."""
     folded = raw.lower() if raw.isascii() else raw.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
@@ -75,6 +75,59 @@ def walk_keys(windows: np.ndarray, repeat: int, sampled: int = SAMPLED) -> np.nd
     return key
 
 
+def piece_keys(rows: np.ndarray, length: int) -> np.ndarray:
+    """Keys of all stretches of ``length`` words of the rows."""
+    n = rows.shape[1] - length + 1
+    key = np.zeros((len(rows), n), np.uint64)
+    for i in range(length):
+        key = (key ^ rows[:, i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key
+
+
+def made_pairs(m: int, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Items of m words, the windows that the filter leaves of texts with their passages, and the item of each window.
+
+    Items take turns at passages with words replaced, left out, put in, and all of these.
+    """
+    rng = np.random.default_rng([m, edits])
+    items = rng.integers(1, 2**32, (4 * PAIRS, m), dtype=np.uint64).astype(np.uint32)
+    windows, owner = [], []
+    for i, item in enumerate(items):
+        how = rng.integers(0, 3, edits) if i % 4 == 3 else np.full(edits, i % 4)
+        made = dict(zip(rng.permutation(m)[:edits].tolist(), how.tolist()))
+        new = rng.integers(1, 2**32, (3, m), dtype=np.uint64).astype(np.uint32)
+        kept = {None: lambda j: [item[j]], 0: lambda j: [new[0, j]], 1: lambda j: [], 2: lambda j: [item[j], new[0, j]]}
+        text = np.concatenate([new[1], np.array([w for j in range(m) for w in kept[made.get(j)](j)], np.uint32), new[2]])
+        count = np.concatenate([[0], np.cumsum(np.isin(text, item))])
+        starts = np.flatnonzero(count[m:] - count[:-m] >= m - edits)
+        windows.append(text[starts[:, None] + np.arange(m)])
+        owner.append(np.full(len(starts), i))
+    return items, np.concatenate(windows), np.concatenate(owner)
+
+
+@functools.lru_cache(maxsize=4096)
+def repeats_for(m: int, edits: int, recall: float) -> int | None:
+    """The walks after which every kind of edit reaches the recall on made pairs, with a margin; None if over ``MOST``."""
+    items, windows, owner = made_pairs(m, edits)
+    found, target = np.zeros(len(items), bool), 1 - 0.6 * (1 - recall)
+    for repeat in range(MOST):
+        found[owner[walk_keys(items, repeat)[owner] == walk_keys(windows, repeat)]] = True
+        if min(found[kind::4].mean() for kind in range(4)) >= target:
+            return repeat + 1
+    return None
+
+
+def repeats_by_size(sizes: set[int], edits: float, recall: float) -> dict[int, int | None]:
+    """The walks of each size, counted at the next multiple of 5; None from the first size on that needs too many."""
+    out, enough = {}, True
+    for m in sorted(sizes):
+        upto = -(-m // 5) * 5
+        out[m] = repeats_for(upto, min(upto, math.ceil(edits * upto - 1e-9)), recall) if enough else None
+        enough = out[m] is not None
+    return out
+
+
 def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """The least word edits from the item to any stretch of the text, and where the first such stretch ends."""
     row, place = np.zeros(len(text) + 1, np.int64), np.arange(len(text) + 1)
@@ -90,8 +143,8 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 class Items:
     """A block of items with their keys by size."""
 
-    def __init__(self, items: list[tuple[int, bytes]], edits: float, recall: float):
-        self.edits, self.repeats = edits, repeats_for(recall)
+    def __init__(self, items: list[tuple[int, bytes]], edits: float, recall: float, repeats: dict[int, int | None] | None = None):
+        self.edits = edits
         by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
         for item_id, raw in items:
             found = symbols(raw)
@@ -100,9 +153,18 @@ class Items:
         self.sizes = sorted(by_size)
         self.ids = {m: [i for i, _ in rows] for m, rows in by_size.items()}
         self.rows = {m: np.stack([w for _, w in rows]) for m, rows in by_size.items()}
-        self.keys = {}
+        self.repeats = repeats_by_size(set(self.sizes), edits, recall) if repeats is None else repeats
+        self.keys, self.pieces = {}, {}
         for m, rows in self.rows.items():
-            for repeat in range(self.repeats):
+            if self.repeats[m] is None:
+                # Disjoint stretches, one more than edits: one of them at least is unchanged.
+                n = min(self.limit(m) + 1, m)
+                begin = np.arange(n) * m // n
+                keys = piece_keys(rows, m // n)[:, begin].ravel()
+                order = np.argsort(keys, kind="stable")
+                self.pieces[m] = keys[order], order // n, begin[order % n]
+                continue
+            for repeat in range(self.repeats[m]):
                 keys = walk_keys(rows, repeat)
                 order = np.argsort(keys, kind="stable")
                 self.keys[m, repeat] = keys[order], order
@@ -174,7 +236,16 @@ class Items:
 
     def _candidates(self, m, rows, near) -> None:
         windows, owner, place = (np.concatenate(column) for column in zip(*rows))
-        for repeat in range(self.repeats):
+        if self.repeats[m] is None:
+            keys, items, begin = self.pieces[m]
+            got = piece_keys(windows, m // min(self.limit(m) + 1, m))
+            low, high = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
+            w, at = np.nonzero(high > low)
+            for t, where, first, upto in set(zip(owner[w].tolist(), (place[w] + at).tolist(), low[w, at].tolist(), high[w, at].tolist())):
+                for i in range(first, upto):
+                    near.setdefault((t, int(items[i])), set()).add(where - int(begin[i]))
+            return
+        for repeat in range(self.repeats[m]):
             keys, order = self.keys[m, repeat]
             got = walk_keys(windows, repeat)
             low, high = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
@@ -203,7 +274,7 @@ class Items:
 
 @functools.lru_cache(maxsize=2)
 def _built(token: str, held: _Held) -> Items:
-    return Items(held.items, held.edits, held.recall)
+    return Items(held.items, held.edits, held.recall, held.repeats)
 
 
 class _Held:
@@ -211,6 +282,8 @@ class _Held:
 
     def __init__(self, items, edits, recall):
         self.items, self.edits, self.recall, self.token = items, edits, recall, uuid.uuid4().hex
+        sizes = {len(symbols(raw)) for _, raw in items}
+        self.repeats = repeats_by_size({m for m in sizes if m >= MIN_WORDS}, edits, recall)
 
     def __hash__(self):
         return hash(self.token)
