@@ -85,5 +85,17 @@ def test_span_and_score():
     assert hits[0].score == 1 - 1 / len(lic.NOTICES[1][0])
 
 
+def test_edited_notices_beside_unchanged_ones():
+    searcher = lic.Notices()
+    for notice, label in lic.NOTICES:
+        altered = notice[: len(notice) // 2] + "#" + notice[len(notice) // 2 + 1 :]
+        size = len(notice.split())
+        for order in ([1, 0], [1, 1, 0], [0, 1], [1, 0, 1, 0], [0, 0]):
+            hits = searcher.find(" a %s b " % " ".join(altered if edits else notice for edits in order))
+            assert [h.edits for h in hits if h.label == label] == order
+            if altered.count(" ") == notice.count(" "):
+                assert [h.first_word for h in hits if h.label == label] == [1 + size * i for i in range(len(order))]
+
+
 def test_empty_table(documents):
     assert lic.scan(documents([])).count() == 0

@@ -4,7 +4,7 @@ Texts are sequences of words (runs of ASCII letters and digits, A-Z lower-cased,
 phrases are counted where their words stand consecutively. Notices may differ by edits: a notice cut into one piece
 more than the edits allowed keeps one piece unchanged (pigeonhole), so exact hits of the pieces, all searched in one
 pass by an Aho-Corasick automaton, give the only places where it can be. There the regex library's bounded-error
-matching verifies it and reports the span and its edits.
+matching verifies it and reports the span and its edits; the parts of a stretch before and behind a match are searched too.
 
 Defined results: a null or empty text has no words and score 0; repeated rows are each scanned; an empty table gives
 an empty result; other columns are not looked at.
@@ -110,16 +110,29 @@ class Notices:
                 # Most pieces stand alone; this rules their stretches out without losing one that the library would find.
                 if least_edits(notice, words[low:high]) > edits:
                     continue
-                for match in self.fuzzy[number].finditer(words, low, high):
-                    if match.end() > match.start():
-                        made = sum(match.fuzzy_counts)
-                        held = words[match.start() : match.end()]
-                        first = words.count(" ", 0, match.start() + len(held) - len(held.lstrip(" "))) - 1
-                        last = words.count(" ", 0, match.end() - len(held) + len(held.rstrip(" ")))
-                        hits.append(Hit(label, first, last, made, 1 - made / len(notice)))
+                for match in self._matches(number, words, low, high):
+                    made = sum(match.fuzzy_counts)
+                    held = words[match.start() : match.end()]
+                    first = words.count(" ", 0, match.start() + len(held) - len(held.lstrip(" "))) - 1
+                    last = words.count(" ", 0, match.end() - len(held) + len(held.rstrip(" ")))
+                    hits.append(Hit(label, first, last, made, 1 - made / len(notice)))
         return sorted(hits, key=lambda h: (h.first_word, h.label, h.end_word))
 
 
+    def _matches(self, number: int, words: str, low: int, high: int) -> Iterator[regex.Match]:
+        """The best match of a stretch, then those of the parts before and behind it."""
+        notice, _, edits = self.notices[number]
+        parts = [(low, high)]
+        while parts:
+            low, high = parts.pop()
+            if high - low < len(notice) - edits:
+                continue
+            match = self.fuzzy[number].search(words, low, high)
+            if match and match.end() > match.start():
+                yield match
+                parts += [(low, match.start()), (match.end(), high)]
+
+
 def _stretches(starts: list[int], before: int, after: int, size: int) -> Iterator[tuple[int, int]]:
     """Merged stretches around the places where a notice may start."""
     low = high = None
