@@ -2,7 +2,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import as_set, plan_of
+from helpers import as_set, plan_of
 from pyspark.sql import functions as F
 
 from venuelens import fixed_values as fv

@@ -1,6 +1,6 @@
 import unicodedata
 
-from conftest import evaluate
+from helpers import evaluate
 from pyspark.sql import functions as F
 
 from venuelens.functions import documents, numbers, places, sql, text, urls
