@@ -8,7 +8,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licenses, packing, pii, quality, secrets, simhash, token_counts, token_files
+from . import chat, decontamination, licenses, merkle, packing, pii, quality, secrets, simhash, token_counts, token_files
 from .shared import stage, table
 from .spans import spans
 
@@ -115,3 +115,60 @@ def _(spark, folder):
     marks = spans(F.coalesce("text", F.lit("")), r"[0-9]{5,}|(?<![^\s@])[^\s@]++@")
     edits = F.reverse(F.transform(marks, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("<masked>").alias("new"))))
     return token_counts.counts(table(spark, folder, "documents"), path("byte_bpe_50k.json"), edits=edits).drop("tree")
+
+
+_MANIFEST = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _manifest_sql(depth: int = 12) -> str:
+    """The tree with its levels written out, enough for 3 ** depth rows a group."""
+    told = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: f"sha256({' || '.join(told(c) for c in [*_MANIFEST[:-1], text])})"
+    crc = (
+        "list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)), "
+        "lambda a, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * 3988292384), xor(a, b)), 4294967295)"
+    )
+
+    def levels(of: str, name: str) -> list[str]:
+        """Nodes of each level and, for each node, the hashes left and right of it in its run."""
+        out = [f"{name}0 AS ({of})"]
+        for k in range(depth):
+            run = "PARTITION BY k, pos // 3 ORDER BY pos ROWS BETWEEN"
+            out.append(f"""{name}s{k} AS (SELECT k, pos, n, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+            out.append(f"""{name}{k + 1} AS (SELECT k, pos // 3 AS pos, (n + 2) // 3 AS n,
+  CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h FROM {name}{k} GROUP BY k, pos // 3, n)""")
+        return out
+
+    def climb(of: str, name: str, key: str, place: str) -> list[str]:
+        """The copy's hash and the siblings so far, one level after the other."""
+        out, held = [], of
+        for k in range(depth):
+            out.append(f"""{name}p{k} AS (SELECT t.* REPLACE (CASE WHEN s.n > 1 THEN sha256(s.l || t.acc || s.r) ELSE t.acc END AS acc,
+  CASE WHEN s.n > 1 THEN t.sib || s.l || s.r ELSE t.sib END AS sib) FROM {held} t JOIN {name}s{k} s ON s.k = {key} AND s.pos = t.{place} // {3**k})""")
+            held = f"{name}p{k}"
+        return out
+
+    parts = [
+        f"""d AS (SELECT *, coalesce('g' || source, '') AS k, {leaf("text")} AS leaf,
+  CASE WHEN {crc} % 2 = 1 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS copy FROM documents)""",
+        """t AS (SELECT doc_id, k, leaf, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY k) AS n, copy AS acc, '' AS sib FROM d)""",
+        *levels("SELECT k, pos, n, leaf AS h FROM t", "a"),
+        f"""g AS (SELECT k, h, row_number() OVER (ORDER BY k) - 1 AS place, count(*) OVER () AS n FROM a{depth})""",
+        *levels("SELECT '' AS k, place AS pos, n, h FROM g", "b"),
+        *climb("t", "a", "t.k", "pos"),
+        f"u AS (SELECT x.*, g.place, g.h AS subroot FROM ap{depth - 1} x JOIN g ON g.k = x.k)",
+        *climb("u", "b", "''", "place"),
+    ]
+    return f"""WITH {", ".join(parts)}
+SELECT doc_id, leaf, subroot, o.h AS root, sha256(sib) AS proof_sha256, acc AS folded_root, acc = o.h AS verified
+FROM bp{depth - 1}, b{depth} o"""
+
+
+@query("op13_merkle_manifest", _manifest_sql())
+def _(spark, folder):
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    rows = merkle.manifest_check(table(spark, folder, "documents"), tampered, _MANIFEST)
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
