@@ -8,7 +8,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licenses, merkle, packing, pii, quality, secrets, simhash, token_counts, token_files
+from . import chat, decontamination, licenses, merkle, packing, pii, quality, ranking, secrets, simhash, token_counts, token_files
 from .shared import stage, table
 from .spans import spans
 
@@ -172,3 +172,22 @@ def _(spark, folder):
     tampered = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
     rows = merkle.manifest_check(table(spark, folder, "documents"), tampered, _MANIFEST)
     return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+_RANKED_SQL = r"""WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text,
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+ d AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM t WHERE len(w) > 0),
+ s AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+ p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+ f AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, s GROUP BY term, n_docs),
+ q AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(text,
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY i, item_id, term),
+ h AS (SELECT i, item_id, d.r, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN f USING (term) JOIN d ON d.r = p.r, s GROUP BY i, item_id, d.r, doc_id)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INT) AS rank FROM h WHERE score > 0)
+WHERE rank <= 20"""
+
+
+@query("op12_ranked_search", _RANKED_SQL)
+def _(spark, folder):
+    return ranking.best_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), top=20)
