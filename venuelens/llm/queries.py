@@ -8,7 +8,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licenses, merkle, packing, pii, quality, ranking, secrets, simhash, token_counts, token_files
+from . import chat, decontamination, licenses, merkle, neighbours, packing, pii, quality, ranking, secrets, simhash, token_counts, token_files
 from .shared import stage, table
 from .spans import spans
 
@@ -191,3 +191,8 @@ WHERE rank <= 20"""
 @query("op12_ranked_search", _RANKED_SQL)
 def _(spark, folder):
     return ranking.best_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), top=20)
+
+
+@query("op11_nearest_neighbours")
+def _(spark, folder):
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
