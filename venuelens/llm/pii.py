@@ -1,11 +1,19 @@
 """Personal data by base patterns and gradient-boosted candidates, in DataFrame functions alone.
 
 Base spans are those of four patterns with their checks. Beside them high-recall generators propose overlapping
-candidates, each with features of its format and its context. Boosted trees learn from the corpus itself which
-candidates look like base spans; trained on all candidates of one half of the documents, equal ones as one row with
-their number as its weight. On all candidates of the other half, a threshold per generator is set to the lowest score
-bin from which on ``PRECISION`` of the candidates are base spans. Candidates over it that overlap no base span are added.
-The trees become column expressions, so scoring needs neither a shuffle nor a second look at the text.
+candidates, also of looser writing: no plus sign, ``(at)``, spaces in an address. Candidates are seen in two views.
+The rules' view gives labels: a candidate that overlaps a base span is personal; one of a format that never is (dates,
+amounts, numbers named as such, pieces of longer tokens) or that is written as the rules want it and still refused
+is not; all others have no label. The other view is context
+and weak format, without what the rules look at (plus sign, at sign, check digit, ranges, number of digits, spaces).
+Boosted trees on this second view learn what personal data looks like apart from the rules, so they also find what
+the rules miss.
+
+The trees learn from the labelled candidates of one half of the documents, equal ones as one row with their number as
+its weight. On the other half a threshold per generator is certified by a fixed sequence of bins of
+the score, from the highest down: the exact binomial tail must show that at least ``PRECISION`` of the labelled
+candidates over it are personal, at confidence ``1 - DELTA`` over all generators. Candidates over it that overlap no
+base span are added. The trees become column expressions, so scoring needs neither a shuffle nor a second look at the text.
 
 Defined results: a null text is empty; repeated rows are each searched; without both kinds of candidates nothing is
 learned and only base spans are given; an empty table gives an empty result; other columns are not looked at.
@@ -13,6 +21,7 @@ learned and only base spans are given; an empty table gives an empty result; oth
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.ml.classification import GBTClassifier
@@ -20,13 +29,15 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quality import binomial_tail
 from .shared import let, stage
-from .spans import digits, labelled, spans, written
+from .spans import digits, labelled, running, spans, written
 
-PRECISION = 0.98
-#: Candidates that a threshold must rest on.
-SUPPORT = 100
+PRECISION = 0.95
+DELTA = 0.05
 BINS = 50
+#: Stretches of a text that are cut out one by one when masking.
+FEW = 64
 TREES = 8
 DEPTH = 3
 
@@ -39,12 +50,22 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])$"
 KINDS = ("email", "ip", "card", "phone")
 
+AT = r"(?:@|\x20?[(\[]\x20?(?:at|AT)\x20?[)\]]\x20?)"
 GENERATORS = {
-    "email_like": r"(?<![^\s@])[^\s@]++@[^\s@]++",
-    "ip_like": r"(?<![0-9.])[0-9]++(?:\.[0-9]++){3,}+",
+    "email_like": rf"(?<![^\s@(\[<])[^\s@()\[\]<]++{AT}[^\s@]++",
+    "ip_like": r"(?<![0-9.])[0-9]++(?:\x20?\.\x20?[0-9]++){3,}+",
     "number_like": r"(?<![0-9])\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+",
 }
 CUE = r"(?i)(?:mail|contact|phone|tel|fon|call|mobil|card|visa|account|konto|iban|addr|host|ip)[^0-9A-Za-z]*$"
+#: What is never personal: dates, amounts, and numbers that are named as something else.
+DATE = r"^(?:[12][0-9]{3}[-./\x20][0-9]{1,2}[-./\x20][0-9]{1,2}|[0-9]{1,2}[-./\x20][0-9]{1,2}[-./\x20][12][0-9]{3})(?![0-9])"
+AMOUNT = r"[$\u00a3\u00a5\u20ac]\x20?$"
+NAMED = r"(?i)(?:\bid|\bno|\bnr|\bref|order|isbn|issn|doi|version|\bv|#)[\x20.:=#]*$"
+#: A list's numbers.
+COUNTED = r"^[0-9]{1,2}(?:\.\x20[0-9]{1,2})++$"
+#: Written as a rule wants it: an at sign, an address without spaces, a plus, bare digits, a card's groups.
+STRICT = r"@|^[0-9]++(?:\.[0-9]++)++$|^\+|^[0-9]++$|^[0-9](?:[\x20-]?[0-9]){13,18}+$"
+AROUND = 24
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -58,39 +79,45 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-FEATURES = (
-    "generator", "length", "digits", "letters", "dots", "separators", "groups", "longest", "plus", "paren", "luhn",
-    "octets", "dotted_end", "cue", "glued_left", "glued_right",
-)
+FEATURES = ("generator", "dots", "groups", "longest", "paren", "hyphens", "letters", "dotted_end", "cue", "glued_left", "glued_right")
 
 
-def features(text: Column, start: Column, end: Column, found: Column, generator: int) -> Column:
-    """Format and context of a candidate, as an array of doubles in the order of ``FEATURES``."""
-    only = digits(found)
-    groups = F.filter(F.split(found, "[^0-9]+"), lambda g: g != "")
-    left = F.substring(text, F.greatest(start - 24, F.lit(0)) + 1, F.least(start, F.lit(24)))
-    right = F.substring(text, end + 1, F.lit(1))
+def features(s: Column, generator: int) -> Column:
+    """Context and weak format of a candidate, as an array of doubles in the order of ``FEATURES``.
+
+    Longer runs of digits count as 5, and nothing here tells what the rules check.
+    """
+    found = s["found"]
+    bare = F.regexp_replace(found, AT, "@")
+    groups = F.filter(F.split(F.regexp_replace(found, r"^\+[0-9]{1,3}(?=[\x20(.-])", ""), "[^0-9]+"), lambda g: g != "")
+    ends = F.regexp_replace(bare, r"[^\p{L}\p{N}]+$", "")
     values = [
-        F.lit(generator), F.length(found), F.length(only), F.length(F.regexp_replace(found, r"[^\p{L}]+", "")),
-        F.length(F.regexp_replace(found, "[^.]+", "")), F.length(F.regexp_replace(found, r"[^\x20()-]+", "")), F.size(groups),
-        F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)), found.startswith("+").cast("int"), found.contains("(").cast("int"),
-        F.when(F.length(only) > 1, F.call_function("luhn_check", only)).otherwise(False).cast("int"), found.rlike(OCTETS).cast("int"),
-        found.rlike(r"\.[A-Za-z]{2,}$").cast("int"), left.rlike(CUE).cast("int"), left.rlike(r"[\p{L}\p{N}_]$").cast("int"),
-        right.rlike(r"[\p{L}\p{N}_]").cast("int"),
+        F.lit(generator), F.length(F.regexp_replace(ends, "[^.]+", "")), F.least(F.size(groups), F.lit(6)),
+        F.least(F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)), F.lit(5)), found.contains("(").cast("int"),
+        F.least(F.length(F.regexp_replace(found, "[^-]+", "")), F.lit(4)), F.least(F.length(F.regexp_replace(bare, r"[^\p{L}]+", "")), F.lit(5)),
+        ends.rlike(r"\.[A-Za-z]{2,}$").cast("int"), s["left"].rlike(CUE).cast("int"), s["left"].rlike(r"[\p{L}\p{N}_]$").cast("int"),
+        s["right"].rlike(r"^[\p{L}\p{N}_]").cast("int"),
     ]
     return F.array(*[v.cast("double") for v in values])
 
 
+def never_personal(s: Column) -> Column:
+    """What gets the label 0 if no rule takes it: formats that are never personal, and strict writing that fails the rules."""
+    glued = s["left"].rlike(r"[\p{L}\p{N}_]$") | s["right"].rlike(r"^[\p{L}\p{N}_]")
+    return glued | s["found"].rlike(DATE) | s["found"].rlike(STRICT) | s["found"].rlike(COUNTED) | s["left"].rlike(AMOUNT) | s["left"].rlike(NAMED)
+
+
 def proposals(text: Column) -> Column:
     """A struct of the base spans by kind and of all candidates with their features."""
     text = F.coalesce(text, F.lit(""))
 
     def of(name: str, number: int) -> Column:
         def row(s: Column) -> Column:
-            found = features(text, s["start"], s["end"], s["found"], number)
-            return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(number).alias("generator"), found.alias("f"))
+            return F.struct(
+                s["start"].alias("start"), s["end"].alias("end"), F.lit(number).alias("generator"), features(s, number).alias("f"), never_personal(s).alias("never")
+            )
 
-        return F.transform(spans(text, GENERATORS[name]), row)
+        return F.transform(spans(text, GENERATORS[name], AROUND), row)
 
     short = lambda found: F.transform(found, lambda s: F.struct(s["start"], s["end"]))
     return F.struct(
@@ -123,25 +150,36 @@ def boosted(model, f: Column) -> Column:
     return 1 / (1 + F.exp(-2 * margin))
 
 
+def labelled_candidates(rows: DataFrame) -> DataFrame:
+    """(half, generator, f, label) of the candidates that the rules' view has a label for."""
+    each = rows.select("half", F.explode("p.candidates").alias("c"), "p.base")
+    label = F.when(overlaps(F.col("base"), F.col("c")), 1.0).when(F.col("c.never"), 0.0)
+    return each.select("half", F.col("c.generator").alias("generator"), F.col("c.f").alias("f"), label.alias("label")).where("label IS NOT NULL")
+
+
 def learn(rows: DataFrame):
     """(score of a candidate's features, {generator: threshold}) from rows (p), or None if there is nothing to learn."""
-    each = rows.select("half", F.explode("p.candidates").alias("c"), "p.base").select(
-        "half", F.col("c.generator").alias("generator"), F.col("c.f").alias("f"), overlaps(F.col("base"), F.col("c")).cast("double").alias("label")
-    )
-    counted = each.filter("half = 1").groupBy("generator", "f", "label").agg(F.count("*").cast("double").alias("weight"))
-    known = stage(counted.orderBy("generator", "f", "label"), "pii-known")
-    if known.select("label").distinct().count() < 2:
+    counted = labelled_candidates(rows).groupBy("half", "generator", "f", "label").agg(F.count("*").cast("double").alias("weight"))
+    # Few features of few values: one row for each distinct candidate, however large the corpus.
+    known = stage(counted.orderBy("half", "generator", "f", "label"), "pii-known")
+    half = known.filter("half = 1")
+    if half.select("label").distinct().count() < 2:
         return None
-    wide = known.select("label", "weight", *[F.col("f")[i].alias(name) for i, name in enumerate(FEATURES)])
+    wide = half.select("label", "weight", *[F.col("f")[i].alias(name) for i, name in enumerate(FEATURES)])
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(wide)
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, weightCol="weight").fit(vectors)
     score = lambda f: boosted(model, f)
-    binned = each.filter("half = 0").groupBy("generator", F.least(F.floor(score(F.col("f")) * BINS), F.lit(BINS - 1)).alias("bin")).agg(
-        F.sum("label").alias("good"), F.count("*").alias("n")
+    bins = F.least(F.floor(score(F.col("f")) * BINS), F.lit(BINS - 1))
+    binned = known.filter("half = 0").groupBy("generator", bins.alias("bin")).agg(
+        F.sum(F.col("weight") * (1 - F.col("label"))).alias("wrong"), F.sum("weight").alias("n")
     )
     down = Window.partitionBy("generator").orderBy(F.desc("bin"))
-    share = binned.withColumn("fine", F.sum("good").over(down) / F.sum("n").over(down)).withColumn("support", F.sum("n").over(down))
-    passed = share.filter((F.col("fine") >= PRECISION) & (F.col("support") >= SUPPORT)).groupBy("generator").agg(F.min("bin").alias("bin"))
+    above = binned.select("generator", "bin", F.sum("wrong").over(down).alias("wrong"), F.sum("n").over(down).alias("n"))
+    # A fixed sequence: from the first bin that could pass at all, which its size alone tells, down to the first that fails.
+    level = DELTA / len(GENERATORS)
+    tested = above.filter(F.col("n") >= math.ceil(math.log(level) / math.log(PRECISION)))
+    proved = (binomial_tail(F.col("wrong"), F.col("n"), 1 - PRECISION) <= level).cast("int")
+    passed = tested.withColumn("passed", F.min(proved).over(down)).filter("passed = 1").groupBy("generator").agg(F.min("bin").alias("bin"))
     return score, {r["generator"]: r["bin"] / BINS for r in passed.collect()}  # one row per generator at most
 
 
@@ -156,7 +194,7 @@ def chosen(p: Column, learned) -> Column:
         over = F.lit(False)
         for generator, bound in thresholds.items():
             over = over | ((c["generator"] == generator) & (score(c["f"]) >= bound))
-        return over & ~overlaps(p["base"], c)
+        return over & ~c["never"] & ~overlaps(p["base"], c)
 
     added = F.filter(p["candidates"], adds)
     return let(added, lambda rows: labelled(base + [(name, _of_generator(rows, i)) for i, name in enumerate(GENERATORS)]))
@@ -182,26 +220,38 @@ def report(docs: DataFrame) -> DataFrame:
 def masked(text: Column, rows: Column) -> Column:
     """The text with each stretch of overlapping spans replaced by the first span's kind in brackets."""
 
-    def merge(held: Column, s: Column) -> Column:
-        last = F.get(held, F.size(held) - 1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        alone = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-        apart = (F.size(held) == 0) | (last["end"] <= s["start"])
-        return F.when(apart, F.concat(held, F.array(alone))).otherwise(
-            F.concat(F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0))), F.array(joined))
-        )
+    def stretches(rows: Column) -> Column:
+        """They start where a span begins behind all spans before it."""
+        reach = running(F.transform(rows, lambda s: s["end"]), 0, lambda a, b: F.greatest(a, b))
+        marked = F.zip_with(rows, reach, lambda s, r: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), r.alias("before")))
+        last = F.array_max(F.transform(rows, lambda s: s["end"]))
+        firsts = F.filter(marked, lambda s: s["start"] >= s["before"])
+        return F.struct(firsts.alias("firsts"), last.alias("last"))
+
+    def rebuilt(found: Column) -> Column:
+        firsts = found["firsts"]
+
+        def pieces(stretch: Column, i: Column) -> Column:
+            """The text before a stretch, then its kind."""
+            after = F.when(i == 0, 0).otherwise(stretch["before"])
+            return F.struct(after.alias("at"), (stretch["start"] - after).alias("size"), F.concat(F.lit("["), F.upper(stretch["kind"]), F.lit("]")).alias("said"))
+
+        def few(parts: Column) -> Column:
+            body = F.array_join(F.transform(parts, lambda p: F.concat(F.substring(text, p["at"] + 1, p["size"]), p["said"])), "")
+            return F.concat(body, F.substring(text, found["last"] + 1, F.length(text)))
 
-    empty = F.array().cast("array<struct<start:int,end:int,kind:string>>")
+        def many(parts: Column) -> Column:
+            # Characters of equal width are found without counting from the start of the text again for each part.
+            def of(wide: Column) -> Column:
+                bit = lambda p: F.concat(F.hex(F.substring(wide, p["at"] * 4 + 1, p["size"] * 4)), F.hex(F.encode(p["said"], "UTF-32")))
+                tail = F.hex(F.substring(wide, found["last"] * 4 + 1, F.octet_length(wide)))
+                return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.array_join(F.transform(parts, bit), ""), tail)), "UTF-32")
 
-    def rebuilt(stretches: Column) -> Column:
-        def part(s: Column, i: Column) -> Column:
-            after = F.coalesce(F.get(stretches, i - 1)["end"], F.lit(0))
-            return F.concat(F.substring(text, after + 1, s["start"] - after), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return let(F.encode(text, "UTF-32"), of)
 
-        tail = F.substring(text, F.get(stretches, F.size(stretches) - 1)["end"] + 1, F.length(text))
-        return F.concat(F.array_join(F.transform(stretches, part), ""), tail)
+        return let(F.transform(firsts, pieces), lambda parts: F.when(F.size(parts) <= FEW, few(parts)).otherwise(many(parts)))
 
-    return F.when(F.size(rows) == 0, text).otherwise(let(F.aggregate(rows, empty, merge), rebuilt))
+    return F.when(F.size(rows) == 0, text).otherwise(let(let(rows, stretches), rebuilt))
 
 
 def redact(docs: DataFrame) -> DataFrame:
