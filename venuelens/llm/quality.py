@@ -1,12 +1,18 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions alone.
 
-Each document gets counts and six scores (greater is worse). A rule rejects scores over its cutoff. Cutoffs are
-chosen per stratum (language) from fixed grids by labelled documents, split by a hash of the id: one half proposes,
-the other certifies. Certifying tests the cutoffs of a rule from the loosest on; a cutoff passes if the exact
-binomial tail shows that it rejects at most ``risk / rules`` of the good documents, at a level divided by the number
-of rules and strata tested, and testing stops at the first that fails. Of the cutoffs that passed, the one that
-rejects most bad and least good documents of the other half is taken. So with probability ``1 - delta`` no stratum
-loses more than ``risk`` of its good documents to all rules together. A rule without a certified cutoff never rejects.
+Each document gets counts and six scores (greater is worse), cut into ``LEVELS`` steps. A rule rejects documents whose
+level is over its cutoff. Each stratum (language) has its own vector of six cutoffs, chosen by labelled documents that
+pass the base rule, split by a hash of the id: one half proposes, the other certifies.
+
+The proposing half lays out an ordered path of vectors: at step t each cutoff is the smallest level that at most the
+share ``SHARES[t]`` of its good documents are over, so the vectors get stricter together. It also says how far to go:
+to the step that rejects most bad and least good documents. The certifying half walks the path from the loosest step
+on. A step passes if the exact binomial tail shows that the whole vector rejects at most ``risk`` of the good
+documents, and the first that fails ends the walk; such a fixed sequence needs no correction for its steps. Over the
+strata the level is corrected by Holm's method: a stratum that reaches the end of its path hands its share of
+``delta`` on to the others. So with probability ``1 - delta`` no stratum loses more than ``risk`` of its good documents
+to all rules together. About 90 good documents in the certifying half of each of four languages can certify a vector.
+A stratum without a certified vector never rejects. Every language is a stratum, whatever their number.
 
 Defined results: a null text has no words and fails the base rule; a null language is a stratum of its own; repeated
 rows are scored each for itself; repeated labels of an id count as bad if one of them is; an empty table gives an
@@ -26,18 +32,16 @@ SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 8
 RISK = 0.05
 DELTA = 0.05
-#: Good documents rejected weigh so much more than bad ones when a cutoff is proposed.
+#: Good documents rejected weigh so much more than bad ones when the end of a path is proposed.
 GOOD_WEIGHT = 20
-#: Languages with most labels that are strata of their own; all others share one.
-STRATA = 256
-GRIDS = {
-    "symbols": (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.5),
-    "lines": (0.05, 0.1, 0.2, 0.3, 0.5, 0.7),
-    "repeats": (0.05, 0.1, 0.15, 0.2, 0.25, 0.3),
-    "monotony": (0.5, 0.6, 0.7, 0.8, 0.9, 0.95),
-    "capitals": (0.1, 0.2, 0.3, 0.5, 0.7, 0.9),
-    "marks": (0.05, 0.1, 0.15, 0.2, 0.3, 0.5),
-}
+RULES = ("symbols", "lines", "repeats", "monotony", "capitals", "marks")
+#: Scores from 0 to 1 are told apart in so many steps; all beyond 1 is the last one.
+LEVELS = 200
+#: Shares of good documents that a rule alone may be over, step by step along a path.
+SHARES = (0.0, 0.0005, 0.001, 0.002, 0.004, 0.007, 0.01, 0.015, 0.02)
+#: Strata whose cutoffs are sent to all tasks; more of them are joined by shuffled, salted rows.
+BROADCAST = 10_000
+SALT = 64
 
 
 def repeated_words(words: Column, width: int = WINDOW) -> Column:
@@ -133,85 +137,111 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * p, 1.0).otherwise(F.exp(first + F.log(total)))
 
 
-def cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> tuple[DataFrame, list[str]]:
-    """(stratum, one cutoff per rule or null) and the languages that are strata, from rows (doc_id, lang, m) and labels.
+def levels(m: Column) -> Column:
+    """The levels of the six scores, in the order of ``RULES``."""
+    found = scores(m)
+    return F.array(*[F.least(F.floor(found[rule] * LEVELS), F.lit(LEVELS)).cast("int") for rule in RULES])
 
-    At most ``STRATA + 1`` rows.
-    """
-    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
 
-    def level_of(score: Column, grid: tuple) -> Column:
-        return sum((F.when(score > c, 1).otherwise(0) for c in grid), F.lit(0))
-
-    levels = F.array(*[
-        F.struct(F.lit(name).alias("rule"), level_of(score, GRIDS[name]).alias("level")) for name, score in scores(F.col("m")).items()
-    ])
-    counted = stage(
-        rows.join(known, "doc_id")
-        .select("lang", "quality", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("half"), F.explode(levels).alias("r"))
-        .groupBy("lang", "half", "quality", "r.rule", "r.level").agg(F.count("*").alias("n")),
-        "quality-counts",
-    )
-    largest = counted.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(STRATA)
-    names = [r["lang"] for r in largest.collect()]
-
-    places = [
-        F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("place"), F.lit(c).alias("cutoff"))
-        for rule, grid in GRIDS.items() for i, c in enumerate(grid)
-    ]
-    grid = counted.sparkSession.range(1).select(F.inline(F.array(*places)))
+def stratum(lang: Column) -> Column:
+    """The language; '' for a null one."""
+    return F.coalesce(F.concat(F.lit("="), lang), F.lit(""))
+
+
+def paths(known: DataFrame) -> DataFrame:
+    """(stratum, path) from labelled rows: for each rule its cutoff at every step, from good documents of the proposing half."""
+    good = known.filter("half = 1 AND quality = 1").select("stratum", F.posexplode("levels").alias("rule", "level"))
+    counted = good.groupBy("stratum", "rule", "level").agg(F.count("*").alias("n"))
+    # At most LEVELS rows a window, whatever the number of documents.
+    over = F.coalesce(F.sum("n").over(Window.partitionBy("stratum", "rule").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("n").over(Window.partitionBy("stratum", "rule"))
+    placed = counted.withColumn("over", over).withColumn("total", total)
+    steps = F.array(*[F.min(F.when(F.col("over") <= F.floor(F.col("total") * share), F.col("level"))) for share in SHARES])
+    rules = placed.groupBy("stratum", "rule").agg(steps.alias("steps"))
+    return rules.groupBy("stratum").agg(F.array_sort(F.collect_list(F.struct("rule", "steps"))).alias("path"))
+
+
+def first_step(found: Column, path: Column) -> Column:
+    """The first step at which a document is rejected, or the number of steps."""
+    rejects = lambda t: F.exists(F.zip_with(path, found, lambda r, level: level > F.get(r["steps"], t)), lambda x: x)
+    steps = F.sequence(F.lit(0), F.lit(len(SHARES) - 1))
+    return F.coalesce(F.get(F.filter(steps, rejects), F.lit(0)), F.lit(len(SHARES)))
+
+
+def certified(counted: DataFrame, risk: float, delta: float) -> DataFrame:
+    """(stratum, step): the strictest step that is certified, from (stratum, half, quality, first, n)."""
+    good, held = F.col("quality") == 1, F.col("half") == 0
     total = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
-    over, good = F.col("level") > F.col("place"), F.col("quality") == 1
-    judged = (
-        counted.withColumn("stratum", stratum(F.col("lang"), names)).join(F.broadcast(grid), "rule")
-        .groupBy("stratum", "rule", "place", "cutoff").agg(
-            total((F.col("half") == 0) & good).alias("n_good"),
-            total((F.col("half") == 0) & good & over).alias("k_good"),
-            (total((F.col("half") == 1) & ~good & over) / F.greatest(total((F.col("half") == 1) & ~good), F.lit(1))).alias("bad_share"),
-            (total((F.col("half") == 1) & good & over) / F.greatest(total((F.col("half") == 1) & good), F.lit(1))).alias("good_share"),
-        )
+    by_step = lambda test: F.array(*[total(test & (F.col("first") <= t)) for t in range(len(SHARES))])
+    rows = counted.groupBy("stratum").agg(
+        total(held & good).alias("n"), by_step(held & good).alias("k"), total(~held & good).alias("n_good"), by_step(~held & good).alias("good"),
+        total(~held & ~good).alias("n_bad"), by_step(~held & ~good).alias("bad"),
     )
-    level = delta / (len(GRIDS) * (len(names) + 2))
-    tail = binomial_tail(F.col("k_good"), F.col("n_good"), risk / len(GRIDS))
-    from_loosest = Window.partitionBy("stratum", "rule").orderBy(F.desc("place"))
-    gain = F.col("bad_share") - GOOD_WEIGHT * F.col("good_share")
-    best = (
-        judged.withColumn("passed", F.min((tail <= level).cast("int")).over(from_loosest))
-        .filter(F.col("passed").eqNullSafe(1) & (gain > 0))
-        .groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct(gain, "place")).alias("cutoff"))
+    gain = F.zip_with("bad", "good", lambda b, g: b / F.greatest(F.col("n_bad"), F.lit(1)) - GOOD_WEIGHT * g / F.greatest(F.col("n_good"), F.lit(1)))
+    most = F.array_max("gain")
+    rows = rows.withColumn("gain", gain).filter(most > 0).withColumn("end", (F.array_position("gain", most) - 1).cast("int"))
+    tails = F.transform("k", lambda k: binomial_tail(k, F.col("n"), risk))
+    # The level that each step needs: the worst of all steps up to it.
+    needs = F.transform(F.sequence(F.lit(0), F.col("end")), lambda t: F.array_max(F.slice("tails", 1, t + 1)))
+    rows = stage(rows.withColumn("tails", tails).select("stratum", needs.alias("needs")), "quality-tails")
+    n, done = rows.count(), 0
+    # Holm's step-down: strata that reach the end of their path free their share for the others, until none follows.
+    while n > done:
+        more = rows.filter(F.element_at("needs", -1) <= delta / (n - done)).count()
+        if more == done:
+            break
+        done = more
+    level = delta / max(1, n - done)
+    return rows.select("stratum", (F.size(F.filter("needs", lambda p: p <= level)) - 1).alias("step")).filter("step >= 0")
+
+
+def cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """(stratum, cuts): the certified cutoffs in the order of ``RULES``, from rows (doc_id, lang, m) and labels."""
+    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    sound = rows.filter(~base_failed(F.col("m"))).select("doc_id", stratum(F.col("lang")).alias("stratum"), levels(F.col("m")).alias("levels"))
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("half")
+    known = stage(sound.join(known, "doc_id").select("stratum", "levels", "quality", half), "quality-labelled")
+    ways = stage(paths(known), "quality-paths")
+    placed = beside(known, ways).filter("path IS NOT NULL").select("stratum", "half", "quality", first_step(F.col("levels"), F.col("path")).alias("first"))
+    counted = placed.groupBy("stratum", "half", "quality", "first").agg(F.count("*").alias("n"))
+    steps = certified(counted, risk, delta)
+    return stage(
+        ways.join(steps, "stratum").select("stratum", F.transform("path", lambda r: F.get(r["steps"], F.col("step"))).alias("cuts")), "quality-cutoffs"
     )
-    chosen = best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(rule) for rule in GRIDS])
-    return stage(chosen, "quality-cutoffs"), names
 
 
-def stratum(lang: Column, names: list[str]) -> Column:
-    """The language itself if it is a stratum of its own; '' for a null language, '*' for all others."""
-    return F.when(lang.isNull(), "").when(lang.isin(names) if names else F.lit(False), F.concat(F.lit("="), lang)).otherwise("*")
+def beside(rows: DataFrame, strata: DataFrame) -> DataFrame:
+    """Rows with the columns of their stratum. A hot language does not meet in one task: few strata go to all tasks, and
+    many are repeated ``SALT`` times and met by salted rows."""
+    if strata.count() <= BROADCAST:
+        return rows.join(F.broadcast(strata), "stratum", "left")
+    salted = strata.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return rows.withColumn("__salt", (F.rand(7) * SALT).cast("int")).join(salted, ["stratum", "__salt"], "left").drop("__salt")
 
 
-def judge(rows: DataFrame, chosen: DataFrame, names: list[str]) -> DataFrame:
-    """Adds ``kept`` to rows (lang, m, ...)."""
-    bounds = chosen.select(F.col("stratum").alias("__stratum"), F.struct(*GRIDS).alias("__cut"))
-    joined = rows.join(F.broadcast(bounds), stratum(F.col("lang"), names) == F.col("__stratum"), "left")
-    beyond = F.lit(False)
-    for rule, score in scores(F.col("m")).items():
-        beyond = beyond | F.coalesce(score > F.col("__cut")[rule], F.lit(False))
-    return joined.withColumn("kept", ~(base_failed(F.col("m")) | beyond)).drop("__stratum", "__cut")
+def judge(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Adds ``kept`` to rows (stratum, levels, base_failed, ...)."""
+    beyond = F.exists(F.zip_with("levels", "cuts", lambda level, cut: level > cut), lambda x: x)
+    return beside(rows, chosen).withColumn("kept", ~(F.col("base_failed") | F.coalesce(beyond, F.lit(False)))).drop("cuts", "stratum", "levels")
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document with its counts, ``base_failed`` and ``kept``."""
     rows = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", measures(F.col("text")).alias("m")), "quality")
-    return judge(rows, *cutoffs(rows, labels)).select(
-        "doc_id", F.col("m.words.n_words").alias("n_words"), F.col("m.words.word_chars").alias("word_chars"), F.col("m.n_symbols").alias("n_symbols"),
-        F.col("m.lines.n_dup_lines").alias("n_dup_lines"), F.col("m.words.n_repeat_words").alias("n_repeat_words"),
-        base_failed(F.col("m")).alias("base_failed"), "kept",
+    m = F.col("m")
+    wide = rows.select(
+        "doc_id", m["words"]["n_words"].alias("n_words"), m["words"]["word_chars"].alias("word_chars"), m["n_symbols"].alias("n_symbols"),
+        m["lines"]["n_dup_lines"].alias("n_dup_lines"), m["words"]["n_repeat_words"].alias("n_repeat_words"),
+        base_failed(m).alias("base_failed"), stratum(F.col("lang")).alias("stratum"), levels(m).alias("levels"),
     )
+    return judge(wide, cutoffs(rows, labels))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns. Measures are written beside the documents, so no text is shuffled."""
+    """The documents that pass, with their own columns. Verdicts are written beside the documents, so no text is shuffled."""
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), measures(docs["text"]).alias("m"))
-    rows = stage(packed.select("doc", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.lang").alias("lang"), "m"), "quality")
-    kept = judge(rows, *cutoffs(rows.select("doc_id", "lang", "m"), labels)).filter("kept")
-    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+    rows = stage(packed.select("doc", "m"), "quality")
+    seen = rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.lang").alias("lang"), "m")
+    chosen = cutoffs(seen, labels)
+    judged = rows.select("doc", base_failed(F.col("m")).alias("base_failed"), stratum(F.col("doc.lang")).alias("stratum"), levels(F.col("m")).alias("levels"))
+    return judge(judged, chosen).filter("kept").select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
