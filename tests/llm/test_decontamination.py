@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from venuelens.llm import decontamination as dc
 
@@ -55,8 +56,8 @@ def brute(items, rows, share):
         words = (text or "").lower().replace(".", " ").split()
         for i, item in items:
             item = (item or "").split()
-            limit = int(share * len(item))
-            if len(item) >= 8 and len(set(item) & set(words)) >= len(set(item)) - limit:
+            limit = int(share * len(item)) if len(item) >= 8 else 0
+            if item and len(set(item) & set(words)) >= len(set(item)) - limit:
                 distance = brute_distance(item, words)
                 if distance <= limit:
                     out[d, i] = distance
@@ -69,7 +70,7 @@ def test_recall_and_exact_distances(documents, spark, corpus):
     table = spark.createDataFrame([*items, (100, None), (101, "w1 w2"), (102, items[3][1])], "item_id long, text string")
     got = dc.passages(documents(rows + extra), table).collect()
     found = {(r.doc_id, r.item_id): r.edits for r in got if r.doc_id is not None}
-    want = brute([*items, (102, items[3][1])], rows + extra[:4] + extra[5:], 0.2)
+    want = brute([*items, (101, "w1 w2"), (102, items[3][1])], rows + extra[:4] + extra[5:], 0.2)
     assert set(found) <= set(want) and all(found[k] == want[k] for k in found)
     assert len(found) >= 0.95 * len(want)
     assert {k for k, v in want.items() if v == 0} <= set(found)
@@ -130,3 +131,40 @@ def test_blocks_of_items_and_empty_tables(documents, spark, monkeypatch, corpus)
     assert dc.passages(documents([]), table).count() == 0
     assert dc.passages(documents(rows), table.limit(0)).count() == 0
     assert dc.clean(documents(rows), table.limit(0)).count() == len(rows)
+
+
+def test_short_items_are_found_unchanged(documents, spark):
+    rng = random.Random(31)
+    items = [(m, " ".join("q%dx%d" % (m, i) for i in range(m))) for m in range(1, 8)] + [(20, "w5"), (21, "w1 w1 w1")]
+    rows = []
+    for d in range(200):
+        words = prose(rng, rng.randrange(1, 200), 30)
+        item = items[d % 7][1].split()
+        if d % 3 == 0:
+            at = rng.randrange(len(words))
+            words[at:at] = item if d % 2 else item[:-1] + ["other"]
+        rows.append((d, " ".join(words)))
+    df = documents(rows)
+    for name in ("raw", "item_id", "first_word", "n_words", "edits"):
+        df = df.withColumn(name, F.lit("x"))
+    table = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1)).withColumn("raw", F.lit("x"))
+    got = {(r.doc_id, r.item_id): r.edits for r in dc.passages(df, table).collect()}
+    want = {}
+    for d, text in rows:
+        words = text.split()
+        for i, item in items:
+            item = item.split()
+            if any(words[at : at + len(item)] == item for at in range(len(words))):
+                want[d, i] = 0
+    assert got == want and {i for _, i in want} >= set(range(1, 8))
+    assert {r.doc_id for r in dc.clean(df, table).collect()} == {d for d, _ in rows} - {d for d, _ in want}
+    assert dc.clean(df, table).columns == df.columns
+
+
+def test_what_waits_is_bounded_and_gives_the_same(corpus, monkeypatch):
+    items, rows = corpus
+    texts = [dc.symbols(t.encode()) for _, t in rows]
+    whole = dc.Items([(i, t.encode()) for i, t in items], 0.2, 0.95).find(texts)
+    monkeypatch.setattr(dc, "_WAITING", 500)
+    monkeypatch.setattr(dc, "_TOGETHER", 300)
+    assert dc.Items([(i, t.encode()) for i, t in items], 0.2, 0.95).find(texts) == whole

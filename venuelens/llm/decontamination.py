@@ -14,8 +14,8 @@ Unicode case folding, so that capitals with accents and sharp s are the same wor
 3. A candidate counts if the edit distance of the item to some stretch around the window is within the limit.
 
 The items are the query set and go to the tasks in blocks of ``BLOCK``; each block is one pass over the documents
-without a shuffle. Defined results: a null or empty text has no words; items of fewer than ``MIN_WORDS`` words cannot
-be told from ordinary prose and are not searched; repeated rows are each searched; equal items are each reported;
+without a shuffle. Defined results: a null or empty text has no words; an item without words is never found; items of
+fewer than ``FUZZY_FROM`` words, of which edits leave too little, are found unchanged only; repeated rows are each searched; equal items are each reported;
 empty tables give no rows; further columns are not looked at, and ``clean`` keeps them.
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .shared import stage, text_bytes
 
 EDITS = 0.2
-MIN_WORDS = 8
+FUZZY_FROM = 8
 RECALL = 0.95
 #: Places sampled for a key, most walks of a size, and made pairs of each kind of edit that walks are counted on.
 SAMPLED = 3
@@ -46,6 +46,8 @@ _MAP_BITS = 21
 _SLOT = np.uint32((1 << _MAP_BITS) - 1)
 #: Words of texts that are looked at together.
 _TOGETHER = 200_000
+#: Words in all windows that wait together.
+_WAITING = 3_000_000
 _WORD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -120,8 +122,8 @@ def repeats_for(m: int, edits: int, recall: float) -> int | None:
 
 def repeats_by_size(sizes: set[int], edits: float, recall: float) -> dict[int, int | None]:
     """The walks of each size, counted at the next multiple of 5; None from the first size on that needs too many."""
-    out, enough = {}, True
-    for m in sorted(sizes):
+    out, enough = {m: None for m in sizes if m < FUZZY_FROM}, True
+    for m in sorted(sizes - set(out)):
         upto = -(-m // 5) * 5
         out[m] = repeats_for(upto, min(upto, math.ceil(edits * upto - 1e-9)), recall) if enough else None
         enough = out[m] is not None
@@ -148,7 +150,7 @@ class Items:
         by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
         for item_id, raw in items:
             found = symbols(raw)
-            if len(found) >= MIN_WORDS:
+            if len(found):
                 by_size.setdefault(len(found), []).append((item_id, found))
         self.sizes = sorted(by_size)
         self.ids = {m: [i for i, _ in rows] for m, rows in by_size.items()}
@@ -175,7 +177,7 @@ class Items:
         self.distinct = {m: min(len(np.unique(row)) for row in rows) for m, rows in self.rows.items()}
 
     def limit(self, m: int) -> int:
-        return int(self.edits * m + 1e-9)
+        return int(self.edits * m + 1e-9) if m >= FUZZY_FROM else 0
 
     def windows(self, whole: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(size, starts) of the windows of some padded texts that may be near an item of their size.
@@ -204,10 +206,10 @@ class Items:
         found: dict[int, dict[tuple[int, int], tuple[int, int, int, int]]] = {}
         if not self.sizes:
             return {}
-        # The windows of a size wait until there are many, as a walk takes one step of all of them at a time.
+        # Windows wait until there are many, as a walk takes one step of all of a size at a time. What waits is bounded over
+        # all sizes, and places are verified and let go with it.
         waiting: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-        near: dict[int, dict[tuple[int, int], set[int]]] = {m: {} for m in self.sizes}
-        first = 0
+        cells = first = 0
         while first < len(texts):
             upto, total = first, 0
             while upto < len(texts) and (upto == first or total + len(texts[upto]) <= _TOGETHER):
@@ -215,16 +217,21 @@ class Items:
                 upto += 1
             for m, *rows in self._windows_of(texts, first, upto):
                 waiting.setdefault(m, []).append(tuple(rows))
-                if sum(len(owner) for _, owner, _ in waiting[m]) >= 20_000:
-                    self._candidates(m, waiting.pop(m), near[m])
+                cells += rows[0].size
+                if cells >= _WAITING:
+                    self._settle(waiting, texts, found)
+                    cells = 0
             first = upto
-        for m, rows in waiting.items():
-            self._candidates(m, rows, near[m])
-        for m, pairs in near.items():
-            for (t, item), places in pairs.items():
-                self._verify(m, t, item, sorted(places), texts[t], found)
+        self._settle(waiting, texts, found)
         return {t: sorted(hits.values()) for t, hits in found.items()}
 
+    def _settle(self, waiting, texts, found) -> None:
+        for m in list(waiting):
+            near: dict[tuple[int, int], set[int]] = {}
+            self._candidates(m, waiting.pop(m), near)
+            for (t, item), places in near.items():
+                self._verify(m, t, item, sorted(places), texts[t], found)
+
     def _windows_of(self, texts, first, upto) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(size, windows, their texts, their first words) of texts put one after the other, with padding between."""
         pad = np.zeros(self.sizes[-1], np.uint32)
@@ -283,7 +290,7 @@ class _Held:
     def __init__(self, items, edits, recall):
         self.items, self.edits, self.recall, self.token = items, edits, recall, uuid.uuid4().hex
         sizes = {len(symbols(raw)) for _, raw in items}
-        self.repeats = repeats_by_size({m for m in sizes if m >= MIN_WORDS}, edits, recall)
+        self.repeats = repeats_by_size(sizes - {0}, edits, recall)
 
     def __hash__(self):
         return hash(self.token)
