@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import regex
 
@@ -60,7 +61,7 @@ def test_seeded_search_finds_what_a_full_search_finds():
         made = rng.randrange(edits + 4)
         words = " some words before %s and some after " % " ".join(garbled(rng, notice, made).split())
         full = regex.search(f"(?b)(?:{notice}){{e<={edits}}}", words)
-        hits = [h for h in searcher.find(words) if h.label == label]
+        hits = [h for h in searcher.find(words, lic.Spaces(words.encode("latin-1"))) if h.label == label]
         assert bool(full) == bool(hits)
         if full:
             assert min(h.edits for h in hits) <= max(made, sum(full.fuzzy_counts))
@@ -80,7 +81,8 @@ def test_least_edits_match_brute_force():
 
 
 def test_span_and_score():
-    hits = lic.Notices().find(" a b licensed undr the apache license version 2 0 c ")
+    text = " a b licensed undr the apache license version 2 0 c "
+    hits = lic.Notices().find(text, lic.Spaces(text.encode()))
     assert [(h.label, h.first_word, h.end_word, h.edits) for h in hits] == [("apache-2.0", 2, 10, 1)]
     assert hits[0].score == 1 - 1 / len(lic.NOTICES[1][0])
 
@@ -91,7 +93,8 @@ def test_edited_notices_beside_unchanged_ones():
         altered = notice[: len(notice) // 2] + "#" + notice[len(notice) // 2 + 1 :]
         size = len(notice.split())
         for order in ([1, 0], [1, 1, 0], [0, 1], [1, 0, 1, 0], [0, 0]):
-            hits = searcher.find(" a %s b " % " ".join(altered if edits else notice for edits in order))
+            text = " a %s b " % " ".join(altered if edits else notice for edits in order)
+            hits = searcher.find(text, lic.Spaces(text.encode()))
             assert [h.edits for h in hits if h.label == label] == order
             if altered.count(" ") == notice.count(" "):
                 assert [h.first_word for h in hits if h.label == label] == [1 + size * i for i in range(len(order))]
@@ -99,3 +102,13 @@ def test_edited_notices_beside_unchanged_ones():
 
 def test_empty_table(documents):
     assert lic.scan(documents([])).count() == 0
+
+
+def test_many_hits_in_one_text():
+    begun = time.time()
+    assert lic.scan_text(b"all rights reserved " * 1_000_000)[1:4] == (1_000_000, 0, 2_999_997)
+    notice = b"under the terms of the gnu lesser general public license"
+    n = 5000
+    spans = lic.scan_text(b"".join(notice.replace(b"terms", b"term") + b" x " if i % 3 == 0 else notice + b" " for i in range(n)))[-1].split(",")
+    assert sum(s.startswith("lgpl:") for s in spans) == n
+    assert time.time() - begun < 60

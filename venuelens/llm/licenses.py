@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -41,6 +42,8 @@ NOTICES = (
 #: One edit is allowed for so many characters, while pieces keep ``SEED`` characters at least.
 PER_EDIT = 10
 SEED = 7
+#: Lengths of a notice in one window of a long stretch.
+WINDOW = 8
 
 _WORD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -84,6 +87,20 @@ def least_edits(notice: str, text: str) -> int:
     return best
 
 
+class Spaces:
+    """Words before a place, from all places of spaces, which are taken once and only if asked for."""
+
+    def __init__(self, joined: bytes):
+        self.joined = joined
+
+    @functools.cached_property
+    def places(self) -> np.ndarray:
+        return np.flatnonzero(np.frombuffer(self.joined, np.uint8) == 32)
+
+    def before(self, at: int) -> int:
+        return int(np.searchsorted(self.places, at))
+
+
 class Notices:
     """Notices ready for searching."""
 
@@ -97,7 +114,7 @@ class Notices:
         # Among matches within the bound the library looks for the one with fewest edits.
         self.fuzzy = [regex.compile(f"(?b)(?:{regex.escape(notice, special_only=True)}){{e<={edits}}}") for notice, _, edits in self.notices]
 
-    def find(self, words: str) -> list[Hit]:
+    def find(self, words: str, spaces: Spaces) -> list[Hit]:
         """Hits in normalised words, by place. ``words`` starts and ends with a space."""
         places: dict[int, list[int]] = {}
         for end, found in self.seeds.iter(words):
@@ -113,14 +130,31 @@ class Notices:
                 for match in self._matches(number, words, low, high):
                     made = sum(match.fuzzy_counts)
                     held = words[match.start() : match.end()]
-                    first = words.count(" ", 0, match.start() + len(held) - len(held.lstrip(" "))) - 1
-                    last = words.count(" ", 0, match.end() - len(held) + len(held.rstrip(" ")))
+                    first = spaces.before(match.start() + len(held) - len(held.lstrip(" "))) - 1
+                    last = spaces.before(match.end() - len(held) + len(held.rstrip(" ")))
                     hits.append(Hit(label, first, last, made, 1 - made / len(notice)))
         return sorted(hits, key=lambda h: (h.first_word, h.label, h.end_word))
 
-
     def _matches(self, number: int, words: str, low: int, high: int) -> Iterator[regex.Match]:
-        """The best match of a stretch, then those of the parts before and behind it."""
+        """The best match of a stretch, then those of the parts before and behind it.
+
+        A stretch of many notices in a row is taken in windows, since the best match of all of it would be looked for again
+        and again. A window leaves what may reach beyond it to the next one.
+        """
+        notice, _, edits = self.notices[number]
+        reach = len(notice) + edits
+        while high - low > 2 * WINDOW * reach:
+            end, done = low + WINDOW * reach, low + (WINDOW - 1) * reach
+            for match in self._best(number, words, low, end):
+                if match.end() <= end - reach:
+                    yield match
+                elif match.start() < done:
+                    yield match
+                    done = max(done, match.end())
+            low = done
+        yield from self._best(number, words, low, high)
+
+    def _best(self, number: int, words: str, low: int, high: int) -> Iterator[regex.Match]:
         notice, _, edits = self.notices[number]
         parts = [(low, high)]
         while parts:
@@ -152,14 +186,14 @@ def _notices() -> Notices:
     return Notices()
 
 
-def base_places(joined: bytes) -> list[tuple[int, str]]:
+def base_places(joined: bytes, spaces: Spaces) -> list[tuple[int, str]]:
     """(first word, label) of every place of a base phrase in space-joined words."""
     found = []
     for phrase, label in BASE:
         look = f" {phrase} ".encode()
         at = joined.find(look)
         while at >= 0:
-            found.append((joined.count(b" ", 0, at), label))
+            found.append((spaces.before(at), label))
             at = joined.find(look, at + 1)
     return found
 
@@ -175,8 +209,9 @@ def scan_text(raw: bytes) -> tuple:
     if not words:
         return 0, 0, None, None, "", "", 0.0, ""
     joined = b" " + b" ".join(words) + b" "
-    base = base_places(joined)
-    hits = _notices().find(joined.decode("latin-1"))
+    spaces = Spaces(joined)
+    base = base_places(joined, spaces)
+    hits = _notices().find(joined.decode("latin-1"), spaces)
     places = [place for place, _ in base]
     own = {label for _, label in base}
     score = 1.0 if base else max((h.score for h in hits), default=0.0)
