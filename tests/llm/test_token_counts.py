@@ -88,3 +88,30 @@ def test_table_with_and_without_stored_trees(documents, library):
 
 def test_empty_table(documents):
     assert tc.counts(documents([]), VOCABULARY).count() == 0
+
+
+SCRIPTS = "aé Ωμέγα кот 日本語 กขค نص \U0001f600\U0001f468‍\U0001f469 é 　\x85​ 1٣½ '.,\n\t "
+
+
+def test_every_script_has_a_tree(coder, library):
+    rng = random.Random(77)
+    for _ in range(150):
+        text = noise(rng, rng.choice([1, 9, 80, 500]), SCRIPTS)
+        tree = tc.CountTree(text, coder)
+        assert not tree.whole
+        for _ in range(10):
+            start = rng.randrange(-2, len(text) + 3)
+            edit = (start, start + rng.choice([0, 0, 1, 2, 9, 80]), noise(rng, rng.choice([0, 1, 2, 7, 40]), rng.choice([SCRIPTS, "ab c1'"])))
+            text = apply(text, [edit])
+            tree.edit(*edit)
+            assert tree.text() == text and tree.total == library(text), (text, edit)
+
+
+@pytest.mark.parametrize("sentence,new", [("Το γρήγορο καφέ αλεπού πηδά. ", "σκύλος"), ("words and \U0001f600 faces here. ", "\U0001f680 up"), ("日本語の文章です。 ", "東京")])
+def test_only_the_edit_is_encoded_again_in_any_script(coder, library, sentence, new):
+    text = sentence * 4000
+    tree = tc.CountTree(text, coder)
+    before = tree.encoded
+    tree.edit(60000, 60003, new)
+    assert tree.encoded - before < 120
+    assert tree.total == library(apply(text, [(60000, 60003, new)]))

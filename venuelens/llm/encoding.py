@@ -16,6 +16,7 @@ import json
 import os
 import re
 import struct
+from collections.abc import Iterator
 
 from tokenizers import Tokenizer
 
@@ -103,6 +104,17 @@ class Encoder:
         except UnicodeEncodeError:
             return not _UNKNOWN.search(text)
 
+    def split(self, text: str) -> Iterator[str]:
+        """The pre-tokens of a text or of a stretch of one, for vocabularies whose pre-tokens make up the text."""
+        if self.known(text):
+            yield from (found[0] for found in self.pattern.finditer(text))
+            return
+        # One letter of a byte-level pre-token is one byte of the text.
+        raw, at = text.encode(), 0
+        for shown, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text):
+            yield raw[at : at + len(shown)].decode()
+            at += len(shown)
+
     def ids(self, text: str) -> bytes:
         if not text:
             return b""

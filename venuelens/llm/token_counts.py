@@ -6,7 +6,9 @@ the split before it cannot change, and splits anew from there until a new bounda
 edit: the split looks ahead but never back, so all that follows stays as it was. Only these pre-tokens are encoded
 again, and only the sums above their blocks are updated.
 
-Texts whose characters the encoder does not look up by word have one leaf, encoded whole. Defined results: a null text
+A stretch with characters that the encoder's own pattern does not know is split by the library's pre-tokenizer, which
+splits all other stretches alike, so every script has a tree. Only a tokenizer that does not work by pre-tokens has one
+leaf, encoded whole. Defined results: a null text
 is empty and has no tokens; places of an edit are code points of the text as it is after the edits before it, cut to
 that text; null edits are none; repeated rows are each counted; an empty table gives an empty result; columns other
 than those named are not looked at.
@@ -50,8 +52,8 @@ class CountTree:
         return (b"w" if self.whole else b"p") + np.array([list(map(len, parts)), counts], "<u4").tobytes()
 
     def _build(self, text: str) -> None:
-        self.whole = not (self.coder.by_word and self.coder.known(text))
-        parts = [text] if self.whole else self.coder.pattern.findall(text)
+        self.whole = not self.coder.by_word
+        parts = [text] if self.whole else list(self.coder.split(text))
         self._shape(parts, self._encode(parts))
 
     def _encode(self, parts: list[str]) -> list[int]:
@@ -127,7 +129,7 @@ class CountTree:
         """Puts a text in place of the characters from start to end."""
         start = max(0, min(start, self.length))
         end = max(start, min(end, self.length))
-        if self.whole or not self.coder.known(new):
+        if self.whole:
             text = self.text()
             self._build(text[:start] + new + text[end:])
             return
@@ -165,12 +167,12 @@ class CountTree:
             # A split this close to what is not yet seen could still change.
             safe = len(text) if whole_rest else len(text.rstrip()) - 1
             parts, place, found = [], 0, None
-            for match in self.coder.pattern.finditer(text):
+            for part in self.coder.split(text):
                 if place in bounds and place <= safe and place >= len(head) + len(new):
                     found = bounds[place]
                     break
-                parts.append(match[0])
-                place = match.end()
+                parts.append(part)
+                place += len(part)
             else:
                 if whole_rest:
                     found = bounds[len(text)]
