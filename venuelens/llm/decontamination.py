@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stage, text_bytes
+from .shared import release, stage, text_bytes
 
 EDITS = 0.2
 FUZZY_FROM = 8
@@ -279,7 +279,7 @@ class Items:
             at = upto + 1
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _built(token: str, held: _Held) -> Items:
     return Items(held.items, held.edits, held.recall, held.repeats)
 
@@ -321,6 +321,7 @@ def passages(docs: DataFrame, items: DataFrame, edits: float = EDITS, recall: fl
     for held in blocks(items, edits, recall):
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            release()
             names = [field.split()[0] for field in schema.split(", ")]
             for batch in batches:
                 hits = held.built().find([symbols(raw.as_py()) for raw in batch.column(1)])
@@ -339,6 +340,7 @@ def clean(docs: DataFrame, items: DataFrame, edits: float = EDITS, recall: float
     for held in blocks(items, edits, recall):
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            release()
             for batch in batches:
                 hits = held.built().find([symbols((text.as_py() or "").encode()) for text in batch.column(where)])
                 mask = np.ones(batch.num_rows, bool)

@@ -33,24 +33,34 @@ WORD_ENDS = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^{SPACE}{LETTER}{N
 
 _UNKNOWN = re.compile(f"[^{KNOWN}]")
 _PLAIN = bytes([9, 10, 13, *range(32, 127), *range(160, 256)])
-#: Chunks and words in each of the two generations that a worker remembers.
-CHUNKS = 450_000
-WORDS = 250_000
+#: Chunks and words in each of the two generations that a worker remembers, some 120 MB in all.
+CHUNKS = 250_000
+WORDS = 40_000
+#: Bytes of bits for those that came once.
+ONCE = 1 << 20
 
 
 class Memory(dict):
-    """What ``make`` gave for each key. When full it becomes the older generation; what is used again moves up."""
+    """What ``make`` gave for each key that came twice. When full it becomes the older generation; what is used again moves up.
+
+    Keys that came once only leave a bit, so the many words that never come again take no room.
+    """
 
     def __init__(self, make, size: int):
         super().__init__()
         self.make, self.size, self.older = make, size, {}
+        self.once = bytearray(ONCE)
 
     def __missing__(self, key):
-        found = self.older.get(key)
+        found = self.older.pop(key, None)
         if found is None:
             found = self.make(key)
+            at = hash(key) % (8 * ONCE)
+            if not self.once[at >> 3] >> (at & 7) & 1:
+                self.once[at >> 3] |= 1 << (at & 7)
+                return found
         if len(self) >= self.size:
-            self.older = dict(self)
+            self.older, self.once = dict(self), bytearray(ONCE)
             self.clear()
         self[key] = found
         return found
@@ -80,6 +90,7 @@ class Encoder:
         self.pattern = re.compile(WORD_ENDS if self.word_ends else BYTE_LEVEL)
         self.before = "" if self.word_ends else " "
         self.letters = _byte_letters()
+        self.mark = self.before.translate(self.letters)
         self.words = Memory(self._word, WORDS)
         self.chunks = Memory(self._chunk, CHUNKS)
 
@@ -88,14 +99,19 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
-        seen = word.encode().decode("latin-1").translate(self.letters)
-        ids = [token.id for token in self.tokenizer.model.tokenize(seen)]
+        return self._ids(word.encode().decode("latin-1").translate(self.letters))
+
+    def _ids(self, shown: str) -> bytes:
+        ids = [token.id for token in self.tokenizer.model.tokenize(shown)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _pieces(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
 
     def _chunk(self, chunk: str) -> bytes:
+        # Most chunks are one word of letters, which is not remembered twice.
+        if chunk.isalpha():
+            return self._ids(self.mark + chunk) if chunk.isascii() else self._word(self.before + chunk)
         return self._pieces(self.before + chunk)
 
     def known(self, text: str) -> bool:
@@ -133,3 +149,8 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """One encoder per worker and vocabulary, kept over the tasks of the worker."""
     return Encoder(path)
+
+
+def forget() -> None:
+    """Drops what this worker remembers; other operators call it, since Spark gives them the same workers later on."""
+    encoder.cache_clear()

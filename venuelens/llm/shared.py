@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +34,10 @@ def text_key(column: str | Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value worked out once, also when the body uses it many times."""
     return F.transform(F.array(value), body)[0]
+
+
+def release() -> None:
+    """Called at the start of a task: drops the words that this worker remembers from an earlier stage, if it does."""
+    encoding = sys.modules.get(f"{__package__}.encoding")
+    if encoding:
+        encoding.forget()

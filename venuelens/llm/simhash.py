@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stage, text_bytes, text_key
+from .shared import release, stage, text_bytes, text_key
 
 BUCKET = 2048
 LANES = 512
@@ -54,6 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row (doc_id, text_key, fp) per document, the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             values = [fingerprint(raw.as_py(), shingle, seed) for raw in batch.column(2)]
             fp = pa.array(np.array(values, np.uint64).view(np.int64))
