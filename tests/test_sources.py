@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from helpers import as_set, plan_of
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from venuelens import fixed_values as fv
 from venuelens import schemas
@@ -13,6 +14,7 @@ from venuelens.session import shared_dir
 from venuelens.sources import readers, snapshots, writers
 from venuelens.sources import tables as stored
 from venuelens.streaming import incremental
+from venuelens.streaming.changelog import ChangeLog, Parking
 
 LINES = [
     '{"id": "1", "name": "A", "rating": 4.50, "review_count": "(1,200)", "reviews": [{"user": "u", "rating": 4, "comment": "good beef"}]}',
@@ -187,24 +189,118 @@ def test_snapshot_and_restore(spark, tmp_path):
         snapshots.restore(spark, ["snap_a"], str(tmp_path), "backup_none")
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    first = ['{"id": "1", "name": "A", "reviews": [{"user": "u", "comment": "x"}, {"user": "v", "comment": "y"}]}', '{"id": "2", "name": "B"}']
-    second = ['{"id": "1", "name": "A2", "reviews": [{"user": "w", "comment": "z"}]}', '{"id": "3", "name": "C"}']
+ORDER = (T.StructField("seq", T.LongType()),)
+
+
+def arrive(folder, name, *records):
+    write(folder / name, "\n".join(r if isinstance(r, str) else json.dumps(r) for r in records))
+
+
+def reviews(*users):
+    return [{"user": u, "rating": "5", "comment": "c"} for u in users]
+
+
+def test_arrivals_give_the_rows_of_one_full_load(spark, tmp_path):
     folder, checkpoint = tmp_path / "in", str(tmp_path / "checkpoint")
-    write(folder / "1.jsonl", "\n".join(first))
-    incremental.load_new_files(spark, str(folder), checkpoint, (), "s_rest", "s_rev")
-    assert spark.table("s_rest").count() == 2
-    write(folder / "2.jsonl", "\n".join(second))
-    for _ in range(2):  # the second run finds nothing new
-        incremental.load_new_files(spark, str(folder), checkpoint, (), "s_rest", "s_rev")
-    for name in ("1", "2"):
-        batch = spark.read.schema(schemas.RESTAURANTS_RAW).json(str(folder / f"{name}.jsonl"))
-        incremental.sync_documents(batch, (), "b_rest", "b_rev")
-        incremental.sync_documents(batch, (), "b_rest", "b_rev")  # a repeated batch changes nothing
-    assert as_set(spark.table("s_rest")) == as_set(spark.table("b_rest"))
-    assert as_set(spark.table("s_rev")) == as_set(spark.table("b_rev"))
-    assert as_set(spark.table("s_rest").select("id", "name")) == {("1", "A2"), ("2", "B"), ("3", "C")}
-    assert as_set(spark.table("s_rev").select("restaurant_id", "user")) == {("1", "w")}
+    batches = [
+        [{"id": "1", "name": "A", "seq": 5, "reviews": reviews("u", "v")}, {"id": "2", "name": "B", "seq": 1, "reviews": reviews("w")}, {"id": "9", "name": "n" * 300, "seq": 1}],
+        [{"id": "1", "name": "late", "seq": 2, "reviews": reviews("x")}, {"id": "2", "name": "B2", "seq": 7}, {"id": "", "name": "none", "seq": 1}, '{"id": "4", "na'],
+        [{"id": "1", "name": "A", "seq": 5, "reviews": reviews("u", "v")}, {"id": "3", "name": "C", "seq": 1, "reviews": reviews("y", "z" * 300)}, "[1]"],
+    ]
+    store = incremental.LakeStore(str(tmp_path / "store"), ORDER, buckets=4)
+    assert store.table(spark, "reviews").count() == 0 and store.table(spark, "rejects").count() == 0
+    told = []
+    for n, records in enumerate(batches):
+        arrive(folder, f"{n}.jsonl", *records)
+        told += incremental.load_new_files(store, spark, str(folder), checkpoint)
+    assert incremental.load_new_files(store, spark, str(folder), checkpoint) == []  # nothing new
+    assert [t["restaurants"] for t in told] == [
+        {"rows": 3, "accepted": 2, "refused": 1, "skipped": 0}, {"rows": 3, "accepted": 2, "refused": 0, "skipped": 1},
+        {"rows": 2, "accepted": 2, "refused": 0, "skipped": 0},
+    ]
+    whole = incremental.LakeStore(str(tmp_path / "whole"), ORDER)
+    schema = T.StructType([*schemas.RESTAURANTS_RAW.fields, *ORDER])
+    whole.add_documents(readers.read_json_lines(spark, str(folder), schema), 0)
+    for _ in range(2):
+        for name in ("restaurants", "reviews"):
+            assert as_set(store.table(spark, name)) == as_set(whole.table(spark, name))
+        assert as_set(store.table(spark, "restaurants").select("id", "name")) == {("1", "A"), ("2", "B2"), ("3", "C")}
+        assert sorted(r[0] for r in store.table(spark, "reviews").select("user").collect()) == ["u", "v", "y"]
+        rejects = {(r.table, r.key, r._batch): r for r in store.table(spark, "rejects").collect()}
+        assert set(rejects) == {("restaurants", "9", 0), ("reviews", "3", 2)}
+        assert json.loads(rejects["restaurants", "9", 0].content)["name"] == "n" * 300
+        assert store.compact(spark) or store.logs["reviews"].batches(spark) == []
+
+
+def test_a_repeated_or_unfinished_batch(spark, tmp_path, monkeypatch):
+    schema = T.StructType([*schemas.RESTAURANTS_RAW.fields, *ORDER])
+    batch = lambda *rows: spark.createDataFrame([(*[r.get(f) for f in schema.fieldNames()],) for r in rows], schema)
+    store = incremental.LakeStore(str(tmp_path / "store"), ORDER)
+    first = batch({"id": "1", "name": "A", "seq": 1, "reviews": [("u", "5", "c")]})
+    store.add_documents(first, 0)
+    store.add_documents(first, 0)
+    assert store.table(spark, "reviews").count() == 1 and store.table(spark, "restaurants").count() == 1
+    second = batch({"id": "1", "name": "A2", "seq": 2, "reviews": [("v", "5", "c"), ("w", "5", "c")]})
+    monkeypatch.setattr(incremental.LakeStore, "_refuse", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.add_documents(second, 1)
+    assert [r.name for r in store.table(spark, "restaurants").collect()] == ["A"]  # seen as a whole or not at all
+    assert store.compact(spark)["reviews"]
+    monkeypatch.undo()
+    store.add_documents(second, 1)
+    assert [r.name for r in store.table(spark, "restaurants").collect()] == ["A2"] and store.table(spark, "reviews").count() == 2
+    twice = batch({"id": "1", "name": "A", "seq": 1}, {"id": "1", "name": "B", "seq": 1})
+    with pytest.raises(ValueError, match="repeat"):
+        incremental.LakeStore(str(tmp_path / "other"), ()).add_documents(twice, 0)
+
+
+def test_written_bytes_follow_the_batch(spark, tmp_path):
+    log = ChangeLog(str(tmp_path / "log"), "k", ("v",), T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType()), T.StructField("t", T.StringType())]), 32)
+    row = lambda n, v: spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit(v).cast("long").alias("v"), F.sha2(F.col("id").cast("string"), 512).alias("t"))
+    size = lambda part: {p: (p.stat().st_size, p.stat().st_mtime_ns) for p in (tmp_path / "log" / part).rglob("*.parquet")}
+    log.append(row(20000, 1), 0)
+    assert len(log.compact(spark)) == 32 and log.batches(spark) == []
+    before = size("base")
+    log.append(row(2, 2), 1)
+    assert sum(s for s, _ in size("changes").values()) < 0.01 * sum(s for s, _ in before.values())
+    assert log.current(spark).filter("v = 2").count() == 2 and log.current(spark).count() == 20000
+    touched = log.compact(spark)
+    assert 1 <= len(touched) <= 2
+    after = size("base")
+    assert {p.parent.name for p in before if before[p] != after.get(p)} == {f"_bucket={b}" for b in touched}
+    assert log.current(spark).filter("v = 2").count() == 2 and log.current(spark).count() == 20000
+
+
+def test_one_scan_of_the_raw_input(spark, tmp_path):
+    write(tmp_path / "in" / "a.jsonl", "\n".join(json.dumps({"id": str(i), "name": "n" * (i % 400), "seq": 1, "reviews": reviews("u")}) for i in range(1000)))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    raw = readers.read_json_lines(spark, str(tmp_path / "in"), schemas.RESTAURANTS_RAW)
+    meals = spark.createDataFrame([], schemas.MEALS_RAW)
+    outcomes = {}
+    counters = ingest.load_documents(spark, raw.mapInArrow(count, raw.schema), meals, "one_scan", (), (), outcomes)
+    assert seen.value == 1000 and counters["restaurants"] + counters["skipped"] == 1000
+    assert outcomes["restaurants"] == {"rows": 1000, "accepted": counters["restaurants"], "refused": counters["skipped"], "skipped": 0}
+    assert spark.table("one_scan.rejects").count() == counters["skipped"] > 0
+    stored.wipe(spark, "one_scan")
+
+
+def test_children_wait_for_their_parents(spark, tmp_path):
+    schema = T.StructType([T.StructField("c", T.LongType()), T.StructField("p", T.StringType())])
+    parking = Parking(str(tmp_path / "parked"), "c", "p", schema)
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    keys = lambda *ks: spark.createDataFrame([(k,) for k in ks], "id string")
+    assert as_set(parking.arrive(frame((1, "a"), (2, "b"), (3, None)), keys("a"), keys("a"), 0)) == {(1, "a")}
+    for _ in range(2):  # a repeated batch gives the same
+        assert as_set(parking.arrive(frame((4, "c"), (5, "a")), keys("a", "b"), keys("b"), 1)) == {(5, "a"), (2, "b")}
+    assert as_set(parking.waiting(spark, 1)) == {(3, None, 1, "no parent p = NULL"), (4, "c", 0, "no parent p = c")}
+    assert as_set(parking.arrive(frame(), keys("a", "b"), keys(), 2)) == set()
+    assert as_set(parking.waiting(spark, 2).select("c", "age")) == {(3, 2), (4, 1)}
 
 
 def test_shared_dir_is_below_the_named_folder(spark):

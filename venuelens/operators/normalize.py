@@ -143,10 +143,15 @@ def restaurant_documents(raw: DataFrame, order: Sequence[str] = (), literal: boo
     )
     raw_place = {c: clean_location_text(F.col(c)) for c in ("district", "address", "city")}
     split = _split(keyed.filter(is_present(F.col("id"))), _refused_restaurant(raw_place), "id", "restaurants")  # F5
-    latest = latest_by_key(split.accepted, "id", order)
-    placed = latest.withColumn("_place", F.struct(*[text.alias(c) for c, text in raw_place.items()]))
+    return Split(latest_documents(split.accepted, order, literal), split.rejects)
+
+
+def latest_documents(accepted: DataFrame, order: Sequence[str] = (), literal: bool = False) -> DataFrame:
+    """The last of the accepted raw documents of each id, cleaned, with the order columns."""
+    latest = latest_by_key(accepted, "id", order)
+    placed = latest.withColumn("_place", F.struct(*[clean_location_text(F.col(c)).alias(c) for c in ("district", "address", "city")]))
     district, address, city = (F.col("_place")[c] for c in ("district", "address", "city"))
-    documents = placed.select(
+    return placed.select(
         "id",
         default_if_blank(F.col("name"), fv.DEFAULT_RESTAURANT_NAME).alias("name"),
         extract_float(F.col("rating")).alias("rating"),
@@ -156,9 +161,53 @@ def restaurant_documents(raw: DataFrame, order: Sequence[str] = (), literal: boo
         extract_admin_area(district, address, city, literal=literal, cleaned=True).alias("district_parsed"),
         normalize_city(city, address, district, cleaned=True).alias("city"),
         clean_reviews(F.col("reviews")).alias("reviews"),
-        *keep_order,
+        *[c for c in order if c not in ("_id", "url")],
+    )
+
+
+OUTCOME, REASON = "_outcome", "_reason"
+ACCEPTED, REFUSED, SKIPPED = "accepted", "refused", "skipped"
+
+
+def _marked(df: DataFrame, present: Column, reason: Column) -> DataFrame:
+    """Every row with its outcome and reasons, so that one write can sort them out."""
+    judged = df.withColumn(REASON, F.when(present, reason).otherwise(""))
+    outcome = F.when(~present, SKIPPED).when(F.col(REASON) != "", REFUSED).otherwise(ACCEPTED)
+    return judged.withColumn(OUTCOME, outcome)
+
+
+def mark_restaurants(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Raw documents with their short id, none dropped; those without an id are skipped."""
+    keep_order = [c for c in order if c not in ("_id", "url")]
+    keyed = raw.withColumn("id", make_short_id(_raw_id(raw))).select(
+        "id", "name", "rating", "review_count", "address", "district", "city", "reviews", *keep_order
+    )
+    place = {c: clean_location_text(F.col(c)) for c in ("district", "address", "city")}
+    return _marked(keyed, F.coalesce(is_present(F.col("id")), F.lit(False)), _refused_restaurant(place))
+
+
+def mark_reviews(documents: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """The reviews of accepted documents with their outcome, and further columns of the document."""
+    extra = documents.select("id", *more).columns[1:]
+    exploded = documents.select(F.col("id").alias("restaurant_id"), *extra, F.posexplode_outer("reviews").alias("pos", "r"))
+    flat = exploded.filter("pos IS NOT NULL").select("restaurant_id", "pos", "r.user", "r.rating", "r.comment", *extra)
+    return _marked(flat, F.lit(True), too_long(fv.REVIEW_TEXT_LIMITS))
+
+
+def stored_reviews(accepted: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Accepted reviews as they are stored."""
+    keyed = accepted.withColumn("id", review_key(F.col("restaurant_id"), F.col("pos")))
+    return keyed.withColumn("user", default_if_blank(F.col("user"), fv.DEFAULT_USER)).select(*schemas.REVIEWS.fieldNames(), *more)
+
+
+def mark_meals(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Parsed meals as they are stored, none dropped; those without an id or a name are skipped."""
+    shaped = raw.select(
+        "id", "name", default_label(F.col("category")).alias("category"), default_label(F.col("area")).alias("area"),
+        "instructions", array_to_csv(F.col("ingredients")).alias("ingredients"), *order,
     )
-    return Split(documents, split.rejects)
+    present = is_present(F.col("id")) & is_present(F.col("name"))
+    return _marked(shaped, F.coalesce(present, F.lit(False)), too_long(fv.MEAL_TEXT_LIMITS))
 
 
 def restaurants_table(documents: DataFrame) -> DataFrame:

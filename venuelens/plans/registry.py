@@ -19,6 +19,7 @@ from ..session import shared_dir
 from ..sources import readers, snapshots, writers
 from ..sources.tables import wipe
 from ..streaming import incremental
+from ..streaming.changelog import Parking
 from . import ingest, reports, runner, samples, views
 from .samples import table, wide_table
 
@@ -914,21 +915,146 @@ _SYNCED = f"""(SELECT * FROM {samples.RAW_RESTAURANTS_SQL} r
 
 @case("C5_I1_load_new_files", f"""SELECT id, name, rating, district_parsed, city, CAST(2 AS BIGINT) AS n_reviews FROM {_SYNCED} s""")
 def _(spark, folder):
+    """Three arrivals; the order says that a later arrival wins."""
     work = shared_dir(spark, "sync")
-    restaurants, reviews = "sync_restaurants_" + work[-12:], "sync_reviews_" + work[-12:]
+    store = incremental.LakeStore(f"{work}/store", (T.StructField("arrival", T.LongType()), T.StructField("o_orderkey", T.LongType())))
     raw = samples.raw_restaurants(spark, folder)
     for number in range(3):
-        part = raw.filter(F.col("o_orderkey") % 3 == number).select(*schemas.RESTAURANTS_RAW.fieldNames(), "o_orderkey")
-        part.coalesce(1).write.mode("append").json(f"{work}/arrived")
-    incremental.load_new_files(
-        spark, f"{work}/arrived", f"{work}/checkpoint", ["o_orderkey"], restaurants, reviews,
-        T.StructType([*schemas.RESTAURANTS_RAW.fields, T.StructField("o_orderkey", T.LongType())]), max_files=1,
-    )
-    counts = spark.table(reviews).groupBy("restaurant_id").agg(F.count("*").alias("n_reviews"))
-    stored = spark.table(restaurants).join(counts, F.col("id") == F.col("restaurant_id"))
+        part = raw.filter(F.col("o_orderkey") % 3 == number).withColumn("arrival", F.lit(number))
+        part.select(*schemas.RESTAURANTS_RAW.fieldNames(), "arrival", "o_orderkey").write.mode("append").json(f"{work}/arrived")
+        incremental.load_new_files(store, spark, f"{work}/arrived", f"{work}/checkpoint")
+    counts = store.table(spark, "reviews").groupBy("restaurant_id").agg(F.count("*").alias("n_reviews"))
+    stored = store.table(spark, "restaurants").join(counts, F.col("id") == F.col("restaurant_id"))
     return stored.select("id", "name", "rating", "district_parsed", "city", "n_reviews")
 
 
+# Three arrivals of orders as documents: rows come late, every fifth comes again in the next arrival, some names are too
+# long, some ids are missing, and in the last arrival a cut-off line. Every ninth document has lost its reviews.
+_LONG_NAME, _NO_REVIEWS = "o_orderkey % 13 = 5", "o_orderkey % 9 = 4"
+_LOADED = f"""(SELECT * FROM {samples.RAW_RESTAURANTS_SQL} r WHERE NOT ({_LONG_NAME})
+ QUALIFY row_number() OVER (PARTITION BY id ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"""
+_BY_DATE = (T.StructField("o_orderdate", T.DateType()), T.StructField("o_orderkey", T.LongType()))
+
+
+def _arrivals(spark: SparkSession, folder: str, work: str, store: incremental.LakeStore) -> list:
+    raw = samples.raw_restaurants(spark, folder)
+    raw = raw.withColumns({
+        "name": F.when(F.expr(_LONG_NAME), F.repeat(F.lit("n"), F.lit(300))).otherwise(F.col("name")),
+        "reviews": F.when(F.expr(_NO_REVIEWS), F.array().cast(raw.schema["reviews"].dataType)).otherwise(F.col("reviews")),
+    })
+    nameless = raw.filter("o_orderkey % 31 = 2").withColumn("id", F.lit(""))
+    told = []
+    for number in range(3):
+        part = raw.filter((F.col("o_orderkey") % 3 == number) | (F.col("o_orderkey") % 15 == number - 1))
+        part = part.unionByName(nameless.filter(F.col("o_orderkey") % 3 == number))
+        part = part.select(*schemas.RESTAURANTS_RAW.fieldNames(), "o_orderdate", "o_orderkey")
+        part.write.mode("append").json(f"{work}/arrived")
+        if number == 2:
+            cut = part.select(F.left(F.to_json(F.struct(*part.columns)), F.lit(60)).alias("value"))
+            cut.filter("length(value) = 60").write.mode("append").text(f"{work}/arrived")
+        told += incremental.load_new_files(store, spark, f"{work}/arrived", f"{work}/checkpoint")
+        if number == 1:
+            store.compact(spark)
+    return told
+
+
+def _loaded_store(spark: SparkSession, folder: str) -> incremental.LakeStore:
+    work = shared_dir(spark, "arrivals")
+    store = incremental.LakeStore(f"{work}/store", _BY_DATE)
+    _arrivals(spark, folder, work, store)
+    return store
+
+
+@case("C5_change_log_restaurants", f"SELECT id, name, rating, CAST(review_count AS INTEGER) AS review_count, address, district, district_parsed, city FROM {_LOADED} r")
+def _(spark, folder):
+    """Late, repeated and refused rows in three arrivals, with a compaction in between, give the rows of one full load."""
+    return _loaded_store(spark, folder).table(spark, "restaurants")
+
+
+@case("C5_change_log_reviews", f"""SELECT restaurant_id, "user", rating, comment FROM (
+ SELECT id AS restaurant_id, o_orderpriority AS "user", CAST(o_orderkey % 5 + 1 AS DOUBLE) AS rating,
+  'order ' || o_orderkey AS comment, o_orderkey FROM {_LOADED} r
+ UNION ALL SELECT id, 'Anonymous', CAST(o_orderkey % 5 + 1 AS DOUBLE), NULL, o_orderkey FROM {_LOADED} r) u WHERE NOT ({_NO_REVIEWS})""")
+def _(spark, folder):
+    """The reviews of the last document of each id; a last document without reviews leaves none."""
+    return _loaded_store(spark, folder).table(spark, "reviews").drop("id")
+
+
+@case("R10_change_log_rejects", f"""SELECT batch, key, count(*) AS n, min(len(reason)) AS reason_length FROM (
+ SELECT a AS batch, 'rest_d' || o_custkey AS key, 'name longer than 255' AS reason
+ FROM orders, (SELECT unnest([0, 1, 2]) AS a) x WHERE {_LONG_NAME} AND (o_orderkey % 3 = a OR o_orderkey % 15 = a - 1)) y GROUP BY batch, key""")
+def _(spark, folder):
+    """Every refused row is kept with its batch, reason and content."""
+    rejects = _loaded_store(spark, folder).table(spark, "rejects")
+    whole = F.get_json_object("content", "$.id") == F.col("key")
+    kept = rejects.filter(whole & (F.length(F.get_json_object("content", "$.name")) == 300))
+    return kept.groupBy(F.col("_batch").alias("batch"), "key").agg(F.count("*").alias("n"), F.min(F.length("reason")).alias("reason_length"))
+
+
+@case("V13_batch_counters", f"""SELECT a AS batch, count(*) + count_if(o_orderkey % 31 = 2 AND o_orderkey % 3 = a) AS rows, count_if(NOT ({_LONG_NAME})) AS accepted,
+ count_if({_LONG_NAME}) AS refused, count_if(o_orderkey % 31 = 2 AND o_orderkey % 3 = a) AS skipped
+ FROM orders, (SELECT unnest([0, 1, 2]) AS a) x WHERE o_orderkey % 3 = a OR o_orderkey % 15 = a - 1 GROUP BY a""")
+def _(spark, folder):
+    """What each arrival held, from the one pass that reads it."""
+    work = shared_dir(spark, "arrivals")
+    told = _arrivals(spark, folder, work, incremental.LakeStore(f"{work}/store", _BY_DATE))
+    rows = [(n, *(each["restaurants"][k] for k in ("rows", "accepted", "refused", "skipped"))) for n, each in enumerate(told)]
+    return spark.createDataFrame(rows, "batch long, rows long, accepted long, refused long, skipped long")
+
+
+@case("C5_change_log_meals", """SELECT 'meal_' || (p_partkey % 700) AS id, p_name AS name, CASE WHEN p_size % 3 <> 0 THEN p_type ELSE 'Unknown' END AS category,
+ CASE WHEN p_size % 5 <> 0 THEN p_brand ELSE 'Unknown' END AS area, p_partkey AS seq FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 7 <> 0
+ QUALIFY row_number() OVER (PARTITION BY p_partkey % 700 ORDER BY p_partkey DESC) = 1""")
+def _(spark, folder):
+    """Recipes that share ids, the later ones arriving first."""
+    work = shared_dir(spark, "meals")
+    store = incremental.LakeStore(f"{work}/store", (), (T.StructField("seq", T.LongType()),))
+    recipes = samples.raw_recipes(spark, folder).withColumn("seq", F.col("idMeal").cast("long"))
+    parsed = normalize.parse_meals(recipes).withColumn("seq", F.substring("id", 6, 20).cast("long"))
+    parsed = parsed.withColumn("id", F.concat(F.lit("meal_"), F.col("seq") % 700))
+    for number in (2, 1, 0):
+        parsed.filter(F.col("seq") % 3 == number).write.mode("append").json(f"{work}/arrived")
+        incremental.load_new_files(store, spark, f"{work}/arrived", f"{work}/checkpoint", meals=True)
+        store.compact(spark)
+    log = store.logs["meals"].current(spark)
+    return store.table(spark, "meals").join(log.select("id", "seq"), "id").select("id", "name", "category", "area", "seq")
+
+
+@case("J3_late_parents", """SELECT o_orderkey, CASE WHEN p > 2 THEN -1 ELSE greatest(p, c) END AS stored_in, CASE WHEN p > 2 THEN 2 - c END AS age FROM (
+ SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN 9 ELSE o_custkey % 3 END AS p, o_orderkey % 3 AS c FROM orders) x""")
+def _(spark, folder):
+    """Orders come in three batches, often before their customer; every fifth customer never comes."""
+    work = shared_dir(spark, "parking")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    customers = orders.select(F.col("o_custkey").alias("c_custkey")).distinct().filter("c_custkey % 5 <> 0")
+    parking = Parking(f"{work}/parked", "o_orderkey", "o_custkey", orders.schema)
+    for number in range(3):
+        new, known = customers.filter(F.col("c_custkey") % 3 == number), customers.filter(F.col("c_custkey") % 3 <= number)
+        stored = parking.arrive(orders.filter(F.col("o_orderkey") % 3 == number), known, new, number)
+        stored.select("o_orderkey", F.lit(number).alias("stored_in"), F.lit(None).cast("long").alias("age")).write.mode("append").parquet(f"{work}/stored")
+    waiting = parking.waiting(spark, 2).select("o_orderkey", F.lit(-1).alias("stored_in"), "age")
+    return spark.read.parquet(f"{work}/stored").unionByName(waiting)
+
+
+@case("V13_import_and_recipe_counters", """SELECT 'import' AS what, count(*) AS rows, count_if(o_orderkey % 10 <> 3) AS merged, count_if(o_orderkey % 10 = 3) AS skipped FROM orders
+UNION ALL SELECT 'recipes', count(*), count_if(p_partkey % 11 <> 0), count_if(p_partkey % 11 = 0) FROM part
+UNION ALL SELECT 'recipes again', count(*), count_if(p_partkey % 11 <> 0), count_if(p_partkey % 11 = 0) FROM part
+UNION ALL SELECT 'stored', count(*), 0, 0 FROM part WHERE p_partkey % 11 <> 0""")
+def _(spark, folder):
+    """Counters of a file import with records that have no id, and of two ingests of all recipes into a stored collection."""
+    work, counters = shared_dir(spark, "import"), {}
+    key = F.col("o_orderkey")
+    record = F.struct(F.when(key % 10 != 3, F.concat(F.lit("d"), F.col("o_custkey"))).otherwise(F.lit("")).alias("_id"), F.concat(F.lit("Place "), key).alias("name"))
+    # Files of bounded size; each line is a whole array.
+    arrays = table(spark, folder, "orders").groupBy(F.floor(key / 2000).alias("part")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.repartition("part").write.partitionBy("part").text(f"{work}/arrays")
+    ingest.import_collection(spark, f"{work}/arrays", schemas.DOCUMENTS_RAW, "import_" + work[-12:], counters)
+    recipes, name = samples.raw_recipes(spark, folder), "recipes_" + work[-12:]
+    first, again = ingest.store_meals(spark, recipes, name), ingest.store_meals(spark, recipes, name)
+    rows = [(what, c["rows"], c["merged"], c["skipped"]) for what, c in (("import", counters), ("recipes", first), ("recipes again", again))]
+    return spark.createDataFrame([*rows, ("stored", spark.table(name).count(), 0, 0)], "what string, rows long, merged long, skipped long")
+
+
 # === files (S) ====================================================================
 
 

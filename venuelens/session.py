@@ -23,6 +23,8 @@ def build_session(app_name: str = "venuelens", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        # A task that writes to few folders keeps their files open instead of sorting its rows by folder.
+        "spark.sql.maxConcurrentOutputFileWriters": "64",
         # Recording the call site of every column expression makes building large ones slow.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }

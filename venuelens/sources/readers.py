@@ -13,7 +13,7 @@ from .. import schemas
 SEQUENCE = "_seq"
 
 
-def _path_missing(error: AnalysisException) -> bool:
+def path_missing(error: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in (error.getCondition() or str(error))
 
 
@@ -50,6 +50,15 @@ def read_json_lines(
     return lines.filter(_is_whole_object(F.col("value"))).select(F.from_json("value", schema).alias("d"), *extra).select("d.*", *extra)
 
 
+def stream_json_lines(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """S2 for files that arrive one after the other, with the same rule for lines."""
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    lines = reader.text(path).filter(_is_whole_object(F.col("value")))
+    return lines.select(F.from_json("value", schema).alias("d")).select("d.*")
+
+
 def read_documents_with_presence(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """S2 plus ``_present``, the names of the fields each line has, for ``merge_upsert``."""
     lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
@@ -69,7 +78,7 @@ def read_json_array(
     try:
         df = spark.read.schema(schema).option("multiLine", True).json(path)
     except AnalysisException as error:
-        if _path_missing(error):
+        if path_missing(error):
             return None
         raise
     if check:

@@ -71,7 +71,8 @@ def evolve_tables(spark: SparkSession, database: str | None = None) -> None:
     prefix = f"{database}." if database else ""
     for table, (schema, defaults) in TABLES.items():
         current = spark.table(prefix + table)
-        if current.columns != schema.fieldNames():
+        shape = lambda kind: [(f.name, f.dataType) for f in kind.fields]
+        if shape(current.schema) != shape(schema):
             publish(spark, prefix + table, schemas.conform(current, schema, defaults))
 
 

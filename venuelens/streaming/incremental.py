@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import StructField, StructType
 
 from .. import schemas
-from ..operators.normalize import meals_table, restaurant_documents, restaurants_table, reviews_table
-from ..operators.tables import ordered_upsert, replace_upsert
-from ..session import remove_folder, shared_dir
+from ..operators.normalize import latest_documents, mark_meals, mark_restaurants, mark_reviews, stored_reviews
+from ..operators.outcomes import needs_order, sort_out
+from ..operators.tables import latest_by_key, ordered_upsert
+from ..session import shared_dir
+from ..sources import readers
 from ..sources.tables import publish
+from .changelog import GONE, ChangeLog
+
+BATCH = "_batch"
 
 
 def run_available(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -43,9 +50,6 @@ def upsert_into(
     publish(spark, table, ordered_upsert(base, batch, key, order), root)
 
 
-BATCH = "_batch"
-
-
 def append_changes(batch: DataFrame, number: int, changes: str) -> None:
     """Keep a batch in a change log, at a cost that grows with the batch and not with the table.
 
@@ -65,56 +69,113 @@ def current_rows(base: DataFrame, changes: DataFrame, key: str, order: Sequence[
     return ordered_upsert(stored, changes, key, [*order, BATCH]).select(*base.columns)
 
 
-def _stored(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
-    return spark.table(table) if spark.catalog.tableExists(table) else like.limit(0)
-
-
-def sync_documents(
-    batch: DataFrame,
-    order: Sequence[str],
-    restaurants: str = "restaurants",
-    reviews: str = "reviews",
-) -> None:
-    """One batch of raw documents into the stored tables: restaurants are upserted, their reviews replaced.
+@dataclass(frozen=True)
+class LakeStore:
+    """Restaurants, reviews, meals and refused rows below ``root``, kept as change logs.
 
-    Within a batch the order rules; between batches the later one wins, as the tables keep no order column. The cleaned
-    batch is written once to the shared folder and both tables derive from there.
+    The order columns tell which document of an id is the last one; they rule over all batches, so the tables are those
+    of one full load whatever the batches were. A batch becomes visible as a whole: readers take the batches up to the
+    last one that is complete in all its tables.
     """
-    spark = batch.sparkSession
-    folder = shared_dir(spark, "sync-batch")
-    restaurant_documents(batch, order).accepted.write.parquet(folder)
-    documents = spark.read.parquet(folder)
-    rows = restaurants_table(documents)
-    publish(spark, restaurants, replace_upsert(_stored(spark, restaurants, rows), rows, "id", ()))
-    new_reviews = reviews_table(documents).accepted
-    ids = documents.select(F.col("id").alias("restaurant_id"))
-    stored = _stored(spark, reviews, new_reviews)
-    kept = stored.join(ids, "restaurant_id", "left_anti").select(*stored.columns)
-    publish(spark, reviews, kept.unionByName(new_reviews))
-    remove_folder(spark, folder)
-
-
-def sync_meals(batch: DataFrame, order: Sequence[str], meals: str = "meals") -> None:
-    """One batch of parsed meals into the stored table, as ``sync_documents`` does for restaurants."""
-    spark = batch.sparkSession
-    rows = meals_table(batch, order).accepted
-    publish(spark, meals, replace_upsert(_stored(spark, meals, rows), rows, "id", ()))
+
+    root: str
+    order: tuple[StructField, ...]
+    meals_order: tuple[StructField, ...] = ()
+    buckets: int = 64
+
+    def _log(self, name: str, key: str, schema: StructType, order: tuple[StructField, ...]) -> ChangeLog:
+        names = {f.name for f in schema.fields}
+        whole = StructType([*schema.fields, *[f for f in order if f.name not in names]])
+        return ChangeLog(f"{self.root}/{name}", key, tuple(f.name for f in order), whole, self.buckets)
+
+    @property
+    def logs(self) -> dict[str, ChangeLog]:
+        return {
+            "restaurants": self._log("restaurants", "id", schemas.RESTAURANTS, self.order),
+            "reviews": self._log("reviews", "restaurant_id", schemas.REVIEWS, self.order),
+            "meals": self._log("meals", "id", schemas.MEALS, self.meals_order),
+        }
+
+    def add_documents(self, batch: DataFrame, number: int) -> dict[str, dict[str, int]]:
+        """A batch of raw documents: read once, its restaurants and reviews added, what is refused kept with its content.
+
+        Returns the counters of both tables.
+        """
+        spark, order = batch.sparkSession, [f.name for f in self.order]
+        found = sort_out(mark_restaurants(batch, order), "restaurants", "id")
+        needs_order(found.accepted, "id", order, "restaurants")
+        folder = shared_dir(spark, "sync-batch")
+        latest_documents(found.accepted, order).write.parquet(folder)
+        documents = spark.read.parquet(folder)
+        reviews = sort_out(mark_reviews(documents, order), "reviews", "restaurant_id")
+        logs = self.logs
+        logs["restaurants"].append(documents, number)
+        # A document without reviews drops the older ones as well, so each document leaves a tombstone beside its reviews.
+        stones = documents.select(F.col("id").alias("restaurant_id"), *order, F.lit(True).alias(GONE))
+        rows = stored_reviews(reviews.accepted, order).withColumn(GONE, F.lit(False))
+        logs["reviews"].append(rows.unionByName(stones, allowMissingColumns=True), number)
+        self._refuse(found.refused.unionByName(reviews.refused), "documents", number)
+        self._complete(spark, "documents", number)
+        return {"restaurants": found.counters, "reviews": reviews.counters}
+
+    def add_meals(self, batch: DataFrame, number: int) -> dict[str, dict[str, int]]:
+        """A batch of parsed meals, as ``add_documents`` does for restaurants."""
+        order = [f.name for f in self.meals_order]
+        found = sort_out(mark_meals(batch, order), "meals", "id")
+        needs_order(found.accepted, "id", order, "meals")
+        self.logs["meals"].append(latest_by_key(found.accepted, "id", order), number)
+        self._refuse(found.refused, "meals", number)
+        self._complete(batch.sparkSession, "meals", number)
+        return {"meals": found.counters}
+
+    def _refuse(self, rows: DataFrame, feed: str, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/rejects/_feed={feed}/{BATCH}={number}")
+
+    def _complete(self, spark: SparkSession, feed: str, number: int) -> None:
+        spark.range(1).select(F.lit(number).cast("bigint").alias("number")).write.mode("overwrite").parquet(f"{self.root}/complete/{feed}/{number}")
+
+    def _last(self, spark: SparkSession, feed: str) -> int:
+        try:
+            done = spark.read.schema("number bigint").option("recursiveFileLookup", True).parquet(f"{self.root}/complete/{feed}")
+        except AnalysisException as error:
+            if readers.path_missing(error):
+                return -1
+            raise
+        return done.agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0]
+
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        """``restaurants``, ``reviews``, ``meals`` or ``rejects`` as of the last complete batch of its feed."""
+        if name == "rejects":
+            schema = "table string, key string, reason string, content string, _feed string, _batch bigint"
+            try:
+                return spark.read.schema(schema).parquet(f"{self.root}/rejects")
+            except AnalysisException as error:
+                if readers.path_missing(error):
+                    return spark.createDataFrame([], schema)
+                raise
+        names = {"restaurants": schemas.RESTAURANTS, "reviews": schemas.REVIEWS, "meals": schemas.MEALS}[name].fieldNames()
+        return self.logs[name].current(spark, self._last(spark, "meals" if name == "meals" else "documents")).select(*names)
+
+    def compact(self, spark: SparkSession) -> dict[str, list[int]]:
+        """Compacts the complete batches of all logs; returns the buckets written of each."""
+        return {
+            name: log.compact(spark, self._last(spark, "meals" if name == "meals" else "documents")) for name, log in self.logs.items()
+        }
 
 
 def load_new_files(
-    spark: SparkSession,
-    path: str,
-    checkpoint: str,
-    order: Sequence[str],
-    restaurants: str = "restaurants",
-    reviews: str = "reviews",
-    schema: T.StructType = schemas.RESTAURANTS_RAW,
-    max_files: int | None = None,
-) -> None:
-    """Sync the JSON Lines files that have appeared at ``path`` since the last call."""
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    store: LakeStore, spark: SparkSession, path: str, checkpoint: str, meals: bool = False,
+    schema: StructType | None = None, max_files: int | None = None,
+) -> list[dict[str, dict[str, int]]]:
+    """Adds the JSON Lines files that have appeared at ``path`` since the last call, restaurants or meals.
+
+    Lines are judged as in ``read_json_lines``. Returns the counters of each batch.
+    """
+    order = store.meals_order if meals else store.order
+    known = schema or (schemas.MEALS_RAW if meals else schemas.RESTAURANTS_RAW)
+    whole = StructType([*known.fields, *[f for f in order if f.name not in known.fieldNames()]])
+    add, told = store.add_meals if meals else store.add_documents, []
     run_available(
-        reader.json(path), lambda batch, _: sync_documents(batch, order, restaurants, reviews), checkpoint
+        readers.stream_json_lines(spark, path, whole, max_files), lambda batch, number: told.append(add(batch, number)), checkpoint
     )
+    return told
