@@ -320,3 +320,46 @@ def test_change_log(spark, tmp_path):
     changes = spark.read.parquet(log)
     assert changes.count() == 3
     assert as_set(incremental.current_rows(base, changes, "id", [])) == {("1", "a"), ("2", "b2"), ("3", "c1")}
+
+
+ELEMENTS = [
+    {"id": 1, "t": 'a"}{[]\\', "l": []}, {"id": 2, "t": None, "l": [{"v": "}"}, {"v": '"'}]}, {}, {"id": 3, "t": "\\\"},{", "l": [{"v": "x\n\ny"}]}, {"id": 4, "t": "ü日\U0001f600" * 50},
+]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("split", ["600", "128m"])
+def test_large_array_by_byte_ranges(spark, tmp_path, indent, split):
+    schema = T.StructType.fromDDL("id int, t string, l array<struct<v:string>>")
+    elements = [dict(e, id=e.get("id", 0) + 10 * n) for n in range(20) for e in ELEMENTS]
+    write(tmp_path / "in" / "a.json", " \n" + json.dumps(elements, indent=indent, ensure_ascii=False) + "\n")
+    write(tmp_path / "in" / "deep" / "b.json", "[]")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = readers.read_large_json_array(spark, str(tmp_path / "in"), schema, sequence=True).orderBy("_seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = [(e["id"], e.get("t"), None if e.get("l") is None else [tuple(x.values()) for x in e["l"]]) for e in elements]
+    assert [(r.id, r.t, None if r.l is None else [tuple(x) for x in r.l]) for r in got] == want
+    assert [r._seq.element for r in got] == list(range(len(elements)))
+
+
+@pytest.mark.parametrize("text", ['{"id": 1}', '[{"id": 1}', '[{"id": "}"]', '"[{}]"', "x"])
+def test_large_array_that_is_none(spark, tmp_path, text):
+    with pytest.raises(ValueError, match="array"):
+        readers.read_large_json_array(spark, write(tmp_path / "a.json", text), schemas.struct(id=T.StringType()))
+
+
+def test_large_array_missing_or_empty(spark, tmp_path):
+    assert readers.read_large_json_array(spark, str(tmp_path / "none"), schemas.AREAS) is None
+    assert readers.read_large_json_array(spark, write(tmp_path / "a.json", "[]"), schemas.AREAS).count() == 0
+
+
+def test_seed_of_many_rows_is_many_files(spark, tmp_path):
+    seed = spark.range(25_000).select(F.concat(F.lit("a"), "id").alias("strArea"), F.lit(None).cast("string").alias("strCountry"))
+    writers.save_seed(seed.coalesce(1), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").rglob("*.txt"))) == 3
+    assert as_set(readers.read_seed(spark, str(tmp_path / "out"), schemas.AREAS)) == as_set(seed)

@@ -715,10 +715,11 @@ def _(spark, folder):
         F.concat(F.lit("https://x.example/Restaurant_Review-g1-d"), F.col("o_custkey"), F.lit("-Reviews-a.html")).alias("_id"),
         F.when(key % 2 == 0, F.concat(F.lit("Place "), key)).alias("name"), F.when(key % 2 == 1, key % 5).cast("string").alias("rating"),
     )
-    # Files by ranges of the key, so that the order of the files is that of the keys.
-    ranged = table(spark, folder, "orders").groupBy(F.floor(key / 20000).alias("part")).agg(F.array_sort(F.collect_list(F.struct(key.alias("k"), record.alias("r")))).alias("rows"))
-    for row in ranged.select("part", F.to_json(F.transform("rows", lambda x: x["r"])).alias("value")).orderBy("part").toLocalIterator():
-        spark.createDataFrame([(row["value"],)], "value string").coalesce(1).write.text(f"{work}/part={row['part']:06d}")
+    # Files by ranges of the key, named so that the order of the files is that of the keys.
+    part = F.lpad(F.floor(key / 5000).cast("string"), 12, "0").alias("part")
+    ranged = table(spark, folder, "orders").groupBy(part).agg(F.array_sort(F.collect_list(F.struct(key.alias("k"), record.alias("r")))).alias("rows"))
+    texts = ranged.select("part", F.to_json(F.transform("rows", lambda x: x["r"])).alias("value"))
+    texts.repartition("part").write.partitionBy("part").text(work)
     return ingest.import_collection(spark, work, schemas.DOCUMENTS_RAW, "imported_" + work[-12:]).select("id", "name", "rating")
 
 
@@ -872,24 +873,21 @@ def _(spark, folder):
     )
 
 
-def _event_stream(spark: SparkSession, folder: str, work: str) -> DataFrame:
-    """The events as four files that arrive one after the other; early, late and repeated rows in each."""
+def _event_arrivals(spark: SparkSession, folder: str, work: str, apply) -> None:
+    """The events arrive in four steps; early, late and repeated rows in each."""
     events = table(spark, folder, "events").select(*_EVENT_COLUMNS)
     for number in range(4):
         part = events.filter(F.col("event_id") % 4 == number).unionByName(events.filter(F.col("event_id") % 40 == number + 1))
-        part.coalesce(1).write.mode("append").parquet(f"{work}/arrived")
-    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(f"{work}/arrived")
+        part.write.mode("append").parquet(f"{work}/arrived")
+        incremental.run_available(spark.readStream.schema(events.schema).parquet(f"{work}/arrived"), apply, f"{work}/checkpoint")
 
 
 @case("I1_incremental_load", f"SELECT user_id, ts, event_id, event_type, value FROM events {_LATEST}")
 def _(spark, folder):
     work = shared_dir(spark, "sync")
     name = "sync_events_" + work[-12:]
-    incremental.run_available(
-        _event_stream(spark, folder, work),
-        lambda batch, _: incremental.upsert_into(name, batch, "user_id", ["ts", "event_id"], f"{work}/tables"),
-        f"{work}/checkpoint",
+    _event_arrivals(
+        spark, folder, work, lambda batch, _: incremental.upsert_into(name, batch, "user_id", ["ts", "event_id"], f"{work}/tables")
     )
     return spark.table(name)
 
@@ -898,11 +896,7 @@ def _(spark, folder):
 def _(spark, folder):
     work = shared_dir(spark, "sync")
     changes = f"{work}/changes"
-    incremental.run_available(
-        _event_stream(spark, folder, work),
-        lambda batch, number: incremental.append_changes(batch, number, changes),
-        f"{work}/checkpoint",
-    )
+    _event_arrivals(spark, folder, work, lambda batch, number: incremental.append_changes(batch, number, changes))
     events = table(spark, folder, "events").select(*_EVENT_COLUMNS)
     base = tables.latest_by_key(events.filter(_BASE_EVENTS), "user_id", ["ts", "event_id"])
     return incremental.current_rows(base, spark.read.parquet(changes), "user_id", ["ts", "event_id"])
@@ -1078,13 +1072,15 @@ def _(spark, folder):
 @case("S2_reading_order", """SELECT event_id % 50 AS id, max(event_id) FILTER (WHERE event_id % 3 = 2) AS small_last,
  max(event_id) FILTER (WHERE event_id % 3 <> 2) AS large_last FROM events GROUP BY 1""")
 def _(spark, folder):
-    """Two files of unequal size: of an id the last line of the file that is last by name stays, the small or the large one."""
+    """Files by ranges of the value, of unequal size: of an id the last line of the last file by name stays."""
     root = shared_dir(spark, "ordered")
     events = table(spark, folder, "events").select((F.col("event_id") % 50).alias("id"), F.col("event_id").alias("value"))
     small, large = events.filter("value % 3 = 2"), events.filter("value % 3 <> 2")
     for first, second, name in ((large, small, "small_last"), (small, large, "large_last")):
         for part, rows in (("part=1", first), ("part=2", second)):
-            rows.coalesce(1).sortWithinPartitions("value").write.json(f"{root}/{name}/{part}")
+            # Names in the order of the values; a line's place in its file is that of its value.
+            named = rows.withColumn("range", F.lpad(F.floor(F.col("value") / 20000).cast("string"), 12, "0"))
+            named.repartition("range").sortWithinPartitions("range", "value").write.partitionBy("range").json(f"{root}/{name}/{part}")
     schema = schemas.struct(id=T.LongType(), value=T.LongType())
     found = []
     for name in ("small_last", "large_last"):
@@ -1097,11 +1093,25 @@ def _(spark, folder):
 def _(spark, folder):
     path = shared_dir(spark, "array")
     rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
-    # One array per nation, each line of the output is a file's whole content.
-    arrays = rows.groupBy(F.col("id") % 7).agg(F.to_json(F.collect_list(F.struct("id", "name"))).alias("value")).select("value")
-    for number, row in enumerate(arrays.toLocalIterator()):
-        spark.createDataFrame([(row["value"],)], "value string").coalesce(1).write.text(f"{path}/part={number}")
-    return readers.read_json_array(spark, path, schemas.struct(id=T.LongType(), name=T.StringType())).select("id", "name")
+    writers.write_json_arrays(rows, path, F.floor(F.col("id") / 2000))
+    return readers.read_json_array(spark, path, schemas.struct(id=T.LongType(), name=T.StringType()))
+
+
+@case("S1_large_json_arrays", """SELECT event_id AS id, event_type || ' "{[' || chr(92) || '}' || chr(10) AS name, CASE WHEN event_id % 3 = 0 THEN 0 ELSE 2 END AS n,
+ CAST(CASE WHEN event_id % 3 > 0 THEN value END AS DOUBLE) AS last, (event_id // 20000) AS file, event_id % 20000 AS place FROM events""")
+def _(spark, folder):
+    """Arrays in long lines, read by byte ranges; texts hold quotes, braces, backslashes and line ends."""
+    path = shared_dir(spark, "large")
+    name = F.concat("event_type", F.lit(' "{[' + chr(92) + "}" + chr(10)))
+    inner = F.when(F.col("event_id") % 3 > 0, F.array(F.struct(F.lit("}").alias("t"), (F.col("value") - 1).alias("v")), F.struct(F.lit("]").alias("t"), F.col("value").alias("v"))))
+    events = table(spark, folder, "events")
+    record = F.struct(F.col("event_id").alias("id"), name.alias("name"), F.coalesce(inner, F.array().cast("array<struct<t:string,v:double>>")).alias("list"))
+    arrays = events.groupBy(F.floor(F.col("event_id") / 20000).alias("part")).agg(F.array_sort(F.collect_list(record)).alias("rows"))
+    arrays.select("part", F.to_json("rows").alias("value")).repartition("part").write.partitionBy("part").text(path)
+    schema = T.StructType.fromDDL("id long, name string, list array<struct<t:string,v:double>>")
+    found = readers.read_large_json_array(spark, path, schema, sequence=True)
+    part = F.regexp_extract(F.col("_seq.file"), "part=([0-9]+)", 1).cast("long")
+    return found.select("id", "name", F.size("list").alias("n"), F.get("list", F.lit(1))["v"].alias("last"), part.alias("file"), F.col("_seq.element").alias("place"))
 
 
 @case("S7_S8_seed", "SELECT DISTINCT p_brand AS name, p_type AS kind FROM part")

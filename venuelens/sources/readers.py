@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed_values as fv
 from .. import schemas
+from ..session import shared_dir
 
 SEQUENCE = "_seq"
 
@@ -72,36 +73,111 @@ def read_json_array(
 ) -> DataFrame | None:
     """Files that each hold one JSON array; None when the path is missing, ValueError when it is no array.
 
-    Such a file cannot be split, so a large collection should be many files, or be
-    written to Parquet right after this read.
+    Each file is parsed by one task. ``read_large_json_array`` reads a file by byte ranges.
     """
     try:
-        df = spark.read.schema(schema).option("multiLine", True).json(path)
+        df = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
     except AnalysisException as error:
         if path_missing(error):
             return None
         raise
     if check:
-        # The first line of each file that is not blank: by split, then by position within it.
-        not_array = (
-            spark.read.text(path)
-            .filter(F.length(F.trim("value")) > 0)
-            .select(
-                F.col("_metadata.file_path").alias("file"),
-                F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("at"),
-                F.substring(F.ltrim("value"), 1, 1).alias("start"),
-            )
-            .groupBy("file")
-            .agg(F.min_by("start", "at").alias("first"))
-            .filter(F.col("first") != "[")
-            .limit(1)
-            .collect()
-        )
-        if not_array:
-            raise ValueError(f"{not_array[0][0]} must hold a JSON array at the top level")
+        _check_arrays(spark.read.option("recursiveFileLookup", True).text(path))
     return df.withColumn(SEQUENCE, reading_order()) if sequence else df
 
 
+def _check_arrays(lines: DataFrame) -> None:
+    # The first line of each file that is not blank: by split, then by position within it.
+    not_array = (
+        lines.filter(F.length(F.trim("value")) > 0)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("at"),
+            F.substring(F.ltrim("value"), 1, 1).alias("start"),
+        )
+        .groupBy("file")
+        .agg(F.min_by("start", "at").alias("first"))
+        .filter(F.col("first") != "[")
+        .limit(1)
+        .collect()
+    )
+    if not_array:
+        raise ValueError(f"{not_array[0][0]} must hold a JSON array at the top level")
+
+
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+
+
+def _brackets(code: Column) -> Column:
+    """How far a piece of text outside strings goes down into objects and arrays, less how far it comes up."""
+    return F.length(F.regexp_replace(code, r"[^{\[]+", "")) - F.length(F.regexp_replace(code, r"[^}\]]+", ""))
+
+
+def _running(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds the sum of ``value`` over all rows of a file before this one.
+
+    Sums run inside each split; the splits, of which there are few, pass their totals on.
+    """
+    here = Window.partitionBy("file", "split").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("file", "split").agg(F.sum(value).alias("_total"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("file", "split", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+    summed = rows.withColumn("_sum", F.coalesce(F.sum(value).over(here), F.lit(0))).join(offsets, ["file", "split"])
+    return summed.withColumn(name, F.col("_sum") + F.col("_offset")).drop("_sum", "_offset")
+
+
+def read_large_json_array(spark: SparkSession, path: str, schema: T.StructType, sequence: bool = False) -> DataFrame | None:
+    """S1 by byte ranges: a file that holds one array is read by as many tasks as it has splits, also if it is one line.
+
+    The text is cut behind every closing brace. A piece tells for both states it may start in, inside or outside a string,
+    how it leaves the strings and how many levels it goes down; running sums over the pieces settle the state and the depth
+    at each of them. A brace that comes up to depth 1 ends an element, and the pieces of an element are put together again
+    and parsed. Elements that are no objects are left out. None when the path is missing; ValueError when a file is no
+    array or its brackets do not close. ``sequence`` adds ``_seq``, the place of an element in its file.
+
+    The pieces are written once, so the file itself is read once.
+    """
+    try:
+        pieces = spark.read.option("lineSep", "}").option("recursiveFileLookup", True).text(path)
+    except AnalysisException as error:
+        if path_missing(error):
+            return None
+        raise
+    outside = F.regexp_replace(F.regexp_replace("value", _STRING, ""), r'"(?s).*$', "")
+    inside_text = F.regexp_replace("value", r'^(?s)(?:[^"\\]|\\.)*+"?', "")
+    inside = F.regexp_replace(F.regexp_replace(inside_text, _STRING, ""), r'"(?s).*$', "")
+    quotes = F.length(F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), '[^"]+', "")) % 2
+    parts = pieces.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"),
+        "value", quotes.alias("quotes"), _brackets(outside).alias("outside"), _brackets(inside).alias("inside"),
+    )
+    folder = shared_dir(spark, "array-pieces")
+    parts.write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    last = rows.groupBy("file").agg(F.max(F.struct("split", "row")).alias("last"))
+    rows = _running(rows, "quotes", "strings").join(last, "file")
+    # Behind each piece but a file's last one stands the brace, which counts unless it is inside a string.
+    braced = F.struct("split", "row") < F.col("last")
+    opens, closes = F.col("strings") % 2 == 1, (F.col("strings") + F.col("quotes")) % 2 == 0
+    step = F.when(opens, F.col("inside")).otherwise(F.col("outside")) - (braced & closes).cast("int")
+    rows = _running(rows.withColumn("step", step).withColumn("braced", braced).withColumn("ends", braced & closes), "step", "depth")
+    rows = rows.withColumn("after", F.col("depth") + F.col("step"))
+    faults = rows.groupBy("file").agg(
+        F.min_by("value", F.struct("split", "row")).alias("first"), F.max_by(F.struct("after", F.lit(1).alias("_")), F.struct("split", "row")).alias("end"),
+    ).filter(~F.col("first").rlike(r"^\s*+\[") | (F.col("end.after") != 0)).limit(1).collect()
+    if faults:
+        raise ValueError(f"{faults[0][0]} must hold a JSON array at the top level")
+    rows = rows.withColumn("end", (F.col("ends") & (F.col("after") == 1)).cast("int"))
+    rows = _running(rows.select("file", "split", "row", "value", "braced", "end"), "end", "element")
+    texts = rows.groupBy("file", "element").agg(
+        F.array_sort(F.collect_list(F.struct("split", "row", "value", "braced"))).alias("parts"), F.max("end").alias("whole")
+    )
+    text = F.array_join(F.transform("parts", lambda p: F.concat(p["value"], F.when(p["braced"], "}").otherwise(""))), "")
+    found = texts.filter("whole = 1").select("file", "element", F.regexp_replace(text, r"^[^{]*+", "").alias("value"))
+    documents = found.select(F.from_json("value", schema).alias("d"), F.struct("file", "element").alias(SEQUENCE))
+    return documents.select("d.*", *([SEQUENCE] if sequence else []))
+
+
 def read_seed(spark: SparkSession, path: str, schema: T.StructType, required: bool = False) -> DataFrame:
     """A seed list; empty when the file is missing, unless it is required."""
     df = read_json_array(spark, path, schema, check=False)

@@ -39,10 +39,19 @@ def publish_files(df: DataFrame, path: str, file_format: str = "json") -> bool:
     return True
 
 
+#: Rows of one JSON array file.
+ARRAY_ROWS = 10_000
+
+
 def save_seed(df: DataFrame, path: str) -> None:
-    """Collected records as one JSON array, the form that ``read_seed`` takes. For seed lists of some thousand rows."""
-    whole = df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
-    whole.coalesce(1).write.mode("overwrite").text(path)
+    """Collected records as JSON arrays, the form that ``read_seed`` takes: one file up to ``ARRAY_ROWS`` rows, more beyond."""
+    write_json_arrays(df, path, F.floor(F.monotonically_increasing_id() / ARRAY_ROWS))
+
+
+def write_json_arrays(df: DataFrame, path: str, part: Column) -> None:
+    """Files that each hold one JSON array with the rows of one ``part``, which should grow in number with the table."""
+    arrays = df.groupBy(part.alias("part")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    arrays.repartition("part").write.mode("overwrite").partitionBy("part").text(path)
 
 
 def result_lines(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
