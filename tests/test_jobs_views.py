@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -233,12 +234,42 @@ def test_reports_have_no_python_and_one_exchange_before_sorting(spark, tmp_path)
     assert "PushedFilters: [IsNotNull(district_parsed)" in plan
 
 
-def test_terms_without_opener_test(spark, monkeypatch):
-    monkeypatch.setattr(terms, "OPENER_LIMIT", 2)
-    df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, c string")
-    table = spark.createDataFrame([(t,) for t in DICTIONARY], "term string")
-    assert as_set(terms.term_match_count_joined(df, "id", "c", table)) == brute_force(TEXTS, DICTIONARY)
+def walked(text, terms):
+    """Counts of whole-word terms, leftmost and longest first, by walking over the pieces of a text."""
+    parts = re.findall(r"\w+|\W+", text.lower().strip(" .,"))
+    longest, i, found = max(len(t) for t in terms), 0, []
+    while i < len(parts):
+        n = next((n for n in range(min(longest, len(parts) - i), 0, -1) if tuple(parts[i : i + n]) in terms), 0)
+        found += ["".join(parts[i : i + n])] if n else []
+        i += max(n, 1)
+    return found
+
+
+@pytest.mark.parametrize("slots", [1 << 17, 1])
+def test_any_number_of_phrases(spark, monkeypatch, slots):
+    monkeypatch.setattr(terms, "SLOTS", slots)  # with one slot every place meets the dictionary
+    rng = random.Random(3)
+    words = ["w%d" % i for i in range(60 if slots == 1 else 400)]
+    size = 300 if slots == 1 else 100_000
+    phrases = {" ".join(rng.choices(words, k=rng.choice([1, 2, 2, 3, 3, 4, 6]))) for _ in range(size)} | {"w1 w2", "w1", "w2 w3 w4"}
+    texts = [" ".join(rng.choices(words, k=rng.randrange(1, 60))) + rng.choice(["", ".", ", w1 w2 w3 w4"]) for _ in range(300)] + ["", " . ", None, "W1, W2"]
+    split = {tuple(re.findall(r"\w+|\W+", p)) for p in phrases}
+    want = Counter(t for text in texts for t in walked(text or "", split))
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, c string")
+    table = spark.createDataFrame([(p,) for p in phrases], "term string")
+    for limit in (terms.BROADCAST_BYTES, 0):
+        assert as_set(terms.term_match_count_joined(df, "id", "c", table, broadcast_bytes=limit)) == set(want.items())
+
+
+def test_plan_does_not_grow_with_the_dictionary(spark):
+    df = spark.createDataFrame([(1, "a b c")], "id int, c string")
+
+    def size(n, longest):
+        table = spark.range(n).select(F.concat(F.lit("w"), F.col("id"), F.repeat(F.lit(" x"), (F.col("id") % longest).cast("int"))).alias("term"))
+        plan = terms.term_match_count_joined(df, "id", "c", table, broadcast_bytes=0)._jdf.queryExecution().optimizedPlan()
+        return re.sub("[0-9]+", "", plan.toString()).count("\n")
 
+    assert size(10, 3) == size(3000, 40)
 
 def test_long_lists_and_capitals(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, c string")

@@ -5,8 +5,9 @@ Three ways to the same result:
 * plain words only, short list: words of the text are looked up in the list;
 * short list with phrases: one alternation, longest term first;
 * dictionary as a table of any length: the text is cut at its word boundaries,
-  every run of pieces as long as some term is joined to the dictionary on
-  equality, then overlaps are settled per text.
+  places where no term can start are dropped by the hash of their first pieces,
+  runs from the others are joined to the dictionary on equality, then overlaps
+  are settled per text.
 
 The first two need no join and no shuffle before the count.
 """
@@ -26,10 +27,10 @@ from ..functions.text import WORD, explode_once, is_present, tokenize, whole_wor
 WORD_LIST_LIMIT = 2000
 PHRASE_LIST_LIMIT = 200
 # Largest dictionary that is broadcast, in bytes of text plus row overhead.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
 ROW_OVERHEAD = 64
-# Most first pieces of terms that are tested before the join.
-OPENER_LIMIT = 500
+# Bytes of the map that tells which hashes of heads occur in a dictionary.
+SLOTS = 1 << 17
 
 
 def dictionary_terms(items: DataFrame, *columns: str) -> DataFrame:
@@ -69,21 +70,23 @@ def _pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"), 1)
 
 
-def _runs(pieces: Column, length: int, first: int, openers: list[str] | None) -> Column:
-    """(start, pieces, term) of every run of ``length`` pieces that starts at ``first`` or an even distance after it.
+def _hash(*parts: Column) -> Column:
+    return F.pmod(F.xxhash64(*parts), F.lit(SLOTS)).cast("int")
 
-    With ``openers``, only of runs whose first piece is one of them.
-    """
-    last = F.size(pieces) - length
 
-    def run(i: Column) -> Column:
-        parts = [F.get(pieces, i + k) for k in range(length)]
-        return F.struct(i.alias("start"), F.lit(length).alias("pieces"), F.concat(*parts).alias("term"))
+def _lengths_at(long: Column | bool, n: Column) -> Column:
+    """The bit for terms of n pieces in a byte of the map; the longest share one. No byte is over 127."""
+    return F.when(long, F.least(n - 3, F.lit(6))).otherwise(n - 1)
+
 
-    starts = F.when(last >= first, F.sequence(F.lit(first), last, F.lit(2)))
-    if openers is not None:
-        starts = F.filter(starts, lambda i: F.get(pieces, i).isin(*openers))
-    return F.coalesce(F.transform(starts, run), F.array().cast("array<struct<start:int,pieces:int,term:string>>"))
+def _slots(terms: DataFrame) -> tuple[bytes, bytes]:
+    """For short and for long terms a map from the hash of a head to the lengths of terms with it: few bytes for any dictionary."""
+    maps = (bytearray(SLOTS), bytearray(SLOTS))
+    is_long, parts = F.size("p") >= 3, [F.get("p", F.lit(k)) for k in range(3)]
+    slot = F.when(is_long, _hash(*parts)).otherwise(_hash(parts[0]))
+    for long_term, at, bit in terms.select(is_long, slot, _lengths_at(is_long, F.size("p"))).distinct().collect():
+        maps[long_term][at] |= 1 << bit
+    return bytes(maps[0]), bytes(maps[1])
 
 
 def term_match_count_joined(
@@ -91,36 +94,50 @@ def term_match_count_joined(
 ) -> DataFrame:
     """A5 with the dictionary as a table (column ``term``) of any length; ``key`` is unique per row.
 
-    The dictionary is measured first and broadcast only up to ``broadcast_bytes``; a
+    A place of a text goes on only if the hash of its first piece, or of its first three, is that of some term: a test
+    inside the row, which also tells how long such terms are. Only runs of these lengths meet the dictionary. So the plan
+    is the same for any dictionary.
+
+    The dictionary is measured first and broadcast only up to ``broadcast_bytes`` of text; a
     larger one is joined by a shuffle, where adaptive execution splits
     frequent words. Terms of one piece cannot overlap, so a dictionary of plain
     words needs no grouping per text.
     """
     terms = dictionary.select(F.trim(F.lower("term")).alias("term")).filter(is_present(F.col("term"))).distinct()
-    # How many pieces a term has and whether it starts with a word: a handful of groups.
-    shapes = (
-        terms.groupBy(F.size(_pieces(F.col("term"))).alias("pieces"), F.col("term").rlike(f"^{WORD}").alias("word"))
-        .agg(F.sum(F.octet_length("term") + ROW_OVERHEAD).alias("bytes"))
-        .collect()
-    )
-    if all(s["pieces"] == 1 and s["word"] for s in shapes):
+    shaped = terms.select("term", _pieces(F.col("term")).alias("p"))
+    shape = shaped.agg(
+        F.sum(F.octet_length("term") + ROW_OVERHEAD).alias("bytes"), F.max(F.size("p")).alias("longest"),
+        F.bool_and(F.col("term").rlike(f"^{WORD}")).alias("words"),
+    ).first()
+    if shape["longest"] is None or shape["longest"] == 1 and shape["words"]:
         # Plain words: counted first, so that what meets the dictionary is one row per different word.
         words = explode_once(df.filter(is_present(F.col(comment))), tokenize(F.col(comment)), "term")
         return words.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
-    size = sum(s["bytes"] for s in shapes)
-    # A dictionary with few different first pieces lets most places of a text go before the join.
-    first_pieces = terms.select(F.get(_pieces(F.col("term")), 0).alias("first")).distinct()
-    openers = [r["first"] for r in first_pieces.limit(OPENER_LIMIT + 1).collect()]
-    openers = openers if len(openers) <= OPENER_LIMIT else None
-    terms = F.broadcast(terms) if size <= broadcast_bytes else terms.hint("merge")
+    terms = F.broadcast(terms) if shape["bytes"] <= broadcast_bytes else terms.hint("merge")
+    maps = [F.lit(m) for m in _slots(shaped)]
+    lengths = lambda held, *parts: F.ascii(F.substring(held, _hash(*parts) + 1, F.lit(1)).cast("string"))
+    pieces, longest = F.col("_p"), shape["longest"]
+    step = 2 if shape["words"] else 1  # pieces are words and what lies between them, in turn
+
+    def masks(i: Column) -> Column:
+        first, three = F.get(pieces, i), [F.get(pieces, i + k) for k in range(3)]
+        return F.struct(i.alias("start"), lengths(maps[0], first).alias("short"), (lengths(maps[1], *three) if longest > 2 else F.lit(0)).alias("long"))
+
+    def runs(m: Column) -> Column:
+        held = lambda n: F.when(n < 3, m["short"]).otherwise(m["long"])
+        some = F.filter(
+            F.sequence(F.lit(1), F.least(F.lit(longest), F.size(pieces) - m["start"])),
+            lambda n: F.getbit(held(n), _lengths_at(n >= 3, n)) == 1,
+        )
+        return F.transform(some, lambda n: F.struct(m["start"].alias("start"), n.alias("pieces"), F.array_join(F.slice(pieces, m["start"] + 1, n), "").alias("term")))
 
     # Other characters at the very start and end have no word boundary on their outer side.
     inner = F.regexp_replace(F.lower(F.col(comment)), r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$", "")
     texts = df.filter(is_present(F.col(comment))).select(F.col(key).alias("_key"), _pieces(inner).alias("_p"))
-    runs = [_runs(F.col("_p"), s["pieces"], 0 if s["word"] else 1, openers) for s in shapes]
-    found = F.flatten(F.array(*runs)) if runs else F.lit(None).cast("array<struct<start:int,pieces:int,term:string>>")
-    hits = explode_once(texts, found, "m", "_key").select("_key", "m.*").join(terms, "term")
-    if all(s["pieces"] == 1 for s in shapes):
+    starts = F.transform(F.sequence(F.lit(0), F.size("_p") - 1, F.lit(step)), masks)
+    found = F.flatten(F.transform(F.filter(starts, lambda m: (m["short"] > 0) | (m["long"] > 0)), runs))
+    hits = explode_once(texts, F.when(F.size("_p") > 0, found), "m", "_key").select("_key", "m.*").join(terms, "term")
+    if longest == 1:
         return hits.groupBy("term").agg(F.count("*").alias("n"))
 
     # Leftmost first, longest first, no overlap. Hits that touch no other hit count
