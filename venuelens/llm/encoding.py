@@ -36,14 +36,14 @@ _PLAIN = bytes([9, 10, 13, *range(32, 127), *range(160, 256)])
 #: Chunks and words in each of the two generations that a worker remembers, some 120 MB in all.
 CHUNKS = 250_000
 WORDS = 40_000
-#: Bytes of bits for those that came once.
-ONCE = 1 << 20
+#: Marks of those that came once, a byte each; a power of two.
+ONCE = 1 << 22
 
 
 class Memory(dict):
     """What ``make`` gave for each key that came twice. When full it becomes the older generation; what is used again moves up.
 
-    Keys that came once only leave a bit, so the many words that never come again take no room.
+    Keys that came once only leave a mark, so the many words that never come again take no room.
     """
 
     def __init__(self, make, size: int):
@@ -55,9 +55,9 @@ class Memory(dict):
         found = self.older.pop(key, None)
         if found is None:
             found = self.make(key)
-            at = hash(key) % (8 * ONCE)
-            if not self.once[at >> 3] >> (at & 7) & 1:
-                self.once[at >> 3] |= 1 << (at & 7)
+            at = hash(key) & ONCE - 1
+            if not self.once[at]:
+                self.once[at] = 1
                 return found
         if len(self) >= self.size:
             self.older, self.once = dict(self), bytearray(ONCE)
@@ -89,6 +89,8 @@ class Encoder:
         self.by_word = plain and (self.word_ends or byte_level and not shape.get("normalizer"))
         self.pattern = re.compile(WORD_ENDS if self.word_ends else BYTE_LEVEL)
         self.before = "" if self.word_ends else " "
+        self.model = self.tokenizer.model
+        self.written = [struct.pack("<I", i) for i in range(1 + max(self.tokenizer.get_vocab().values()))]
         self.letters = _byte_letters()
         self.mark = self.before.translate(self.letters)
         self.words = Memory(self._word, WORDS)
@@ -102,8 +104,8 @@ class Encoder:
         return self._ids(word.encode().decode("latin-1").translate(self.letters))
 
     def _ids(self, shown: str) -> bytes:
-        ids = [token.id for token in self.tokenizer.model.tokenize(shown)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        written = self.written
+        return b"".join([written[token.id] for token in self.model.tokenize(shown)])
 
     def _pieces(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
