@@ -34,7 +34,7 @@ WORD_ENDS = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^{SPACE}{LETTER}{N
 _UNKNOWN = re.compile(f"[^{KNOWN}]")
 _PLAIN = bytes([9, 10, 13, *range(32, 127), *range(160, 256)])
 #: Chunks and words in each of the two generations that a worker remembers, some 120 MB in all.
-CHUNKS = 250_000
+CHUNKS = 300_000
 WORDS = 40_000
 #: Marks of those that came once, a byte each; a power of two.
 ONCE = 1 << 22
@@ -107,11 +107,15 @@ class Encoder:
         written = self.written
         return b"".join([written[token.id] for token in self.model.tokenize(shown)])
 
+    def piece(self, word: str) -> bytes:
+        """The ids of one pre-token. Words of letters are remembered as the chunks they mostly are."""
+        letters = word if self.word_ends else word[1:] if word[0] == " " else ""
+        return self.chunks[letters] if letters.isalpha() else self.words[word]
+
     def _pieces(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
+        return b"".join(map(self.piece, self.pattern.findall(text)))
 
     def _chunk(self, chunk: str) -> bytes:
-        # Most chunks are one word of letters, which is not remembered twice.
         if chunk.isalpha():
             return self._ids(self.mark + chunk) if chunk.isascii() else self._word(self.before + chunk)
         return self._pieces(self.before + chunk)

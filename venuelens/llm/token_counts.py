@@ -58,7 +58,7 @@ class CountTree:
 
     def _encode(self, parts: list[str]) -> list[int]:
         self.encoded += sum(map(len, parts))
-        ids = self.coder.ids if self.whole else self.coder.words.__getitem__
+        ids = self.coder.ids if self.whole else self.coder.piece
         return [len(found) // 4 for found in map(ids, parts)]
 
     def _shape(self, parts: list[str], counts: list[int]) -> None:
