@@ -298,7 +298,7 @@ def nearest(
         F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("long").alias("node"),
     )
     met = lying.unionByName(looking).groupBy("leaf", "row_block", "query_block")
-    found = met.applyInArrow(lambda rows: _best(rows, kind, width, k), f"vec binary, near {_NEAR}")
+    found = stage(met.applyInArrow(lambda rows: _best(rows, kind, width, k), f"vec binary, near {_NEAR}"), "near")
     # A query has at most k + 1 rows from each block it visits.
     lists = found.groupBy("vec").agg(F.collect_list("near").alias("near"))
     lists = lists.select("vec", F.slice(F.array_sort(F.array_distinct(F.flatten("near"))), 1, k + 1).alias("near"))
