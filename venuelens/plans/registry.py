@@ -20,6 +20,7 @@ from ..sources import readers, snapshots, writers
 from ..sources.tables import wipe
 from ..streaming import incremental
 from ..streaming.changelog import Parking
+from ..streaming.counts import ROWS
 from . import ingest, reports, runner, samples, views
 from .samples import table, wide_table
 
@@ -930,7 +931,7 @@ _LOADED = f"""(SELECT * FROM {samples.RAW_RESTAURANTS_SQL} r WHERE NOT ({_LONG_N
 _BY_DATE = (T.StructField("o_orderdate", T.DateType()), T.StructField("o_orderkey", T.LongType()))
 
 
-def _arrivals(spark: SparkSession, folder: str, work: str, store: incremental.LakeStore) -> list:
+def _arrivals(spark: SparkSession, folder: str, work: str, store: incremental.LakeStore, then: Callable[[int], None] | None = None) -> list:
     raw = samples.raw_restaurants(spark, folder)
     raw = raw.withColumns({
         "name": F.when(F.expr(_LONG_NAME), F.repeat(F.lit("n"), F.lit(300))).otherwise(F.col("name")),
@@ -949,6 +950,8 @@ def _arrivals(spark: SparkSession, folder: str, work: str, store: incremental.La
         told += incremental.load_new_files(store, spark, f"{work}/arrived", f"{work}/checkpoint")
         if number == 1:
             store.compact(spark)
+        if then:
+            then(number)
     return told
 
 
@@ -974,6 +977,49 @@ def _(spark, folder):
     return _loaded_store(spark, folder).table(spark, "reviews").drop("id")
 
 
+# The documents that each of the three arrivals leaves in force.
+_AS_OF = f"""(SELECT a AS batch, r.* FROM {samples.RAW_RESTAURANTS_SQL} r, (SELECT unnest([0, 1, 2]) AS a) x
+ WHERE NOT ({_LONG_NAME}) AND (o_orderkey % 3 <= a OR o_orderkey % 15 < a)
+ QUALIFY row_number() OVER (PARTITION BY a, id ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"""
+_REVIEWS_AS_OF = f"""(SELECT batch, CAST(o_orderkey % 5 + 1 AS DOUBLE) AS rating, c AS comment FROM {_AS_OF} d,
+ (SELECT unnest(['order', NULL]) AS c) y WHERE NOT ({_NO_REVIEWS}))"""
+_SHOWN = "district_parsed NOT IN ('', 'null', 'Unknown')"
+
+
+def _kept(number: int, **reports: DataFrame) -> DataFrame:
+    """(batch, view, key, n, value) of reports of any columns."""
+    none = F.lit(None).cast("double")
+    rows = []
+    for name, df in reports.items():
+        value = F.col("avg_rating") if "avg_rating" in df.columns else none
+        key, count = [c for c in df.columns if c != "avg_rating"]
+        rows.append(df.select(F.lit(number).alias("batch"), F.lit(name).alias("view"), F.col(key).cast("string").alias("key"), F.col(count).alias("n"), value.alias("value")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@case("V1_V8_kept_views", f"""SELECT batch, 'V1' AS view, district_parsed AS key, count(*) AS n, round(avg(rating), 2) AS value FROM {_AS_OF} a WHERE {_SHOWN} GROUP BY 1, 3
+UNION ALL SELECT batch, 'V3', {_HISTOGRAM}, count(*), NULL FROM {_AS_OF} b GROUP BY 1, 3
+UNION ALL SELECT batch, 'V4', district_parsed, count(*), round(avg(rating), 2) FROM {_AS_OF} c WHERE {_SHOWN} GROUP BY 1, 3
+UNION ALL SELECT batch, 'V5', CAST(CAST(rating AS INTEGER) AS VARCHAR), count(*), NULL FROM {_REVIEWS_AS_OF} d GROUP BY 1, 3
+UNION ALL SELECT batch, 'V6', 'Dine-in', count(*), round(avg(rating), 3) FROM {_REVIEWS_AS_OF} e WHERE comment IS NOT NULL GROUP BY 1
+UNION ALL SELECT batch, 'V10', CAST(rating AS VARCHAR), count(*), NULL FROM {_AS_OF} f GROUP BY 1, 3""")
+def _(spark, folder):
+    """After each arrival, a compaction between them, the views from the kept counts; late and replaced rows leave no trace."""
+    work = shared_dir(spark, "arrivals")
+    store = incremental.LakeStore(f"{work}/store", _BY_DATE)
+
+    def look(number: int) -> None:
+        restaurants, reviews = store.counted(spark, "restaurants"), store.counted(spark, "reviews")
+        _kept(
+            number, V1=views.rating_by_district(restaurants, weight=ROWS), V3=views.rating_histogram(restaurants, weight=ROWS),
+            V4=views.top_districts(restaurants, weight=ROWS), V5=views.review_distribution(reviews, weight=ROWS),
+            V6=views.delivery_sentiment(reviews, weight=ROWS), V10=views.raw_rating_histogram(restaurants, weight=ROWS),
+        ).write.parquet(f"{work}/views/{number}")
+
+    _arrivals(spark, folder, work, store, look)
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{work}/views")
+
+
 @case("R10_change_log_rejects", f"""SELECT batch, key, count(*) AS n, min(len(reason)) AS reason_length FROM (
  SELECT a AS batch, 'rest_d' || o_custkey AS key, 'name longer than 255' AS reason
  FROM orders, (SELECT unnest([0, 1, 2]) AS a) x WHERE {_LONG_NAME} AND (o_orderkey % 3 = a OR o_orderkey % 15 = a - 1)) y GROUP BY batch, key""")

@@ -2,6 +2,9 @@
 
 Functions over DataFrames with column names as arguments, and the same reports
 as SQL views for users who query by name. Averages round half up.
+
+Rows may stand for several equal ones: ``weight`` names the column that tells how
+many, such as the counts that are kept up to date from a change log.
 """
 
 from __future__ import annotations
@@ -15,29 +18,40 @@ from .. import fixed_values as fv
 from ..functions.text import is_present, like_any, not_placeholder
 
 
+def _rows(weight: str | None) -> Column:
+    return F.sum(weight) if weight else F.count("*")
+
+
+def _average(value: str, weight: str | None) -> Column:
+    if not weight:
+        return F.avg(value)
+    return F.try_divide(F.sum(F.col(value) * F.col(weight)), F.sum(F.when(F.col(value).isNotNull(), F.col(weight))))
+
+
 def rating_by_district(
     df: DataFrame,
     district: str = "district_parsed",
     rating: str = "rating",
     placeholders: Sequence[str] = fv.DISTRICT_REPORT_PLACEHOLDERS,
+    weight: str | None = None,
 ) -> DataFrame:
     """V1: (district, avg_rating, total_count) over rated rows, best first."""
     return (
         df.filter(not_placeholder(F.col(district), placeholders) & F.col(rating).isNotNull())
         .groupBy(F.col(district).alias("district"))
-        .agg(F.round(F.avg(rating), 2).alias("avg_rating"), F.count("*").alias("total_count"))
+        .agg(F.round(_average(rating, weight), 2).alias("avg_rating"), _rows(weight).alias("total_count"))
         .orderBy(F.desc("avg_rating"), "district")
     )
 
 
 def category_frequency(
-    df: DataFrame, category: str = "category", placeholders: Sequence[str] = fv.MEAL_REPORT_PLACEHOLDERS
+    df: DataFrame, category: str = "category", placeholders: Sequence[str] = fv.MEAL_REPORT_PLACEHOLDERS, weight: str | None = None
 ) -> DataFrame:
     """V2: (category, cnt), most frequent first."""
     return (
         df.filter(not_placeholder(F.col(category), placeholders))
         .groupBy(F.col(category).alias("category"))
-        .agg(F.count("*").alias("cnt"))
+        .agg(_rows(weight).alias("cnt"))
         .orderBy(F.desc("cnt"), "category")
     )
 
@@ -51,12 +65,12 @@ def histogram_label(rating: Column) -> Column:
     return label.when(rating <= top, F.lit(text)).otherwise(F.lit(fv.HISTOGRAM_OTHER))
 
 
-def rating_histogram(df: DataFrame, rating: str = "rating") -> DataFrame:
+def rating_histogram(df: DataFrame, rating: str = "rating", weight: str | None = None) -> DataFrame:
     """V3: (rating_group, restaurant_count), largest first."""
     return (
         df.filter(F.col(rating).isNotNull())
         .groupBy(histogram_label(F.col(rating)).alias("rating_group"))
-        .agg(F.count("*").alias("restaurant_count"))
+        .agg(_rows(weight).alias("restaurant_count"))
         .orderBy(F.desc("restaurant_count"), "rating_group")
     )
 
@@ -66,22 +80,23 @@ def top_districts(
     district: str = "district_parsed",
     rating: str = "rating",
     placeholders: Sequence[str] = fv.TOP_DISTRICT_PLACEHOLDERS,
+    weight: str | None = None,
 ) -> DataFrame:
     """V4: (district, restaurant_count, avg_rating); rows without a rating still count."""
     return (
         df.filter(not_placeholder(F.col(district), placeholders))
         .groupBy(F.col(district).alias("district"))
-        .agg(F.count("*").alias("restaurant_count"), F.round(F.avg(rating), 2).alias("avg_rating"))
+        .agg(_rows(weight).alias("restaurant_count"), F.round(_average(rating, weight), 2).alias("avg_rating"))
         .orderBy(F.desc("restaurant_count"), "district")
     )
 
 
-def review_distribution(df: DataFrame, rating: str = "rating") -> DataFrame:
+def review_distribution(df: DataFrame, rating: str = "rating", weight: str | None = None) -> DataFrame:
     """V5: (stars, cnt) for ratings 1..5, truncated to whole stars."""
     return (
         df.filter(F.col(rating).between(1, 5))
         .groupBy(F.col(rating).cast("int").alias("stars"))
-        .agg(F.count("*").alias("cnt"))
+        .agg(_rows(weight).alias("cnt"))
         .orderBy("stars")
     )
 
@@ -91,33 +106,46 @@ def delivery_sentiment(
     comment: str = "comment",
     rating: str = "rating",
     patterns: Sequence[str] = fv.DELIVERY_LIKE_PATTERNS,
+    weight: str | None = None,
 ) -> DataFrame:
-    """V6: (service_type, avg_rating, review_count), each review classed by its own comment."""
-    service = F.when(like_any(F.col(comment), patterns), F.lit(fv.REVIEW_DELIVERY)).otherwise(
-        F.lit(fv.REVIEW_DINE_IN)
-    )
+    """V6: (service_type, avg_rating, review_count), each review classed by its own comment.
+
+    Rows that have a ``service_type`` already, such as kept counts, are taken as classed.
+    """
+    classed = "service_type" in df.columns
+    service = F.col("service_type") if classed else _service(F.col(comment), patterns)
+    there = service.isNotNull() if classed else is_present(F.col(comment))
     return (
-        df.filter(is_present(F.col(comment)) & F.col(rating).isNotNull())
+        df.filter(there & F.col(rating).isNotNull())
         .groupBy(service.alias("service_type"))
-        .agg(F.round(F.avg(rating), 3).alias("avg_rating"), F.count("*").alias("review_count"))
+        .agg(F.round(_average(rating, weight), 3).alias("avg_rating"), _rows(weight).alias("review_count"))
     )
 
 
+def _service(comment: Column, patterns: Sequence[str]) -> Column:
+    return F.when(like_any(comment, patterns), F.lit(fv.REVIEW_DELIVERY)).otherwise(F.lit(fv.REVIEW_DINE_IN))
+
+
+def service_type(comment: Column, patterns: Sequence[str] = fv.DELIVERY_LIKE_PATTERNS) -> Column:
+    """Class of a review by its comment, NULL without one."""
+    return F.when(is_present(comment), _service(comment, patterns))
+
+
 def area_frequency(
-    df: DataFrame, area: str = "area", placeholders: Sequence[str] = fv.MEAL_REPORT_PLACEHOLDERS
+    df: DataFrame, area: str = "area", placeholders: Sequence[str] = fv.MEAL_REPORT_PLACEHOLDERS, weight: str | None = None
 ) -> DataFrame:
     """V7: (area, meal_count), most frequent first."""
     return (
         df.filter(not_placeholder(F.col(area), placeholders))
         .groupBy(F.col(area).alias("area"))
-        .agg(F.count("*").alias("meal_count"))
+        .agg(_rows(weight).alias("meal_count"))
         .orderBy(F.desc("meal_count"), "area")
     )
 
 
-def raw_rating_histogram(df: DataFrame, rating: str = "rating") -> DataFrame:
+def raw_rating_histogram(df: DataFrame, rating: str = "rating", weight: str | None = None) -> DataFrame:
     """(rating, n) for every value, highest first, missing last."""
-    return df.groupBy(F.col(rating).alias("rating")).agg(F.count("*").alias("n")).orderBy(F.desc_nulls_last("rating"))
+    return df.groupBy(F.col(rating).alias("rating")).agg(_rows(weight).alias("n")).orderBy(F.desc_nulls_last("rating"))
 
 
 def best_districts(df: DataFrame, n: int = 10, **columns: str) -> DataFrame:

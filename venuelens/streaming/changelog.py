@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..session import remove_folder, shared_dir
 from ..sources.readers import path_missing
 
-BATCH, BUCKET, GONE = "_batch", "_bucket", "_gone"
+BATCH, BUCKET, GONE, SIGN = "_batch", "_bucket", "_gone", "_sign"
 
 
 @dataclass(frozen=True)
@@ -81,6 +81,28 @@ class ChangeLog:
         kept = rows.join(newest, self.key).filter(F.col("_version") == F.col("_newest"))
         return base.join(keys, self.key, "left_anti").select(*base.columns).unionByName(kept.select(*base.columns))
 
+    def changed(self, spark: SparkSession, number: int, *columns: Column) -> DataFrame:
+        """What batch ``number`` does to the content: ``columns`` of the rows that come, with ``_sign`` 1, and go, with -1.
+
+        Only buckets that the batch touches are read, with the columns asked for, and only rows of its keys are shuffled.
+        Rows of a late batch that stay behind newer ones change nothing. Ask before the batch is compacted.
+        """
+        log = self._read(spark, "changes").filter(F.col(BATCH) <= number)
+        batch = log.filter(F.col(BATCH) == number)
+        buckets = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # the batch's folders
+        here = F.col(BUCKET).isin(buckets)
+        base = self._read(spark, "base").filter(here).withColumn("_source", F.lit(0))
+        rows = base.unionByName(log.filter(here).withColumn("_source", F.lit(1)))
+        touched = rows.join(batch.select(self.key).distinct(), self.key, "left_semi")
+        touched = touched.withColumn("_version", F.struct(*self.order, BATCH, "_source"))
+        before = (F.col(BATCH) < number) | (F.col("_source") == 0)
+        newest = touched.groupBy(self.key).agg(
+            F.max("_version").alias("_after"), F.max(F.when(before, F.col("_version"))).alias("_before")
+        )
+        came, went = (F.coalesce(F.col("_version") == F.col(v), F.lit(False)).cast("int") for v in ("_after", "_before"))
+        found = touched.join(newest, self.key).filter(~F.col(GONE)).select(*columns, (came - went).alias(SIGN))
+        return found.filter(F.col(SIGN) != 0)
+
     def compact(self, spark: SparkSession, upto: int | None = None) -> list[int]:
         """Brings the log to the base and empties it; returns the buckets written.
 

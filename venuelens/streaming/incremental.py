@@ -6,18 +6,20 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
 from ..operators.normalize import latest_documents, mark_meals, mark_restaurants, mark_reviews, stored_reviews
 from ..operators.outcomes import needs_order, sort_out
 from ..operators.tables import latest_by_key, ordered_upsert
+from ..plans.views import service_type
 from ..session import shared_dir
 from ..sources import readers
 from ..sources.tables import publish
 from .changelog import GONE, ChangeLog
+from .counts import Counts
 
 BATCH = "_batch"
 
@@ -75,7 +77,7 @@ class LakeStore:
 
     The order columns tell which document of an id is the last one; they rule over all batches, so the tables are those
     of one full load whatever the batches were. A batch becomes visible as a whole: readers take the batches up to the
-    last one that is complete in all its tables.
+    last one that is complete in all its tables. The counts behind the reports follow each batch, see ``counted``.
     """
 
     root: str
@@ -96,6 +98,37 @@ class LakeStore:
             "meals": self._log("meals", "id", schemas.MEALS, self.meals_order),
         }
 
+    @property
+    def counts(self) -> dict[str, Counts]:
+        """Counts of each table by the columns that the reports group by and average."""
+        kinds = {
+            "restaurants": [schemas.RESTAURANTS["district_parsed"], schemas.RESTAURANTS["rating"]],
+            "reviews": [StructField("service_type", StringType()), schemas.REVIEWS["rating"]],
+            "meals": [schemas.MEALS["category"], schemas.MEALS["area"]],
+        }
+        return {name: Counts(f"{self.root}/counts/{name}", StructType(fields)) for name, fields in kinds.items()}
+
+    def _counted_columns(self, name: str) -> list[Column]:
+        made = {"service_type": service_type(F.col("comment"))} if name == "reviews" else {}
+        return [made.get(c, F.col(c)).alias(c) for c in self.counts[name].schema.fieldNames()]
+
+    def _count(self, spark: SparkSession, feed: str, number: int, *names: str) -> None:
+        # A batch that is complete has been counted, and its rows may be in the base by now.
+        if number > self._last(spark, feed):
+            for name in names:
+                self.counts[name].add(self.logs[name].changed(spark, number, *self._counted_columns(name)), number)
+
+    def counted(self, spark: SparkSession, name: str) -> DataFrame:
+        """Counts of a table as of its last complete batch: input of the views with ``weight="n"``, at no read of the table."""
+        return self.counts[name].total(spark, self._last(spark, _feed(name)))
+
+    def recount(self, spark: SparkSession) -> None:
+        """Counts all tables anew, for a store whose first batches came without counts."""
+        for name, counts in self.counts.items():
+            last = self._last(spark, _feed(name))
+            if last >= 0:
+                counts.recount(self.logs[name].current(spark, last).select(*self._counted_columns(name)), last)
+
     def add_documents(self, batch: DataFrame, number: int) -> dict[str, dict[str, int]]:
         """A batch of raw documents: read once, its restaurants and reviews added, what is refused kept with its content.
 
@@ -115,6 +148,7 @@ class LakeStore:
         rows = stored_reviews(reviews.accepted, order).withColumn(GONE, F.lit(False))
         logs["reviews"].append(rows.unionByName(stones, allowMissingColumns=True), number)
         self._refuse(found.refused.unionByName(reviews.refused), "documents", number)
+        self._count(spark, "documents", number, "restaurants", "reviews")
         self._complete(spark, "documents", number)
         return {"restaurants": found.counters, "reviews": reviews.counters}
 
@@ -125,6 +159,7 @@ class LakeStore:
         needs_order(found.accepted, "id", order, "meals")
         self.logs["meals"].append(latest_by_key(found.accepted, "id", order), number)
         self._refuse(found.refused, "meals", number)
+        self._count(batch.sparkSession, "meals", number, "meals")
         self._complete(batch.sparkSession, "meals", number)
         return {"meals": found.counters}
 
@@ -154,13 +189,20 @@ class LakeStore:
                     return spark.createDataFrame([], schema)
                 raise
         names = {"restaurants": schemas.RESTAURANTS, "reviews": schemas.REVIEWS, "meals": schemas.MEALS}[name].fieldNames()
-        return self.logs[name].current(spark, self._last(spark, "meals" if name == "meals" else "documents")).select(*names)
+        return self.logs[name].current(spark, self._last(spark, _feed(name))).select(*names)
 
     def compact(self, spark: SparkSession) -> dict[str, list[int]]:
-        """Compacts the complete batches of all logs; returns the buckets written of each."""
-        return {
-            name: log.compact(spark, self._last(spark, "meals" if name == "meals" else "documents")) for name, log in self.logs.items()
-        }
+        """Compacts the complete batches of all logs and counts; returns the buckets written of each log."""
+        written = {}
+        for name, log in self.logs.items():
+            last = self._last(spark, _feed(name))
+            written[name] = log.compact(spark, last)
+            self.counts[name].fold(spark, last)
+        return written
+
+
+def _feed(table: str) -> str:
+    return "meals" if table == "meals" else "documents"
 
 
 def load_new_files(
