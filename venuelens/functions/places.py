@@ -54,6 +54,11 @@ def _accent_table() -> tuple[str, str]:
     return "".join(source), "".join(target)
 
 
+def accented_letters() -> str:
+    """The characters that ``strip_accents`` turns into one ASCII character each."""
+    return _accent_table()[0] + "đĐ"
+
+
 def strip_accents(value: Column, literal: bool = False) -> Column:
     """ASCII text. Accents go, whether composed or combining; other non-ASCII characters are dropped."""
     source, target = _accent_table()

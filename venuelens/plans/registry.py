@@ -977,6 +977,17 @@ def _(spark, folder):
     return _loaded_store(spark, folder).table(spark, "reviews").drop("id")
 
 
+@case("C1_kept_search", " UNION ALL ".join(f"""SELECT '{term}' AS term, id, name, district_parsed FROM {_LOADED} r
+ WHERE contains(lower(strip_accents(concat_ws(chr(1), id, name, district, district_parsed))), '{plain}')"""
+ for term, plain in (("PLÂCE 1", "place 1"), ("quan 1", "quan 1"), ("đ1", "d1"), ("Rest_D12", "rest_d12"), ("no such place", "no such place"))))
+def _(spark, folder):
+    """Searches by kept postings over three arrivals, one of two characters; replaced and refused rows are not found."""
+    store = _loaded_store(spark, folder)
+    found = [store.search(spark, term).select(F.lit(term).alias("term"), "id", "name", "district_parsed")
+             for term in ("PLÂCE 1", "quan 1", "đ1", "Rest_D12", "no such place")]
+    return reduce(DataFrame.unionByName, found)
+
+
 # The documents that each of the three arrivals leaves in force.
 _AS_OF = f"""(SELECT a AS batch, r.* FROM {samples.RAW_RESTAURANTS_SQL} r, (SELECT unnest([0, 1, 2]) AS a) x
  WHERE NOT ({_LONG_NAME}) AND (o_orderkey % 3 <= a OR o_orderkey % 15 < a)

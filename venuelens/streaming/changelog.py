@@ -65,6 +65,16 @@ class ChangeLog:
         """The content, with the batches up to a number."""
         return self._merged(spark, upto, None).filter(~F.col(GONE)).select(*self.schema.fieldNames())
 
+    def current_of(self, spark: SparkSession, keys: DataFrame, upto: int | None = None) -> DataFrame:
+        """The content of some keys, given with their buckets: only these buckets are read."""
+        buckets = [r[0] for r in keys.select(BUCKET).distinct().collect()]  # as many as there are buckets, at most
+        held = self._merged(spark, upto, buckets).filter(~F.col(GONE)).select(*self.schema.fieldNames())
+        return held.join(keys.select(self.key), self.key, "left_semi").select(*self.schema.fieldNames())
+
+    def bucket(self) -> Column:
+        """The bucket that a row lies in."""
+        return self._bucket()
+
     def _merged(self, spark: SparkSession, upto: int | None, buckets: list[int] | None) -> DataFrame:
         base, log = self._read(spark, "base"), self._read(spark, "changes")
         if upto is not None:

@@ -20,6 +20,7 @@ from ..sources import readers
 from ..sources.tables import publish
 from .changelog import GONE, ChangeLog
 from .counts import Counts
+from .grams import GramIndex, holds
 
 BATCH = "_batch"
 
@@ -129,6 +130,27 @@ class LakeStore:
             if last >= 0:
                 counts.recount(self.logs[name].current(spark, last).select(*self._counted_columns(name)), last)
 
+    @property
+    def names(self) -> GramIndex:
+        """Postings for ``search``."""
+        return GramIndex(f"{self.root}/names", "id", ("id", "name", "district", "district_parsed"))
+
+    def search(self, spark: SparkSession, term: str) -> DataFrame:
+        """Restaurants that hold the term in id, name or district, case and accents aside, by kept postings.
+
+        The rows are those of ``tables.search`` over the table, all pages. Terms under three characters, and those with
+        characters that do not stand for one letter, scan the table.
+        """
+        last = self._last(spark, "documents")
+        found = self.names.candidates(spark, term, last)
+        held = self.table(spark, "restaurants") if found is None else self.logs["restaurants"].current_of(spark, found, last)
+        return held.filter(holds(term, self.names.columns)).select(*schemas.RESTAURANTS.fieldNames())
+
+    def reindex(self, spark: SparkSession) -> None:
+        """Drops postings of replaced rows, and merges those of all complete batches."""
+        last, log = self._last(spark, "documents"), self.logs["restaurants"]
+        self.names.rebuild(log.current(spark, last), log.bucket(), last)
+
     def add_documents(self, batch: DataFrame, number: int) -> dict[str, dict[str, int]]:
         """A batch of raw documents: read once, its restaurants and reviews added, what is refused kept with its content.
 
@@ -148,6 +170,7 @@ class LakeStore:
         rows = stored_reviews(reviews.accepted, order).withColumn(GONE, F.lit(False))
         logs["reviews"].append(rows.unionByName(stones, allowMissingColumns=True), number)
         self._refuse(found.refused.unionByName(reviews.refused), "documents", number)
+        self.names.add(documents, logs["restaurants"].bucket(), number)
         self._count(spark, "documents", number, "restaurants", "reviews")
         self._complete(spark, "documents", number)
         return {"restaurants": found.counters, "reviews": reviews.counters}
