@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from .. import schemas
 from ..functions import documents as docs
 from ..functions import numbers, places, text, urls
 from ..operators import jobs, normalize, pages, quality, tables, terms
+from ..operators.keys import DenseKeys
+from ..operators.seen import SeenLinks
 from ..session import shared_dir
 from ..sources import readers, snapshots, writers
 from ..sources.tables import wipe
@@ -600,6 +603,17 @@ def _(spark, folder):
 # === tables and ingest (R, C, I) ==================================================
 
 
+@case("J6_links_over_crawls", """WITH c AS (SELECT url, sha1(lower(url)) AS fingerprint, n AS crawl FROM pages, (SELECT unnest([0, 1, 2]) AS n) x
+ WHERE page_id % 3 = n OR page_id % 5 = n)
+SELECT min(url) AS url, fingerprint, crawl FROM c GROUP BY fingerprint, crawl QUALIFY crawl = min(crawl) OVER (PARTITION BY fingerprint)""")
+def _(spark, folder):
+    """Three crawls in a row, each with links of the others: what each one brings."""
+    links = table(spark, folder, "pages").select("page_id", "url")
+    seen = SeenLinks(shared_dir(spark, "seen"), buckets=16)
+    found = [seen.new_links(links.filter(f"page_id % 3 = {n} OR page_id % 5 = {n}"), n).withColumn("crawl", F.lit(n)) for n in range(3)]
+    return reduce(DataFrame.unionByName, found)
+
+
 @case("R1_R6_explode_reviews", f"""SELECT conv_id AS restaurant_id, turn, CAST(pos AS INTEGER) AS pos, role AS user,
  (len(comment) % 5 + 1) || ' of 5 bubbles' AS rating, comment FROM {samples.CONVERSATION_LINES_SQL} l""")
 def _(spark, folder):
@@ -706,6 +720,17 @@ def _(spark, folder):
     return merged.select("id", "name", "category", F.array_join("ingredients", ", ").alias("ingredients"))
 
 
+@case("R6_dense_keys", """WITH k AS (SELECT l_suppkey AS a, l_partkey AS b, min(CASE WHEN l_orderkey % 3 < 2 THEN 0 ELSE 1 END) AS load FROM lineitem GROUP BY 1, 2)
+SELECT a AS l_suppkey, b AS l_partkey, load, row_number() OVER (ORDER BY load, a, b) - 1 AS number FROM k""")
+def _(spark, folder):
+    """Keys of two loads, the second with those of the first again: numbers go on without a gap."""
+    lines = table(spark, folder, "lineitem").select("l_suppkey", "l_partkey", "l_orderkey")
+    numbers = DenseKeys(shared_dir(spark, "keys"), lines.select("l_suppkey", "l_partkey").schema)
+    numbers.assign(lines.filter("l_orderkey % 3 < 2"), 0)
+    numbers.assign(lines, 1)
+    return numbers.known(spark).withColumnRenamed("_batch", "load")
+
+
 @case("R5_import_collection", """SELECT 'rest_d' || o_custkey AS id, 'Place ' || max(o_orderkey) FILTER (WHERE o_orderkey % 2 = 0) AS name,
  CAST(arg_max(o_orderkey % 5, o_orderkey) FILTER (WHERE o_orderkey % 2 = 1) AS DOUBLE) AS rating FROM orders GROUP BY o_custkey""")
 def _(spark, folder):
@@ -1247,6 +1272,24 @@ def _(spark, folder):
     return spark.table(name)
 
 
+@case("S13_S14_incremental_backup", """SELECT 0 AS backup, c_custkey, c_name, c_acctbal FROM customer
+UNION ALL SELECT 1, c_custkey, CASE WHEN c_custkey % 50 = 7 THEN c_name || '!' ELSE c_name END, c_acctbal FROM customer WHERE c_custkey % 90 <> 11""")
+def _(spark, folder):
+    """Two backups, the second after a patch and deletes; rows of both moments, restored from shared buckets."""
+    root = shared_dir(spark, "backups")
+    name = "backed_" + root[-12:]
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    patched = customers.withColumn("c_name", F.when(F.col("c_custkey") % 50 == 7, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name")))
+    moments = []
+    for number, rows in enumerate((customers, patched.filter("c_custkey % 90 <> 11"))):
+        rows.createOrReplaceTempView(name)
+        moment = datetime(2024, 1, 1 + number, tzinfo=timezone.utc)
+        moments.append(snapshots.incremental_snapshot(spark, {name: ["c_custkey"]}, root, now=moment)[0])
+    spark.catalog.dropTempView(name)
+    found = [snapshots.snapshot_rows(spark, root, moment, name).withColumn("backup", F.lit(n)) for n, moment in enumerate(moments)]
+    return found[0].unionByName(found[1])
+
+
 def _lake(spark: SparkSession, folder: str) -> str:
     """A database of external tables over a lake written from the samples, with its stored views."""
     root = shared_dir(spark, "lake")
