@@ -204,6 +204,13 @@ def _(spark, folder):
     return jobs.rating_by_area(samples.free_text_venues(spark, folder))
 
 
+@case("A1_rating_by_area_few_places", f"""SELECT area, round_even(avg(rating), 2) AS avg_rating, count(*) AS restaurant_count
+FROM {samples.PLACES_SQL} p WHERE rating IS NOT NULL GROUP BY area""")
+def _(spark, folder):
+    """Places that repeat, each worked out once."""
+    return jobs.rating_by_area(samples.free_text_venues(spark, folder), few_places=True)
+
+
 @case("A2_tag_count", """SELECT tag, count(*) AS n
 FROM (SELECT trim(lang) AS tag FROM documents UNION ALL SELECT trim(source) FROM documents) t
 WHERE tag <> '' GROUP BY tag""")
@@ -838,6 +845,30 @@ def _(spark, folder):
     )
 
 
+_TEXTS = "list_filter(list_transform(string_split_regex({0}, '<[^>]*>'), lambda t: trim({1}, {2})), lambda t: t <> '')"
+
+
+def _texts_sql(html: str) -> str:
+    return _TEXTS.format(html, _plain_sql("t"), _BLANK)
+
+
+@case("R13_all_cards", f"""WITH p AS (SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1, 's') AS items,
+ {_texts_sql("regexp_extract(html, '<div class=.ad.>(.*?)</div>', 1, 's')")}[1] AS rating FROM pages),
+u AS (SELECT page_id, rating, CAST(len(items) AS INTEGER) AS cards,
+ list_filter(list_transform(items, lambda x: {_texts_sql("x")}[1]), lambda x: x IS NOT NULL) AS users FROM p)
+SELECT page_id, cards, rating, users[1] AS review_count, CAST(pos AS INTEGER) AS pos, users[pos + 1] AS "user", users[pos + 1] AS comment
+FROM (SELECT *, unnest(range(len(users))) AS pos FROM u) v""")
+def _(spark, folder):
+    """Every card of every page, with rating and review count by a second rule where the first finds nothing."""
+    rules = pages.PageRules(
+        card=pages.Rule("li"), user=pages.Rule("a"), comment=(pages.Rule("h6"), pages.Rule("a")),
+        rating=(pages.Rule("div", "class", "stars"), pages.Rule("div", "class", "ad")), review_count=(pages.Rule("h6"), pages.Rule("li")),
+    )
+    extracted = pages.extract_pages(wide_table(spark, folder, "pages"), rules)
+    cards = extracted.select("page_id", "cards", "rating", "review_count", F.posexplode("reviews").alias("pos", "review"))
+    return cards.select("page_id", "cards", "rating", "review_count", "pos", "review.user", "review.comment")
+
+
 @case("C1_search", """SELECT doc_id, lang, source FROM documents
 WHERE contains(strip_accents(lower(text)), 'eaux le') OR contains(lower(source), 'eaux le') ORDER BY doc_id LIMIT 20 OFFSET 20""")
 def _(spark, folder):
