@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from .. import fixed_values as fv
 from .. import schemas
 from ..functions import documents as docs
-from ..functions import numbers, places, text, urls
+from ..functions import numbers, places, sql, text, urls
 from ..operators import jobs, normalize, pages, quality, tables, terms
 from ..operators.keys import DenseKeys
 from ..operators.seen import SeenLinks
@@ -112,6 +112,14 @@ def _(spark, folder):
     return views.delivery_sentiment(samples.labelled_reviews(spark, folder))
 
 
+@case("V6_delivery_sentiment_both_labels", _service_sql(fv.DELIVERY_LIKE_PATTERNS).replace(
+    samples.LABELLED_REVIEWS_SQL, f"(SELECT comment || CASE WHEN doc_id % 3 = 0 THEN ' Giao hàng nhanh' ELSE '' END AS comment, rating FROM {samples.LABELLED_REVIEWS_SQL} l)"))
+def _(spark, folder):
+    """The default words, with every third review saying so."""
+    said = F.when(F.col("doc_id") % 3 == 0, F.lit(" Giao hàng nhanh")).otherwise(F.lit(""))
+    return views.delivery_sentiment(samples.labelled_reviews(spark, folder).withColumn("comment", F.concat("comment", said)))
+
+
 @case("V7_area_frequency", "SELECT source AS area, count(*) AS meal_count FROM documents "
       "WHERE source NOT IN ('', 'null') GROUP BY source")
 def _(spark, folder):
@@ -363,16 +371,26 @@ def _(spark, folder):
     return jobs.delivery_vs_dinein_venue(samples.document_venues(spark, folder))
 
 
+@case("A8_delivery_vs_dinein_venue_both_labels", _venue_sql(fv.DELIVERY_WORDS).replace(
+    "FROM documents", "FROM (SELECT text || CASE WHEN doc_id % 3 = 0 THEN ' by GRAB' ELSE '' END AS text, n_chars FROM documents) d"))
+def _(spark, folder):
+    """The default words, with the last review of every third venue saying so."""
+    said = F.when(F.col("doc_id") % 3 == 0, F.lit(" by GRAB")).otherwise(F.lit(""))
+    venues = samples.document_venues(spark, folder)
+    last = F.size("reviews") - 1
+    marked = F.transform("reviews", lambda r, i: r.withField("comment", F.when(i == last, F.concat(r["comment"], said)).otherwise(r["comment"])))
+    return jobs.delivery_vs_dinein_venue(venues.withColumn("reviews", marked))
+
+
 # === scalar functions (N) =========================================================
 
 _COUNT_TEXT_SQL = "CASE o_orderkey % 6 WHEN 0 THEN CAST(floor(o_totalprice) AS BIGINT) WHEN 1 THEN o_custkey " \
                   "WHEN 2 THEN CAST(floor(o_totalprice) AS BIGINT) WHEN 3 THEN 0 WHEN 4 THEN 0 ELSE o_custkey END"
 
 
-@case("N1_parse_review_count", f"SELECT o_orderkey, CAST({_COUNT_TEXT_SQL} AS BIGINT) AS review_count FROM orders")
-def _(spark, folder):
+def _count_text():
     kind, whole = F.col("o_orderkey") % 6, F.floor("o_totalprice").cast("bigint")
-    raw = (
+    return (
         F.when(kind == 0, F.concat(F.lit("("), whole, F.lit(")")))
         .when(kind == 1, F.col("o_custkey").cast("string"))
         .when(kind == 2, F.format_number(whole, 0))
@@ -380,7 +398,11 @@ def _(spark, folder):
         .when(kind == 4, F.lit(None).cast("string"))
         .otherwise(F.concat(F.col("o_custkey"), F.lit(".9")))
     )
-    return table(spark, folder, "orders").select("o_orderkey", numbers.parse_review_count(raw).alias("review_count"))
+
+
+@case("N1_parse_review_count", f"SELECT o_orderkey, CAST({_COUNT_TEXT_SQL} AS BIGINT) AS review_count FROM orders")
+def _(spark, folder):
+    return table(spark, folder, "orders").select("o_orderkey", numbers.parse_review_count(_count_text()).alias("review_count"))
 
 
 def _rating_text():
@@ -394,12 +416,14 @@ def _rating_text():
     )
 
 
-@case("N2_N3_N13_rating_text", f"""SELECT l_orderkey, l_linenumber,
+_RATING_TEXT_SQL = f"""
  CASE l_linenumber % 5 WHEN 0 THEN l_linenumber WHEN 1 THEN {samples.LINE_RATING_SQL} WHEN 3 THEN -1.5 END AS review_rating,
  CASE l_linenumber % 5 WHEN 0 THEN l_linenumber WHEN 1 THEN {samples.LINE_RATING_SQL} WHEN 2 THEN l_linenumber + 0.25
   WHEN 3 THEN -1.5 END AS first_number,
- CASE l_linenumber % 5 WHEN 1 THEN {samples.LINE_RATING_SQL} WHEN 3 THEN -1.5 END AS strict
-FROM lineitem""")
+ CASE l_linenumber % 5 WHEN 1 THEN {samples.LINE_RATING_SQL} WHEN 3 THEN -1.5 END AS strict"""
+
+
+@case("N2_N3_N13_rating_text", f"SELECT l_orderkey, l_linenumber, {_RATING_TEXT_SQL} FROM lineitem")
 def _(spark, folder):
     raw = _rating_text()
     return wide_table(spark, folder, "lineitem").select(
@@ -411,14 +435,36 @@ def _(spark, folder):
     )
 
 
-@case("N4_make_short_id", """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'rest_d' || o_custkey
- WHEN o_orderkey % 3 = 1 THEN 'rest_' || o_custkey ELSE '' END AS short_id FROM orders""")
-def _(spark, folder):
+_SHORT_ID_SQL = "CASE WHEN o_orderkey % 3 = 0 THEN 'rest_d' || o_custkey WHEN o_orderkey % 3 = 1 THEN 'rest_' || o_custkey ELSE '' END"
+
+
+def _id_text():
     kind = F.col("o_orderkey") % 3
-    raw = F.when(
+    return F.when(
         kind == 0, F.concat(F.lit("https://x.example/Restaurant_Review-g29-d"), F.col("o_custkey"), F.lit("-Reviews-a"))
     ).when(kind == 1, F.concat(F.lit("rest_"), F.col("o_custkey")))
-    return table(spark, folder, "orders").select("o_orderkey", text.make_short_id(raw).alias("short_id"))
+
+
+@case("N4_make_short_id", f"SELECT o_orderkey, {_SHORT_ID_SQL} AS short_id FROM orders")
+def _(spark, folder):
+    return table(spark, folder, "orders").select("o_orderkey", text.make_short_id(_id_text()).alias("short_id"))
+
+
+@case("N1_N4_sql_functions", f"SELECT o_orderkey, CAST({_COUNT_TEXT_SQL} AS BIGINT) AS review_count, {_SHORT_ID_SQL} AS short_id FROM orders")
+def _(spark, folder):
+    """The functions for users who write SQL."""
+    sql.register(spark)
+    orders = table(spark, folder, "orders").select("o_orderkey", _count_text().alias("counted"), _id_text().alias("place"))
+    return orders.selectExpr("o_orderkey", "parse_review_count(counted) AS review_count", "make_short_id(place) AS short_id")
+
+
+@case("N2_N3_N13_sql_functions", f"SELECT l_orderkey, l_linenumber, {_RATING_TEXT_SQL} FROM lineitem")
+def _(spark, folder):
+    sql.register(spark)
+    lines = wide_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", _rating_text().alias("raw"))
+    return lines.selectExpr(
+        "l_orderkey", "l_linenumber", "parse_review_rating(raw) AS review_rating", "extract_float(raw) AS first_number", "strict_float(raw) AS strict"
+    )
 
 
 @case("N5_N6_clean_location_text", """SELECT c_custkey,
