@@ -1,9 +1,30 @@
 """Work that a row, a page or a piece costs: what is done once stays done once."""
 
-from helpers import as_set, plan_of
+from helpers import as_set, evaluate, plan_of
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from venuelens.operators import pages
+from venuelens.sources import readers
+
+
+def test_a_line_is_parsed_once_and_judged_as_before(spark):
+    lines = spark.createDataFrame([('{"a": 1}',)], "value string")
+    judged = lines.select(readers._is_whole_object(F.col("value")).alias("x"))
+    assert plan_of(judged).count("parseJson") == 1
+    good = ["{}", ' {"a": 1}\t', '{"a": [{"b": "]}"}, null]}', '{"a": {"b": []}}']
+    bad = ["", "[{}]", "{},", "{},{}", "{},null", '{"a": 1} x', '{"a": "b', '{"a": [1, 2]', "{'a': 1}", "null", "1", '"{}"', " {}", '{"a": 1, "a": 2}', None]
+    assert evaluate(spark, readers._is_whole_object(F.col("v")), good + bad) == [True] * len(good) + [False] * len(bad)
+
+
+def test_texts_of_a_large_array_are_scanned_once_after_the_cut(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('[{"id": 1, "t": "}{[\\""}, 7, {"id": 2, "t": "x", "l": [{"v": "]"}]}]')
+    (tmp_path / "in" / "b.json").write_text(" [ ]\n")
+    schema = T.StructType.fromDDL("id long, t string")
+    found = readers.read_large_json_array(spark, str(tmp_path / "in"), schema, sequence=True)
+    assert plan_of(found).count("FileScan") == 2  # the pieces, and the sums at the start of each split
+    assert as_set(found.select("id", "t", "_seq.element")) == {(1, '}{["', 0), (2, "x", 1)}
 
 
 def test_a_worker_gets_few_pages_at_a_time_and_parses_each_once(spark):

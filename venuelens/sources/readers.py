@@ -30,10 +30,17 @@ def reading_order() -> Column:
 
 
 def _is_whole_object(line: Column) -> Column:
-    """The line is one JSON object and nothing else. Parsers stop behind a first value; in brackets they can't."""
+    """The line is one JSON object and nothing else. Parsers stop behind a first value; in brackets they can't.
+
+    The line is parsed once: what parses and starts with a brace is an object, and only the number of elements is asked
+    for, so none of them is converted. A line that ends otherwise, as one cut off does, can't close the brackets unless it
+    holds one itself, and isn't parsed: failing costs far more than this test.
+    """
     listed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    one = F.schema_of_variant(F.try_variant_get(listed, "$[0]", "variant")).startswith("OBJECT")
-    return F.coalesce(one & F.try_variant_get(listed, "$[1]", "variant").isNull(), F.lit(False))
+    elements = F.try_variant_get(listed, "$", "array<boolean>")
+    text = F.btrim(line, F.lit(" \t\r\n"))
+    may_be = text.startswith("{") & (text.endswith("}") | line.contains("]"))
+    return F.coalesce(may_be & (F.size(elements) == 1), F.lit(False))
 
 
 def read_json_lines(
@@ -113,17 +120,44 @@ def _brackets(code: Column) -> Column:
     return F.length(F.regexp_replace(code, r"[^{\[]+", "")) - F.length(F.regexp_replace(code, r"[^}\]]+", ""))
 
 
+_SPLIT = ["file", "split"]
+
+
 def _running(rows: DataFrame, value: str, name: str) -> DataFrame:
-    """Adds the sum of ``value`` over all rows of a file before this one.
+    """Adds the sum of ``value`` over all rows of a file before this one; ``<name>_0`` is that sum where its split starts."""
+    here = Window.partitionBy(*_SPLIT).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn(name, F.coalesce(F.sum(value).over(here), F.lit(0)) + F.col(f"{name}_0"))
 
-    Sums run inside each split; the splits, of which there are few, pass their totals on.
-    """
-    here = Window.partitionBy("file", "split").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy("file", "split").agg(F.sum(value).alias("_total"))
+
+def _starts(splits: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds ``<name>_0`` to the splits of the files, one row each, and writes them, so that no later step works them out again."""
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("file", "split", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
-    summed = rows.withColumn("_sum", F.coalesce(F.sum(value).over(here), F.lit(0))).join(offsets, ["file", "split"])
-    return summed.withColumn(name, F.col("_sum") + F.col("_offset")).drop("_sum", "_offset")
+    folder = shared_dir(splits.sparkSession, f"array-{name}")
+    splits.withColumn(f"{name}_0", F.coalesce(F.sum(value).over(before), F.lit(0))).write.parquet(folder)
+    return splits.sparkSession.read.parquet(folder)
+
+
+def _steps(strings: Column) -> tuple[Column, Column]:
+    """By the quotes before a piece: how many levels it goes down with the brace behind it, and whether that brace counts."""
+    opens, closes = strings % 2 == 1, (strings + F.col("quotes")) % 2 == 0
+    # Behind each piece but a file's last one stands the brace, which counts unless it is inside a string.
+    ends = F.coalesce(F.col("row") < F.col("last"), F.lit(True)) & closes
+    return F.when(opens, F.col("inside")).otherwise(F.col("outside")) - ends.cast("int"), ends
+
+
+def _by_start(marks: DataFrame) -> DataFrame:
+    """(start, after, down, ended) of each split, whether it starts outside (0) or inside (1) a string: levels gone down, and
+    braces that count, by the depth behind them as seen from the start of the split."""
+    here = Window.partitionBy(*_SPLIT).orderBy("row")
+    quotes = F.coalesce(F.sum("quotes").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows, states = marks.withColumn("strings", quotes), []
+    for start in (0, 1):
+        step, ends = _steps(F.col("strings") + start)
+        rows = rows.withColumns({f"step{start}": step, f"ends{start}": ends.cast("int")})
+        after = F.sum(f"step{start}").over(here.rowsBetween(Window.unboundedPreceding, 0))
+        states.append(F.struct(F.lit(start).alias("start"), after.alias("after"), F.col(f"step{start}").alias("step"), F.col(f"ends{start}").alias("ends")))
+    both = rows.select(*_SPLIT, *[state.alias(f"state{i}") for i, state in enumerate(states)]).select(*_SPLIT, F.explode(F.array("state0", "state1")).alias("s"))
+    return both.groupBy(*_SPLIT, "s.start", "s.after").agg(F.sum("s.step").alias("down"), F.sum("s.ends").alias("ended"))
 
 
 def read_large_json_array(spark: SparkSession, path: str, schema: T.StructType, sequence: bool = False) -> DataFrame | None:
@@ -135,7 +169,8 @@ def read_large_json_array(spark: SparkSession, path: str, schema: T.StructType,
     and parsed. Elements that are no objects are left out. None when the path is missing; ValueError when a file is no
     array or its brackets do not close. ``sequence`` adds ``_seq``, the place of an element in its file.
 
-    The pieces are written once, so the file itself is read once.
+    The pieces are written once, so the file itself is read once. The sums at the start of each split are settled by
+    one pass that leaves the texts out; the next one moves each text twice, to its split and to its element.
     """
     try:
         pieces = spark.read.option("lineSep", "}").option("recursiveFileLookup", True).text(path)
@@ -149,26 +184,33 @@ def read_large_json_array(spark: SparkSession, path: str, schema: T.StructType,
     quotes = F.length(F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), '[^"]+', "")) % 2
     parts = pieces.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"),
-        "value", quotes.alias("quotes"), _brackets(outside).alias("outside"), _brackets(inside).alias("inside"),
+        "value", quotes.alias("quotes"), _brackets(outside).alias("outside"), _brackets(inside).alias("inside"), F.col("value").rlike(r"^\s*+\[").alias("array"),
     )
     folder = shared_dir(spark, "array-pieces")
     parts.write.parquet(folder)
     rows = spark.read.parquet(folder)
-    last = rows.groupBy("file").agg(F.max(F.struct("split", "row")).alias("last"))
-    rows = _running(rows, "quotes", "strings").join(last, "file")
-    # Behind each piece but a file's last one stands the brace, which counts unless it is inside a string.
-    braced = F.struct("split", "row") < F.col("last")
-    opens, closes = F.col("strings") % 2 == 1, (F.col("strings") + F.col("quotes")) % 2 == 0
-    step = F.when(opens, F.col("inside")).otherwise(F.col("outside")) - (braced & closes).cast("int")
-    rows = _running(rows.withColumn("step", step).withColumn("braced", braced).withColumn("ends", braced & closes), "step", "depth")
-    rows = rows.withColumn("after", F.col("depth") + F.col("step"))
-    faults = rows.groupBy("file").agg(
-        F.min_by("value", F.struct("split", "row")).alias("first"), F.max_by(F.struct("after", F.lit(1).alias("_")), F.struct("split", "row")).alias("end"),
-    ).filter(~F.col("first").rlike(r"^\s*+\[") | (F.col("end.after") != 0)).limit(1).collect()
+    marks, rows = rows.drop("value", "array"), rows.drop("array")
+    splits = spark.read.parquet(folder).groupBy(*_SPLIT).agg(F.sum("quotes").alias("in_all"), F.max("row").alias("last"), F.min_by("array", "row").alias("array"))
+    following = F.lead("split").over(Window.partitionBy("file").orderBy("split"))
+    splits = _starts(splits.withColumn("last", F.when(following.isNull(), F.col("last"))), "in_all", "strings")
+    by_start = _by_start(marks.join(splits.select(*_SPLIT, "last"), _SPLIT)).join(splits.select(*_SPLIT, "strings_0"), _SPLIT)
+    folder = shared_dir(spark, "array-depths")  # a row for each depth of each split
+    by_start.filter(F.col("start") == F.col("strings_0") % 2).drop("start", "strings_0").write.parquet(folder)
+    depths = spark.read.parquet(folder)
+    splits = _starts(splits.join(depths.groupBy(*_SPLIT).agg(F.sum("down").alias("down")), _SPLIT), "down", "depth")
+    faults = splits.groupBy("file").agg(
+        F.min_by("array", "split").alias("array"), F.max_by(F.col("depth_0") + F.col("down"), "split").alias("end"),
+    ).filter(~F.col("array") | (F.col("end") != 0)).limit(1).collect()
     if faults:
         raise ValueError(f"{faults[0][0]} must hold a JSON array at the top level")
-    rows = rows.withColumn("end", (F.col("ends") & (F.col("after") == 1)).cast("int"))
-    rows = _running(rows.select("file", "split", "row", "value", "braced", "end"), "end", "element")
+    known = splits.select(*_SPLIT, "last", "strings_0", "depth_0")
+    top = F.coalesce(F.sum(F.when(F.col("depth_0") + F.col("after") == 1, F.col("ended"))), F.lit(0))
+    splits = _starts(known.join(depths, _SPLIT).groupBy(*known.columns).agg(top.alias("ended")), "ended", "element")
+    rows = _running(rows.join(splits.drop("ended"), _SPLIT), "quotes", "strings")
+    step, ends = _steps(F.col("strings"))
+    rows = _running(rows.withColumns({"step": step, "ends": ends, "braced": F.coalesce(F.col("row") < F.col("last"), F.lit(True))}), "step", "depth")
+    rows = _running(rows.withColumn("end", (F.col("ends") & (F.col("depth") + F.col("step") == 1)).cast("int")), "end", "element")
+    rows = rows.select("file", "split", "row", "value", "braced", "end", "element")
     texts = rows.groupBy("file", "element").agg(
         F.array_sort(F.collect_list(F.struct("split", "row", "value", "braced"))).alias("parts"), F.max("end").alias("whole")
     )
