@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from venuelens.operators import pages
 from venuelens.sources import readers
+from venuelens.streaming import grams
 
 
 def test_a_line_is_parsed_once_and_judged_as_before(spark):
@@ -17,6 +18,16 @@ def test_a_line_is_parsed_once_and_judged_as_before(spark):
     assert evaluate(spark, readers._is_whole_object(F.col("v")), good + bad) == [True] * len(good) + [False] * len(bad)
 
 
+def test_a_text_is_folded_once_for_its_trigrams(spark, tmp_path):
+    index = grams.GramIndex(str(tmp_path / "names"), "id", ("name",))
+    rows = spark.createDataFrame([("a", "Phở Đỏ"), ("b", "x​y"), ("c", None), ("d", "𝒜bc")], "id string, name string")
+    posted = index._postings(rows, F.lit(0))
+    text = F.col("id").cast("string")
+    folds, plains = (plan_of(spark.range(1).select(x.alias("x"))).count("translate(") for x in (grams._folded(text), grams._plain(text)))
+    assert plains == 1 and plan_of(posted).count("translate(") == folds + plains
+    assert as_set(posted.select("id", "gram")) == {("a", "pho"), ("a", "ho "), ("a", "o d"), ("a", " do"), ("b", grams.ANY), ("d", grams.ANY)}
+
+
 def test_texts_of_a_large_array_are_scanned_once_after_the_cut(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text('[{"id": 1, "t": "}{[\\""}, 7, {"id": 2, "t": "x", "l": [{"v": "]"}]}]')

@@ -29,7 +29,8 @@ def _folded(value: Column) -> Column:
 
 def _plain(value: Column) -> Column:
     """Only characters that stand for one letter each, so that the trigrams of a match are those of its text."""
-    return ~value.rlike(r"[^\t-\r\x20-\x7E" + accented_letters() + "]")
+    # Looked up in a map: a class of all accented letters in the pattern would be tried letter by letter.
+    return ~F.translate(value, accented_letters(), "").rlike(r"[^\t-\r\x20-\x7E]")
 
 
 def _grams(folded: Column) -> Column:
@@ -66,14 +67,22 @@ class GramIndex:
             for batch in older:
                 remove_folder(spark, f"{self.root}/{BATCH}={batch}")
 
-    def _write(self, rows: DataFrame, home: Column, number: int, mode: str) -> None:
+    def _postings(self, rows: DataFrame, home: Column) -> DataFrame:
         texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in self.columns]
-        held = F.concat(*[_grams(_folded(t)) for t in texts], F.when(any_of(~_plain(t) for t in texts), F.array(F.lit(ANY))).otherwise(F.array()))
-        posted = rows.select(self.key, home.alias(BUCKET), F.explode(F.array_distinct(held)).alias(GRAM))
-        posted = posted.withColumns({BATCH: F.lit(number).cast("bigint"), PART: self._part(F.col(GRAM))})
-        # A frequent trigram is spread over several tasks, and so files.
-        whole = posted.hint("rebalance", F.col(PART)).sortWithinPartitions(PART, GRAM)
-        whole.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(BATCH, PART).parquet(self.root)
+        # Folded in a step of its own: each trigram would fold the whole text again.
+        folded = rows.select(
+            self.key, home.alias(BUCKET), any_of(~_plain(t) for t in texts).alias("_any"), *[_folded(t).alias(f"_text{i}") for i, t in enumerate(texts)]
+        )
+        grams = [_grams(F.col(f"_text{i}")) for i in range(len(texts))]
+        held = F.concat(*grams, F.when(F.col("_any"), F.array(F.lit(ANY))).otherwise(F.array()))
+        return folded.select(self.key, BUCKET, F.explode(F.array_distinct(held)).alias(GRAM))
+
+    def _write(self, rows: DataFrame, home: Column, number: int, mode: str) -> None:
+        posted = self._postings(rows, home)
+        # A frequent trigram is spread over several tasks, and so files. They are written in the order they are sorted in:
+        # a constant column among the folders would have Spark sort them once more.
+        whole = posted.withColumn(PART, self._part(F.col(GRAM))).hint("rebalance", F.col(PART)).sortWithinPartitions(PART, GRAM)
+        whole.write.mode(mode).partitionBy(PART).parquet(f"{self.root}/{BATCH}={number}")
 
     def _part(self, gram: Column) -> Column:
         return F.pmod(F.xxhash64(gram), F.lit(self.parts)).cast("int")
